@@ -72,6 +72,853 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
 
 
+# SQL helpers shared by the oracle strings (fixed values).
+NUM_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def sql_r6(x: str) -> str:
+    return f"floor(({x}) * 1000000.0 + 0.5) / 1000000.0"
+
+
+# --------------------------------------------------------------------------
+# Dimension x dimension x two facts, star minus key, duplicate
+# year column suffixed
+# --------------------------------------------------------------------------
+
+def view_dims_facts(spark, d):
+    from terroir.plans.views import dimension_facts_view
+    nation = table(spark, d, "nation")
+    region = table(spark, d, "region")
+    cust = D.keep_first(table(spark, d, "customer"), ["c_nationkey"], ["c_custkey"])
+    cust = cust.select(F.col("c_nationkey").alias("n_nationkey"), "c_name", "c_acctbal",
+                       F.lit(2021).alias("annee"))
+    supp = D.keep_first(table(spark, d, "supplier"), ["s_nationkey"], ["s_suppkey"])
+    supp = supp.select(F.col("s_nationkey").alias("n_nationkey"), "s_name", "s_acctbal",
+                       F.lit(2022).alias("annee"))
+    return dimension_facts_view(
+        nation.select("n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey")),
+        key="n_nationkey", base_labels=["n_name"],
+        lookup=(region, "r_regionkey", ["r_name"], 1000),
+        facts=[(cust, None), (supp, None)])
+
+
+SQL["view_dims_facts"] = """
+WITH c AS (
+  SELECT c_nationkey AS n_nationkey, c_name, c_acctbal, 2021 AS annee FROM (
+    SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer)
+  WHERE rn = 1),
+s AS (
+  SELECT s_nationkey AS n_nationkey, s_name, s_acctbal, 2022 AS annee FROM (
+    SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS rn FROM supplier)
+  WHERE rn = 1)
+SELECT n.n_nationkey, n.n_name, r.r_name, c.c_name, c.c_acctbal, c.annee,
+       s.s_name, s.s_acctbal, s.annee AS annee_1
+FROM nation n
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN c ON n.n_nationkey = c.n_nationkey
+LEFT JOIN s ON n.n_nationkey = s.n_nationkey
+"""
+
+
+# --------------------------------------------------------------------------
+# Dirty header names normalised
+# --------------------------------------------------------------------------
+
+def normalize_columns(spark, d):
+    sup = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    dirty = sup.toDF("﻿S_SUPPKEY", " S Name ", '"S-NationKey"', "S/AcctBal é")
+    out = C.ascii_columns(C.normalize_columns(dirty))
+    return C.rename_columns(out, {"s_name": "supplier_name"})
+
+
+SQL["normalize_columns"] = """
+SELECT s_suppkey, s_name AS supplier_name, s_nationkey, s_acctbal FROM supplier
+"""
+
+
+# --------------------------------------------------------------------------
+# Required columns, keep the listed columns that exist
+# --------------------------------------------------------------------------
+
+def require_and_project(spark, d):
+    part = C.require_columns(table(spark, d, "part"), ["p_partkey", "p_name"], "part")
+    return C.select_existing(part, ["p_partkey", "p_name", "p_brand", "p_container", "p_retailprice"])
+
+
+SQL["require_and_project"] = "SELECT p_partkey, p_name, p_brand, p_retailprice FROM part"
+
+
+# --------------------------------------------------------------------------
+# Candidate columns that are entirely NULL are dropped
+# --------------------------------------------------------------------------
+
+def drop_all_null_columns(spark, d):
+    o = table(spark, d, "orders").select(
+        "*", F.lit(None).cast("string").alias("o_comment"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("Clerk")).alias("o_clerk"))
+    return C.drop_all_null_columns(o, ["o_comment", "o_clerk"])
+
+
+SQL["drop_all_null_columns"] = """
+SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'Clerk' END AS o_clerk FROM orders
+"""
+
+
+# --------------------------------------------------------------------------
+# Constant year key
+# --------------------------------------------------------------------------
+
+def add_year_key(spark, d):
+    return C.add_constant(table(spark, d, "orders"), "annee", 2024)
+
+
+SQL["add_year_key"] = "SELECT *, 2024 AS annee FROM orders"
+
+
+# --------------------------------------------------------------------------
+# Locale numbers as text, parsed back; bad tokens -> NULL
+# --------------------------------------------------------------------------
+
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_DIRT = ["ND", "1d", "", "1.234.5", "1 234", "s", "NaN"]
+
+
+def _dirty_number(c: str, i: int):
+    k = (F.col("l_orderkey") + F.col("l_linenumber") + F.lit(i)) % 13
+    txt = F.replace(F.col(c).cast("string"), F.lit("."), F.lit(","))
+    e = F.when(k == 0, F.lit(_DIRT[0]))
+    for j, tok in enumerate(_DIRT[1:], start=1):
+        e = e.when(k == j, F.lit(tok))
+    return (e.when(k == 7, F.concat(F.lit(" "), txt, F.lit(" ")))
+             .when(k == 8, F.lit("1e3")).when(k == 9, F.lit(".5"))
+             .when(k == 10, F.lit("+5")).when(k == 11, F.lit("5."))
+             .otherwise(txt))
+
+
+def _sql_dirty_number(c: str, i: int) -> str:
+    k = f"((l_orderkey + l_linenumber + {i}) % 13)"
+    txt = f"replace(CAST({c} AS VARCHAR), '.', ',')"
+    whens = " ".join(f"WHEN {j} THEN '{tok}'" for j, tok in enumerate(_DIRT))
+    return (f"CASE {k} {whens} WHEN 7 THEN ' ' || {txt} || ' ' WHEN 8 THEN '1e3' "
+            f"WHEN 9 THEN '.5' WHEN 10 THEN '+5' WHEN 11 THEN '5.' ELSE {txt} END")
+
+
+def _sql_parse(t: str) -> str:
+    s = f"trim(replace({t}, ',', '.'))"
+    return f"CASE WHEN regexp_matches({s}, '{NUM_RE}') THEN TRY_CAST({s} AS DOUBLE) END"
+
+
+def parse_number(spark, d):
+    li = table(spark, d, "lineitem")
+    raw = li.select(*LINEITEM_KEYS, *[_dirty_number(c, i).alias(c) for i, c in enumerate(MEASURES)])
+    return C.map_columns(raw, N.parse_number, exclude=LINEITEM_KEYS)
+
+
+SQL["parse_number"] = (
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+    + ", ".join(f"{_sql_parse(_sql_dirty_number(c, i))} AS {c}" for i, c in enumerate(MEASURES))
+    + " FROM lineitem")
+
+
+# --------------------------------------------------------------------------
+# nullable integer parse
+# --------------------------------------------------------------------------
+
+def parse_year(spark, d):
+    o = table(spark, d, "orders")
+    y = F.year("o_orderdate").cast("string")
+    k = F.col("o_orderkey") % 7
+    txt = (F.when(k == 0, F.lit("abcd")).when(k == 1, F.concat(y, F.lit(".5")))
+            .when(k == 2, F.concat(F.lit(" "), y, F.lit(" "))).when(k == 3, F.lit(""))
+            .when(k == 4, F.concat(y, F.lit(".0"))).otherwise(y))
+    return o.select("o_orderkey", N.parse_int(txt).alias("annee"))
+
+
+SQL["parse_year"] = f"""
+WITH t AS (
+  SELECT o_orderkey, trim(CASE o_orderkey % 7 WHEN 0 THEN 'abcd'
+      WHEN 1 THEN CAST(year(o_orderdate) AS VARCHAR) || '.5'
+      WHEN 2 THEN ' ' || CAST(year(o_orderdate) AS VARCHAR) || ' '
+      WHEN 3 THEN '' WHEN 4 THEN CAST(year(o_orderdate) AS VARCHAR) || '.0'
+      ELSE CAST(year(o_orderdate) AS VARCHAR) END) AS s FROM orders),
+v AS (SELECT o_orderkey, CASE WHEN regexp_matches(s, '{NUM_RE}') THEN TRY_CAST(s AS DOUBLE) END AS x FROM t)
+SELECT o_orderkey, CASE WHEN x = floor(x) THEN CAST(x AS INTEGER) END AS annee FROM v
+"""
+
+
+# --------------------------------------------------------------------------
+# Codes with quotes and blanks, zero-padded without truncation
+# --------------------------------------------------------------------------
+
+def pad_codes(spark, d):
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey") % 4
+    key = F.col("c_custkey").cast("string")
+    txt = (F.when(k == 0, F.concat(F.lit('"'), key, F.lit('"')))
+            .when(k == 1, F.concat(F.lit("\t"), key, F.lit(" ")))
+            .when(k == 2, F.concat(F.lit(' "'), key, F.lit('" ')))
+            .otherwise(key))
+    return c.select("c_custkey", X.zero_pad(X.strip_char(X.strip(txt), '"'), 4).alias("code"))
+
+
+SQL["pad_codes"] = """
+WITH t AS (
+  SELECT c_custkey, trim(trim(CASE c_custkey % 4
+      WHEN 0 THEN '"' || CAST(c_custkey AS VARCHAR) || '"'
+      WHEN 1 THEN chr(9) || CAST(c_custkey AS VARCHAR) || ' '
+      WHEN 2 THEN ' "' || CAST(c_custkey AS VARCHAR) || '" '
+      ELSE CAST(c_custkey AS VARCHAR) END, ' ' || chr(9)), '"') AS s FROM customer)
+SELECT c_custkey, CASE WHEN length(s) < 4 THEN lpad(s, 4, '0') ELSE s END AS code FROM t
+"""
+
+
+# --------------------------------------------------------------------------
+# Title case, upper case, strip
+# --------------------------------------------------------------------------
+
+def title_text(spark, d):
+    p = table(spark, d, "part")
+    raw = F.concat(F.lit("  "), F.col("p_name"), F.lit(" d'or-"), F.col("p_brand"), F.lit(" 9e "))
+    return p.select("p_partkey",
+                    X.title_case(X.strip(raw)).alias("name_title"),
+                    X.upper(F.col("p_name")).alias("name_upper"))
+
+
+SQL["title_text"] = """
+SELECT p_partkey,
+  array_to_string(list_transform(
+      regexp_extract_all(lower(trim(p_name || ' d''or-' || p_brand || ' 9e ')), '([a-z]+|[^a-z]+)'),
+      lambda w: upper(w[1:1]) || w[2:]), '') AS name_title,
+  upper(p_name) AS name_upper
+FROM part
+"""
+
+
+# --------------------------------------------------------------------------
+# mojibake made on purpose (UTF-8 bytes read as latin1), repaired
+# --------------------------------------------------------------------------
+
+def repair_text(spark, d):
+    docs = table(spark, d, "documents")
+    damaged = F.decode(F.encode(F.col("text"), "UTF-8"), "ISO-8859-1")
+    return docs.select("doc_id", X.repair_mojibake(damaged).alias("text"))
+
+
+# --------------------------------------------------------------------------
+# accents stripped (NFKD, non-ASCII dropped) on whole documents
+# --------------------------------------------------------------------------
+
+def strip_accents(spark, d):
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", X.strip_accents(F.col("text")).alias("text_ascii"))
+
+
+SQL["strip_accents"] = """
+SELECT doc_id, regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g') AS text_ascii
+FROM documents
+"""
+
+
+# --------------------------------------------------------------------------
+# Value map, back-reference regex, substring removal,
+# sentinel to NULL, prefix
+# --------------------------------------------------------------------------
+
+PRIORITY_LABELS = {"1-URGENT": "Urgent", "2-HIGH": "High", "3-MEDIUM": "Medium"}
+
+
+def map_values(spark, d):
+    o = table(spark, d, "orders")
+    p = F.col("o_orderpriority")
+    return o.select(
+        "o_orderkey",
+        X.map_values(p, PRIORITY_LABELS).alias("prio_label"),
+        X.regex_replace(p, r"(\d+)-NOT", "$1-not").alias("prio_ordinal"),
+        X.remove_substring(p, "-").alias("prio_compact"),
+        X.sentinel_to_null(p, "5-LOW").alias("prio_null"),
+        X.prefix(p, 2).alias("prio_prefix"))
+
+
+SQL["map_values"] = r"""
+SELECT o_orderkey,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'Urgent' WHEN '2-HIGH' THEN 'High'
+       WHEN '3-MEDIUM' THEN 'Medium' ELSE o_orderpriority END AS prio_label,
+  regexp_replace(o_orderpriority, '(\d+)-NOT', '\1-not') AS prio_ordinal,
+  replace(o_orderpriority, '-', '') AS prio_compact,
+  nullif(o_orderpriority, '5-LOW') AS prio_null,
+  substring(o_orderpriority, 1, 2) AS prio_prefix
+FROM orders
+"""
+
+
+# --------------------------------------------------------------------------
+# Territory prefix, equality after padding, numeric range
+# --------------------------------------------------------------------------
+
+def territory_filter(spark, d):
+    p = table(spark, d, "part")
+    return P.filter_territory(p, "p_brand", prefix="Brand#1", min_length=8).select("p_partkey", "p_brand")
+
+
+SQL["territory_filter"] = """
+SELECT p_partkey, p_brand FROM part
+WHERE starts_with(trim(p_brand), 'Brand#1') AND length(trim(p_brand)) >= 8
+"""
+
+
+def padded_equality(spark, d):
+    c = table(spark, d, "customer")
+    return c.filter(P.equals_after_pad("c_nationkey", "07", 2)).select("c_custkey", "c_name", "c_nationkey")
+
+
+SQL["padded_equality"] = """
+SELECT c_custkey, c_name, c_nationkey FROM customer
+WHERE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') = '07'
+"""
+
+
+def range_filter(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").cast("string").alias("acct_text"))
+    out = P.numeric_range(c, "acct_text", 1024, 1536)
+    return out.select("c_custkey", N.parse_number("acct_text", decimal_comma=False).alias("c_acctbal"))
+
+
+SQL["range_filter"] = """
+SELECT c_custkey, TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE) AS c_acctbal FROM customer
+WHERE TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE) BETWEEN 1024 AND 1536
+"""
+
+
+# --------------------------------------------------------------------------
+# Consistency rules of vote counts (derived from lineitem)
+# --------------------------------------------------------------------------
+
+def _votes(li):
+    q10 = F.col("l_quantity") * 10
+    votants = q10 - F.col("l_linenumber") + F.when(F.col("l_partkey") % 17 == 0, 1000).otherwise(0)
+    blancs = F.col("l_linenumber").cast("double")
+    nuls = (F.col("l_suppkey") % 5).cast("double")
+    exprimes = votants - blancs - nuls + F.when(F.col("l_partkey") % 19 == 0, 1).otherwise(0)
+    return li.select(*LINEITEM_KEYS,
+                     F.when(F.col("l_orderkey") % 13 != 0, q10).alias("inscrits"),
+                     votants.cast("double").alias("votants"), blancs.alias("blancs"),
+                     nuls.alias("nuls"), exprimes.cast("double").alias("exprimes"))
+
+
+_SQL_VOTES = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CASE WHEN l_orderkey % 13 <> 0 THEN l_quantity * 10 END AS inscrits,
+  CAST(l_quantity * 10 - l_linenumber + CASE WHEN l_partkey % 17 = 0 THEN 1000 ELSE 0 END AS DOUBLE) AS votants,
+  CAST(l_linenumber AS DOUBLE) AS blancs,
+  CAST(l_suppkey % 5 AS DOUBLE) AS nuls,
+  CAST(l_quantity * 10 - l_linenumber + CASE WHEN l_partkey % 17 = 0 THEN 1000 ELSE 0 END
+       - l_linenumber - (l_suppkey % 5) + CASE WHEN l_partkey % 19 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS exprimes
+FROM lineitem
+"""
+
+
+def consistency_filter(spark, d):
+    return P.vote_consistency(_votes(table(spark, d, "lineitem")))
+
+
+SQL["consistency_filter"] = f"""
+SELECT * FROM ({_SQL_VOTES}) v
+WHERE inscrits IS NOT NULL AND votants <= inscrits AND exprimes = votants - blancs - nuls
+"""
+
+
+# --------------------------------------------------------------------------
+# Rows whose measures are all NULL are dropped
+# --------------------------------------------------------------------------
+
+def _holes(li):
+    return li.select(
+        *LINEITEM_KEYS,
+        F.when(F.col("l_orderkey") % 5 != 0, F.col("l_quantity")).alias("q"),
+        F.when((F.col("l_orderkey") % 5 != 0) & (F.col("l_linenumber") != 3), F.col("l_discount")).alias("dsc"),
+        F.when(F.col("l_orderkey") % 10 != 0, F.col("l_tax")).alias("tax"))
+
+
+_SQL_HOLES = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CASE WHEN l_orderkey % 5 <> 0 THEN l_quantity END AS q,
+  CASE WHEN l_orderkey % 5 <> 0 AND l_linenumber <> 3 THEN l_discount END AS dsc,
+  CASE WHEN l_orderkey % 10 <> 0 THEN l_tax END AS tax
+FROM lineitem
+"""
+
+
+def drop_empty_rows(spark, d):
+    return P.drop_empty_rows(_holes(table(spark, d, "lineitem")), ["q", "dsc", "tax"])
+
+
+SQL["drop_empty_rows"] = f"""
+SELECT * FROM ({_SQL_HOLES}) h WHERE NOT (q IS NULL AND dsc IS NULL AND tax IS NULL)
+"""
+
+
+# --------------------------------------------------------------------------
+# Union all with a copy of part of the table, then distinct rows
+# --------------------------------------------------------------------------
+
+def distinct_rows(spark, d):
+    c = table(spark, d, "customer")
+    c = c.withColumn("c_phone", F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")))
+    return D.distinct_rows(D.union_all([c, c.filter(F.col("c_mktsegment") == "BUILDING")]))
+
+
+SQL["distinct_rows"] = """
+WITH c AS (SELECT *, CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS c_phone FROM customer)
+SELECT DISTINCT * FROM (SELECT * FROM c UNION ALL SELECT * FROM c WHERE c_mktsegment = 'BUILDING')
+"""
+
+
+# --------------------------------------------------------------------------
+# First row per key in a total order
+# --------------------------------------------------------------------------
+
+def keep_first(spark, d):
+    li = table(spark, d, "lineitem")
+    return D.keep_first(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"])
+
+
+SQL["keep_first"] = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+  FROM lineitem) WHERE rn = 1
+"""
+
+
+# --------------------------------------------------------------------------
+# Conformed dimension from several frames, labelled row first
+# --------------------------------------------------------------------------
+
+def conformed_dim(spark, d):
+    from terroir.plans.dimensions import conformed_dimension
+    nation = table(spark, d, "nation").select(
+        F.col("n_nationkey").alias("code"),
+        F.when(F.col("n_regionkey") != 2, F.col("n_name")).alias("label"),
+        F.col("n_regionkey").cast("string").alias("region_code"))
+    cust = table(spark, d, "customer").select(
+        F.col("c_nationkey").alias("code"), F.lit(None).cast("string").alias("label"),
+        F.lit(None).cast("string").alias("region_code"))
+    supp = table(spark, d, "supplier").select(
+        F.col("s_nationkey").alias("code"), F.lit(None).cast("string").alias("label"),
+        F.lit(None).cast("string").alias("region_code"))
+    return conformed_dimension([nation, cust, supp], key="code", label="label",
+                               key_width=3, pad={"region_code": 2})
+
+
+SQL["conformed_dim"] = """
+WITH u AS (
+  SELECT DISTINCT * FROM (
+    SELECT n_nationkey AS code, CASE WHEN n_regionkey <> 2 THEN n_name END AS label,
+           CAST(n_regionkey AS VARCHAR) AS region_code, 0 AS src FROM nation
+    UNION ALL SELECT c_nationkey, NULL, NULL, 1 FROM customer
+    UNION ALL SELECT s_nationkey, NULL, NULL, 2 FROM supplier)),
+p AS (
+  SELECT lpad(CAST(code AS VARCHAR), 3, '0') AS code,
+    array_to_string(list_transform(regexp_extract_all(lower(trim(label)), '([a-z]+|[^a-z]+)'),
+                                   lambda w: upper(w[1:1]) || w[2:]), '') AS label,
+    CASE WHEN length(region_code) < 2 THEN lpad(region_code, 2, '0') ELSE region_code END AS region_code,
+    src FROM u)
+SELECT code, label, region_code FROM (
+  SELECT *, row_number() OVER (PARTITION BY code ORDER BY label ASC NULLS LAST, src) AS rn FROM p)
+WHERE rn = 1
+"""
+
+
+# --------------------------------------------------------------------------
+# Union of frames with different columns
+# --------------------------------------------------------------------------
+
+def union_heterogeneous(spark, d):
+    c = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nationkey"), F.col("c_acctbal").alias("acctbal"),
+        F.col("c_mktsegment").alias("segment"))
+    s = table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
+    return D.union_heterogeneous([c, s])
+
+
+SQL["union_heterogeneous"] = """
+SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal,
+       c_mktsegment AS segment FROM customer
+UNION ALL BY NAME
+SELECT s_suppkey AS party_key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier
+"""
+
+
+# --------------------------------------------------------------------------
+# Quality report of three cleanings (time stamp left out)
+# --------------------------------------------------------------------------
+
+def quality_report(spark, d):
+    li = table(spark, d, "lineitem").withColumn(
+        "l_tax", F.when(F.col("l_orderkey") % 7 != 0, F.col("l_tax")))
+    li_pre = li.filter(F.col("l_quantity") <= 45).select("l_orderkey", "l_returnflag", "l_linestatus", "l_tax")
+    o = table(spark, d, "orders")
+    o_pre = o.filter(F.col("o_totalprice") > 1000).select("o_custkey", "o_orderstatus")
+    c = table(spark, d, "customer").withColumn(
+        "c_name", F.when(F.col("c_custkey") % 11 != 0, F.col("c_name")))
+    c_pre = c.select("c_nationkey", "c_mktsegment", F.when(F.col("c_name").isNull(), "x").alias("flag"))
+    rows = [Q.quality_row_frame("lineitem", li, li_pre, D.distinct_rows(li_pre), "lines", False),
+            Q.quality_row_frame("orders", o, o_pre, D.distinct_rows(o_pre), "orders", False),
+            Q.quality_row_frame("customer", c, c_pre, D.distinct_rows(c_pre), "customers", False)]
+    return D.union_all(rows)
+
+
+SQL["quality_report"] = """
+WITH li AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 <> 0 THEN l_tax END AS l_tax) FROM lineitem),
+li_pre AS (SELECT l_orderkey, l_returnflag, l_linestatus, l_tax FROM li WHERE l_quantity <= 45),
+li_post AS (SELECT DISTINCT * FROM li_pre),
+o_pre AS (SELECT o_custkey, o_orderstatus FROM orders WHERE o_totalprice > 1000),
+o_post AS (SELECT DISTINCT * FROM o_pre),
+c AS (SELECT * REPLACE (CASE WHEN c_custkey % 11 <> 0 THEN c_name END AS c_name) FROM customer),
+c_pre AS (SELECT c_nationkey, c_mktsegment, CASE WHEN c_name IS NULL THEN 'x' END AS flag FROM c),
+c_post AS (SELECT DISTINCT * FROM c_pre)
+SELECT 'lineitem' AS table_name, (SELECT count(*) FROM li) AS rows_before,
+  (SELECT count(*) FROM li_post) AS rows_after,
+  (SELECT count(*) FROM li) - (SELECT count(*) FROM li_post) AS rows_removed,
+  4 AS columns_count,
+  (SELECT count(*) FILTER (WHERE l_orderkey IS NULL) + count(*) FILTER (WHERE l_returnflag IS NULL)
+        + count(*) FILTER (WHERE l_linestatus IS NULL) + count(*) FILTER (WHERE l_tax IS NULL) FROM li_post) AS null_cells,
+  (SELECT count(*) FROM li_pre) - (SELECT count(*) FROM li_post) AS duplicates_removed,
+  'lines' AS notes
+UNION ALL
+SELECT 'orders', (SELECT count(*) FROM orders), (SELECT count(*) FROM o_post),
+  (SELECT count(*) FROM orders) - (SELECT count(*) FROM o_post), 2,
+  (SELECT count(*) FILTER (WHERE o_custkey IS NULL) + count(*) FILTER (WHERE o_orderstatus IS NULL) FROM o_post),
+  (SELECT count(*) FROM o_pre) - (SELECT count(*) FROM o_post), 'orders'
+UNION ALL
+SELECT 'customer', (SELECT count(*) FROM c), (SELECT count(*) FROM c_post),
+  (SELECT count(*) FROM c) - (SELECT count(*) FROM c_post), 3,
+  (SELECT count(*) FILTER (WHERE c_nationkey IS NULL) + count(*) FILTER (WHERE c_mktsegment IS NULL)
+        + count(*) FILTER (WHERE flag IS NULL) FROM c_post),
+  (SELECT count(*) FROM c_pre) - (SELECT count(*) FROM c_post), 'customers'
+"""
+
+
+# --------------------------------------------------------------------------
+# A3: per-column missingness profile
+# --------------------------------------------------------------------------
+
+def _gaps(li):
+    return li.select(
+        *LINEITEM_KEYS,
+        F.when(F.col("l_orderkey") % 5 != 0, F.col("l_quantity")).alias("l_quantity"),
+        F.when(F.col("l_linenumber") != 2, F.col("l_extendedprice")).alias("l_extendedprice"),
+        F.when(F.col("l_partkey") % 3 != 0, F.col("l_discount")).alias("l_discount"),
+        "l_returnflag")
+
+
+_SQL_GAPS = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CASE WHEN l_orderkey % 5 <> 0 THEN l_quantity END AS l_quantity,
+  CASE WHEN l_linenumber <> 2 THEN l_extendedprice END AS l_extendedprice,
+  CASE WHEN l_partkey % 3 <> 0 THEN l_discount END AS l_discount,
+  l_returnflag
+FROM lineitem
+"""
+_GAP_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"]
+
+
+def null_profile(spark, d):
+    g = _gaps(table(spark, d, "lineitem"))
+    return Q.null_profile(g, _GAP_COLS, ratio_digits=6)
+
+
+SQL["null_profile"] = "WITH g AS (" + _SQL_GAPS + ")\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"count({c}) AS non_null_count, "
+    f"{sql_r6(f'count(*) FILTER (WHERE {c} IS NULL) / count(*)')} AS null_ratio FROM g"
+    for c in _GAP_COLS)
+
+
+# --------------------------------------------------------------------------
+# NULLs filled with the exact column median
+# --------------------------------------------------------------------------
+
+_FILL_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def median_fill(spark, d):
+    g = _gaps(table(spark, d, "lineitem")).drop("l_returnflag")
+    return A.median_fill(g, _FILL_COLS)
+
+
+SQL["median_fill"] = "WITH g AS (" + _SQL_GAPS + "), m AS (SELECT " + ", ".join(
+    f"median({c}) AS m_{c}" for c in _FILL_COLS) + " FROM g)\nSELECT l_orderkey, l_linenumber, " \
+    "l_partkey, l_suppkey, " + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in _FILL_COLS) + \
+    " FROM g, m"
+
+
+# --------------------------------------------------------------------------
+# A5: z-score with population deviation
+# --------------------------------------------------------------------------
+
+_Z_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def zscore(spark, d):
+    li = table(spark, d, "lineitem").select(*LINEITEM_KEYS, *_Z_COLS)
+    z = A.zscore(li, _Z_COLS)
+    return z.select(*LINEITEM_KEYS, *[r6(F.col(c)).alias(c) for c in _Z_COLS])
+
+
+SQL["zscore"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, " + ", ".join(
+    f"{sql_r6(f'({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()')} AS {c}" for c in _Z_COLS) + \
+    " FROM lineitem"
+
+
+# --------------------------------------------------------------------------
+# Correlation matrix
+# --------------------------------------------------------------------------
+
+def corr_matrix(spark, d):
+    li = table(spark, d, "lineitem")
+    m = A.corr_matrix(li, MEASURES)
+    return m.select("feature_a", "feature_b", r6(F.col("r")).alias("r"))
+
+
+SQL["corr_matrix"] = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {sql_r6(f'corr({a}, {b})')} AS r FROM lineitem"
+    for a in MEASURES for b in MEASURES)
+
+
+# --------------------------------------------------------------------------
+# Regression metrics of a fixed linear guess
+# --------------------------------------------------------------------------
+
+def regression_metrics(spark, d):
+    li = table(spark, d, "lineitem").select(
+        (F.col("l_extendedprice") / 1000.0).alias("y"), (F.col("l_quantity") * 1.5).alias("yhat"))
+    m = A.regression_metrics(li, "y", "yhat")
+    return m.select(*[r6(F.col(c)).alias(c) for c in ("mae", "mse", "rmse", "r2")])
+
+
+SQL["regression_metrics"] = f"""
+WITH t AS (SELECT l_extendedprice / 1000.0 AS y, l_quantity * 1.5 AS yhat FROM lineitem),
+a AS (SELECT avg(abs(yhat - y)) AS mae, avg((yhat - y) * (yhat - y)) AS mse,
+             sum((yhat - y) * (yhat - y)) AS sse, count(y) * var_pop(y) AS sst FROM t)
+SELECT {sql_r6('mae')} AS mae, {sql_r6('mse')} AS mse, {sql_r6('sqrt(mse)')} AS rmse,
+       {sql_r6('1 - sse / sst')} AS r2 FROM a
+"""
+
+
+# --------------------------------------------------------------------------
+# Inner join with _t1/_t2 suffixes, then left joins with _x/_y
+# --------------------------------------------------------------------------
+
+def _per_customer(o, status):
+    return (o.filter(F.col("o_orderstatus") == status).groupBy("o_custkey")
+             .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total_price")))
+
+
+def join_suffixed(spark, d):
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer")
+    t = J.join_suffixed(_per_customer(o, "F"), _per_customer(o, "O"), "o_custkey", "inner",
+                        ("_t1", "_t2"))
+    a = c.select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", F.lit(2022).alias("annee"))
+    b = c.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", F.lit(2021).alias("annee"))
+    t = J.join_suffixed(t, a, "o_custkey", "left")
+    t = J.join_suffixed(t, b, "o_custkey", "left")
+    return t.select("o_custkey", "n_orders_t1", r6(F.col("total_price_t1")).alias("total_price_t1"),
+                    "n_orders_t2", r6(F.col("total_price_t2")).alias("total_price_t2"),
+                    "c_acctbal", "annee_x", "c_nationkey", "annee_y")
+
+
+SQL["join_suffixed"] = f"""
+WITH f AS (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total_price
+           FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey),
+o AS (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total_price
+      FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey)
+SELECT f.o_custkey, f.n_orders AS n_orders_t1, {sql_r6('f.total_price')} AS total_price_t1,
+       o.n_orders AS n_orders_t2, {sql_r6('o.total_price')} AS total_price_t2,
+       c.c_acctbal, 2022 AS annee_x, c.c_nationkey, 2021 AS annee_y
+FROM f JOIN o ON f.o_custkey = o.o_custkey
+LEFT JOIN customer c ON f.o_custkey = c.c_custkey
+"""
+
+
+# --------------------------------------------------------------------------
+# Feature table with guarded ratios and a bounded target
+# --------------------------------------------------------------------------
+
+def _votes_per_customer(o, status):
+    p = F.col("o_orderpriority")
+    return (o.filter(F.col("o_orderstatus") == status).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).cast("double").alias("inscrits"),
+        F.count_if(p.isin("1-URGENT", "2-HIGH", "3-MEDIUM")).cast("double").alias("votants"),
+        F.count_if(p == "3-MEDIUM").cast("double").alias("blancs"),
+        F.count_if(p == "2-HIGH").cast("double").alias("nuls")))
+
+
+def feature_frame(spark, d):
+    """The model's input: one row per customer (both status groups present)."""
+    from terroir.plans.model import build_feature_table
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal")
+    return build_feature_table(_votes_per_customer(o, "F"), _votes_per_customer(o, "O"),
+                               [c], key="o_custkey")
+
+
+FEATURE_COLS = ["inscrits_t1", "votants_t1", "blancs_t1", "nuls_t1", "taux_blancs_t1",
+                "taux_nuls_t1", "c_acctbal"]
+TARGET = "taux_participation_t2"
+
+
+def feature_table(spark, d):
+    f = feature_frame(spark, d)
+    return f.select("o_custkey", "inscrits_t1", "votants_t1", "blancs_t1", "nuls_t1",
+                    r6(F.col("taux_blancs_t1")).alias("taux_blancs_t1"),
+                    r6(F.col("taux_nuls_t1")).alias("taux_nuls_t1"), "c_acctbal",
+                    r6(F.col(TARGET)).alias(TARGET))
+
+
+def _sql_votes(status):
+    return f"""SELECT o_custkey, CAST(count(*) AS DOUBLE) AS inscrits,
+      CAST(count(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS DOUBLE) AS votants,
+      CAST(count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS DOUBLE) AS blancs,
+      CAST(count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS DOUBLE) AS nuls
+    FROM orders WHERE o_orderstatus = '{status}' GROUP BY o_custkey"""
+
+
+SQL["feature_table"] = f"""
+WITH t1 AS ({_sql_votes('F')}), t2 AS ({_sql_votes('O')}),
+j AS (
+  SELECT t1.o_custkey, t1.inscrits AS inscrits_t1, t1.votants AS votants_t1, t1.blancs AS blancs_t1,
+         t1.nuls AS nuls_t1,
+         CASE WHEN t1.votants <> 0 THEN t1.blancs / t1.votants END AS taux_blancs_t1,
+         CASE WHEN t1.votants <> 0 THEN t1.nuls / t1.votants END AS taux_nuls_t1,
+         c.c_acctbal,
+         CASE WHEN t2.inscrits <> 0 THEN t2.votants / t2.inscrits END AS taux_participation_t2
+  FROM t1 JOIN t2 ON t1.o_custkey = t2.o_custkey
+  LEFT JOIN customer c ON t1.o_custkey = c.c_custkey)
+SELECT o_custkey, inscrits_t1, votants_t1, blancs_t1, nuls_t1,
+  {sql_r6('taux_blancs_t1')} AS taux_blancs_t1, {sql_r6('taux_nuls_t1')} AS taux_nuls_t1, c_acctbal,
+  {sql_r6('taux_participation_t2')} AS taux_participation_t2
+FROM j WHERE taux_participation_t2 IS NOT NULL AND taux_participation_t2 <= 1
+"""
+
+
+# --------------------------------------------------------------------------
+# Deterministic train/test split (every row kept, labelled)
+# --------------------------------------------------------------------------
+
+def _split_bucket():
+    return ((F.col("o_orderkey") % 1000003) * F.lit(2654435761)) % 1000
+
+
+def hash_split(spark, d):
+    from terroir.operators.features import hash_split as split
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return split(o, ["o_orderkey"], 0.2, bucket=_split_bucket())
+
+
+SQL["hash_split"] = """
+SELECT o_orderkey, o_custkey,
+  CASE WHEN ((o_orderkey % 1000003) * 2654435761) % 1000 < 200 THEN 'test' ELSE 'train' END AS split
+FROM orders
+"""
+
+
+# --------------------------------------------------------------------------
+# L2 L3: top-k by a descending measure (total order)
+# --------------------------------------------------------------------------
+
+def top_k(spark, d):
+    li = table(spark, d, "lineitem")
+    return (li.orderBy(F.desc("l_extendedprice"), *LINEITEM_KEYS).limit(100)
+              .select(*LINEITEM_KEYS, "l_extendedprice"))
+
+
+SQL["top_k"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 100
+"""
+
+
+# --------------------------------------------------------------------------
+# Catalog listing of the registered tables with their sizes
+# --------------------------------------------------------------------------
+
+def catalog_listing(spark, d):
+    from terroir.sources.catalog import register_tables, table_summary
+    register_tables(spark, {t: table(spark, d, t) for t in TABLES})
+    return table_summary(spark, TABLES)
+
+
+SQL["catalog_listing"] = """
+WITH cols AS (SELECT table_name, CAST(count(*) AS BIGINT) AS column_count
+              FROM information_schema.columns
+              WHERE table_name IN ('region','nation','customer','supplier','part','orders','lineitem',
+                                   'events','documents','embeddings','pages','benchmark','labels',
+                                   'conversations')
+              GROUP BY table_name),
+rows AS (""" + "\n UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES) + """)
+SELECT r.table_name, c.column_count, r.row_count FROM rows r JOIN cols c USING (table_name)
+"""
+
+
+# --------------------------------------------------------------------------
+# Delimited sink and scan round trip through the shared folder
+# --------------------------------------------------------------------------
+
+def csv_round_trip(spark, d):
+    from terroir.session import scratch_path
+    from terroir.sources.delimited import read_delimited
+    from terroir.sources.sinks import write_delimited
+    c = table(spark, d, "customer")
+    path = scratch_path(spark, "csv_round_trip")
+    write_delimited(c, path)
+    back = read_delimited(spark, path, encoding="utf-8", ordinal=False)
+    return back.select(
+        N.parse_int(F.col("c_custkey")).cast("long").alias("c_custkey"),
+        F.col("c_name"), N.parse_int(F.col("c_nationkey")).alias("c_nationkey"),
+        N.parse_number(F.col("c_acctbal")).alias("c_acctbal"), F.col("c_mktsegment"))
+
+
+SQL["csv_round_trip"] = "SELECT * FROM customer"
+
+
 QUERIES = {
     "view_fact_dims": view_fact_dims,
+    "view_dims_facts": view_dims_facts,
+    "normalize_columns": normalize_columns,
+    "require_and_project": require_and_project,
+    "drop_all_null_columns": drop_all_null_columns,
+    "add_year_key": add_year_key,
+    "parse_number": parse_number,
+    "parse_year": parse_year,
+    "pad_codes": pad_codes,
+    "title_text": title_text,
+    "repair_text": repair_text,
+    "strip_accents": strip_accents,
+    "map_values": map_values,
+    "territory_filter": territory_filter,
+    "padded_equality": padded_equality,
+    "range_filter": range_filter,
+    "consistency_filter": consistency_filter,
+    "drop_empty_rows": drop_empty_rows,
+    "distinct_rows": distinct_rows,
+    "keep_first": keep_first,
+    "conformed_dim": conformed_dim,
+    "union_heterogeneous": union_heterogeneous,
+    "quality_report": quality_report,
+    "null_profile": null_profile,
+    "median_fill": median_fill,
+    "zscore": zscore,
+    "corr_matrix": corr_matrix,
+    "regression_metrics": regression_metrics,
+    "join_suffixed": join_suffixed,
+    "feature_table": feature_table,
+    "hash_split": hash_split,
+    "top_k": top_k,
+    "catalog_listing": catalog_listing,
+    "csv_round_trip": csv_round_trip,
 }

@@ -80,5 +80,33 @@ def register_views(spark, tables: dict[str, DataFrame]) -> None:
         "vw_indicateurs_territoires")
 
 
-__all__ = ["elections_view", "territories_view", "register_views", "select_except",
+__all__ = ["elections_view", "territories_view", "dimension_facts_view", "register_views",
            "COMMUNE_ROWS_BOUND", "DEPARTMENT_ROWS_BOUND"]
+
+
+def dimension_facts_view(base: DataFrame, key: str, base_labels: Sequence[str],
+                         lookup: tuple[DataFrame, str, Sequence[str], int | None] | None,
+                         facts: Sequence[tuple[DataFrame, int | None]]) -> DataFrame:
+    """V2 in general form: a dimension, an optional second dimension looked up
+    through one of its columns, then each fact (one row per key) LEFT-joined
+    on the key with all its columns but the key (star with exclusion);
+    repeated names get `_1`, `_2` ... in join order."""
+    b = base.alias("b")
+    exprs, names = [F.col(f"b.{key}")], [key]
+    exprs += [F.col(f"b.{c}") for c in base_labels]
+    names += list(base_labels)
+    j = b
+    if lookup is not None:
+        ldf, lkey, lcols, lbound = lookup
+        j = j.join(bounded_broadcast(ldf, lbound).alias("l"),
+                   F.col(f"b.{lkey}") == F.col(f"l.{lkey}"), "left")
+        exprs += [F.col(f"l.{c}") for c in lcols]
+        names += list(lcols)
+    for i, (fdf, bound) in enumerate(facts):
+        a = f"f{i}"
+        j = j.join(bounded_broadcast(fdf, bound).alias(a), F.col(f"b.{key}") == F.col(f"{a}.{key}"), "left")
+        rest = select_except(fdf, [key]).columns
+        exprs += [F.col(f"{a}.`{c}`") for c in rest]
+        names += rest
+    names = _suffix_duplicates(names)
+    return j.select(*[e.alias(n) for e, n in zip(exprs, names)])

@@ -1,0 +1 @@
+"""Incremental ingestion of newly landed source files."""
