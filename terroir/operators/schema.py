@@ -21,9 +21,10 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def ascii_columns(df: DataFrame) -> DataFrame:
-    """C3."""
-    names = check_unique([ascii_name(c) for c in df.columns], "ascii_columns")
+def ascii_columns(df: DataFrame, keep: Iterable[str] = ("_ordinal",)) -> DataFrame:
+    """C3 (columns in `keep` are left alone)."""
+    k = set(keep)
+    names = check_unique([c if c in k else ascii_name(c) for c in df.columns], "ascii_columns")
     return df.toDF(*names)
 
 

@@ -18,6 +18,19 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "nan", "null"]
 
 
+# Encoding aliases -> the charset names Spark's CSV reader accepts.
+CHARSET_ALIASES = {
+    "latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "iso8859-1": "ISO-8859-1",
+    "iso-8859-1": "ISO-8859-1", "l1": "ISO-8859-1", "cp819": "ISO-8859-1",
+    "utf8": "UTF-8", "utf-8": "UTF-8", "utf-8-sig": "UTF-8", "utf_8": "UTF-8",
+    "ascii": "US-ASCII", "us-ascii": "US-ASCII",
+}
+
+
+def spark_charset(encoding: str) -> str:
+    return CHARSET_ALIASES.get(encoding.lower(), encoding)
+
+
 class SourceNotFoundError(FileNotFoundError):
     """The input file does not exist."""
 
@@ -50,8 +63,8 @@ def read_delimited(spark: SparkSession, path: str, encoding: str = "utf-8", sep:
     """Header-driven scan where every column is a string; quotes are
     doubled inside quoted fields; missing tokens become NULL; optional file
     order ordinal for keep-first deduplication. No schema inference."""
-    reader = (spark.read.option("sep", sep).option("header", header).option("encoding", encoding)
-              .option("quote", '"').option("escape", '"').option("inferSchema", False)
+    reader = (spark.read.option("sep", sep).option("header", header)
+              .option("encoding", spark_charset(encoding)).option("quote", '"').option("escape", '"').option("inferSchema", False)
               .option("multiLine", multiline).option("mode", "PERMISSIVE"))
     try:
         df = reader.csv(path)
@@ -81,7 +94,7 @@ def read_with_header_offset(spark: SparkSession, path: str, skip: int, encoding:
     of a line within its split is its id minus the split's first id (a
     bounded per-split aggregate, broadcast back). Only the header line comes
     to the driver."""
-    raw = (spark.read.option("sep", sep).option("header", False).option("encoding", encoding)
+    raw = (spark.read.option("sep", sep).option("header", False).option("encoding", spark_charset(encoding))
            .option("quote", '"').option("escape", '"').csv(path))
     raw = with_ordinal(raw)
     first = raw.groupBy(F.col(f"{ORDINAL}.file").alias("f"), F.col(f"{ORDINAL}.block").alias("b")) \
