@@ -24,6 +24,9 @@ from terroir.quirks import PARITY, Quirks
 # EN QUAD .. HAIR SPACE, LINE SEP, PARAGRAPH SEP, NNBSP, MMSP, IDEOGRAPHIC SPACE.
 WS_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# The same characters as a plain set, for btrim.
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+            + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
 
 # Characters whose presence triggers the latin1 -> UTF-8 repair.
 MOJIBAKE_TRIGGERS = "ÃÂâð�"
@@ -78,7 +81,7 @@ def _c(c) -> Column:
 def strip(c) -> Column:
     """remove leading/trailing whitespace as Python's str.strip() does
     (Spark's trim only removes U+0020)."""
-    return F.regexp_replace(_c(c), rf"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def strip_char(c, ch: str) -> Column:

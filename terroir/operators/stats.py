@@ -19,77 +19,88 @@ def _value(df: DataFrame, c: str) -> Column:
     return finite_or_null(F.col(c).cast("double"))
 
 
+def _column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
+    """(non-missing count, min, max) of each column in one pass."""
+    row = df.agg(*[F.count(_value(df, c)).alias(f"n{i}") for i, c in enumerate(columns)],
+                 *[F.min(_value(df, c)).alias(f"lo{i}") for i, c in enumerate(columns)],
+                 *[F.max(_value(df, c)).alias(f"hi{i}") for i, c in enumerate(columns)]).first()
+    return {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+
+
 def exact_order_statistics(df: DataFrame, targets: dict[str, list[int]],
-                           buckets: int = 4096, max_rounds: int = 80) -> dict[tuple[str, int], float]:
+                           ranges: dict[str, tuple[int, float, float]] | None = None,
+                           buckets: int = 16384, exact_limit: int = 200_000,
+                           max_rounds: int = 40) -> dict[tuple[str, int], float]:
     """Exact k-th smallest values (0-based ranks over the non-missing values)
     of several columns, without sorting the table or gathering a column.
 
-    Each round is one distributed pass: the values still inside the candidate
-    interval of every unresolved target are counted per histogram bucket
-    (partial aggregation, at most `buckets` rows per target come back); the
-    bucket holding the wanted rank becomes the next interval. Bucketing is
-    monotone, so a bucket's [min, max] holds exactly that bucket's values. The
-    loop ends when an interval collapses to one value."""
+    Each round is one distributed pass over the candidate intervals still
+    open (targets sharing a column and interval share the pass): an interval
+    known to hold at most `exact_limit` values is counted per distinct value,
+    a larger one per histogram bucket (`buckets` rows at most). Both are
+    partial aggregations, so only bounded per-interval tables reach the
+    driver. Bucketing is monotone, so a bucket's [min, max] holds exactly that
+    bucket's values and becomes the next interval."""
     if not targets:
         return {}
     cols = list(targets)
-    first = df.agg(*[F.min(_value(df, c)).alias(f"lo{i}") for i, c in enumerate(cols)],
-                   *[F.max(_value(df, c)).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-    state = {}
-    for i, c in enumerate(cols):
-        for k in targets[c]:
-            state[(c, k)] = [first[f"lo{i}"], first[f"hi{i}"], k]
+    ranges = ranges or _column_ranges(df, cols)
+    # open target -> [column, lo, hi, rank within interval, values in interval]
+    state = {(c, k): [c, ranges[c][1], ranges[c][2], k, ranges[c][0]]
+             for c in cols for k in targets[c]}
     done: dict[tuple[str, int], float] = {}
     for _ in range(max_rounds):
-        for key, (lo, hi, k) in list(state.items()):
+        for key, (c, lo, hi, k, n) in list(state.items()):
             if lo is None or lo == hi:
                 done[key] = lo
                 del state[key]
         if not state:
             return done
-        items = list(state.items())
+        intervals = sorted({(c, lo, hi, n) for (c, lo, hi, _k, n) in state.values()}, key=repr)
         pieces = []
-        for t, ((c, _k), (lo, hi, _r)) in enumerate(items):
+        for t, (c, lo, hi, n) in enumerate(intervals):
             v = _value(df, c)
-            width = float(hi) - float(lo)
-            b = F.floor((v - F.lit(float(lo))) / F.lit(width) * F.lit(float(buckets)))
-            b = F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))
-            inside = v.between(float(lo), float(hi))
-            pieces.append(F.when(inside, F.struct(F.lit(t).alias("t"), b.cast("int").alias("b"),
-                                                 v.alias("v"))))
-        exploded = (df.select(F.explode(F.filter(F.array(*pieces), lambda x: x.isNotNull()))
-                              .alias("e"))
-                    .select("e.t", "e.b", "e.v"))
-        hist = (exploded.groupBy("t", "b")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+            if n <= exact_limit:
+                b = F.lit(-1)
+            else:
+                b = F.floor((v - F.lit(float(lo))) / F.lit(float(hi) - float(lo)) * F.lit(float(buckets)))
+                b = F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))
+            pieces.append(F.when(v.between(float(lo), float(hi)),
+                                 F.struct(F.lit(t).alias("t"), b.cast("int").alias("b"), v.alias("v"))))
+        e = df.select(F.explode(F.array(*pieces)).alias("e")).filter(F.col("e").isNotNull())
+        # exact intervals group by value (b = -1), the others by bucket
+        grp = F.when(F.col("e.b") < 0, F.col("e.v"))
+        hist = (e.groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"), grp.alias("g"))
+                .agg(F.count(F.lit(1)).alias("cnt"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx"))
                 .collect())
         by_t: dict[int, list] = {}
         for r in hist:
             by_t.setdefault(r["t"], []).append(r)
-        for t, (key, (lo, hi, k)) in enumerate(items):
-            rows = sorted(by_t.get(t, []), key=lambda r: r["b"])
+        index = {iv: t for t, iv in enumerate(intervals)}
+        for key, (c, lo, hi, k, n) in list(state.items()):
+            rows = sorted(by_t.get(index[(c, lo, hi, n)], []), key=lambda r: (r["b"], r["mn"]))
             seen = 0
             for r in rows:
-                if seen + r["n"] > k:
-                    state[key] = [r["mn"], r["mx"], k - seen]
+                if seen + r["cnt"] > k:
+                    state[key] = [c, r["mn"], r["mx"], k - seen, r["cnt"]]
                     break
-                seen += r["n"]
+                seen += r["cnt"]
             else:
-                raise RuntimeError(f"rank {k} outside the values of {key[0]}")
+                raise RuntimeError(f"rank {k} outside the values of {c}")
     raise RuntimeError("exact_order_statistics did not converge")
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int = 4096) -> dict[str, float | None]:
-    """A4: exact interpolated median per column (mean of the two middle
-    values for an even count), NaN/inf and NULL ignored."""
-    counts = df.agg(*[F.count(_value(df, c)).alias(c) for c in columns]).first()
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """A4: exact interpolated median per column (lo + (hi - lo) / 2 of the
+    two middle values for an even count), NaN/inf and NULL ignored."""
+    ranges = _column_ranges(df, columns)
     targets = {}
     for c in columns:
-        n = counts[c]
+        n = ranges[c][0]
         if n == 0:
             continue
         targets[c] = [(n - 1) // 2] if n % 2 else [n // 2 - 1, n // 2]
-    stats = exact_order_statistics(df, targets, buckets)
+    stats = exact_order_statistics(df, targets, ranges)
     out: dict[str, float | None] = {}
     for c in columns:
         if c not in targets:
@@ -179,5 +190,5 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
                       (F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("_sst"))).alias("r2"))
 
 
-__all__ = ["exact_order_statistics", "exact_medians", "approx_medians", "median_fill",
+__all__ = ["exact_order_statistics", "_column_ranges", "exact_medians", "approx_medians", "median_fill",
            "moments", "zscore", "corr_matrix", "regression_metrics"]
