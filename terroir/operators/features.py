@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terroir.session import ensure_checkpoint_dir
+
 FEATURES = "features"
 
 
@@ -77,6 +79,7 @@ def learning_curve(df: DataFrame, features: Sequence[str], label: str, keys: Seq
     `folds` hash folds. Fits are submitted concurrently from a small thread
     pool over one assembled frame."""
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     fold = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 1)), F.lit(folds))
     sub = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 2)), F.lit(1000))
     data = assemble(df, features).select(FEATURES, label, fold.alias("_fold"), sub.alias("_sub"))

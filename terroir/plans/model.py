@@ -19,6 +19,7 @@ from terroir.operators.filters import not_null_le
 from terroir.operators.joins import join_suffixed
 from terroir.operators.quality import null_profile
 from terroir.quirks import PARITY, Quirks
+from terroir.session import ensure_checkpoint_dir
 
 # The candidate features of the original notebook, in order;
 # only those present in the joined table are used.
@@ -64,10 +65,13 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
               split_bucket=None) -> ModelResult:
     """R3 on a feature table with one row per `key`."""
     spark = table.sparkSession
+    ensure_checkpoint_dir(spark)
     feats = [c for c in (features or CANDIDATE_FEATURES) if c in table.columns]
     base = table.select(key, *[F.col(c).cast("double").alias(c) for c in feats],
                         F.col(target).cast("double").alias(target))
-    split = G.hash_split(base, [key], test_fraction, seed, bucket=split_bucket)
+    # one row per key: written once to the shared checkpoint folder, so the
+    # statistics passes and the fits re-read it instead of re-running joins
+    split = G.hash_split(base, [key], test_fraction, seed, bucket=split_bucket).checkpoint(eager=True)
     # the original fills with medians of the whole table before the split
     fit_src = split.filter(F.col("split") == "train") if impute_on_train_only else split
     medians = A.exact_medians(fit_src, feats)
@@ -76,7 +80,6 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
     train0 = filled.filter(F.col("split") == "train")
     scaled = A.zscore(filled, feats, params=A.moments(train0, feats))
     data = G.assemble(scaled, feats)
-    data = data.checkpoint(eager=True)
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") == "test")
     model = G.forest(target, num_trees, max_depth, seed).fit(train)

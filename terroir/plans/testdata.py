@@ -922,3 +922,42 @@ QUERIES = {
     "catalog_listing": catalog_listing,
     "csv_round_trip": csv_round_trip,
 }
+
+
+# --------------------------------------------------------------------------
+# Random forest on the feature table (no SQL form: rows only)
+# --------------------------------------------------------------------------
+
+MODEL_TREES = 20
+MODEL_DEPTH = 5
+
+
+def _model(spark, d, curve=False):
+    from terroir.plans.model import run_model
+    return run_model(feature_frame(spark, d), key="o_custkey", features=FEATURE_COLS,
+                     num_trees=MODEL_TREES, max_depth=MODEL_DEPTH, curve=curve,
+                     curve_trees=MODEL_TREES, split_bucket=None)
+
+
+def forest_metrics(spark, d):
+    return _model(spark, d).metrics
+
+
+def feature_importance(spark, d):
+    return _model(spark, d).importance
+
+
+def forest_predictions(spark, d):
+    return _model(spark, d).predictions
+
+
+def learning_curve(spark, d):
+    return _model(spark, d, curve=True).curve
+
+
+QUERIES.update({
+    "forest_metrics": forest_metrics,
+    "feature_importance": feature_importance,
+    "forest_predictions": forest_predictions,
+    "learning_curve": learning_curve,
+})

@@ -1 +1,5 @@
 """Incremental ingestion of newly landed source files."""
+
+from terroir.streaming.incremental import ingest, read_stream
+
+__all__ = ["ingest", "read_stream"]
