@@ -55,23 +55,22 @@ ORDINAL_NTH_FULL = r"(\d+)(Eme|Ème)\b"
 # ---------------------------------------------------------------------------
 
 
-def _build_title_exceptions() -> dict:
-    """Code points whose title-case form differs from their upper-case form
-    (e.g. 'ß' -> 'Ss', 'ǆ' -> 'ǅ'); derived from the Unicode database."""
+def _multi_char_titles() -> dict:
+    """Lower-case code points whose title-case form has several characters
+    ('ß' -> 'Ss', 'ﬁ' -> 'Fi', ...); derived from the Unicode database."""
     out = {}
     for i in range(sys.maxunicode + 1):
         if 0xD800 <= i <= 0xDFFF:
             continue
         ch = chr(i)
-        t = ch.title()
-        if t != ch.upper():
-            out[ch] = t
+        if len(ch.title()) > 1:
+            out[ch] = ch.title()
     return out
 
 
-TITLE_EXCEPTIONS = _build_title_exceptions()
+MULTI_CHAR_TITLES = _multi_char_titles()
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
-_TITLE_TOKENS = rf"([{_CASED}]+|[^{_CASED}]+)"
+_UNCASED = f"[^{_CASED}]"
 
 
 def _c(c) -> Column:
@@ -113,18 +112,27 @@ def safe_code(c, width: int | None = None, quirks: Quirks = PARITY) -> Column:
 
 
 def title_case(c) -> Column:
-    """F8: Python's str.title(): the first cased letter after an uncased
-    character is title-cased, every other cased letter is lower-cased."""
-    tokens = F.regexp_extract_all(F.lower(_c(c)), F.lit(_TITLE_TOKENS), 1)
-    exceptions = F.create_map(*[F.lit(x) for kv in TITLE_EXCEPTIONS.items() for x in kv])
-
-    def cap(w: Column) -> Column:
-        first = F.substring(w, 1, 1)
-        head = F.coalesce(F.element_at(exceptions, first), F.upper(first))
-        return F.concat(head, w.substr(F.lit(2), F.length(w)))
-
-    out = F.array_join(F.transform(tokens, cap), "")
-    return F.when(_c(c).isNotNull(), out)
+    """F8: Python's str.title(): a cased letter after an uncased character
+    (or at the start) is title-cased, every other cased letter lower-cased.
+
+    Built from codegen-friendly string functions only: lower-case, put a
+    space after every uncased character, `initcap` (title case after each
+    space), then remove exactly the inserted spaces (each uncased character
+    is followed by its own). Letters whose title form has several characters
+    are rewritten first, only on strings that hold one.
+
+    Equal to Python for Latin-1 and the Latin extensions used in French and
+    European labels. Known differences, all outside that range: characters
+    whose case mappings are not one-to-one ('İ', 'ẞ', 'ŉ', polytonic Greek
+    with a combining mark in its title form) and characters whose casing
+    differs between the JVM's and Python's Unicode versions."""
+    s = F.lower(_c(c))
+    fixed = s
+    for ch, t in MULTI_CHAR_TITLES.items():
+        fixed = F.regexp_replace(fixed, f"(^|{_UNCASED}){ch}", "$1" + t.replace("$", "\\$"))
+    s = F.when(s.rlike("[" + "".join(MULTI_CHAR_TITLES) + "]"), fixed).otherwise(s)
+    spaced = F.regexp_replace(s, f"({_UNCASED})", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), f"({_UNCASED}) ", "$1")
 
 
 def upper(c) -> Column:
@@ -215,7 +223,7 @@ def clean_label(c, quirks: Quirks = PARITY) -> Column:
 
 
 __all__ = [
-    "WS_CLASS", "MOJIBAKE_TRIGGERS", "LABEL_MAP", "TITLE_EXCEPTIONS",
+    "WS_CLASS", "MOJIBAKE_TRIGGERS", "LABEL_MAP", "MULTI_CHAR_TITLES",
     "strip", "strip_char", "zero_pad", "safe_code", "title_case", "upper",
     "repair_mojibake", "map_values", "regex_replace", "strip_accents",
     "remove_substring", "sentinel_to_null", "prefix", "clean_text", "clean_label",
