@@ -69,6 +69,9 @@ def _multi_char_titles() -> dict:
 
 
 MULTI_CHAR_TITLES = _multi_char_titles()
+_MULTI_CHARS = "".join(MULTI_CHAR_TITLES)
+# Marker for original spaces during title casing (ASCII keeps initcap fast).
+_SPACE_MARK = "\x01"
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 _UNCASED = f"[^{_CASED}]"
 
@@ -115,11 +118,11 @@ def title_case(c) -> Column:
     """F8: Python's str.title(): a cased letter after an uncased character
     (or at the start) is title-cased, every other cased letter lower-cased.
 
-    Built from codegen-friendly string functions only: lower-case, put a
-    space after every uncased character, `initcap` (title case after each
-    space), then remove exactly the inserted spaces (each uncased character
-    is followed by its own). Letters whose title form has several characters
-    are rewritten first, only on strings that hold one.
+    Built from codegen-friendly string functions only: lower-case, park the
+    original spaces on a control character, put a space after every uncased
+    character, `initcap` (title case after each space), drop the inserted
+    spaces and restore the original ones. Letters whose title form has
+    several characters are rewritten first, only on strings that hold one.
 
     Equal to Python for Latin-1 and the Latin extensions used in French and
     European labels. Known differences, all outside that range: characters
@@ -130,9 +133,19 @@ def title_case(c) -> Column:
     fixed = s
     for ch, t in MULTI_CHAR_TITLES.items():
         fixed = F.regexp_replace(fixed, f"(^|{_UNCASED}){ch}", "$1" + t.replace("$", "\\$"))
-    s = F.when(s.rlike("[" + "".join(MULTI_CHAR_TITLES) + "]"), fixed).otherwise(s)
-    spaced = F.regexp_replace(s, f"({_UNCASED})", "$1 ")
-    return F.regexp_replace(F.initcap(spaced), f"({_UNCASED}) ", "$1")
+    # all those letters are non-ASCII: pure-ASCII strings skip the check
+    non_ascii = F.octet_length(s) != F.length(s)
+    has_multi = non_ascii & (F.length(F.translate(s, _MULTI_CHARS, "")) != F.length(s))
+    s = F.when(has_multi, fixed).otherwise(s)
+    # fast path: original spaces parked on U+0001, so every space left after
+    # initcap is an inserted one; strings already holding U+0001 take the
+    # exact regex removal instead
+    parked = F.replace(s, F.lit(" "), F.lit(_SPACE_MARK))
+    fast = F.initcap(F.regexp_replace(parked, f"({_UNCASED})", "$1 "))
+    fast = F.replace(F.replace(fast, F.lit(" "), F.lit("")), F.lit(_SPACE_MARK), F.lit(" "))
+    slow = F.initcap(F.regexp_replace(s, f"({_UNCASED})", "$1 "))
+    slow = F.regexp_replace(slow, f"({_UNCASED}) ", "$1")
+    return F.when(F.instr(s, _SPACE_MARK) > 0, slow).otherwise(fast)
 
 
 def upper(c) -> Column:
@@ -200,7 +213,10 @@ def prefix(c, n: int) -> Column:
 
 
 def clean_text(c, remove_accents: bool = False, quirks: Quirks = PARITY) -> Column:
-    """repair -> strip -> title -> label map -> ordinal regex [-> accents]."""
+    """repair -> strip -> title -> label map -> ordinal regex [-> accents]
+    as one expression, for a single use on a column reference. To clean whole
+    columns, or to chain passes, use `operators.cleaning.clean_text_columns`
+    (staged projections)."""
     s = repair_mojibake(c, quirks)
     s = title_case(strip(s))
     s = map_values(s, LABEL_MAP)
@@ -216,7 +232,8 @@ def clean_text(c, remove_accents: bool = False, quirks: Quirks = PARITY) -> Colu
 
 def clean_label(c, quirks: Quirks = PARITY) -> Column:
     """Labels of the election facts: cleaned twice for parity (Q10), the
-    second pass stripping accents; one pass otherwise."""
+    second pass stripping accents; one pass otherwise. One expression, for
+    small inputs; `operators.cleaning.clean_label_columns` is the staged form."""
     if quirks.clean_text_twice:
         return clean_text(clean_text(c, False, quirks), True, quirks)
     return clean_text(c, False, quirks)

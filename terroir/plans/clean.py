@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terroir.functions.numeric import parse_int, parse_number
-from terroir.functions.text import (clean_label, remove_substring, safe_code, strip, strip_char,
-                                    title_case, upper, zero_pad)
+from terroir.functions.text import (remove_substring, safe_code, strip, strip_char, title_case, upper,
+                                    zero_pad)
+from terroir.operators.cleaning import clean_label_columns
 from terroir.operators.dedup import ORDINAL, distinct_rows, keep_first
 from terroir.operators.filters import drop_empty_rows, equals_after_pad, territory_predicate, vote_consistency
 from terroir.operators.quality import QualityTracker
@@ -39,8 +40,12 @@ def _territory(df: DataFrame, column: str, prefix: str, length: int, quirks: Qui
 
 
 def _keep_first(df: DataFrame, key: str) -> DataFrame:
-    order = [F.col(ORDINAL)] if ORDINAL in df.columns else [F.lit(0)]
-    return keep_first(df, [key], order)
+    """First row per key in file order (the ordinal captured at the scan; a
+    caller may put any orderable struct in that column instead)."""
+    if ORDINAL not in df.columns:
+        raise ValueError("keep-first needs the file-order ordinal column "
+                         f"{ORDINAL!r} (read_delimited(..., ordinal=True))")
+    return keep_first(df, [key], [F.col(ORDINAL)])
 
 
 def _distinct(df: DataFrame) -> DataFrame:
@@ -60,11 +65,10 @@ def clean_election(df: DataFrame, label: str, quirks: Quirks = PARITY,
         [c for c in df.columns if c.startswith("ratio_")]
     df = map_columns(df, parse_number, only=numeric)
     df = vote_consistency(df)
+    df = clean_label_columns(df, ELECTION_TEXT, quirks)
     out = []
     for c in df.columns:
-        if c in ELECTION_TEXT:
-            out.append(clean_label(F.col(c), quirks).alias(c))
-        elif c == "code_commune":
+        if c == "code_commune":
             out.append(safe_code(F.col(c), 5, quirks).alias(c))
         elif c == "code_departement":
             out.append(safe_code(F.col(c), 2, quirks).alias(c))

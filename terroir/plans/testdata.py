@@ -393,6 +393,16 @@ WHERE TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE) BETWEEN 1024 AND 1536
 # Consistency rules of vote counts (derived from lineitem)
 # --------------------------------------------------------------------------
 
+def _vote_columns():
+    q10 = F.col("l_quantity") * 10
+    votants = q10 - F.col("l_linenumber") + F.when(F.col("l_partkey") % 17 == 0, 1000).otherwise(0)
+    blancs = F.col("l_linenumber").cast("double")
+    nuls = (F.col("l_suppkey") % 5).cast("double")
+    exprimes = votants - blancs - nuls + F.when(F.col("l_partkey") % 19 == 0, 1).otherwise(0)
+    return {"inscrits": F.when(F.col("l_orderkey") % 13 != 0, q10), "votants": votants.cast("double"),
+            "blancs": blancs, "nuls": nuls, "exprimes": exprimes.cast("double")}
+
+
 def _votes(li):
     q10 = F.col("l_quantity") * 10
     votants = q10 - F.col("l_linenumber") + F.when(F.col("l_partkey") % 17 == 0, 1000).otherwise(0)
@@ -961,3 +971,128 @@ QUERIES.update({
     "forest_predictions": forest_predictions,
     "learning_curve": learning_curve,
 })
+
+
+# --------------------------------------------------------------------------
+# T3 on whole tables: commune measures cleaned (territory filter, padding,
+# locale numbers, all-empty rows dropped, first row per code)
+# --------------------------------------------------------------------------
+
+def _raw_commune_measures(li):
+    k = F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0")
+    code = (F.when(F.col("l_suppkey") % 4 == 0, F.concat(F.lit("01"), k))
+             .when(F.col("l_linenumber") == 7, F.concat(F.lit("69"), F.col("l_orderkey").cast("string")))
+             .when(F.col("l_linenumber") == 6,
+                   F.concat(F.lit(" 69"), (F.col("l_partkey") % 10).cast("string"), F.lit(" ")))
+             .otherwise(F.concat(F.lit("69"), k)))
+    empty = F.col("l_orderkey") % 9 == 0
+    pop = F.when(~empty, F.replace(F.col("l_extendedprice").cast("string"), F.lit("."), F.lit(",")))
+    act = (F.when(empty, F.lit(None).cast("string")).when(F.col("l_orderkey") % 9 == 1, F.lit("ND"))
+           .otherwise(F.replace(F.col("l_quantity").cast("string"), F.lit("."), F.lit(","))))
+    return li.select(code.alias("CODGEO"), pop.alias("P22_POP"), act.alias("P22_ACT"),
+                     F.struct(*LINEITEM_KEYS).alias(D.ORDINAL))
+
+
+def clean_commune_measures(spark, d):
+    from terroir.plans.clean import clean_emploi
+    out = clean_emploi(_raw_commune_measures(table(spark, d, "lineitem")))
+    return out.drop(D.ORDINAL)
+
+
+SQL["clean_commune_measures"] = f"""
+WITH raw AS (
+  SELECT CASE WHEN l_suppkey % 4 = 0 THEN '01' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0')
+              WHEN l_linenumber = 7 THEN '69' || CAST(l_orderkey AS VARCHAR)
+              WHEN l_linenumber = 6 THEN ' 69' || CAST(l_partkey % 10 AS VARCHAR) || ' '
+              ELSE '69' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') END AS code,
+         CASE WHEN l_orderkey % 9 <> 0 THEN replace(CAST(l_extendedprice AS VARCHAR), '.', ',') END AS pop,
+         CASE WHEN l_orderkey % 9 = 0 THEN NULL WHEN l_orderkey % 9 = 1 THEN 'ND'
+              ELSE replace(CAST(l_quantity AS VARCHAR), '.', ',') END AS act,
+         l_orderkey, l_linenumber, l_partkey, l_suppkey
+  FROM lineitem),
+f AS (
+  SELECT CASE WHEN length(trim(code)) < 5 THEN lpad(trim(code), 5, '0') ELSE trim(code) END AS codgeo,
+         {_sql_parse('pop')} AS p22_pop, {_sql_parse('act')} AS p22_act,
+         l_orderkey, l_linenumber, l_partkey, l_suppkey
+  FROM raw WHERE starts_with(trim(code), '69') AND length(trim(code)) >= 5),
+g AS (SELECT * FROM f WHERE NOT (p22_pop IS NULL AND p22_act IS NULL))
+SELECT codgeo, p22_pop, p22_act FROM (
+  SELECT *, row_number() OVER (PARTITION BY codgeo ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rn
+  FROM g) WHERE rn = 1
+"""
+
+
+# --------------------------------------------------------------------------
+# T1 on whole tables: vote rows cleaned (all-NULL column dropped, locale
+# numbers, consistency rules, labels cleaned twice, codes padded, distinct)
+# --------------------------------------------------------------------------
+
+def _raw_votes(li):
+    cols = _vote_columns()
+
+    def txt(c):
+        return F.replace(cols[c].cast("string"), F.lit("."), F.lit(","))
+    label = (F.when(F.col("l_linenumber") % 3 == 0,
+                    F.concat(F.lit("saint-germain-"), F.lower("l_returnflag"), F.lit("-"),
+                             F.col("l_linenumber").cast("string"), F.lit("eme")))
+              .when(F.col("l_linenumber") % 3 == 1,
+                    F.concat(F.lit("  lyon "), F.col("l_linenumber").cast("string"), F.lit("e arrondissement ")))
+              .otherwise(F.concat(F.lit("vénissieux "), F.col("l_linestatus"))))
+    return li.select(
+        F.when(F.col("l_suppkey") % 3 == 0, F.lit("1")).otherwise(F.lit("69")).alias("Code departement"),
+        (F.col("l_partkey") % 500).cast("string").alias("Code commune"),
+        label.alias("Libelle commune"),
+        F.lit(None).cast("string").alias("Code canton"),
+        F.col("l_returnflag").alias("Libelle canton"),
+        txt("inscrits").alias("Inscrits"), txt("votants").alias("Votants"), txt("blancs").alias("Blancs"),
+        txt("nuls").alias("Nuls"), txt("exprimes").alias("Exprimes"),
+        F.concat(F.lit("69_"), F.col("l_orderkey").cast("string"), F.lit("_"),
+                 F.col("l_linenumber").cast("string")).alias("id_brut_miom"))
+
+
+def clean_vote_rows(spark, d):
+    from terroir.plans.clean import clean_election
+    return clean_election(_raw_votes(table(spark, d, "lineitem")), "rows")
+
+
+_SQL_TITLE = ("array_to_string(list_transform(regexp_extract_all(lower({x}), "
+              "'([\\p{{Ll}}\\p{{Lu}}\\p{{Lt}}]+|[^\\p{{Ll}}\\p{{Lu}}\\p{{Lt}}]+)'), "
+              "lambda w: upper(w[1:1]) || w[2:]), '')")
+
+
+def _sql_clean_label(x: str) -> str:
+    once = _SQL_TITLE.format(x=f"trim({x})")
+    twice = _SQL_TITLE.format(x=f"trim({once})")
+    return f"regexp_replace(strip_accents({twice}), '[^\\x00-\\x7F]', '', 'g')"
+
+
+SQL["clean_vote_rows"] = f"""
+WITH v AS ({_SQL_VOTES}),
+raw AS (
+  SELECT CASE WHEN v.l_suppkey % 3 = 0 THEN '1' ELSE '69' END AS code_departement,
+         CAST(v.l_partkey % 500 AS VARCHAR) AS code_commune,
+         CASE WHEN v.l_linenumber % 3 = 0
+              THEN 'saint-germain-' || lower(l.l_returnflag) || '-' || CAST(v.l_linenumber AS VARCHAR) || 'eme'
+              WHEN v.l_linenumber % 3 = 1
+              THEN '  lyon ' || CAST(v.l_linenumber AS VARCHAR) || 'e arrondissement '
+              ELSE 'vénissieux ' || l.l_linestatus END AS libelle_commune,
+         l.l_returnflag AS libelle_canton,
+         v.inscrits, v.votants, v.blancs, v.nuls, v.exprimes,
+         '69_' || CAST(v.l_orderkey AS VARCHAR) || '_' || CAST(v.l_linenumber AS VARCHAR) AS id_brut_miom
+  FROM v JOIN lineitem l USING (l_orderkey, l_linenumber, l_partkey, l_suppkey))
+SELECT DISTINCT
+  CASE WHEN length(code_departement) < 2 THEN lpad(code_departement, 2, '0') ELSE code_departement END
+    AS code_departement,
+  CASE WHEN length(code_commune) < 5 THEN lpad(code_commune, 5, '0') ELSE code_commune END AS code_commune,
+  {_sql_clean_label('libelle_commune')} AS libelle_commune,
+  libelle_canton, inscrits, votants, blancs, nuls, exprimes,
+  replace(id_brut_miom, '_', '') AS id_brut_miom
+FROM raw
+WHERE inscrits IS NOT NULL AND votants <= inscrits AND exprimes = votants - blancs - nuls
+"""
+
+
+QUERIES.update({
+    "clean_commune_measures": clean_commune_measures,
+    "clean_vote_rows": clean_vote_rows,
+})

@@ -49,12 +49,12 @@ def test_zero_pad(spark):
 
 def test_title_case(spark):
     vals = ["saint-germain-au-mont-d'or", "lyon 9e arrondissement", "ÉCULLY", "L'ARBRESLE",
-            "straße ßa", "ǆungla", "élan2élan", ""]
+            "straße ßa", "ǆungla", "élan2élan", "", "a\x01b c", "  two  spaces ", "ﬁne ﬂow"]
     assert col_values(spark, vals, X.title_case) == [v.title() for v in vals]
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from(list("abcXYZ éÉàß'-9 _ǆ\tœ")), max_size=12),
+@given(st.lists(st.text(alphabet=st.sampled_from(list("abcXYZ éÉàß'-9 _ǆ\tœ\x01ﬁ")), max_size=12),
                 min_size=1, max_size=20))
 def test_title_case_property(spark, vals):
     assert col_values(spark, vals, X.title_case) == [v.title() for v in vals]
@@ -110,8 +110,11 @@ def test_strip_accents(spark):
 
 
 def test_clean_label_twice(spark):
-    got = col_values(spark, ["rhone", "VÃ©nissieux", " lyon 1er "], X.clean_label)
-    assert got == ["Rhone", "Venissieux", "Lyon 1Er"]
+    from terroir.operators.cleaning import clean_label_columns
+    vals = ["rhone", "VÃ©nissieux", " lyon 1er ", "2Ème Circ", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    got = [r.v for r in clean_label_columns(df, ["v"]).orderBy("i").collect()]
+    assert got == ["Rhone", "Venissieux", "Lyon 1Er", "2eme Circ", None]
 
 
 def test_ratio_and_percentage(spark):
