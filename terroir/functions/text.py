@@ -70,8 +70,10 @@ def _multi_char_titles() -> dict:
 
 MULTI_CHAR_TITLES = _multi_char_titles()
 _MULTI_CHARS = "".join(MULTI_CHAR_TITLES)
-# Marker for original spaces during title casing (ASCII keeps initcap fast).
+# Markers used during title casing: original spaces (ASCII keeps initcap on
+# its fast path) and token-initial letters with a multi-character title form.
 _SPACE_MARK = "\x01"
+_MULTI_MARK = "\x02"
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 _UNCASED = f"[^{_CASED}]"
 
@@ -114,32 +116,34 @@ def safe_code(c, width: int | None = None, quirks: Quirks = PARITY) -> Column:
     return zero_pad(s, width) if width else s
 
 
-def title_case(c) -> Column:
-    """F8: Python's str.title(): a cased letter after an uncased character
-    (or at the start) is title-cased, every other cased letter lower-cased.
+def title_prepare(c) -> Column:
+    """First half of `title_case`: lower-case, and expand letters whose title
+    form has several characters where they start a token ('ß' -> 'Ss'). The
+    expansion (a map lookup per marked letter) only runs on strings that
+    hold such a letter; it uses a lambda, so staged plans keep it in its own
+    projection (see operators.cleaning)."""
+    s = F.lower(_c(c))
+    marked = F.regexp_replace(s, f"(^|{_UNCASED})([{_MULTI_CHARS}])", "$1" + _MULTI_MARK + "$2")
+    titles = F.create_map(*[F.lit(x) for kv in MULTI_CHAR_TITLES.items() for x in kv])
 
-    Built from codegen-friendly string functions only: lower-case, park the
-    original spaces on a control character, put a space after every uncased
-    character, `initcap` (title case after each space), drop the inserted
-    spaces and restore the original ones. Letters whose title form has
-    several characters are rewritten first, only on strings that hold one.
+    def expand(piece: Column, i: Column) -> Column:
+        head = F.substring(piece, 1, 1)
+        return F.when(i == 0, piece).otherwise(
+            F.concat(F.coalesce(F.element_at(titles, head), head), piece.substr(F.lit(2), F.length(piece))))
 
-    Equal to Python for Latin-1 and the Latin extensions used in French and
-    European labels. Known differences, all outside that range: characters
-    whose case mappings are not one-to-one ('İ', 'ẞ', 'ŉ', polytonic Greek
-    with a combining mark in its title form) and characters whose casing
-    differs between the JVM's and Python's Unicode versions."""
-    s = F.lower(_c(c))
-    fixed = s
-    for ch, t in MULTI_CHAR_TITLES.items():
-        fixed = F.regexp_replace(fixed, f"(^|{_UNCASED}){ch}", "$1" + t.replace("$", "\\$"))
+    fixed = F.array_join(F.transform(F.split(marked, _MULTI_MARK, -1), expand), "")
     # all those letters are non-ASCII: pure-ASCII strings skip the check
     non_ascii = F.octet_length(s) != F.length(s)
     has_multi = non_ascii & (F.length(F.translate(s, _MULTI_CHARS, "")) != F.length(s))
-    s = F.when(has_multi, fixed).otherwise(s)
-    # fast path: original spaces parked on U+0001, so every space left after
-    # initcap is an inserted one; strings already holding U+0001 take the
-    # exact regex removal instead
+    return F.when(has_multi, fixed).otherwise(s)
+
+
+def title_finish(c) -> Column:
+    """Second half of `title_case`, on the output of `title_prepare`: park the
+    original spaces on U+0001, put a space after every uncased character,
+    `initcap`, drop the inserted spaces, restore the original ones. Strings
+    that already hold U+0001 remove the inserted spaces with a regex."""
+    s = _c(c)
     parked = F.replace(s, F.lit(" "), F.lit(_SPACE_MARK))
     fast = F.initcap(F.regexp_replace(parked, f"({_UNCASED})", "$1 "))
     fast = F.replace(F.replace(fast, F.lit(" "), F.lit("")), F.lit(_SPACE_MARK), F.lit(" "))
@@ -148,6 +152,22 @@ def title_case(c) -> Column:
     return F.when(F.instr(s, _SPACE_MARK) > 0, slow).otherwise(fast)
 
 
+def title_case(c) -> Column:
+    """F8: Python's str.title(): a cased letter after an uncased character
+    (or at the start) is title-cased, every other cased letter lower-cased.
+
+    `title_finish(title_prepare(c))`: built on `initcap` over a string with a
+    space after every uncased character; letters whose title form has several
+    characters are expanded first.
+
+    Equal to Python for Latin-1 and the Latin extensions used in French and
+    European labels. Known differences, all outside that range: characters
+    whose case mappings are not one-to-one ('İ', 'ẞ', 'ŉ', polytonic Greek
+    with a combining mark in its title form) and characters whose casing
+    differs between the JVM's and Python's Unicode versions."""
+    return title_finish(title_prepare(c))
+
+
 def upper(c) -> Column:
     """F9."""
     return F.upper(_c(c))
@@ -241,7 +261,7 @@ def clean_label(c, quirks: Quirks = PARITY) -> Column:
 
 __all__ = [
     "WS_CLASS", "MOJIBAKE_TRIGGERS", "LABEL_MAP", "MULTI_CHAR_TITLES",
-    "strip", "strip_char", "zero_pad", "safe_code", "title_case", "upper",
+    "strip", "strip_char", "zero_pad", "safe_code", "title_case", "title_prepare", "title_finish", "upper",
     "repair_mojibake", "map_values", "regex_replace", "strip_accents",
     "remove_substring", "sentinel_to_null", "prefix", "clean_text", "clean_label",
 ]

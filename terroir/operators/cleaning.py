@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from terroir.functions.text import (LABEL_MAP, ORDINAL_FIRST_FULL, ORDINAL_NTH_FULL, ORDINAL_PATTERN,
                                     ORDINAL_REPLACEMENT, map_values, repair_mojibake, strip,
-                                    strip_accents, title_case)
+                                    strip_accents, title_finish, title_prepare)
 from terroir.quirks import PARITY, Quirks
 
 
@@ -33,8 +33,8 @@ def clean_text_columns(df: DataFrame, columns: Iterable[str], remove_accents: bo
     if not cols:
         return df
     df = _stage(df, cols, lambda c: repair_mojibake(c, quirks))
-    df = _stage(df, cols, strip)
-    df = _stage(df, cols, title_case)
+    df = _stage(df, cols, lambda c: title_prepare(strip(c)))
+    df = _stage(df, cols, title_finish)
 
     def fix(c):
         s = map_values(c, LABEL_MAP)

@@ -49,7 +49,9 @@ def _keep_first(df: DataFrame, key: str) -> DataFrame:
 
 
 def _distinct(df: DataFrame) -> DataFrame:
-    return distinct_rows(df, exclude=[ORDINAL])
+    """D1 on the cleaned columns; the file-order ordinal is not needed past
+    this point, so it is dropped and the dedup stays a hash aggregation."""
+    return distinct_rows(df.drop(ORDINAL) if ORDINAL in df.columns else df)
 
 
 def clean_election(df: DataFrame, label: str, quirks: Quirks = PARITY,

@@ -1051,8 +1051,15 @@ def _raw_votes(li):
 
 
 def clean_vote_rows(spark, d):
+    """The raw rows land as a delimited file in the shared scratch folder,
+    then the election plan runs over its scan, as on real inputs."""
     from terroir.plans.clean import clean_election
-    return clean_election(_raw_votes(table(spark, d, "lineitem")), "rows")
+    from terroir.session import scratch_path
+    from terroir.sources.delimited import read_delimited
+    from terroir.sources.sinks import write_delimited
+    path = scratch_path(spark, "raw_votes")
+    write_delimited(_raw_votes(table(spark, d, "lineitem")), path)
+    return clean_election(read_delimited(spark, path), "rows")
 
 
 _SQL_TITLE = ("array_to_string(list_transform(regexp_extract_all(lower({x}), "
