@@ -65,7 +65,12 @@ class EtlConfig:
     bom: bool = True
 
     def specs(self) -> list[SourceSpec]:
-        return [SourceSpec(k, os.path.join(self.data_path, f), enc) for k, (f, enc) in self.files.items()]
+        out = []
+        for k, (f, enc) in self.files.items():
+            if k == "securite" and not self.quirks.securite_read_as_latin1:
+                enc = "utf-8"          # Q5 corrected: the crime file is UTF-8
+            out.append(SourceSpec(k, os.path.join(self.data_path, f), enc))
+        return out
 
 
 @dataclass

@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # whole documents go through the accent-strip UDF: keep Arrow batches to
+    # a few hundred MB even for 100 KB texts
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.ui.enabled": "false",
 }
 
@@ -51,6 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(a machine-local folder is not visible to other executors)")
         conf_dir = tempfile.mkdtemp(prefix="terroir-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -90,19 +90,21 @@ def read_with_header_offset(spark: SparkSession, path: str, skip: int, encoding:
                             sep: str = ";") -> DataFrame:
     """The first `skip` lines are junk, line `skip` holds the header.
 
-    Lines are read without header with their file-order ordinal; the position
-    of a line within its split is its id minus the split's first id (a
-    bounded per-split aggregate, broadcast back). Only the header line comes
-    to the driver."""
+    Lines are read without header with their file-order ordinal; the line
+    number inside a file's first split is its id minus that split's first id
+    (one row per file, broadcast back). Only the header line comes to the
+    driver."""
     raw = (spark.read.option("sep", sep).option("header", False).option("encoding", spark_charset(encoding))
            .option("quote", '"').option("escape", '"').csv(path))
     raw = with_ordinal(raw)
-    first = raw.groupBy(F.col(f"{ORDINAL}.file").alias("f"), F.col(f"{ORDINAL}.block").alias("b")) \
-        .agg(F.min(f"{ORDINAL}.pos").alias("p0"))
+    # header lines are in the first split of each file: one row per file
+    first = (raw.filter(F.col(f"{ORDINAL}.block") == 0)
+             .groupBy(F.col(f"{ORDINAL}.file").alias("f"))
+             .agg(F.min(f"{ORDINAL}.pos").alias("p0")))
     pos = (raw.join(F.broadcast(first), (F.col(f"{ORDINAL}.file") == F.col("f"))
-                    & (F.col(f"{ORDINAL}.block") == F.col("b")))
-           .withColumn("_line", F.when(F.col("b") == 0, F.col(f"{ORDINAL}.pos") - F.col("p0")))
-           .drop("f", "b", "p0"))
+                    & (F.col(f"{ORDINAL}.block") == 0), "left")
+           .withColumn("_line", F.col(f"{ORDINAL}.pos") - F.col("p0"))
+           .drop("f", "p0"))
     data_cols = [c for c in raw.columns if c != ORDINAL]
     head = (pos.filter(F.col("_line") == skip).orderBy(f"{ORDINAL}.file").select(*data_cols)
             .limit(1).collect())

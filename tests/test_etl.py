@@ -47,13 +47,13 @@ IRIS = ("﻿codeiris;libelle;type;typelibelle;commune;insee;gid\n"
         "690290104;dup;H;Habitat;Bron;69029;9999\n")
 
 
-def write_inputs(d):
+def write_inputs(d, securite_encoding="latin1"):
     def w(name, text, enc):
         with open(os.path.join(d, name), "w", encoding=enc, newline="") as f:
             f.write(text)
     w("Premier_tour_rhone_sep.csv", ELECTION_HEADER + "\n" + "\n".join(T1_ROWS) + "\n", "utf-8")
     w("Second_tour_rhone_sep.csv", ELECTION_HEADER + "\n" + "\n".join(T2_ROWS) + "\n", "utf-8")
-    w("donnee-dep-data.gouv-2025-geographie2025-produit-le2026-01-22.csv", SECURITE, "latin1")
+    w("donnee-dep-data.gouv-2025-geographie2025-produit-le2026-01-22.csv", SECURITE, securite_encoding)
     w("emploi_et_pop-active_2022.CSV", EMPLOI, "latin1")
     w("data_revenus_2021.csv", REVENUS, "latin1")
     w("diplomes_et_formation-2022.CSV", DIPLOMES, "latin1")
@@ -164,3 +164,24 @@ def test_outputs_written(etl):
 def test_missing_source(spark, tmp_dir):
     with pytest.raises(SourceNotFoundError):
         read_delimited(spark, os.path.join(tmp_dir, "nope.csv"))
+
+
+def test_corrected_quirks(spark, tmp_path_factory):
+    from terroir.quirks import CORRECTED
+    base = tmp_path_factory.mktemp("etl_fixed")
+    data = base / "data"
+    data.mkdir()
+    write_inputs(str(data), securite_encoding="utf-8")
+    cfg = EtlConfig(str(data), str(base / "out"), str(base / "tables"), quirks=CORRECTED)
+    res = run(spark, cfg)
+    t = res.tables
+    com = {r.codgeo: r.libelle_commune for r in t["dim_commune"].collect()}
+    assert com["69006"] == "Vénissieux"                                   # Q1 + Q10 corrected
+    assert "6902969256" not in com                                        # Q6 corrected
+    assert {r.annee for r in t["fact_securite"].collect()} == {2016, 2017, 2018}   # Q3
+    dep = t["dim_departement"].collect()
+    assert [(r.code_departement, r.code_region) for r in dep] == [("69", "84")]    # Q4
+    assert {r.indicateur for r in t["fact_securite"].collect()} >= {"Homicides"}
+    assert {r.unite_de_compte for r in t["fact_securite"].collect()} >= {"Véhicule"}  # Q5
+    v1 = {r.codgeo: r.libelle_commune for r in spark.table("vw_elections_communes").collect()}
+    assert v1["69002"] == "Saint-Germain-Au-Mont-D'Or"                    # Q2 corrected
