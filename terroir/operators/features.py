@@ -22,6 +22,16 @@ from terroir.session import ensure_checkpoint_dir
 FEATURES = "features"
 
 
+def right_size(df: DataFrame, rows_per_partition: int = 500_000) -> DataFrame:
+    """Coalesce a checkpointed frame to about `rows_per_partition` rows per
+    partition (counting a checkpoint is a cheap re-read). Many small fits
+    then do not pay for hundreds of near-empty tasks; large inputs keep one
+    partition per half-million rows."""
+    n = df.count()
+    want = max(1, -(-n // rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def hash_bucket(keys: Sequence[str], seed: int = 42, modulus: int = 1000) -> Column:
     """Stable bucket in [0, modulus) from the key columns; independent of the
     partitioning, so a split is reproducible on any cluster."""
@@ -83,7 +93,7 @@ def learning_curve(df: DataFrame, features: Sequence[str], label: str, keys: Seq
     fold = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 1)), F.lit(folds))
     sub = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 2)), F.lit(1000))
     data = assemble(df, features).select(FEATURES, label, fold.alias("_fold"), sub.alias("_sub"))
-    data = data.checkpoint(eager=True)
+    data = right_size(data.checkpoint(eager=True))
     jobs = [(f, k) for f in fractions for k in range(folds)]
 
     def run(job):
@@ -103,5 +113,5 @@ def learning_curve(df: DataFrame, features: Sequence[str], label: str, keys: Seq
     return out
 
 
-__all__ = ["FEATURES", "hash_bucket", "hash_split", "assemble", "forest", "feature_importance",
+__all__ = ["FEATURES", "right_size", "hash_bucket", "hash_split", "assemble", "forest", "feature_importance",
            "predictions", "r2_of", "learning_curve"]

@@ -71,7 +71,8 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
                         F.col(target).cast("double").alias(target))
     # one row per key: written once to the shared checkpoint folder, so the
     # statistics passes and the fits re-read it instead of re-running joins
-    split = G.hash_split(base, [key], test_fraction, seed, bucket=split_bucket).checkpoint(eager=True)
+    split = G.right_size(G.hash_split(base, [key], test_fraction, seed, bucket=split_bucket)
+                         .checkpoint(eager=True))
     # the original fills with medians of the whole table before the split
     fit_src = split.filter(F.col("split") == "train") if impute_on_train_only else split
     medians = A.exact_medians(fit_src, feats)

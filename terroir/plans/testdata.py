@@ -858,8 +858,8 @@ ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LI
 
 def catalog_listing(spark, d):
     from terroir.sources.catalog import register_tables, table_summary
-    register_tables(spark, {t: table(spark, d, t) for t in TABLES})
-    return table_summary(spark, TABLES)
+    register_tables(spark, {f"terroir_{t}": table(spark, d, t) for t in TABLES})
+    return table_summary(spark, TABLES, prefix="terroir_")
 
 
 SQL["catalog_listing"] = """

@@ -30,18 +30,20 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def table_summary(spark: SparkSession, names: Iterable[str] | None = None) -> DataFrame:
-    """One row per listed table: (table_name, column_count, row_count). Column
-    counts come from the catalog; the row counts are one union of counting
-    aggregates (a single job)."""
+def table_summary(spark: SparkSession, names: Iterable[str] | None = None,
+                  prefix: str = "") -> DataFrame:
+    """One row per listed table: (table_name, column_count, row_count), names
+    reported without `prefix`. Column counts come from the table schemas;
+    the row counts are one union of counting aggregates (a single job)."""
     listed = {r.name for r in spark.catalog.listTables()}
-    names = [n for n in (names or sorted(listed)) if n in listed]
+    wanted = [prefix + n for n in names] if names is not None else sorted(
+        n for n in listed if n.startswith(prefix))
     parts = []
-    for n in names:
+    for n in [n for n in wanted if n in listed]:
         cols = len(spark.table(n).columns)
         parts.append(spark.table(n).agg(F.count(F.lit(1)).alias("row_count"))
-                     .select(F.lit(n).alias("table_name"), F.lit(cols).cast("long").alias("column_count"),
-                             "row_count"))
+                     .select(F.lit(n[len(prefix):]).alias("table_name"),
+                             F.lit(cols).cast("long").alias("column_count"), "row_count"))
     return union_all(parts)
 
 
