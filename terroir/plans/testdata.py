@@ -1103,3 +1103,149 @@ QUERIES.update({
     "clean_commune_measures": clean_commune_measures,
     "clean_vote_rows": clean_vote_rows,
 })
+
+
+# --------------------------------------------------------------------------
+# T2 on whole tables: crime-statistics rows (positional rename, quoted and
+# padded department codes, department filter, numbers, year, distinct rows)
+# --------------------------------------------------------------------------
+
+def _raw_crime(o):
+    k = F.col("o_custkey") % 5
+    dep = (F.when(k == 0, F.lit('"69"')).when(k == 1, F.lit(" 69")).when(k == 2, F.lit("1"))
+            .otherwise(F.lit("69")))
+    y = F.year("o_orderdate").cast("string")
+    nombre = F.when(F.col("o_orderkey") % 11 == 0, F.lit("ND")).otherwise(
+        F.replace(F.floor(F.col("o_totalprice") / 1000).cast("string"), F.lit("."), F.lit(",")))
+    taux = F.replace((F.col("o_totalprice") / 100000).cast("string"), F.lit("."), F.lit(","))
+    return o.select(dep.alias("Code dép"), (F.col("o_custkey") % 20).cast("string").alias("Code_region"),
+                    F.when(F.col("o_orderkey") % 7 == 0, F.concat(y, F.lit(".5"))).otherwise(y).alias("annee"),
+                    F.col("o_orderpriority").alias("indicateur"),
+                    F.col("o_orderstatus").alias("unite_de_compte"),
+                    nombre.alias("nombre"), taux.alias("taux_pour_mille"))
+
+
+def clean_crime_rows(spark, d):
+    from terroir.plans.clean import clean_securite
+    return clean_securite(_raw_crime(table(spark, d, "orders")))
+
+
+SQL["clean_crime_rows"] = f"""
+WITH raw AS (
+  SELECT CASE o_custkey % 5 WHEN 0 THEN '"69"' WHEN 1 THEN ' 69' WHEN 2 THEN '1' ELSE '69' END AS dep,
+         CAST(o_custkey % 20 AS VARCHAR) AS region,
+         CASE WHEN o_orderkey % 7 = 0 THEN CAST(year(o_orderdate) AS VARCHAR) || '.5'
+              ELSE CAST(year(o_orderdate) AS VARCHAR) END AS annee,
+         o_orderpriority AS indicateur, o_orderstatus AS unite_de_compte,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'ND'
+              ELSE replace(CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR), '.', ',') END AS nombre,
+         replace(CAST(o_totalprice / 100000 AS VARCHAR), '.', ',') AS taux
+  FROM orders),
+c AS (
+  SELECT CASE WHEN length(trim(trim(dep), '"')) < 2 THEN lpad(trim(trim(dep), '"'), 2, '0')
+              ELSE trim(trim(dep), '"') END AS code_departement,
+         CASE WHEN length(region) < 2 THEN lpad(region, 2, '0') ELSE region END AS code_region,
+         CASE WHEN regexp_matches(annee, '{NUM_RE}') AND TRY_CAST(annee AS DOUBLE) = floor(TRY_CAST(annee AS DOUBLE))
+              THEN CAST(TRY_CAST(annee AS DOUBLE) AS INTEGER) END AS annee,
+         indicateur, unite_de_compte,
+         {_sql_parse('nombre')} AS nombre, {_sql_parse('taux')} AS taux_pour_mille
+  FROM raw)
+SELECT DISTINCT * FROM c WHERE code_departement = '69'
+"""
+
+
+# --------------------------------------------------------------------------
+# T5 on whole tables: IRIS-level measures (renames, ASCII names, territory,
+# padding, numbers, all-empty rows dropped, first row per IRIS code)
+# --------------------------------------------------------------------------
+
+def _raw_iris_measures(li):
+    k = F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0")
+    com = (F.when(F.col("l_suppkey") % 4 == 0, F.concat(F.lit("01"), k))
+            .when(F.col("l_suppkey") % 4 == 1, F.concat(F.lit(" 69"), k, F.lit(" ")))
+            .otherwise(F.concat(F.lit("69"), k)))
+    iris = F.concat(F.lit("69"), k, F.lpad((F.col("l_linenumber") % 4).cast("string"), 4, "0"))
+    empty = F.col("l_orderkey") % 10 == 0
+    m1 = F.when(~empty, F.replace(F.col("l_discount").cast("string"), F.lit("."), F.lit(",")))
+    m2 = F.when(~empty, F.col("l_quantity").cast("string"))
+    return li.select(iris.alias("IRIS"), com.alias("COM"), F.col("l_returnflag").alias("TYP_IRIS"),
+                     F.col("l_linestatus").alias("LAB_IRIS"), m1.alias("P22_NSCOL élèves"),
+                     m2.alias("P22_POP"), F.struct(*LINEITEM_KEYS).alias(D.ORDINAL))
+
+
+def clean_iris_measures(spark, d):
+    from terroir.plans.clean import clean_diplomes
+    return clean_diplomes(_raw_iris_measures(table(spark, d, "lineitem"))).drop(D.ORDINAL)
+
+
+SQL["clean_iris_measures"] = f"""
+WITH raw AS (
+  SELECT '69' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') || lpad(CAST(l_linenumber % 4 AS VARCHAR), 4, '0') AS iris,
+         CASE l_suppkey % 4 WHEN 0 THEN '01' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0')
+              WHEN 1 THEN ' 69' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') || ' '
+              ELSE '69' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') END AS com,
+         l_returnflag AS typ_iris, l_linestatus AS lab_iris,
+         CASE WHEN l_orderkey % 10 <> 0 THEN replace(CAST(l_discount AS VARCHAR), '.', ',') END AS m1,
+         CASE WHEN l_orderkey % 10 <> 0 THEN CAST(l_quantity AS VARCHAR) END AS m2,
+         l_orderkey, l_linenumber, l_partkey, l_suppkey
+  FROM lineitem),
+f AS (
+  SELECT iris AS codeiris,
+         CASE WHEN length(trim(com)) < 5 THEN lpad(trim(com), 5, '0') ELSE trim(com) END AS codgeo,
+         typ_iris, lab_iris, {_sql_parse('m1')} AS p22_nscol_lves, {_sql_parse('m2')} AS p22_pop,
+         l_orderkey, l_linenumber, l_partkey, l_suppkey
+  FROM raw WHERE starts_with(trim(com), '69') AND length(trim(com)) >= 5),
+g AS (SELECT * FROM f WHERE NOT (p22_nscol_lves IS NULL AND p22_pop IS NULL))
+SELECT codeiris, codgeo, typ_iris, lab_iris, p22_nscol_lves, p22_pop FROM (
+  SELECT *, row_number() OVER (PARTITION BY codeiris ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rn
+  FROM g) WHERE rn = 1
+"""
+
+
+# --------------------------------------------------------------------------
+# T7 on whole tables: IRIS reference rows (codes stripped, labels title-cased,
+# type upper-cased, numeric id, first row per code)
+# --------------------------------------------------------------------------
+
+def _raw_iris_reference(p):
+    return p.select(
+        F.concat(F.lit(" "), (F.col("p_partkey") % 1000).cast("string")).alias("CODEIRIS"),
+        F.col("p_name").alias("LIBELLE"),
+        F.lower(F.substring("p_type", 1, 1)).alias("TYPE"),
+        F.lower("p_type").alias("TYPELIBELLE"),
+        F.upper("p_brand").alias("COMMUNE"),
+        F.concat((F.col("p_size")).cast("string"), F.lit(" ")).alias("INSEE"),
+        F.col("p_retailprice").cast("string").alias("GID"),
+        F.struct("p_partkey").alias(D.ORDINAL))
+
+
+def clean_iris_reference(spark, d):
+    from terroir.plans.clean import clean_iris
+    return clean_iris(_raw_iris_reference(table(spark, d, "part"))).drop(D.ORDINAL)
+
+
+def _sql_title_ascii(x: str) -> str:
+    return ("array_to_string(list_transform(regexp_extract_all(lower(" + x + "), '([a-z]+|[^a-z]+)'), "
+            "lambda w: upper(w[1:1]) || w[2:]), '')")
+
+
+SQL["clean_iris_reference"] = f"""
+SELECT codeiris, libelle, type, typelibelle, commune, insee, gid FROM (
+  SELECT trim(' ' || CAST(p_partkey % 1000 AS VARCHAR)) AS codeiris,
+         {_sql_title_ascii('trim(p_name)')} AS libelle,
+         upper(lower(substring(p_type, 1, 1))) AS type,
+         {_sql_title_ascii('lower(p_type)')} AS typelibelle,
+         {_sql_title_ascii('upper(p_brand)')} AS commune,
+         trim(CAST(p_size AS VARCHAR) || ' ') AS insee,
+         CASE WHEN regexp_matches(trim(CAST(p_retailprice AS VARCHAR)), '{NUM_RE}')
+              THEN TRY_CAST(trim(CAST(p_retailprice AS VARCHAR)) AS DOUBLE) END AS gid,
+         row_number() OVER (PARTITION BY p_partkey % 1000 ORDER BY p_partkey) AS rn
+  FROM part) WHERE rn = 1
+"""
+
+
+QUERIES.update({
+    "clean_crime_rows": clean_crime_rows,
+    "clean_iris_measures": clean_iris_measures,
+    "clean_iris_reference": clean_iris_reference,
+})
