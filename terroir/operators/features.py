@@ -98,10 +98,20 @@ def learning_curve(df: DataFrame, features: Sequence[str], label: str, keys: Seq
 
     def run(job):
         f, k = job
-        train = data.filter((F.col("_fold") != k) & (F.col("_sub") < int(round(f * 1000))))
-        valid = data.filter(F.col("_fold") == k)
-        m = forest(label, num_trees, max_depth, seed).fit(train)
-        return f, r2_of(m, train, label), r2_of(m, valid, label)
+        in_train = (F.col("_fold") != k) & (F.col("_sub") < int(round(f * 1000)))
+        m = forest(label, num_trees, max_depth, seed).fit(data.filter(in_train))
+        # both scores in one pass: R2 = 1 - SSE / (sum y^2 - (sum y)^2 / n) per group
+        scored = m.transform(data.filter(in_train | (F.col("_fold") == k)))
+        e = F.col("prediction") - F.col(label)
+        y = F.col(label)
+        rows = (scored.groupBy(in_train.alias("is_train"))
+                .agg(F.sum(e * e).alias("sse"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"),
+                     F.count(y).alias("n")).collect())
+        r2 = {}
+        for r in rows:
+            sst = r["syy"] - r["sy"] * r["sy"] / r["n"]
+            r2[r["is_train"]] = 1.0 - r["sse"] / sst if sst else float("nan")
+        return f, r2.get(True, float("nan")), r2.get(False, float("nan"))
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         results = list(pool.map(run, jobs))

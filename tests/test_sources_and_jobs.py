@@ -93,3 +93,13 @@ def test_model_job(spark):
     assert imp == sorted(imp, reverse=True) and abs(sum(imp) - 1.0) < 1e-6
     assert res.correlation.count() == len(TD.FEATURE_COLS) ** 2
     assert res.predictions.count() > 0
+
+
+def test_learning_curve_shape(spark):
+    from terroir.operators.features import learning_curve
+    from terroir.plans import testdata as TD
+    ft = TD.feature_frame(spark, SF).fillna(0)
+    rows = learning_curve(ft, TD.FEATURE_COLS, TD.TARGET, ["o_custkey"], fractions=(0.5, 1.0),
+                          folds=2, num_trees=3, max_depth=3)
+    assert [r[0] for r in rows] == [0.5, 1.0]
+    assert all(r[1] <= 1.0 and r[2] <= 1.0 for r in rows)
