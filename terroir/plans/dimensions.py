@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terroir.functions.text import prefix, safe_code, sentinel_to_null, strip, title_case
-from terroir.operators.dedup import distinct_rows, keep_first_sorted, union_all
+from terroir.operators.dedup import keep_first_sorted, union_all
 from terroir.quirks import PARITY, Quirks
 
 SOURCE_RANK = "_source_rank"
@@ -115,4 +115,4 @@ def build_dim_temps(spark: SparkSession) -> DataFrame:
 
 
 __all__ = ["conformed_dimension", "build_dim_commune", "build_dim_departement",
-           "build_dim_temps", "TIME_ROWS", "distinct_rows"]
+           "build_dim_temps", "TIME_ROWS"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,5 +73,4 @@ def local_dir(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_dir",
-           "DEFAULT_CONF", "os"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_dir", "DEFAULT_CONF"]

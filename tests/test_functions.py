@@ -16,8 +16,7 @@ from terroir.quirks import CORRECTED
 
 def col_values(spark, values, expr):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-    return [r[0] for r in df.select(expr(F.col("v"))).orderBy(F.col("i")).collect()] if False else \
-        [r["o"] for r in df.select("i", expr(F.col("v")).alias("o")).orderBy("i").collect()]
+    return [r["o"] for r in df.select("i", expr(F.col("v")).alias("o")).orderBy("i").collect()]
 
 
 def test_normalize_names():
