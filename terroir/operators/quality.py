@@ -78,7 +78,13 @@ def null_profile(df: DataFrame, columns: Iterable[str] | None = None,
 class QualityTracker:
     """Three observation points of one cleaning plan -- the raw scan,
     the frame before deduplication, the final frame. The metrics are filled
-    by the first action that runs the final plan (the table write)."""
+    by the first action that runs the final plan (the table write).
+
+    Under executor loss: the final observation runs in the write's result
+    stage, whose finished tasks are never re-run, so rows_after and
+    null_cells are exact. The raw and pre-deduplication observations run in
+    the map stage before the deduplication shuffle; if that stage is re-run
+    after a lost executor, rows it had already counted can be counted again."""
 
     table_name: str
     notes: str = ""
