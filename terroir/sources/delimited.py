@@ -80,6 +80,38 @@ def read_delimited(spark: SparkSession, path: str, encoding: str = "utf-8", sep:
     return df
 
 
+def read_delimited_typed(spark: SparkSession, path: str, schema: T.StructType | str,
+                         encoding: str = "utf-8", sep: str = ";", decimal_comma: bool = False,
+                         ordinal: bool = False) -> DataFrame:
+    """A typed read without inference. Columns are scanned as text, then
+    converted to the declared types: numbers through the guarded parse (a
+    value that is not a number becomes NULL instead of failing the job),
+    other types through `try_cast`. Declared columns missing from the file
+    come back as NULL; extra file columns are dropped."""
+    from terroir.functions.numeric import parse_number
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    df = read_delimited(spark, path, encoding, sep, ordinal=ordinal)
+    out = []
+    for f in schema.fields:
+        if f.name not in df.columns:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            out.append(parse_number(c, decimal_comma).try_cast(f.dataType).alias(f.name))
+        elif isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+            d = parse_number(c, decimal_comma)
+            out.append(F.when(d == F.floor(d), d.try_cast(f.dataType)).alias(f.name))
+        elif isinstance(f.dataType, T.StringType):
+            out.append(c.alias(f.name))
+        else:
+            out.append(c.try_cast(f.dataType).alias(f.name))
+    if ordinal:
+        out.append(F.col(ORDINAL))
+    return df.select(*out)
+
+
 def extract(spark: SparkSession, specs: list[SourceSpec], ordinal: bool = True) -> dict[str, DataFrame]:
     """S3: one lazy frame per source (row counts are observed later, with
     the write of each cleaned table)."""
@@ -117,4 +149,5 @@ def read_with_header_offset(spark: SparkSession, path: str, skip: int, encoding:
 
 
 __all__ = ["NA_TOKENS", "SourceNotFoundError", "SourceSpec", "na_to_null", "read_delimited",
+           "read_delimited_typed",
            "extract", "read_with_header_offset"]

@@ -103,3 +103,14 @@ def test_learning_curve_shape(spark):
                           folds=2, num_trees=3, max_depth=3)
     assert [r[0] for r in rows] == [0.5, 1.0]
     assert all(r[1] <= 1.0 and r[2] <= 1.0 for r in rows)
+
+
+def test_typed_read(spark, tmp_dir):
+    from terroir.sources.delimited import read_delimited_typed
+    p = os.path.join(tmp_dir, "typed.csv")
+    _w(p, "code;pop;year;label;extra\n69001;1,5;2021;a;x\n69002;ND;2021.5;b;y\n69003;;x;;z\n")
+    df = read_delimited_typed(spark, p, "code string, pop double, year int, label string, missing int",
+                              decimal_comma=True)
+    assert df.columns == ["code", "pop", "year", "label", "missing"]
+    assert [tuple(r) for r in df.orderBy("code").collect()] == [
+        ("69001", 1.5, 2021, "a", None), ("69002", None, None, "b", None), ("69003", None, None, None, None)]
