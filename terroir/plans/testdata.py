@@ -205,7 +205,8 @@ def _sql_dirty_number(c: str, i: int) -> str:
 
 def _sql_parse(t: str) -> str:
     s = f"trim(replace({t}, ',', '.'))"
-    return f"CASE WHEN regexp_matches({s}, '{NUM_RE}') THEN TRY_CAST({s} AS DOUBLE) END"
+    return (f"CASE WHEN regexp_matches({s}, '{NUM_RE}') AND isfinite(TRY_CAST({s} AS DOUBLE)) "
+            f"THEN TRY_CAST({s} AS DOUBLE) END")
 
 
 def parse_number(spark, d):

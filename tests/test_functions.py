@@ -128,3 +128,26 @@ def test_na_tokens(spark, tok):
     from terroir.sources.delimited import na_to_null
     df = spark.createDataFrame([(tok,), ("ND",), ("s",)], "v string")
     assert [r[0] for r in na_to_null(df).collect()] == [None, "ND", "s"]
+
+
+def _to_numeric(v):
+    import numpy as np
+    import pandas as pd
+    s = pd.Series([v], dtype=object).astype(str).str.replace(",", ".", regex=False).str.strip()
+    r = pd.to_numeric(s, errors="coerce").iloc[0]
+    if r is None or np.isnan(r) or np.isinf(r):
+        return None
+    return float(r)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("0123456789012345678901234567890.,+-eE \t_x")),
+                        max_size=9), min_size=1, max_size=40))
+def test_parse_number_matches_to_numeric(spark, vals):
+    import math
+    got = col_values(spark, vals, N.parse_number)
+    for v, g in zip(vals, got):
+        w = _to_numeric(v)
+        assert (g is None) == (w is None), (v, g, w)
+        if g is not None:
+            assert math.isclose(g, w, rel_tol=1e-15, abs_tol=0.0), (v, g, w)
