@@ -12,6 +12,8 @@ from terroir.functions.text import strip
 # Fixed value: the number syntax a locale-free numeric parse accepts
 # (sign, digits with optional fraction or fraction only, optional exponent).
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Fixed value: the whitespace a C-locale numeric parse skips.
+ASCII_WS = " \t\n\x0b\x0c\r"
 
 
 def _c(c) -> Column:
@@ -28,8 +30,11 @@ def parse_number(c, decimal_comma: bool = True) -> Column:
     data-frame library's fast parser is not)."""
     s = _c(c).cast("string")
     if decimal_comma:
-        s = F.replace(s, F.lit(","), F.lit("."))
-    s = strip(s)
+        # ',' -> '.', then Python's strip (all Unicode whitespace)
+        s = strip(F.replace(s, F.lit(","), F.lit(".")))
+    else:
+        # the numeric parse alone skips ASCII whitespace only
+        s = F.btrim(s, F.lit(ASCII_WS))
     v = s.try_cast("double")
     # an exponent beyond the double range parses to infinity in Spark and to
     # a missing value in a data-frame library: NULL

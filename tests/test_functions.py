@@ -151,3 +151,20 @@ def test_parse_number_matches_to_numeric(spark, vals):
         assert (g is None) == (w is None), (v, g, w)
         if g is not None:
             assert math.isclose(g, w, rel_tol=1e-15, abs_tol=0.0), (v, g, w)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("0123456789.,+-e \t\n\xa0x")), max_size=7),
+                min_size=1, max_size=40))
+def test_parse_number_f3_matches_to_numeric(spark, vals):
+    import math
+
+    import numpy as np
+    import pandas as pd
+    got = col_values(spark, vals, lambda c: N.parse_number(c, decimal_comma=False))
+    want = pd.to_numeric(pd.Series(vals, dtype=object), errors="coerce").tolist()
+    for v, g, w in zip(vals, got, want):
+        w = None if (w is None or np.isnan(w) or np.isinf(w)) else float(w)
+        assert (g is None) == (w is None), (v, g, w)
+        if g is not None:
+            assert math.isclose(g, w, rel_tol=1e-15), (v, g, w)
