@@ -2,11 +2,16 @@
 load facts, build dimensions from the loaded facts, write the quality report
 and create the two views.
 
-Each cleaned table is written once as a Parquet table; its delimited copy and
-every later reader (dimensions, views) read the written table. Writes cut the
-lineage, so a lost executor costs a re-read of a table, not a re-run of the
-cleaning; no cache is needed. Quality counts are observed during the table
-writes (no extra count jobs).
+Each cleaned table is written once as Parquet into a folder of its own run;
+its delimited copy and every later reader (dimensions, views) read the
+written files. Writes cut the lineage, so a lost executor costs a re-read of
+a table, not a re-run of the cleaning; no cache is needed. Quality counts
+are observed during the table writes (no extra count jobs).
+
+Publishing is all or nothing: the catalog tables and views are pointed at the
+new run only after every table and the report were written. A run that fails
+(or a driver that dies) leaves the previously published tables in place, and
+a re-run writes to a fresh run folder.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +30,7 @@ from terroir.plans.dimensions import build_dim_commune, build_dim_departement, b
 from terroir.plans.views import register_views
 from terroir.quirks import PARITY, Quirks
 from terroir.sources.delimited import SourceSpec, read_delimited
-from terroir.sources.sinks import write_delimited, write_table
+from terroir.sources.sinks import publish_table, write_delimited, write_parquet
 
 log = logging.getLogger("terroir.etl")
 
@@ -56,7 +62,7 @@ FACT_YEARS = {
 class EtlConfig:
     data_path: str
     output_path: str                      # delimited copies, one folder per table
-    table_path: str | None = None         # Parquet tables (default: warehouse folder)
+    table_path: str | None = None         # Parquet tables (default: <warehouse>/terroir)
     files: dict = field(default_factory=lambda: dict(DEFAULT_FILES))
     department: str = "69"
     commune_width: int = 5
@@ -78,6 +84,7 @@ class EtlResult:
     tables: dict[str, DataFrame]
     report: DataFrame
     timings: dict[str, float]
+    run_path: str = ""
 
 
 def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
@@ -123,14 +130,16 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     mark("transform")
 
     # load facts and the IRIS dimension (one write each; counts observed)
+    root = (cfg.table_path or spark.conf.get("spark.sql.warehouse.dir") + "/terroir").rstrip("/")
+    run_id = _dt.datetime.now().strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    run_path = f"{root}/run={run_id}"
+    csv_root = f"{cfg.output_path.rstrip('/')}/run={run_id}"
     loaded: dict[str, DataFrame] = {}
 
     def load(name: str, df: DataFrame):
-        path = f"{cfg.table_path.rstrip('/')}/{name}" if cfg.table_path else None
-        write_table(df, name, path)
-        loaded[name] = spark.table(name)
-        write_delimited(loaded[name], f"{cfg.output_path.rstrip('/')}/{name}", bom=cfg.bom,
-                        single_file=cfg.single_file_csv)
+        write_parquet(df, f"{run_path}/{name}")
+        loaded[name] = spark.read.parquet(f"{run_path}/{name}")
+        write_delimited(loaded[name], f"{csv_root}/{name}", bom=cfg.bom, single_file=cfg.single_file_csv)
 
     for name, df in facts.items():
         load(name, df)
@@ -151,13 +160,17 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     order = ["fact_election_tour1", "fact_election_tour2", "fact_securite", "fact_emploi_pop_active",
              "fact_revenus", "fact_diplomes", "fact_logement", "dim_iris_lyon"]
     report = quality_report(spark, [trackers[n].row(stamp) for n in order])
-    write_delimited(report, f"{cfg.output_path.rstrip('/')}/quality_report", bom=cfg.bom,
-                    single_file=True)
+    write_delimited(report, f"{csv_root}/quality_report", bom=cfg.bom, single_file=True)
     mark("report")
 
-    register_views(spark, loaded)
-    mark("views")
-    return EtlResult(loaded, report, timings)
+    # publish: every table of this run is written; point the catalog at it
+    published = {}
+    for name in loaded:
+        publish_table(spark, name, f"{run_path}/{name}")
+        published[name] = spark.table(name)
+    register_views(spark, published)
+    mark("publish")
+    return EtlResult(published, report, timings, run_path)
 
 
 __all__ = ["DEFAULT_FILES", "FACT_YEARS", "EtlConfig", "EtlResult", "run"]

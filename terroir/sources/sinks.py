@@ -37,6 +37,24 @@ def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "
     w.saveAsTable(name)
 
 
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
+                  partition_by: list[str] | None = None) -> None:
+    """Parquet files at `path` (the job's output is committed only when the
+    whole write succeeded)."""
+    out = df.drop(ORDINAL) if ORDINAL in df.columns else df
+    w = out.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def publish_table(spark, name: str, path: str) -> None:
+    """Point catalog table `name` at Parquet files already written at `path`
+    (metadata only; the previous files stay where they were)."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+
+
 def load_all(tables: dict[str, DataFrame], csv_root: str | None, table_root: str | None = None,
              bom: bool = True, single_file: bool = False) -> dict[str, DataFrame]:
     """Write each table once as a Parquet table, then the delimited copy
@@ -53,4 +71,4 @@ def load_all(tables: dict[str, DataFrame], csv_root: str | None, table_root: str
     return written
 
 
-__all__ = ["BOM", "write_delimited", "write_table", "load_all"]
+__all__ = ["BOM", "write_delimited", "write_table", "write_parquet", "publish_table", "load_all"]

@@ -152,9 +152,10 @@ def test_views(spark, etl):
 
 
 def test_outputs_written(etl):
-    _, cfg = etl
+    res, cfg = etl
+    run = os.path.basename(res.run_path)
     for name in ("fact_revenus", "dim_commune", "quality_report"):
-        d = os.path.join(cfg.output_path, name)
+        d = os.path.join(cfg.output_path, run, name)
         parts = [f for f in os.listdir(d) if f.startswith("part-")]
         assert len(parts) == 1
         with open(os.path.join(d, parts[0]), encoding="utf-8") as f:
@@ -185,3 +186,29 @@ def test_corrected_quirks(spark, tmp_path_factory):
     assert {r.unite_de_compte for r in t["fact_securite"].collect()} >= {"Véhicule"}  # Q5
     v1 = {r.codgeo: r.libelle_commune for r in spark.table("vw_elections_communes").collect()}
     assert v1["69002"] == "Saint-Germain-Au-Mont-D'Or"                    # Q2 corrected
+
+
+def test_failed_run_keeps_published_tables(spark, etl, tmp_path_factory, monkeypatch):
+    import terroir.plans.etl as etl_mod
+    res, cfg = etl
+    old_paths = {n: spark.sql(f"DESCRIBE TABLE EXTENDED {n}").filter("col_name = 'Location'").first()[1]
+                 for n in ("fact_election_tour1", "fact_emploi_pop_active")}
+    old_counts = {n: spark.table(n).count() for n in ("fact_emploi_pop_active", "vw_elections_communes")}
+    base = tmp_path_factory.mktemp("etl_broken")
+    data = base / "data"
+    data.mkdir()
+    write_inputs(str(data))
+    real = etl_mod.write_delimited
+
+    def failing(df, path, **kw):                 # dies after four tables were written
+        if path.endswith("fact_revenus"):
+            raise RuntimeError("executor lost for good")
+        return real(df, path, **kw)
+
+    monkeypatch.setattr(etl_mod, "write_delimited", failing)
+    with pytest.raises(RuntimeError):
+        run(spark, EtlConfig(str(data), str(base / "out"), cfg.table_path))
+    for n, loc in old_paths.items():
+        now = spark.sql(f"DESCRIBE TABLE EXTENDED {n}").filter("col_name = 'Location'").first()[1]
+        assert now == loc
+    assert {n: spark.table(n).count() for n in old_counts} == old_counts
