@@ -174,3 +174,31 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
 
 
 __all__ = ["DEFAULT_FILES", "FACT_YEARS", "EtlConfig", "EtlResult", "run"]
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: python -m terroir.plans.etl DATA_DIR OUTPUT_DIR [--tables DIR] [--corrected]"""
+    import argparse
+
+    from terroir.quirks import CORRECTED
+    from terroir.session import build_session
+
+    ap = argparse.ArgumentParser(prog="python -m terroir.plans.etl", description=main.__doc__)
+    ap.add_argument("data_path")
+    ap.add_argument("output_path")
+    ap.add_argument("--tables", default=None, help="folder of the Parquet tables")
+    ap.add_argument("--department", default="69")
+    ap.add_argument("--corrected", action="store_true", help="corrected behaviour instead of parity")
+    ap.add_argument("--single-file-csv", action="store_true")
+    a = ap.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)s | %(message)s")
+    spark = build_session(app="terroir-etl")
+    cfg = EtlConfig(a.data_path, a.output_path, a.tables, department=a.department,
+                    quirks=CORRECTED if a.corrected else PARITY, single_file_csv=a.single_file_csv)
+    res = run(spark, cfg)
+    res.report.show(truncate=False)
+    log.info("published %d tables from %s; stages %s", len(res.tables), res.run_path, res.timings)
+
+
+if __name__ == "__main__":
+    main()

@@ -103,4 +103,17 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
     return ModelResult(metrics, importance, preds, correlation, missing, lc)
 
 
-__all__ = ["CANDIDATE_FEATURES", "TARGET", "build_feature_table", "ModelResult", "run_model"]
+def run_from_warehouse(spark, num_trees: int = 100, max_depth: int = 5, curve: bool = False,
+                       quirks: Quirks = PARITY) -> ModelResult:
+    """R3 as the notebook runs it: the two election rounds, employment and
+    income facts from the published warehouse tables, joined on `codgeo`."""
+    t1 = spark.table("fact_election_tour1")
+    t2 = spark.table("fact_election_tour2")
+    table = build_feature_table(t1, t2, [spark.table("fact_emploi_pop_active"),
+                                         spark.table("fact_revenus")], key="codgeo")
+    return run_model(table, key="codgeo", num_trees=num_trees, max_depth=max_depth, curve=curve,
+                     quirks=quirks)
+
+
+__all__ = ["CANDIDATE_FEATURES", "TARGET", "build_feature_table", "ModelResult", "run_model",
+           "run_from_warehouse"]

@@ -212,3 +212,12 @@ def test_failed_run_keeps_published_tables(spark, etl, tmp_path_factory, monkeyp
         now = spark.sql(f"DESCRIBE TABLE EXTENDED {n}").filter("col_name = 'Location'").first()[1]
         assert now == loc
     assert {n: spark.table(n).count() for n in old_counts} == old_counts
+
+
+def test_model_from_warehouse(spark, etl):
+    from terroir.plans.model import run_from_warehouse
+    res = run_from_warehouse(spark, num_trees=3, max_depth=2)
+    feats = [r.feature for r in res.importance.collect()]
+    assert set(feats) <= {"inscrits_t1", "votants_t1", "blancs_t1", "nuls_t1", "exprimes_t1",
+                          "taux_blancs_t1", "taux_nuls_t1"} and feats
+    assert res.missing.count() > 0
