@@ -20,6 +20,7 @@ import datetime as _dt
 import logging
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,7 @@ class EtlConfig:
     quirks: Quirks = PARITY
     single_file_csv: bool = False         # one part file per table (small tables only)
     bom: bool = True
+    parallel_loads: int = 4               # independent table writes submitted concurrently
 
     def specs(self) -> list[SourceSpec]:
         out = []
@@ -87,6 +89,17 @@ class EtlResult:
     run_path: str = ""
 
 
+def _load_all_concurrently(load, tables: dict[str, DataFrame], workers: int) -> None:
+    """Run `load(name, df)` for every table from a small thread pool (Spark
+    schedules the concurrent jobs); the first error is raised once all have
+    finished."""
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        futures = [pool.submit(load, name, df) for name, df in tables.items()]
+        errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
+
+
 def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     q = cfg.quirks
     timings: dict[str, float] = {}
@@ -141,18 +154,21 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
         loaded[name] = spark.read.parquet(f"{run_path}/{name}")
         write_delimited(loaded[name], f"{csv_root}/{name}", bom=cfg.bom, single_file=cfg.single_file_csv)
 
-    for name, df in facts.items():
-        load(name, df)
-    load("dim_iris_lyon", iris)
+    # the cleaned sources are independent: their jobs run concurrently (one
+    # driver thread each), so small tables do not leave the cluster idle
+    _load_all_concurrently(load, dict(facts, dim_iris_lyon=iris), cfg.parallel_loads)
     mark("load_facts")
 
-    # dimensions from the loaded facts
-    load("dim_commune", build_dim_commune(loaded["fact_election_tour1"], loaded["fact_election_tour2"],
-                                          loaded["fact_emploi_pop_active"], loaded["fact_revenus"], q))
-    load("dim_departement", build_dim_departement(loaded["fact_election_tour1"],
-                                                  loaded["fact_election_tour2"],
-                                                  loaded["fact_securite"], q))
-    load("dim_temps", build_dim_temps(spark))
+    # dimensions from the loaded facts (independent of each other)
+    dims = {
+        "dim_commune": build_dim_commune(loaded["fact_election_tour1"], loaded["fact_election_tour2"],
+                                         loaded["fact_emploi_pop_active"], loaded["fact_revenus"], q),
+        "dim_departement": build_dim_departement(loaded["fact_election_tour1"],
+                                                 loaded["fact_election_tour2"],
+                                                 loaded["fact_securite"], q),
+        "dim_temps": build_dim_temps(spark),
+    }
+    _load_all_concurrently(load, dims, cfg.parallel_loads)
     mark("dimensions")
 
     # quality report: one row per cleaned source, from the observed metrics
