@@ -160,3 +160,28 @@ def test_empty_inputs(spark):
     assert [(r.null_count, r.non_null_count) for r in prof] == [(0, 0), (0, 0)]
     qr = Q.quality_row_frame("e", empty, empty, empty, with_timestamp=False).first()
     assert (qr.rows_before, qr.rows_after, qr.null_cells) == (0, 0, 0)
+
+
+def test_keep_first_matches_pandas_file_order(spark, tmp_dir):
+    import pandas as pd
+    rnd = random.Random(11)
+    folder = os.path.join(tmp_dir, "files")
+    os.makedirs(folder)
+    frames = []
+    for f in range(3):
+        rows = [(f"k{rnd.randint(0, 60)}", f"{f}-{i}", rnd.choice(["", "x", "y"])) for i in range(1500)]
+        pdf = pd.DataFrame(rows, columns=["key", "val", "tag"])
+        path = os.path.join(folder, f"part{f}.csv")
+        pdf.to_csv(path, sep=";", index=False)
+        frames.append(pd.read_csv(path, sep=";", dtype=str))
+    want = pd.concat(frames, ignore_index=True).drop_duplicates(subset=["key"], keep="first")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        df = read_delimited(spark, folder)
+        assert df.rdd.getNumPartitions() >= 6
+        got = {r.key: r.val for r in D.keep_first(df.repartition(5), ["key"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == dict(zip(want["key"], want["val"]))
+
