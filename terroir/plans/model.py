@@ -31,11 +31,30 @@ CANDIDATE_FEATURES = [
 TARGET = "taux_participation_t2"
 
 
+VOTE_COUNTS = ["inscrits", "abstentions", "votants", "blancs", "nuls", "exprimes"]
+
+
+def per_key_totals(df: DataFrame, key: str, measures: Sequence[str] = VOTE_COUNTS) -> DataFrame:
+    """One row per key with summed counts (partial aggregation before the
+    shuffle, so a key holding many rows costs one row per map task)."""
+    present = [c for c in measures if c in df.columns]
+    return df.groupBy(key).agg(*[F.sum(c).alias(c) for c in present])
+
+
 def build_feature_table(t1: DataFrame, t2: DataFrame, enrichments: Sequence[DataFrame],
-                        key: str = "codgeo", target: str = TARGET) -> DataFrame:
+                        key: str = "codgeo", target: str = TARGET,
+                        aggregate_rounds: bool = False) -> DataFrame:
     """G1: round 1 x round 2 (inner, suffixes _t1/_t2), LEFT joins of the
     enrichment tables (suffixes _x/_y on overlap), ratio features, target
-    ratio, and the target filter (not NULL, <= 1)."""
+    ratio, and the target filter (not NULL, <= 1).
+
+    As in the original notebook the rounds are joined row by row: with several
+    rows per key (polling stations of a commune) that is every pair of the
+    key's rows, and AQE splits a hot key's partition. `aggregate_rounds=True`
+    sums each round's counts per key first and joins one row to one row --
+    the form to use when a key can hold a large share of the rows."""
+    if aggregate_rounds:
+        t1, t2 = per_key_totals(t1, key), per_key_totals(t2, key)
     j = join_suffixed(t1, t2, key, "inner", ("_t1", "_t2"))
     for e in enrichments:
         j = join_suffixed(j, e, key, "left", ("_x", "_y"))
@@ -104,16 +123,17 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
 
 
 def run_from_warehouse(spark, num_trees: int = 100, max_depth: int = 5, curve: bool = False,
-                       quirks: Quirks = PARITY) -> ModelResult:
+                       quirks: Quirks = PARITY, aggregate_rounds: bool = False) -> ModelResult:
     """R3 as the notebook runs it: the two election rounds, employment and
     income facts from the published warehouse tables, joined on `codgeo`."""
     t1 = spark.table("fact_election_tour1")
     t2 = spark.table("fact_election_tour2")
     table = build_feature_table(t1, t2, [spark.table("fact_emploi_pop_active"),
-                                         spark.table("fact_revenus")], key="codgeo")
+                                         spark.table("fact_revenus")], key="codgeo",
+                                aggregate_rounds=aggregate_rounds)
     return run_model(table, key="codgeo", num_trees=num_trees, max_depth=max_depth, curve=curve,
                      quirks=quirks)
 
 
-__all__ = ["CANDIDATE_FEATURES", "TARGET", "build_feature_table", "ModelResult", "run_model",
-           "run_from_warehouse"]
+__all__ = ["CANDIDATE_FEATURES", "TARGET", "VOTE_COUNTS", "per_key_totals", "build_feature_table",
+           "ModelResult", "run_model", "run_from_warehouse"]

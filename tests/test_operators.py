@@ -185,3 +185,18 @@ def test_keep_first_matches_pandas_file_order(spark, tmp_dir):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == dict(zip(want["key"], want["val"]))
 
+
+
+def test_feature_table_pairs_or_totals(spark):
+    from terroir.plans.model import build_feature_table
+    rows1 = [("69001", 100.0, 60.0, 2.0, 1.0), ("69001", 50.0, 30.0, 1.0, 1.0), ("69002", 10.0, 5.0, 0.0, 0.0)]
+    rows2 = [("69001", 100.0, 70.0, 1.0, 1.0), ("69001", 50.0, 40.0, 0.0, 0.0), ("69002", 10.0, 9.0, 0.0, 0.0)]
+    schema = "codgeo string, inscrits double, votants double, blancs double, nuls double"
+    t1, t2 = spark.createDataFrame(rows1, schema), spark.createDataFrame(rows2, schema)
+    pairs = build_feature_table(t1, t2, [], key="codgeo")
+    assert pairs.count() == 5                            # 2 x 2 pairs for 69001, 1 for 69002
+    totals = {r.codgeo: r for r in build_feature_table(t1, t2, [], key="codgeo",
+                                                       aggregate_rounds=True).collect()}
+    assert set(totals) == {"69001", "69002"}
+    assert abs(totals["69001"].taux_participation_t2 - 110.0 / 150.0) < 1e-12
+    assert abs(totals["69001"].taux_blancs_t1 - 3.0 / 90.0) < 1e-12
