@@ -51,12 +51,20 @@ def conformed_dimension(frames: Sequence[DataFrame], key: str, label: str, key_w
     return keep_first_sorted(u, [key], [label], tie).drop(SOURCE_RANK)
 
 
-def build_dim_commune(t1: DataFrame, t2: DataFrame, emploi: DataFrame, revenus: DataFrame,
-                      quirks: Quirks = PARITY) -> DataFrame:
+def _session(*frames):
+    return next(f for f in frames if f is not None).sparkSession
+
+
+def build_dim_commune(t1: DataFrame | None, t2: DataFrame | None, emploi: DataFrame | None,
+                      revenus: DataFrame | None, quirks: Quirks = PARITY) -> DataFrame:
     """B1: communes (codgeo, libelle_commune, code_departement) from both
-    election rounds and the two commune-level facts."""
+    election rounds and the two commune-level facts (absent frames: None).
+    Ties inside one frame (same code and label) are decided by the remaining
+    columns, not by file order."""
     frames = []
     for t in (t1, t2):
+        if t is None:
+            continue
         keyed = "code_commune" if quirks.commune_labels_need_code_commune else None
         src = None
         if keyed and {"code_commune", "libelle_commune", "code_departement"} <= set(t.columns):
@@ -69,30 +77,31 @@ def build_dim_commune(t1: DataFrame, t2: DataFrame, emploi: DataFrame, revenus:
         if src:
             frames.append(t.select(F.col(src).alias("codgeo"), "libelle_commune", "code_departement"))
     for f in (emploi, revenus):
-        if "codgeo" in f.columns:
+        if f is not None and "codgeo" in f.columns:
             frames.append(f.select("codgeo", F.lit(None).cast("string").alias("libelle_commune"),
                                    prefix(F.col("codgeo").cast("string"), 2).alias("code_departement")))
     if not frames:
         schema = "codgeo string, libelle_commune string, code_departement string"
-        return t1.sparkSession.createDataFrame([], schema)
+        return _session(t1, t2, emploi, revenus).createDataFrame([], schema)
     return conformed_dimension(frames, "codgeo", "libelle_commune", 5, {"code_departement": 2})
 
 
-def build_dim_departement(t1: DataFrame, t2: DataFrame, securite: DataFrame,
+def build_dim_departement(t1: DataFrame | None, t2: DataFrame | None, securite: DataFrame | None,
                           quirks: Quirks = PARITY, label: str = "Rhone") -> DataFrame:
-    """B2: departments (code_departement, libelle_departement, code_region)."""
+    """B2: departments (code_departement, libelle_departement, code_region);
+    the crime frame gets the constant label. Absent frames: None."""
     frames = []
     for t in (t1, t2):
-        if {"code_departement", "libelle_departement"} <= set(t.columns):
+        if t is not None and {"code_departement", "libelle_departement"} <= set(t.columns):
             frames.append(t.select("code_departement", "libelle_departement",
                                    F.lit(None).cast("string").alias("code_region")))
-    if {"code_departement", "code_region"} <= set(securite.columns):
+    if securite is not None and {"code_departement", "code_region"} <= set(securite.columns):
         frames.append(securite.select("code_departement",
                                       F.lit(label).alias("libelle_departement"),
                                       F.col("code_region").cast("string").alias("code_region")))
     if not frames:
         schema = "code_departement string, libelle_departement string, code_region string"
-        return securite.sparkSession.createDataFrame([], schema)
+        return _session(t1, t2, securite).createDataFrame([], schema)
     region_first = None if quirks.department_region_by_frame_order else "code_region"
     return conformed_dimension(frames, "code_departement", "libelle_departement", 2,
                                {"code_region": 2}, region_first=region_first)

@@ -1250,3 +1250,78 @@ QUERIES.update({
     "clean_iris_measures": clean_iris_measures,
     "clean_iris_reference": clean_iris_reference,
 })
+
+
+# --------------------------------------------------------------------------
+# Star schema on whole tables: T3 + T4 facts with time keys, conformed
+# commune (B1) and department (B2) dimensions, territories view (V2)
+# --------------------------------------------------------------------------
+
+def _raw_commune_income(o):
+    k = F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0")
+    code = F.when(F.col("o_orderkey") % 6 == 0, F.concat(F.lit("38"), k)).otherwise(F.concat(F.lit("69"), k))
+    rapport = F.when(F.col("o_orderkey") % 10 != 0,
+                     F.concat((F.col("o_custkey") % 97).cast("string"), F.lit(",5")))
+    return o.select(code.alias("CODGEO"),
+                    F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(",")).alias("MED_REV"),
+                    rapport.alias("Rapport d'inégalité"),
+                    F.struct("o_orderkey").alias(D.ORDINAL))
+
+
+def star_territories(spark, d):
+    from terroir.plans.clean import add_time_key, clean_emploi, clean_revenus, clean_securite
+    from terroir.plans.dimensions import build_dim_commune, build_dim_departement
+    from terroir.plans.views import territories_view
+    li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
+    emploi = add_time_key(clean_emploi(_raw_commune_measures(li)).drop(D.ORDINAL), 2022)
+    revenus = add_time_key(clean_revenus(_raw_commune_income(o)).drop(D.ORDINAL), 2021)
+    securite = add_time_key(clean_securite(_raw_crime(o)), 2024)
+    dim_commune = build_dim_commune(None, None, emploi, revenus)
+    dim_departement = build_dim_departement(None, None, securite)
+    # synthetic commune codes have no fixed key set: no broadcast bound
+    return territories_view(dim_commune, dim_departement, revenus, emploi, commune_bound=None)
+
+
+SQL["star_territories"] = f"""
+WITH emploi AS (SELECT *, 2022 AS annee FROM ({SQL["clean_commune_measures"]})),
+rraw AS (
+  SELECT CASE WHEN o_orderkey % 6 = 0 THEN '38' ELSE '69' END || lpad(CAST(o_custkey % 1000 AS VARCHAR), 3, '0') AS code,
+         replace(CAST(o_totalprice AS VARCHAR), '.', ',') AS med,
+         CASE WHEN o_orderkey % 10 <> 0 THEN CAST(o_custkey % 97 AS VARCHAR) || ',5' END AS rap,
+         o_orderkey
+  FROM orders),
+rf AS (
+  SELECT CASE WHEN length(trim(code)) < 5 THEN lpad(trim(code), 5, '0') ELSE trim(code) END AS codgeo,
+         {_sql_parse('med')} AS med_rev, {_sql_parse('rap')} AS "rapport_dinégalité", o_orderkey
+  FROM rraw WHERE starts_with(trim(code), '69') AND length(trim(code)) >= 5),
+revenus AS (
+  SELECT codgeo, med_rev, "rapport_dinégalité", 2021 AS annee FROM (
+    SELECT *, row_number() OVER (PARTITION BY codgeo ORDER BY o_orderkey) AS rn FROM rf) WHERE rn = 1),
+sec AS (SELECT * REPLACE (2024 AS annee) FROM ({SQL["clean_crime_rows"]})),
+dcf AS (SELECT codgeo, CAST(NULL AS VARCHAR) AS libelle_commune, substr(codgeo, 1, 2) AS code_departement, 0 AS src
+        FROM emploi
+        UNION ALL
+        SELECT codgeo, CAST(NULL AS VARCHAR), substr(codgeo, 1, 2), 1 FROM revenus),
+dcg AS (SELECT codgeo, libelle_commune, code_departement, min(src) AS src FROM dcf
+        GROUP BY codgeo, libelle_commune, code_departement),
+dcp AS (SELECT CASE WHEN length(codgeo) < 5 THEN lpad(codgeo, 5, '0') ELSE codgeo END AS codgeo, libelle_commune,
+               CASE WHEN code_departement IS NULL THEN NULL
+                    WHEN length(code_departement) < 2 THEN lpad(code_departement, 2, '0')
+                    ELSE code_departement END AS code_departement, src FROM dcg),
+dc AS (SELECT codgeo, libelle_commune, code_departement FROM (
+         SELECT *, row_number() OVER (PARTITION BY codgeo ORDER BY libelle_commune ASC NULLS LAST, src,
+                                      code_departement ASC NULLS LAST) AS rn FROM dcp) WHERE rn = 1),
+ddf AS (SELECT DISTINCT code_departement, 'Rhone' AS libelle_departement, code_region FROM sec),
+dd AS (SELECT code_departement, libelle_departement, code_region FROM (
+         SELECT *, row_number() OVER (PARTITION BY code_departement ORDER BY libelle_departement ASC NULLS LAST,
+                                      code_region ASC NULLS LAST) AS rn FROM ddf) WHERE rn = 1)
+SELECT dc.codgeo, dc.libelle_commune, dd.libelle_departement, r.med_rev, r."rapport_dinégalité", r.annee,
+       e.p22_pop, e.p22_act, e.annee AS annee_1
+FROM dc
+LEFT JOIN dd ON dc.code_departement = dd.code_departement
+LEFT JOIN revenus r ON dc.codgeo = r.codgeo
+LEFT JOIN emploi e ON dc.codgeo = e.codgeo
+"""
+
+
+QUERIES["star_territories"] = star_territories
