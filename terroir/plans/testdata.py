@@ -1272,10 +1272,20 @@ def star_territories(spark, d):
     from terroir.plans.clean import add_time_key, clean_emploi, clean_revenus, clean_securite
     from terroir.plans.dimensions import build_dim_commune, build_dim_departement
     from terroir.plans.views import territories_view
+    from terroir.session import scratch_path
+    from terroir.sources.sinks import write_parquet
+
+    def written(df, name):
+        # each fact feeds a dimension and the view: write it once to the
+        # shared scratch folder and read it back (as the batch job does)
+        path = scratch_path(spark, name)
+        write_parquet(df, path)
+        return spark.read.parquet(path)
+
     li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
-    emploi = add_time_key(clean_emploi(_raw_commune_measures(li)).drop(D.ORDINAL), 2022)
-    revenus = add_time_key(clean_revenus(_raw_commune_income(o)).drop(D.ORDINAL), 2021)
-    securite = add_time_key(clean_securite(_raw_crime(o)), 2024)
+    emploi = written(add_time_key(clean_emploi(_raw_commune_measures(li)), 2022), "emploi")
+    revenus = written(add_time_key(clean_revenus(_raw_commune_income(o)), 2021), "revenus")
+    securite = written(add_time_key(clean_securite(_raw_crime(o)), 2024), "securite")
     dim_commune = build_dim_commune(None, None, emploi, revenus)
     dim_departement = build_dim_departement(None, None, securite)
     # synthetic commune codes have no fixed key set: no broadcast bound
