@@ -2,7 +2,8 @@
 rows is reduced before the shuffle (keep-first, distinct, conformed
 dimension) or split by AQE (joins); filters and projections reach the scan."""
 
-from contextlib import contextmanager
+import io
+from contextlib import contextmanager, redirect_stdout
 
 from pyspark.sql import functions as F
 
@@ -36,7 +37,11 @@ def hot_fact(spark, n=30000):
 
 
 def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan as `explain()` prints it (final plan once executed)."""
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def test_keep_first_reduces_before_shuffle(spark):

@@ -10,9 +10,11 @@ jobs while being built (model fits) are skipped.
 
 from __future__ import annotations
 
+import io
 import os
 import re
 import sys
+from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -38,9 +40,14 @@ def summarize(plan: str) -> dict:
             "pushed": ",".join(pushed) or "-"}
 
 
-def codegen_gaps(df) -> str:
-    plan = df._jdf.queryExecution().executedPlan()
-    text = plan.toString()
+def plan_text(df) -> str:
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def codegen_gaps(text: str) -> str:
     gaps = []
     for l in text.split("\n"):
         s = l.strip().lstrip(":+- ").strip()
@@ -63,10 +70,10 @@ def main():
     for name, fn in E.queries().items():
         if name in SKIP:
             continue
-        df = fn(spark, sf_dir)
-        s = summarize(df._jdf.queryExecution().executedPlan().toString())
+        text = plan_text(fn(spark, sf_dir))
+        s = summarize(text)
         print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['scans']} | {s['pushed']} | "
-              f"{codegen_gaps(df)} |", flush=True)
+              f"{codegen_gaps(text)} |", flush=True)
     spark.stop()
 
 
