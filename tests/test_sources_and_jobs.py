@@ -114,3 +114,21 @@ def test_typed_read(spark, tmp_dir):
     assert df.columns == ["code", "pop", "year", "label", "missing"]
     assert [tuple(r) for r in df.orderBy("code").collect()] == [
         ("69001", 1.5, 2021, "a", None), ("69002", None, None, "b", None), ("69003", None, None, None, None)]
+
+
+def test_streaming_resumes_from_checkpoint(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing2")
+    os.makedirs(land)
+    sink, ckpt = os.path.join(tmp_dir, "sink2"), os.path.join(tmp_dir, "ckpt2")
+
+    def clean(df):
+        return df.select(safe_code(F.col("CODGEO"), 5).alias("codgeo"),
+                         parse_number(F.col("POP")).alias("pop"))
+
+    _w(os.path.join(land, "a.csv"), "CODGEO;POP\n69001;1\n69002;2\n")
+    ingest(spark, land, ["CODGEO", "POP"], clean, ["codgeo"], sink, ckpt).awaitTermination(120)
+    # restart: a new file lands, with one key already seen and one new key
+    _w(os.path.join(land, "b.csv"), "CODGEO;POP\n69001;99\n69003;3\n")
+    ingest(spark, land, ["CODGEO", "POP"], clean, ["codgeo"], sink, ckpt).awaitTermination(120)
+    rows = sorted((r.codgeo, r.pop) for r in spark.read.parquet(sink).collect())
+    assert rows == [("69001", 1.0), ("69002", 2.0), ("69003", 3.0)]
