@@ -84,20 +84,33 @@ class QualityTracker:
     stage, whose finished tasks are never re-run, so rows_after and
     null_cells are exact. The raw and pre-deduplication observations run in
     the map stage before the deduplication shuffle; if that stage is re-run
-    after a lost executor, rows it had already counted can be counted again."""
+    after a lost executor, rows it had already counted can be counted again.
+    With `exact_counts=True` those two counts come from `count()` actions
+    instead (exact, one extra pass each)."""
 
     table_name: str
     notes: str = ""
+    # exact_counts: take the raw and pre-deduplication counts with count()
+    # actions (exact under retries, one extra pass each) instead of observing
+    exact_counts: bool = False
     _raw: Observation = field(default=None, repr=False)
     _pre: Observation = field(default=None, repr=False)
     _post: Observation = field(default=None, repr=False)
+    _raw_df: DataFrame = field(default=None, repr=False)
+    _pre_df: DataFrame = field(default=None, repr=False)
     columns_count: int | None = None
 
     def raw(self, df: DataFrame) -> DataFrame:
+        if self.exact_counts:
+            self._raw_df = df
+            return df
         self._raw = Observation(f"{self.table_name}_raw")
         return df.observe(self._raw, row_count().alias("rows"))
 
     def before_dedup(self, df: DataFrame) -> DataFrame:
+        if self.exact_counts:
+            self._pre_df = df
+            return df
         self._pre = Observation(f"{self.table_name}_pre")
         return df.observe(self._pre, row_count().alias("rows"))
 
@@ -108,10 +121,15 @@ class QualityTracker:
         return df.observe(self._post, row_count().alias("rows"),
                           null_cells(df, cols).alias("nulls"))
 
+    def _count(self, obs: Observation | None, df: DataFrame | None, default: int) -> int:
+        if df is not None:
+            return int(df.count())
+        return int(obs.get["rows"]) if obs else default
+
     def row(self, timestamp: str | None = None) -> dict:
-        before = int(self._raw.get["rows"]) if self._raw else 0
         after = int(self._post.get["rows"]) if self._post else 0
-        pre = int(self._pre.get["rows"]) if self._pre else after
+        before = self._count(self._raw, self._raw_df, 0)
+        pre = self._count(self._pre, self._pre_df, after)
         return {
             "table_name": self.table_name,
             "rows_before": before,

@@ -71,6 +71,7 @@ class EtlConfig:
     single_file_csv: bool = False         # one part file per table (small tables only)
     bom: bool = True
     parallel_loads: int = 4               # independent table writes submitted concurrently
+    exact_counts: bool = False            # raw / pre-dedup counts by count() (exact under retries)
 
     def specs(self) -> list[SourceSpec]:
         out = []
@@ -117,7 +118,7 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     trackers: dict[str, QualityTracker] = {}
 
     def tr(name, notes):
-        trackers[name] = QualityTracker(name, notes)
+        trackers[name] = QualityTracker(name, notes, exact_counts=cfg.exact_counts)
         return trackers[name]
 
     facts = {

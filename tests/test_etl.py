@@ -221,3 +221,15 @@ def test_model_from_warehouse(spark, etl):
     assert set(feats) <= {"inscrits_t1", "votants_t1", "blancs_t1", "nuls_t1", "exprimes_t1",
                           "taux_blancs_t1", "taux_nuls_t1"} and feats
     assert res.missing.count() > 0
+
+
+def test_exact_counts_mode(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("etl_exact")
+    data = base / "data"
+    data.mkdir()
+    write_inputs(str(data))
+    res = run(spark, EtlConfig(str(data), str(base / "out"), str(base / "tables"), exact_counts=True))
+    rows = {r.table_name: r for r in res.report.collect()}
+    assert (rows["fact_election_tour1"].rows_before, rows["fact_election_tour1"].rows_after,
+            rows["fact_election_tour1"].duplicates_removed) == (8, 4, 1)
+    assert (rows["fact_emploi_pop_active"].rows_before, rows["fact_emploi_pop_active"].duplicates_removed) == (7, 1)
