@@ -168,3 +168,13 @@ def test_parse_number_f3_matches_to_numeric(spark, vals):
         assert (g is None) == (w is None), (v, g, w)
         if g is not None:
             assert math.isclose(g, w, rel_tol=1e-15), (v, g, w)
+
+
+def test_clean_labels_distinct_first_same_result(spark):
+    from terroir.operators.cleaning import clean_label_columns
+    vals = [("rhone", "1Ere circ"), ("VÃ©nissieux", None), ("rhone", " lyon 1er "), (None, "2Ème Circ")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(vals)], "i int, a string, b string")
+    one = [tuple(r) for r in clean_label_columns(df, ["a", "b"]).orderBy("i").collect()]
+    two = [tuple(r) for r in clean_label_columns(df, ["a", "b"], distinct_first=True).orderBy("i").collect()]
+    assert one == two
+    assert one[1][1] == "Venissieux" and one[3][2] == "2eme Circ"
