@@ -66,9 +66,9 @@ def clean_label_columns(df: DataFrame, columns: Iterable[str], quirks: Quirks =
     label columns; Spark broadcasts it when its measured size is small and
     otherwise joins with a shuffle (AQE splits a hot label). The result is the
     same either way: cleaning is a function of the value. The value table
-    needs its own pass over `df`: worth it when `df` is cheap to re-read (a
-    written table) and its labels are few; inside a plan that parses a raw
-    file, cleaning each row is cheaper (measured on the election plan)."""
+    needs its own pass over `df`, so it pays off when `df` is cheap to re-read
+    (a written table) and holds few distinct labels; on the election plan over
+    a raw file (600k rows, warm) both forms took the same time."""
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
