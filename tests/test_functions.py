@@ -48,7 +48,8 @@ def test_zero_pad(spark):
 
 def test_title_case(spark):
     vals = ["saint-germain-au-mont-d'or", "lyon 9e arrondissement", "ÉCULLY", "L'ARBRESLE",
-            "straße ßa", "ǆungla", "élan2élan", "", "a\x01b c", "  two  spaces ", "ﬁne ﬂow"]
+            "straße ßa", "ǆungla", "élan2élan", "", "a\x01b c", "  two  spaces ", "ﬁne ﬂow",
+            "İstanbul İZMİR", "ẞ ẞa aẞ", "ᾳ ὖ ΐx", "ᲐᲑᲒ აბგ"]
     assert col_values(spark, vals, X.title_case) == [v.title() for v in vals]
 
 
