@@ -186,11 +186,19 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
         publish_table(spark, name, f"{run_path}/{name}")
         published[name] = spark.table(name)
     register_views(spark, published)
+    # pointer to the published run, next to the delimited copies
+    (spark.createDataFrame([(run_id, run_path, csv_root)], "run string, tables string, csv string")
+     .coalesce(1).write.mode("overwrite").json(f"{cfg.output_path.rstrip('/')}/_latest"))
     mark("publish")
     return EtlResult(published, report, timings, run_path)
 
 
-__all__ = ["DEFAULT_FILES", "FACT_YEARS", "EtlConfig", "EtlResult", "run"]
+def latest_run(spark: SparkSession, output_path: str) -> dict:
+    """The run id and folders of the last published run under `output_path`."""
+    return spark.read.json(f"{output_path.rstrip('/')}/_latest").first().asDict()
+
+
+__all__ = ["DEFAULT_FILES", "FACT_YEARS", "EtlConfig", "EtlResult", "run", "latest_run", "main"]
 
 
 def main(argv: list[str] | None = None) -> None:

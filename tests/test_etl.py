@@ -151,9 +151,11 @@ def test_views(spark, etl):
     assert v2.columns[-1] == "annee_1" and "annee" in v2.columns
 
 
-def test_outputs_written(etl):
+def test_outputs_written(spark, etl):
+    from terroir.plans.etl import latest_run
     res, cfg = etl
     run = os.path.basename(res.run_path)
+    assert latest_run(spark, cfg.output_path)["tables"] == res.run_path
     for name in ("fact_revenus", "dim_commune", "quality_report"):
         d = os.path.join(cfg.output_path, run, name)
         parts = [f for f in os.listdir(d) if f.startswith("part-")]
