@@ -2,10 +2,11 @@
 
 Every function takes (spark, sf_dir), reads whole tables and returns a lazy
 DataFrame; `SQL` holds the equivalent query for the SQL oracle, with the same
-output column names. Dirt (text numbers, NULLs, bad tokens, padded codes) is
-derived from the rows by fixed CASE rules on both sides; rows are never
-filtered by key arithmetic. Doubles that come out of aggregations are
-rounded half-up with the floor form on both sides.
+output column names. Dirt (text numbers, NULLs, bad tokens, padded or foreign
+codes) is derived from the rows by fixed CASE rules on both sides; no query
+shrinks its input by key arithmetic, and the only rows dropped are those the
+operator under test drops. Doubles that come out of aggregations are rounded
+half-up with the floor form on both sides.
 """
 
 from __future__ import annotations
