@@ -132,3 +132,13 @@ def test_streaming_resumes_from_checkpoint(spark, tmp_dir):
     ingest(spark, land, ["CODGEO", "POP"], clean, ["codgeo"], sink, ckpt).awaitTermination(120)
     rows = sorted((r.codgeo, r.pop) for r in spark.read.parquet(sink).collect())
     assert rows == [("69001", 1.0), ("69002", 2.0), ("69003", 3.0)]
+
+
+def test_utf8_bom_read_as_latin1(spark, tmp_dir):
+    from terroir.operators.schema import normalize_columns, rename_position
+    p = os.path.join(tmp_dir, "bom.csv")
+    with open(p, "wb") as f:
+        f.write(b"\xef\xbb\xbfCode_departement;annee\n69;2016\n")
+    df = normalize_columns(read_delimited(spark, p, encoding="latin1", ordinal=False))
+    assert df.columns == ["code_departement", "annee"]
+    assert rename_position(df, 0, "code_departement").columns == ["code_departement", "annee"]
