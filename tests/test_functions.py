@@ -179,3 +179,12 @@ def test_clean_labels_distinct_first_same_result(spark):
     two = [tuple(r) for r in clean_label_columns(df, ["a", "b"], distinct_first=True).orderBy("i").collect()]
     assert one == two
     assert one[1][1] == "Venissieux" and one[3][2] == "2eme Circ"
+
+
+def test_null_as_text_quirk(spark):
+    from terroir.quirks import Quirks
+    q = Quirks(null_as_text=True)
+    df = spark.createDataFrame([(None,), ("1",)], "v string")
+    got = [tuple(r) for r in df.select(X.safe_code(F.col("v"), 5, q), X.title_case(X.safe_code(F.col("v"), None, q)),
+                                       X.upper(X.safe_code(F.col("v"), None, q)), X.safe_code(F.col("v"), 5)).collect()]
+    assert got == [("00nan", "Nan", "NAN", None), ("00001", "1", "1", "00001")]
