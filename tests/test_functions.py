@@ -188,3 +188,14 @@ def test_null_as_text_quirk(spark):
     got = [tuple(r) for r in df.select(X.safe_code(F.col("v"), 5, q), X.title_case(X.safe_code(F.col("v"), None, q)),
                                        X.upper(X.safe_code(F.col("v"), None, q)), X.safe_code(F.col("v"), 5)).collect()]
     assert got == [("00nan", "Nan", "NAN", None), ("00001", "1", "1", "00001")]
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("aZé 09-_/\"\t﻿'.")), max_size=10),
+                min_size=1, max_size=20))
+def test_idempotent_names_strip_pad(spark, vals):
+    for v in vals:
+        assert normalize_name(normalize_name(v)) == normalize_name(v)
+    once = col_values(spark, vals, lambda c: X.zero_pad(X.strip(c), 5))
+    twice = col_values(spark, once, lambda c: X.zero_pad(X.strip(c), 5))
+    assert once == twice
