@@ -33,7 +33,10 @@ def range_extract(spark: SparkSession, path: str, out: str | None, column: str =
 
 def department_extract(spark: SparkSession, path: str, column: str = "Code_departement",
                        department: str = "69", width: int = 2, encoding: str = "utf-8") -> DataFrame:
-    """S4 + P6: rows of one department."""
+    """S4 + P6: rows of one department: the stripped code, zero-padded to
+    `width`, equals `department`. (The original compares the text of a
+    type-inferred column, whose outcome depends on whether every value of the
+    column parses as a number; this fixes the rule on the text instead.)"""
     df = read_delimited(spark, path, encoding)
     return df.filter(equals_after_pad(column, department, width)).drop(ORDINAL)
 
