@@ -36,7 +36,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str,
+def slices(batches: Iterator[pa.RecordBatch], column: str | int,
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Split batches so that `column` holds about `limit` bytes in each; a
     single longer value stays whole."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terroir.llm import packing, sharding, simple8b, url_rules, warc
+from terroir.llm import language, packing, sharding, simple8b, url_rules, warc
 from terroir.llm.common import table
 from terroir.llm.tokens import default_tokenizer
 from terroir.session import scratch_path
@@ -18,6 +18,13 @@ def op1_best_fit_packing(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), default_tokenizer(), 2048, 0)
 
 
+def op2_language_masks(spark, d):
+    docs = table(spark, d, "documents")
+    filters = language.fit(language.labelled_rows(docs))
+    return language.predict(docs, filters).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_simple8b(spark, d):
     path = scratch_path(spark, "simple8b")
     simple8b.write_token_files(table(spark, d, "documents"), path, default_tokenizer(), 2)
@@ -40,7 +47,7 @@ def op10_minimax_shards(spark, d):
     return sharding.shard_documents(table(spark, d, "documents"), 16)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_simple8b, op7_warc, op9_url_rules, op10_minimax_shards)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_masks, op3_simple8b, op7_warc, op9_url_rules, op10_minimax_shards)}
 
 _WORDS = "|".join(url_rules.BLOCKED_HOST_WORDS)
 SQL = {
