@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terroir.session import scratch_path
 
@@ -107,3 +108,57 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Consecutive rows that agree in `keys`, from sorted batches, a table each."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        change = np.zeros(b.num_rows - 1, bool)
+        for k in keys:
+            col = b.column(k)
+            change |= pc.not_equal(col.slice(1), col.slice(0, b.num_rows - 1)).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            now = tuple(b.column(k)[lo].as_py() for k in keys)
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = now
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+FILTER_BITS = 1 << 23
+
+
+def key_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """A one-hash Bloom filter of a long column as a bit array of a fixed size
+    (1 MB by default): what is sent to all tasks never grows with the data. With
+    more keys it lets more rows through; whoever uses it joins afterwards."""
+    at = F.pmod(F.xxhash64(column), F.lit(bits))
+    rows = keys.select(F.floor(at / 32).cast("int").alias("word"), (at % 32).cast("int").alias("bit")).groupBy("word").agg(
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")).toPandas()
+    out = np.zeros(bits // 32, np.uint32)
+    out[rows["word"].to_numpy()] = rows["mask"].to_numpy().astype(np.uint32)
+    return out
+
+
+def prefiltered(rows: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """Rows of which the filter may hold the long `column` (null: no)."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+    size = len(bits) * 32
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for b in batches:
+            at = b.column("__at").to_numpy(zero_copy_only=False)
+            hit = (words[at // 32] >> (at % 32).astype(np.uint32)) & np.uint32(1)
+            yield b.filter(pa.array(hit.astype(bool))).drop_columns(["__at"])
+
+    marked = rows.filter(F.col(column).isNotNull()).withColumn("__at", F.pmod(F.xxhash64(column), F.lit(size)))
+    return marked.mapInArrow(keep, rows.schema)

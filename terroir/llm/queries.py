@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terroir.llm import language, packing, sharding, simple8b, url_rules, warc
+from terroir.llm import language, near_dups, packing, sharding, simple8b, url_rules, warc
 from terroir.llm.common import table
 from terroir.llm.tokens import default_tokenizer
 from terroir.session import scratch_path
@@ -31,6 +31,10 @@ def op3_simple8b(spark, d):
     return simple8b.read_documents(spark, path)
 
 
+def op5_multi_index_minhash(spark, d):
+    return near_dups.near_duplicates(table(spark, d, "documents"))
+
+
 def op7_warc(spark, d):
     path = scratch_path(spark, "warc")
     warc.write_bundles(table(spark, d, "pages"), path, min_bytes=0)
@@ -47,7 +51,7 @@ def op10_minimax_shards(spark, d):
     return sharding.shard_documents(table(spark, d, "documents"), 16)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_masks, op3_simple8b, op7_warc, op9_url_rules, op10_minimax_shards)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_masks, op3_simple8b, op5_multi_index_minhash, op7_warc, op9_url_rules, op10_minimax_shards)}
 
 _WORDS = "|".join(url_rules.BLOCKED_HOST_WORDS)
 SQL = {
