@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from terroir.session import scratch_path
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 20 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +70,10 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Indices start, start+1, ... of every run, one after the other."""
     ends = np.cumsum(lens)
     total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - lens), lens) + np.arange(total, dtype=np.int64)
+    kind = np.int32 if total + int(starts.max(initial=0)) < 1 << 31 else np.int64
+    out = np.repeat((starts - (ends - lens)).astype(kind), lens)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def filesystem(uri: str):
@@ -136,11 +139,12 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
 FILTER_BITS = 1 << 23
 
 
-def key_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
+def key_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS, hashed: bool = False) -> np.ndarray:
     """A one-hash Bloom filter of a long column as a bit array of a fixed size
     (1 MB by default): what is sent to all tasks never grows with the data. With
-    more keys it lets more rows through; whoever uses it joins afterwards."""
-    at = F.pmod(F.xxhash64(column), F.lit(bits))
+    more keys it lets more rows through; whoever uses it joins afterwards.
+    `hashed` keys are taken as they are."""
+    at = F.pmod(F.col(column) if hashed else F.xxhash64(column), F.lit(bits))
     rows = keys.select(F.floor(at / 32).cast("int").alias("word"), (at % 32).cast("int").alias("bit")).groupBy("word").agg(
         F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")).toPandas()
     out = np.zeros(bits // 32, np.uint32)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terroir.llm import language, near_dups, packing, sharding, simple8b, url_rules, warc
+from terroir.llm import contamination, language, near_dups, packing, sharding, simple8b, url_rules, vectors, warc
 from terroir.llm.common import table
 from terroir.llm.tokens import default_tokenizer
 from terroir.session import scratch_path
@@ -31,10 +31,19 @@ def op3_simple8b(spark, d):
     return simple8b.read_documents(spark, path)
 
 
+def op4_templates(spark, d):
+    """One row for each contaminated document and benchmark item."""
+    return contamination.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("text_hash")
+
+
 def op5_multi_index_minhash(spark, d):
     return near_dups.near_duplicates(table(spark, d, "documents"))
 
 
+def op6_shard_graphs(spark, d):
+    return vectors.near_vectors(table(spark, d, "embeddings"))
+
+
 def op7_warc(spark, d):
     path = scratch_path(spark, "warc")
     warc.write_bundles(table(spark, d, "pages"), path, min_bytes=0)
@@ -51,7 +60,7 @@ def op10_minimax_shards(spark, d):
     return sharding.shard_documents(table(spark, d, "documents"), 16)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_masks, op3_simple8b, op5_multi_index_minhash, op7_warc, op9_url_rules, op10_minimax_shards)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_masks, op3_simple8b, op4_templates, op5_multi_index_minhash, op6_shard_graphs, op7_warc, op9_url_rules, op10_minimax_shards)}
 
 _WORDS = "|".join(url_rules.BLOCKED_HOST_WORDS)
 SQL = {
