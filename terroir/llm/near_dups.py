@@ -215,3 +215,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return (all_.join(of_class, ["n_shingles", "f1", "f2"], "left")
             .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that `near_duplicates` keeps, with all their columns.
+    Of rows that repeat an id the least stays; rows without an id all stay."""
+    found = written(near_duplicates(docs, id_col, text_col).select(F.col("doc_id").alias("found_id"), "kept"), "near-kept")
+    gone = found.filter("not kept").select("found_id").distinct()
+    rest = docs.join(gone, docs[id_col].cast("long") == gone["found_id"], "left_anti")
+    several = found.filter("found_id is not null").groupBy("found_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if several.isEmpty():
+        return rest
+    several = written(several.select("found_id"), "near-several")
+    single = rest.join(several, rest[id_col].cast("long") == several["found_id"], "left_anti")
+    least = rest.join(several, rest[id_col].cast("long") == several["found_id"]).groupBy("found_id").agg(
+        F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return single.unionByName(least)

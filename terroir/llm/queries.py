@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terroir.llm import contamination, language, near_dups, packing, sharding, simple8b, url_rules, vectors, warc
+from terroir.llm import contamination, language, near_dups, packing, repeats, sharding, simple8b, url_rules, vectors, warc
 from terroir.llm.common import table
 from terroir.llm.tokens import default_tokenizer
 from terroir.session import scratch_path
@@ -51,6 +51,10 @@ def op7_warc(spark, d):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_prefix_free_parsing(spark, d):
+    return repeats.remove_repeats(table(spark, d, "documents"))
+
+
 def op9_url_rules(spark, d):
     rules = [url_rules.host_path_rule(*r) for r in URL_RULES]
     return url_rules.judge_urls(table(spark, d, "pages"), rules)
@@ -60,7 +64,8 @@ def op10_minimax_shards(spark, d):
     return sharding.shard_documents(table(spark, d, "documents"), 16)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_masks, op3_simple8b, op4_templates, op5_multi_index_minhash, op6_shard_graphs, op7_warc, op9_url_rules, op10_minimax_shards)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_masks, op3_simple8b, op4_templates, op5_multi_index_minhash, op6_shard_graphs, op7_warc, op8_prefix_free_parsing,
+                                     op9_url_rules, op10_minimax_shards)}
 
 _WORDS = "|".join(url_rules.BLOCKED_HOST_WORDS)
 SQL = {
