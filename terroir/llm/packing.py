@@ -6,9 +6,8 @@
 2. The other pieces are dealt to partitions of about `per_partition` pieces by
    a hash; each partition runs best-fit decreasing. The largest of a family of
    dual-feasible-function lower bounds on its lengths certifies its bin count.
-3. Partitions that miss their bound (they have gaps), and of the certified ones
-   the emptiest bin, give up their bins that are not full: these documents are
-   dealt anew, to fewer partitions, and packed again. A new packing is kept
+3. Partitions that miss their bound (they have gaps) give up their bins that are
+   not full, certified ones their roomy bins: these documents are dealt anew, to fewer partitions, and packed again. A new packing is kept
    only where it takes fewer bins. This repeats until every bin left is
    certified by the bound of the whole pool, or a round brings no gain.
 
@@ -37,6 +36,7 @@ from terroir.llm.tokens import encoder
 
 PER_PARTITION = 8192
 ROUNDS = 6
+ROOMY = 0.95  # a bin filled less than this is worth repacking
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PIECES_AND_SALT = ["doc_id", "piece", "start", "length", "ids_crc32", "salt"]
 PLACED = PIECES + ", salt long, sequence_id long, offset long, fill long, excess int"
@@ -92,7 +92,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
         best = max(best, whole + max(0, -(-middle // capacity)))
     for k in range(1, 21):
         scaled = (k + 1) * size
-        value = np.where(scaled % capacity == 0, scaled * k, (scaled // capacity) * capacity)  # in units of 1 / (k * capacity)
+        value = np.where(scaled % capacity == 0, size * k, (scaled // capacity) * capacity)  # in units of 1 / (k * capacity)
         best = max(best, -(-int((count * value).sum()) // (k * capacity)))
     return best
 
@@ -160,12 +160,12 @@ def pack_pieces(pieces: DataFrame, capacity: int, per_partition: int = PER_PARTI
     packed = written(_pack_parts(deal(loose, n, 0), capacity, 0), "packed")
     for k in range(1, rounds + 1):
         parts = F.shiftright("sequence_id", 20)
-        # the emptiest bin of a certified part, every bin with room of the others
+        # of a certified part its roomy bins, of the others every bin that is not full
         emptiest = packed.groupBy(parts.alias("p")).agg(F.min("fill").alias("least"), F.count_distinct("sequence_id").alias("bins"))
         if emptiest.count() <= 1:
             break
         given = packed.join(emptiest.select("p", "least"), parts == F.col("p")).withColumn(
-            "give", (F.col("fill") < capacity) & ((F.col("excess") > 0) | (F.col("fill") == F.col("least"))))
+            "give", (F.col("fill") < capacity) & ((F.col("excess") > 0) | (F.col("fill") == F.col("least")) | (F.col("fill") < ROOMY * capacity)))
         given = written(given.drop("p", "least"), "given")
         pool = given.filter("give").drop("give")
         old = pool.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("sequence_id").alias("bins"), F.sum("length").alias("sum")).first()
