@@ -6,13 +6,14 @@
    Sorted by key, runs of two and more are buckets; all pairs within
    MAX_DISTANCE share one. A bucket is never expanded into pairs: its rows name
    its smallest member.
-3. A representative's home is the smallest member it meets in any bucket. Homes
-   are dealt to blocks of about BLOCK texts. In each block all signatures are
+3. A representative's home is the smallest member it meets in any bucket, or
+   that one's home in turn. Homes are dealt to blocks of about BLOCK texts. In each block all signatures are
    compared, pairs within MAX_DISTANCE that are not connected yet are confirmed
    on the full sets.
 4. Buckets whose members are in different blocks and not connected by step 3
-   name pairs of blocks; these are compared in the same way. A home of any size
-   is thus split over tasks, and members that are already connected cost nothing.
+   name pairs of blocks; these are compared in the same way, the smaller block
+   of a pair visiting the larger. A home of any size is thus split over tasks,
+   and members that are already connected cost nothing.
 5. The links found make components, by `graph.components`.
 
 Null, empty and white-space texts have no shingles and link with nothing. Rows
@@ -176,36 +177,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = all_.filter("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = written(classes, "classes")
-    reps = classes.filter("rep is not null").groupBy("rep").agg(F.first("sig").alias("sig"))
+    reps = classes.filter("rep is not null").select("rep", "sig")
     met = written(buckets(reps), "buckets")
 
     homes = met.groupBy("rep").agg(F.min("first").alias("home"))
+    for _ in range(2):  # the home of the home's home's home
+        homes = written(homes, "homes")
+        homes = homes.join(homes.toDF("home", "next"), "home").select("rep", F.col("next").alias("home"))
     sizes = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
-    homes = homes.join(sizes, "home").select("rep", "home", F.pmod(F.xxhash64("rep"), "parts").cast("int").alias("part"))
+    homes = homes.join(sizes, "home").select("rep", F.xxhash64("home", F.pmod(F.xxhash64("rep"), "parts")).alias("block"))
     homes = written(homes, "homes")
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
     texts = prefiltered(texts, "rep", key_filter(homes, "rep")).join(homes, "rep").join(reps, "rep")
     texts = written(texts, "near-texts")
 
-    inner = _compared(texts.withColumn("label", F.col("rep")).withColumn("side", F.lit(0)), ["home", "part"])
+    inner = _compared(texts.withColumn("label", F.col("rep")).withColumn("side", F.lit(0)), ["block"])
     inner = written(inner.distinct(), "inner")
-    labels = homes.join(inner, "rep", "left").select("rep", "home", "part", F.coalesce("root", "rep").alias("label"))
+    labels = homes.join(inner, "rep", "left").select("rep", "block", F.coalesce("root", "rep").alias("label"))
     labels = written(labels, "labels")
 
     # buckets that hold several components name the pairs of blocks to compare
-    at = F.struct("home", "part")
     seen = met.join(labels, "rep").groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"),
-                                                      F.collect_set(at).alias("blocks"))
+                                                      F.collect_set("block").alias("blocks"))
     seen = seen.filter("a <> b and size(blocks) > 1").select(F.array_sort("blocks").alias("blocks")).distinct()
     pairs = seen.select(F.explode(F.expr(
         "flatten(transform(blocks, (x, i) -> transform(slice(blocks, i + 2, size(blocks)), y -> struct(x as x, y as y))))"
     )).alias("p")).distinct().select("p.x", "p.y")
-    pairs = written(pairs, "block-pairs")
-    sides = pairs.select("x", "y", F.explode(F.array(F.struct(F.col("x").alias("at"), F.lit(0).alias("side")),
-                                                     F.struct(F.col("y").alias("at"), F.lit(1).alias("side")))).alias("s"))
-    sides = sides.select(F.xxhash64("x", "y").alias("pair"), "s.side", "s.at.home", "s.at.part")
-    both = sides.join(texts.join(labels.select("rep", "label"), "rep"), ["home", "part"])
-    outer = _compared(both.select("pair", "side", "rep", "label", "sig", "text"), ["pair"])
+    # the larger block of a pair is the host; its guests come to it, at most about two blocks at a time
+    count = labels.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    pairs = pairs.join(count.toDF("x", "nx"), "x").join(count.toDF("y", "ny"), "y")
+    pairs = written(pairs.select(F.when(F.col("nx") >= F.col("ny"), F.col("x")).otherwise(F.col("y")).alias("host"),
+                                 F.when(F.col("nx") >= F.col("ny"), F.col("y")).otherwise(F.col("x")).alias("guest"),
+                                 F.least("nx", "ny").alias("n")), "block-pairs")
+    chunks = pairs.groupBy("host").agg(F.ceil(F.sum("n") / (2 * block)).alias("chunks"))
+    visits = pairs.join(chunks, "host").select("host", "guest", F.pmod(F.xxhash64("guest"), "chunks").alias("chunk"))
+    sides = visits.select("host", "chunk", F.col("guest").alias("block"), F.lit(1).alias("side")).unionByName(
+        visits.select("host", "chunk", F.col("host").alias("block"), F.lit(0).alias("side")).distinct())
+    both = sides.join(texts.join(labels.select("rep", "label"), "rep"), "block")
+    outer = _compared(both.select("host", "chunk", "side", "rep", "label", "sig", "text"), ["host", "chunk"])
 
     roots = components(outer.select("rep", "root"))
     found = labels.filter("rep <> label").select("rep", "label").unionByName(
@@ -228,6 +237,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return rest
     several = written(several.select("found_id"), "near-several")
     single = rest.join(several, rest[id_col].cast("long") == several["found_id"], "left_anti")
-    least = rest.join(several, rest[id_col].cast("long") == several["found_id"]).groupBy("found_id").agg(
-        F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    rows = rest.select(F.col(id_col).cast("long").alias("found_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    least = rows.join(several, "found_id").groupBy("found_id").agg(F.min("row").alias("row")).select("row.*")
     return single.unionByName(least)
