@@ -60,10 +60,12 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         if count == 1:
             fits = ~big[:, :BLOCK]
         else:
-            seen = np.zeros((blocks, grid.shape[1] + 1), np.int32)
-            np.cumsum(big, axis=1, out=seen[:, 1:])
+            seen = np.zeros((blocks, grid.shape[1] + 1), np.int16)
+            np.cumsum(big, axis=1, dtype=np.int16, out=seen[:, 1:])
             fits = seen[:, count:count + BLOCK] == seen[:, :BLOCK]
         best[fits] = s
+        if not fits[:, :BLOCK - 120].any():
+            break  # then no longer run of narrower ids is there either
     at, rows = np.zeros(blocks, np.int64), np.arange(blocks)
     steps_at, steps_sel = [], []
     while (live := at < length).any():
@@ -257,4 +259,4 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> Da
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
 
-    return files.repartition("file").mapInArrow(read, schema).drop("part")
+    return files.repartition(max(1, files.count()), "file").mapInArrow(read, schema).drop("part")

@@ -10,6 +10,7 @@ the texts go to the library whole.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 
 from terroir.llm.common import ragged
 
-CACHE_CHUNKS = 300_000  # chunks a worker remembers before it starts afresh
+CACHE_CHUNKS = 900_000  # chunks a worker remembers before it forgets the rare ones
 CACHE_CHARS = 64        # longer chunks are encoded each time
 
 
@@ -32,7 +33,20 @@ class Encoder:
     def reset(self) -> None:
         self.at: dict[str, int] = {}
         self.flat = np.zeros(1 << 20, np.uint32)
-        self.off = [0]
+        self.off = np.zeros(1, np.int64)
+        self.hits = np.zeros(0, np.uint8)
+
+    def shrink(self) -> None:
+        """Forget the chunks that only one batch has asked for."""
+        kept = [(k, i) for k, i in self.at.items() if self.hits[i] > 1]
+        if len(kept) > CACHE_CHUNKS // 2:
+            kept = []
+        old = np.fromiter((i for _, i in kept), np.int64, len(kept))
+        lens = np.diff(self.off)[old]
+        flat = self.flat[ragged(self.off[old], lens)]
+        self.at = {k: n for n, (k, _) in enumerate(kept)}
+        self.flat, self.off = flat, np.concatenate([[0], np.cumsum(lens)])
+        self.hits = np.ones(len(kept), np.uint8)
 
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -44,10 +58,13 @@ class Encoder:
             got = self.library(col.to_pylist())
             off = np.zeros(len(got) + 1, np.int64)
             np.cumsum([len(x) for x in got], out=off[1:])
-            return np.fromiter((i for x in got for i in x), np.uint32, int(off[-1])), off
+            return np.fromiter(chain.from_iterable(got), np.uint32, int(off[-1])), off
         chunks = pc.ascii_split_whitespace(pc.replace_substring_regex(col, r"([a-zA-Z])([.,!;:?])", r"\1 \2"))
         coded = chunks.flatten().dictionary_encode()
-        at, lens = self._look_up(coded.dictionary.to_pylist())
+        values = coded.dictionary
+        # the tokenizer lower-cases; its special tokens are the only case-sensitive strings
+        values = pc.if_else(pc.match_substring(values, "<"), values, pc.ascii_lower(values))
+        at, lens = self._look_up(values.to_pylist())
         code = coded.indices.to_numpy(zero_copy_only=False)
         n = lens[code]
         ids = self.flat[ragged(at[code], n)]
@@ -55,32 +72,29 @@ class Encoder:
         per = pc.list_value_length(chunks).to_numpy(zero_copy_only=False)
         return ids, ends[np.concatenate([[0], np.cumsum(per, dtype=np.int64)])]
 
-    def _look_up(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.at) + len(chunks) > CACHE_CHUNKS + len(chunks) // 2 and len(self.at) > CACHE_CHUNKS // 2:
-            self.reset()
-        # the tokenizer lower-cases; its special tokens are the only case-sensitive strings
-        keys = [c.lower() if c.isascii() and "<" not in c else c for c in chunks]
+    def _look_up(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(place in `flat`, number of ids) of each chunk."""
+        if len(self.at) > CACHE_CHUNKS:
+            self.shrink()
         new = list(dict.fromkeys(k for k in keys if k not in self.at))
-        for lo in range(0, len(new), 50_000):
-            part = new[lo:lo + 50_000]
+        for lo in range(0, len(new), 20_000):
+            part = new[lo:lo + 20_000]
             got = self.library(part)
             n = np.fromiter(map(len, got), np.int64, len(got))
-            first = self.off[-1]
+            first, base = int(self.off[-1]), len(self.off) - 1
             need = first + int(n.sum())
             if need > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), np.uint32)])
-            self.flat[first:need] = np.fromiter((i for x in got for i in x), np.uint32, int(n.sum()))
-            base = len(self.off) - 1
-            self.off.extend((first + np.cumsum(n)).tolist())
-            for k, key in enumerate(part):
-                self.at[key] = base + k
+            self.flat[first:need] = np.fromiter(chain.from_iterable(got), np.uint32, need - first)
+            self.off = np.concatenate([self.off, first + np.cumsum(n)])
+            self.at.update(zip(part, range(base, base + len(part))))
+        self.hits = np.concatenate([self.hits, np.zeros(len(self.off) - 1 - len(self.hits), np.uint8)])
         where = np.fromiter(map(self.at.__getitem__, keys), np.int64, len(keys))
-        off = np.asarray(self.off, np.int64)
-        at, lens = off[where], off[where + 1] - off[where]
+        self.hits[where] = np.minimum(self.hits[where], 254) + 1  # repeats in a batch count once
         for k in new:
             if len(k) > CACHE_CHARS:
                 del self.at[k]
-        return at, lens
+        return self.off[where], self.off[where + 1] - self.off[where]
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
