@@ -8,7 +8,6 @@ Sub-packages:
   sources    delimited scans, sinks, catalog access
   plans      the cleaning plans, dimension builds, views and jobs that
              compose the operators
-  streaming  incremental ingestion of newly landed files
 """
 
 from terroir.quirks import Quirks

@@ -14,6 +14,8 @@ from terroir.functions.text import strip
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 # Fixed value: the whitespace a C-locale numeric parse skips.
 ASCII_WS = " \t\n\x0b\x0c\r"
+# Doubles of this size and more have no fraction.
+EXACT_DOUBLE = float(1 << 53)
 
 
 def _c(c) -> Column:
@@ -41,11 +43,20 @@ def parse_number(c, decimal_comma: bool = True) -> Column:
     return F.when(s.rlike(NUMBER_PATTERN) & (F.abs(v) != F.lit(float("inf"))), v)
 
 
+def parse_long(c, decimal_comma: bool = False) -> Column:
+    """F2 in 64 bits: plain digits are cast as they are, so keys beyond 2^53
+    stay exact; other numbers count when they have no fraction and are within
+    2^53. The rest is NULL (the original raised)."""
+    s = _c(c).cast("string")
+    s = strip(F.replace(s, F.lit(","), F.lit("."))) if decimal_comma else F.btrim(s, F.lit(ASCII_WS))
+    d = parse_number(c, decimal_comma)
+    whole = (d == F.floor(d)) & (F.abs(d) <= F.lit(EXACT_DOUBLE))
+    return F.when(s.rlike(r"^[+-]?\d+$"), s.try_cast("bigint")).when(whole, d.try_cast("bigint"))
+
+
 def parse_int(c) -> Column:
-    """nullable integer; a value with a non-zero fraction is NULL
-    (the original raised)."""
-    d = parse_number(c, decimal_comma=False)
-    return F.when(d == F.floor(d), d.try_cast("int"))
+    """nullable integer (64 bits, see `parse_long`)."""
+    return parse_long(c)
 
 
 def finite_or_null(c) -> Column:
@@ -61,9 +72,15 @@ def ratio(a, b) -> Column:
 
 def round_half_up(c, digits: int = 2) -> Column:
     """Round half up with floor(x * 10^d + 0.5) / 10^d. Used instead of
-    `round` so both this engine and the SQL oracle agree to the last bit."""
-    scale = float(10 ** digits)
-    return (F.floor(_c(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    `round` so both this engine and the SQL oracle agree to the last bit.
+    Spark's `floor` yields a 64-bit integer, so scaled values that have no
+    fraction skip it; NaN and infinities stay."""
+    scale = F.lit(float(10 ** digits))
+    x = _c(c).cast("double")
+    y = x * scale + F.lit(0.5)
+    small = F.abs(y) < F.lit(EXACT_DOUBLE)
+    large = F.when(F.abs(y) == F.lit(float("inf")), x).otherwise(y / scale)
+    return F.when(small, F.floor(y).cast("double") / scale).otherwise(large)
 
 
 def guarded_percentage(num, den, digits: int = 2) -> Column:
@@ -72,10 +89,5 @@ def guarded_percentage(num, den, digits: int = 2) -> Column:
     return F.when(_c(den) > 0, round_half_up(pct, digits))
 
 
-def to_double(c) -> Column:
-    """numeric columns cast, text columns try-cast."""
-    return _c(c).try_cast("double")
-
-
-__all__ = ["NUMBER_PATTERN", "parse_number", "parse_int", "finite_or_null", "ratio",
-           "round_half_up", "guarded_percentage", "to_double"]
+__all__ = ["NUMBER_PATTERN", "parse_number", "parse_long", "parse_int", "finite_or_null", "ratio",
+           "round_half_up", "guarded_percentage"]

@@ -1,4 +1,4 @@
-"""Text expressions (Column -> Column), all JVM-side except `strip_accents`.
+"""Text expressions (Column -> Column), all JVM-side.
 
 Each function mirrors one cleaning step of the original job with built-in
 Spark expressions so that it stays inside whole-stage codegen.
@@ -7,11 +7,11 @@ Spark expressions so that it stays inside whole-stage codegen.
 from __future__ import annotations
 
 import sys
+import unicodedata
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from terroir.quirks import PARITY, Quirks
 
@@ -19,12 +19,9 @@ from terroir.quirks import PARITY, Quirks
 # Fixed values (must equal the original job's behaviour)
 # ---------------------------------------------------------------------------
 
-# Characters that Python's str.isspace() accepts, as a Java regex class:
-# TAB LF VT FF CR, FS GS RS US, SPACE, NEL, NBSP, OGHAM SPACE MARK,
-# EN QUAD .. HAIR SPACE, LINE SEP, PARAGRAPH SEP, NNBSP, MMSP, IDEOGRAPHIC SPACE.
-WS_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-# The same characters as a plain set, for btrim.
+# Characters that Python's str.isspace() accepts: TAB LF VT FF CR, FS GS RS US,
+# SPACE, NEL, NBSP, OGHAM SPACE MARK, EN QUAD .. HAIR SPACE, LINE SEP,
+# PARAGRAPH SEP, NNBSP, MMSP, IDEOGRAPHIC SPACE.
 WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
             + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
 
@@ -55,39 +52,33 @@ ORDINAL_NTH_FULL = r"(\d+)(Eme|Ème)\b"
 # ---------------------------------------------------------------------------
 
 
-def _multi_char_titles() -> dict:
-    """Lower-case code points whose title-case form has several characters
-    ('ß' -> 'Ss', 'ﬁ' -> 'Fi', ...); derived from the Unicode database."""
-    out = {}
-    for i in range(sys.maxunicode + 1):
-        if 0xD800 <= i <= 0xDFFF:
-            continue
-        ch = chr(i)
-        if len(ch.title()) > 1:
-            out[ch] = ch.title()
-    return out
+def _characters():
+    return (chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i <= 0xDFFF)
 
 
-MULTI_CHAR_TITLES = _multi_char_titles()
+@cache
+def rare_titles() -> dict[str, str]:
+    """Characters whose title form the lower-case + `initcap` route cannot
+    produce: a title form of several characters ('ß' -> 'Ss', 'ﬁ' -> 'Fi'), or
+    one that differs from the title form of the lower case ('İ', 'ẞ', Georgian
+    capitals ...). Derived from the Unicode database on first use."""
+    return {ch: ch.title() for ch in _characters() if len(ch.title()) > 1 or ch.title() != ch.lower().title()}
+
+
+@cache
+def ascii_forms() -> tuple[dict[str, str], dict[str, str]]:
+    """Non-ASCII characters whose compatibility decomposition (NFKD) holds
+    ASCII characters: those with one, those with several. Derived from the
+    Unicode database on first use."""
+    one, several = {}, {}
+    for ch in _characters():
+        if ch > "\x7f" and unicodedata.decomposition(ch):
+            plain = "".join(x for x in unicodedata.normalize("NFKD", ch) if x <= "\x7f")
+            if plain:
+                (one if len(plain) == 1 else several)[ch] = plain
+    return one, several
 
 
-def _rare_titles() -> dict:
-    """Characters whose title form the lower-case + `initcap` route cannot
-    produce: a multi-character title form, or a title form that differs from
-    the title form of the lower case ('İ', 'ẞ', Georgian capitals ...).
-    Derived from the Unicode database; maps each to its title form."""
-    out = dict(MULTI_CHAR_TITLES)
-    for i in range(sys.maxunicode + 1):
-        if 0xD800 <= i <= 0xDFFF:
-            continue
-        ch = chr(i)
-        if ch.title() != ch.lower().title():
-            out[ch] = ch.title()
-    return out
-
-
-RARE_TITLES = _rare_titles()
-_RARE_CHARS = "".join(RARE_TITLES)
 # Markers used during title casing: original spaces (ASCII keeps initcap on
 # its fast path) and token-initial letters with a multi-character title form.
 _SPACE_MARK = "\x01"
@@ -145,7 +136,7 @@ def title_prepare(c) -> Column:
     (see operators.cleaning)."""
     c = _c(c)
     chars = F.regexp_extract_all(c, F.lit("(?s)(.)"), 1)
-    titles = F.create_map(*[F.lit(x) for kv in RARE_TITLES.items() for x in kv])
+    titles = F.create_map(*[F.lit(x) for kv in rare_titles().items() for x in kv])
 
     def one(ch: Column, i: Column) -> Column:
         prev_cased = F.element_at(chars, i).rlike(f"[{_CASED}]")
@@ -154,7 +145,7 @@ def title_prepare(c) -> Column:
 
     exact = F.concat(F.lit(_DONE_MARK), F.array_join(F.transform(chars, one), ""))
     non_ascii = F.octet_length(c) != F.length(c)
-    rare = non_ascii & (F.length(F.translate(c, _RARE_CHARS, "")) != F.length(c))
+    rare = non_ascii & (F.length(F.translate(c, "".join(rare_titles()), "")) != F.length(c))
     return F.when(rare, exact).otherwise(F.lower(c))
 
 
@@ -181,7 +172,7 @@ def title_case(c) -> Column:
 
     `title_finish(title_prepare(c))`: built on `initcap` over a string with a
     space after every uncased character; strings with one of the rare
-    characters of `RARE_TITLES` take an exact per-character path.
+    characters of `rare_titles` take an exact per-character path.
 
     Known differences from Python (about 0.25% of random strings drawn from
     Latin, Greek and Armenian letters; none in Latin-1): characters whose
@@ -225,18 +216,21 @@ def regex_replace(c, pattern: str, replacement: str) -> Column:
     return F.regexp_replace(_c(c), pattern, replacement)
 
 
-@F.pandas_udf(T.StringType())
-def _nfkd_ascii(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
-
-
 def strip_accents(c) -> Column:
     """NFKD decomposition, then drop every non-ASCII character.
 
-    Spark has no Unicode normaliser, so this is the one Arrow-batched pandas
-    UDF of the library (vectorised pandas string methods, no per-row Python
-    loop in user code)."""
-    return _nfkd_ascii(_c(c))
+    A character decomposes by itself, and what it leaves in ASCII is fixed:
+    `translate` replaces those that leave one character, strings with one that
+    leaves several take a per-character path, the rest is dropped. ASCII
+    strings are passed through."""
+    s = _c(c)
+    one, several = ascii_forms()
+    chars = F.regexp_extract_all(s, F.lit("(?s)(.)"), 1)
+    forms = F.create_map(*[F.lit(x) for kv in several.items() for x in kv])
+    spelled = F.array_join(F.transform(chars, lambda ch: F.coalesce(F.element_at(forms, ch), ch)), "")
+    rare = F.length(F.translate(s, "".join(several), "")) != F.length(s)
+    letters = F.translate(F.when(rare, spelled).otherwise(s), "".join(one), "".join(one.values()))
+    return F.when(F.octet_length(s) == F.length(s), s).otherwise(F.regexp_replace(letters, "[^\\x00-\\x7F]+", ""))
 
 
 def remove_substring(c, sub: str) -> Column:
@@ -254,36 +248,9 @@ def prefix(c, n: int) -> Column:
     return F.substring(_c(c), 1, n)
 
 
-def clean_text(c, remove_accents: bool = False, quirks: Quirks = PARITY) -> Column:
-    """repair -> strip -> title -> label map -> ordinal regex [-> accents]
-    as one expression, for a single use on a column reference. To clean whole
-    columns, or to chain passes, use `operators.cleaning.clean_text_columns`
-    (staged projections)."""
-    s = repair_mojibake(c, quirks)
-    s = title_case(strip(s))
-    s = map_values(s, LABEL_MAP)
-    if quirks.ordinal_whole_cell_only:
-        s = regex_replace(s, ORDINAL_PATTERN, ORDINAL_REPLACEMENT)
-    else:
-        s = F.regexp_replace(s, ORDINAL_FIRST_FULL, "$1ère")
-        s = F.regexp_replace(s, ORDINAL_NTH_FULL, "$1ème")
-    if remove_accents:
-        s = strip_accents(s)
-    return s
-
-
-def clean_label(c, quirks: Quirks = PARITY) -> Column:
-    """Labels of the election facts: cleaned twice for parity (Q10), the
-    second pass stripping accents; one pass otherwise. One expression, for
-    small inputs; `operators.cleaning.clean_label_columns` is the staged form."""
-    if quirks.clean_text_twice:
-        return clean_text(clean_text(c, False, quirks), True, quirks)
-    return clean_text(c, False, quirks)
-
-
 __all__ = [
-    "WS_CLASS", "MOJIBAKE_TRIGGERS", "LABEL_MAP", "MULTI_CHAR_TITLES",
+    "MOJIBAKE_TRIGGERS", "LABEL_MAP", "rare_titles", "ascii_forms",
     "strip", "strip_char", "zero_pad", "safe_code", "title_case", "title_prepare", "title_finish", "upper",
     "repair_mojibake", "map_values", "regex_replace", "strip_accents",
-    "remove_substring", "sentinel_to_null", "prefix", "clean_text", "clean_label",
+    "remove_substring", "sentinel_to_null", "prefix",
 ]

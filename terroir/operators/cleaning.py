@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terroir.functions.text import (LABEL_MAP, ORDINAL_FIRST_FULL, ORDINAL_NTH_FULL, ORDINAL_PATTERN,
@@ -48,43 +48,18 @@ def clean_text_columns(df: DataFrame, columns: Iterable[str], remove_accents: bo
     return df
 
 
-def _clean_labels(df: DataFrame, cols: list[str], quirks: Quirks) -> DataFrame:
-    df = clean_text_columns(df, cols, False, quirks)
-    if quirks.clean_text_twice:
-        df = clean_text_columns(df, cols, True, quirks)
-    return df
+def clean_label_columns(df: DataFrame, columns: Iterable[str], quirks: Quirks = PARITY) -> DataFrame:
+    """Election labels: two passes for parity (Q10), the second stripping
+    accents; one pass otherwise."""
+    df = clean_text_columns(df, columns, False, quirks)
+    return clean_text_columns(df, columns, True, quirks) if quirks.clean_text_twice else df
 
 
-def clean_label_columns(df: DataFrame, columns: Iterable[str], quirks: Quirks = PARITY,
-                        distinct_first: bool = False) -> DataFrame:
-    """Election labels: two passes for parity (Q10), the second stripping
-    accents; one pass otherwise.
-
-    `distinct_first`: labels repeat (a commune name on every polling-station
-    row), so clean each distinct raw value once and join the result back.
-    The value table is built by a partially aggregated distinct over all the
-    label columns; Spark broadcasts it when its measured size is small and
-    otherwise joins with a shuffle (AQE splits a hot label). The result is the
-    same either way: cleaning is a function of the value. The value table
-    needs its own pass over `df`, so it pays off when `df` is cheap to re-read
-    (a written table) and holds few distinct labels; on the election plan over
-    a raw file (600k rows, warm) both forms took the same time."""
-    cols = [c for c in columns if c in df.columns]
-    if not cols:
-        return df
-    if not distinct_first:
-        return _clean_labels(df, cols, quirks)
-    from functools import reduce
-    raw = reduce(lambda a, b: a.unionByName(b),
-                 [df.select(F.col(c).alias("_raw")) for c in cols]).filter(F.col("_raw").isNotNull())
-    values = raw.distinct()
-    cleaned = _clean_labels(values.withColumn("_clean", F.col("_raw")), ["_clean"], quirks)
-    out = df
-    for i, c in enumerate(cols):
-        m = cleaned.select(F.col("_raw").alias(f"_raw{i}"), F.col("_clean").alias(f"_clean{i}"))
-        out = (out.join(m, out[c] == m[f"_raw{i}"], "left")
-                  .withColumn(c, F.col(f"_clean{i}")).drop(f"_raw{i}", f"_clean{i}"))
-    return out.select(*df.columns)
-
-
-__all__ = ["clean_text_columns", "clean_label_columns"]
+def computed_once(df: DataFrame) -> DataFrame:
+    """A barrier for the optimizer: filters above it are not pushed below the
+    projection that made the columns, where they would repeat its expressions
+    (a number parse would run in the filter, several times, and again after)."""
+    return df.observe(Observation(), F.count(F.lit(1)).alias("rows"))
+
+
+__all__ = ["clean_text_columns", "clean_label_columns", "computed_once"]

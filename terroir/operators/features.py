@@ -10,8 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +22,18 @@ from terroir.session import ensure_checkpoint_dir
 FEATURES = "features"
 
 
-def right_size(df: DataFrame, rows_per_partition: int = 500_000) -> DataFrame:
-    """Coalesce a checkpointed frame to about `rows_per_partition` rows per
-    partition (counting a checkpoint is a cheap re-read). Many small fits
-    then do not pay for hundreds of near-empty tasks; large inputs keep one
-    partition per half-million rows."""
-    n = df.count()
-    want = max(1, -(-n // rows_per_partition))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+def fit_partitions(df: DataFrame, keys: Sequence[str], partitions: int = 32, max_rows: int | None = None) -> DataFrame:
+    """The frame a model is fitted on: dealt to a fixed number of partitions by
+    its keys and sorted in each, since the forest draws its samples by
+    partition and position; the same rows give the same model however they
+    came. `max_rows` bounds the rows that are fitted (about; chosen by a hash of
+    the keys): what makes deep forests affordable on large tables."""
+    if max_rows is not None:
+        n = df.count()
+        if n > max_rows:
+            df = df.filter(F.pmod(F.xxhash64(*keys, F.lit(7)), F.lit(1 << 30)) < int(max_rows / n * (1 << 30)))
+    rest = [c for c in df.columns if c not in keys and not isinstance(df.schema[c].dataType, VectorUDT)]
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys, *rest)
 
 
 def hash_bucket(keys: Sequence[str], seed: int = 42, modulus: int = 1000) -> Column:
@@ -51,10 +55,11 @@ def assemble(df: DataFrame, features: Sequence[str], output: str = FEATURES) ->
                            handleInvalid="keep").transform(df)
 
 
-def forest(label: str, num_trees: int = 100, max_depth: int = 5, seed: int = 42,
+def forest(label: str, num_trees: int = 100, max_depth: int = 30, seed: int = 42,
            feature_subset: str = "all", max_bins: int = 32) -> RandomForestRegressor:
-    """Random-forest regression. Depth 30 / all features / 100 trees is the
-    parity setting; depth is a parameter because its cost grows steeply."""
+    """Random-forest regression. 100 trees of all features without a depth
+    limit (30 is the library's largest depth) is the original's setting; the
+    depth is a parameter because its cost grows steeply."""
     return RandomForestRegressor(featuresCol=FEATURES, labelCol=label, numTrees=num_trees,
                                  maxDepth=max_depth, seed=seed,
                                  featureSubsetStrategy=feature_subset,
@@ -76,40 +81,33 @@ def predictions(model, df: DataFrame, label: str, keys: Sequence[str] = ()) -> D
                                       F.col("prediction").alias("predicted"))
 
 
-def r2_of(model, df: DataFrame, label: str) -> float:
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-    return float(ev.evaluate(model.transform(df)))
-
-
 def learning_curve(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
                    fractions: Sequence[float] = tuple(i / 10 for i in range(1, 11)),
                    folds: int = 5, num_trees: int = 20, max_depth: int = 5, seed: int = 42,
-                   parallelism: int = 4) -> list[tuple[float, float, float]]:
+                   parallelism: int = 4, max_rows: int | None = None) -> list[tuple[float, float, float]]:
     """For each training fraction, the mean train and validation R2 over
     `folds` hash folds. Fits are submitted concurrently from a small thread
-    pool over one assembled frame."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    pool over one assembled frame; `max_rows` bounds the rows fitted."""
+    ensure_checkpoint_dir(df.sparkSession)
     fold = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 1)), F.lit(folds))
     sub = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 2)), F.lit(1000))
-    data = assemble(df, features).select(FEATURES, label, fold.alias("_fold"), sub.alias("_sub"))
-    data = right_size(data.checkpoint(eager=True))
+    data = fit_partitions(df.select(*keys, *features, label), keys, max_rows=max_rows)
+    data = assemble(data, features).select(FEATURES, label, fold.alias("_fold"), sub.alias("_sub")).checkpoint(eager=True)
     jobs = [(f, k) for f in fractions for k in range(folds)]
 
     def run(job):
         f, k = job
         in_train = (F.col("_fold") != k) & (F.col("_sub") < int(round(f * 1000)))
         m = forest(label, num_trees, max_depth, seed).fit(data.filter(in_train))
-        # both scores in one pass: R2 = 1 - SSE / (sum y^2 - (sum y)^2 / n) per group
+        # both scores in one pass: R2 = 1 - SSE / (n * variance) per group
         scored = m.transform(data.filter(in_train | (F.col("_fold") == k)))
         e = F.col("prediction") - F.col(label)
         y = F.col(label)
         rows = (scored.groupBy(in_train.alias("is_train"))
-                .agg(F.sum(e * e).alias("sse"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"),
-                     F.count(y).alias("n")).collect())
+                .agg(F.sum(e * e).alias("sse"), (F.count(y) * F.var_pop(y)).alias("sst")).collect())
         r2 = {}
         for r in rows:
-            sst = r["syy"] - r["sy"] * r["sy"] / r["n"]
+            sst = r["sst"]
             r2[r["is_train"]] = 1.0 - r["sse"] / sst if sst else float("nan")
         return f, r2.get(True, float("nan")), r2.get(False, float("nan"))
 
@@ -119,9 +117,8 @@ def learning_curve(df: DataFrame, features: Sequence[str], label: str, keys: Seq
     for f in fractions:
         rs = [r for r in results if r[0] == f]
         out.append((float(f), sum(r[1] for r in rs) / len(rs), sum(r[2] for r in rs) / len(rs)))
-    del spark
     return out
 
 
-__all__ = ["FEATURES", "right_size", "hash_bucket", "hash_split", "assemble", "forest", "feature_importance",
-           "predictions", "r2_of", "learning_curve"]
+__all__ = ["FEATURES", "fit_partitions", "hash_bucket", "hash_split", "assemble", "forest", "feature_importance",
+           "predictions", "learning_curve"]

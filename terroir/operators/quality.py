@@ -1,7 +1,9 @@
 """Data-quality operators.
 
-Counts are taken with `DataFrame.observe` so that they come for free with the
-write action of a table instead of re-running its plan once per count.
+The deduplication counts the copies of each row it keeps, so the sum of the
+copies is the number of rows before it. Both numbers are observed on the
+deduplicated frame, in the result stage of a table's write, whose finished
+tasks never run again: exact after a lost executor, and without another pass.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Columns of the quality report.
 QUALITY_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("rows_before", T.LongType()),
@@ -74,70 +77,57 @@ def null_profile(df: DataFrame, columns: Iterable[str] | None = None,
                       ratio.cast("double").alias("null_ratio"))
 
 
+COPIES = "_copies"
+
+
+def counted_distinct(df: DataFrame) -> DataFrame:
+    """D1 with the number of copies of each row."""
+    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(row_count().alias(COPIES))
+
+
+def counted_first(df: DataFrame, key: str, order: str) -> DataFrame:
+    """D2 (the first row per key in `order`) with the number of rows per key,
+    combined before the shuffle."""
+    rest = [c for c in df.columns if c not in (key, order)]
+    first = F.min(F.struct(F.col(order), *[F.col(f"`{c}`") for c in rest])).alias("_first")
+    out = df.groupBy(key).agg(first, row_count().alias(COPIES))
+    return out.select(*[F.col("_first").getField(c).alias(c) if c != key else F.col(key) for c in df.columns], COPIES)
+
+
 @dataclass
 class QualityTracker:
-    """Three observation points of one cleaning plan -- the raw scan,
-    the frame before deduplication, the final frame. The metrics are filled
-    by the first action that runs the final plan (the table write).
-
-    Under executor loss: the final observation runs in the write's result
-    stage, whose finished tasks are never re-run, so rows_after and
-    null_cells are exact. The raw and pre-deduplication observations run in
-    the map stage before the deduplication shuffle; if that stage is re-run
-    after a lost executor, rows it had already counted can be counted again.
-    With `exact_counts=True` those two counts come from `count()` actions
-    instead (exact, one extra pass each)."""
+    """The raw scan, counted by an action of its own, and the
+    deduplicated frame with its `COPIES`, observed by the table's write."""
 
     table_name: str
     notes: str = ""
-    # exact_counts: take the raw and pre-deduplication counts with count()
-    # actions (exact under retries, one extra pass each) instead of observing
-    exact_counts: bool = False
-    _raw: Observation = field(default=None, repr=False)
-    _pre: Observation = field(default=None, repr=False)
+    _raw: DataFrame = field(default=None, repr=False)
     _post: Observation = field(default=None, repr=False)
-    _raw_df: DataFrame = field(default=None, repr=False)
-    _pre_df: DataFrame = field(default=None, repr=False)
     columns_count: int | None = None
 
     def raw(self, df: DataFrame) -> DataFrame:
-        if self.exact_counts:
-            self._raw_df = df
-            return df
-        self._raw = Observation(f"{self.table_name}_raw")
-        return df.observe(self._raw, row_count().alias("rows"))
-
-    def before_dedup(self, df: DataFrame) -> DataFrame:
-        if self.exact_counts:
-            self._pre_df = df
-            return df
-        self._pre = Observation(f"{self.table_name}_pre")
-        return df.observe(self._pre, row_count().alias("rows"))
+        self._raw = df
+        return df
 
     def final(self, df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
-        cols = [c for c in df.columns if c not in set(exclude)]
+        cols = [c for c in df.columns if c not in {*exclude, COPIES}]
         self.columns_count = len(cols)
         self._post = Observation(f"{self.table_name}_post")
-        return df.observe(self._post, row_count().alias("rows"),
-                          null_cells(df, cols).alias("nulls"))
-
-    def _count(self, obs: Observation | None, df: DataFrame | None, default: int) -> int:
-        if df is not None:
-            return int(df.count())
-        return int(obs.get["rows"]) if obs else default
+        return df.observe(self._post, row_count().alias("rows"), null_cells(df, cols).alias("nulls"),
+                          F.sum(COPIES).alias("copies")).drop(COPIES)
 
     def row(self, timestamp: str | None = None) -> dict:
-        after = int(self._post.get["rows"]) if self._post else 0
-        before = self._count(self._raw, self._raw_df, 0)
-        pre = self._count(self._pre, self._pre_df, after)
+        seen = self._post.get if self._post else {}
+        after = int(seen.get("rows") or 0)
+        before = int(self._raw.count()) if self._raw is not None else 0
         return {
             "table_name": self.table_name,
             "rows_before": before,
             "rows_after": after,
             "rows_removed": before - after,
             "columns_count": self.columns_count,
-            "null_cells": int(self._post.get["nulls"] or 0) if self._post else 0,
-            "duplicates_removed": pre - after,
+            "null_cells": int(seen.get("nulls") or 0),
+            "duplicates_removed": int(seen.get("copies") or 0) - after,
             "load_timestamp": timestamp or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"),
             "notes": self.notes,
         }
@@ -150,21 +140,16 @@ def quality_report(spark: SparkSession, rows: list[dict]) -> DataFrame:
                                  QUALITY_SCHEMA)
 
 
-def quality_row_frame(table_name: str, raw: DataFrame, before_dedup: DataFrame,
-                      final: DataFrame, notes: str = "", with_timestamp: bool = True,
-                      exclude: Iterable[str] = ()) -> DataFrame:
+def quality_row_frame(table_name: str, raw: DataFrame, deduplicated: DataFrame, notes: str = "",
+                      with_timestamp: bool = True, exclude: Iterable[str] = ()) -> DataFrame:
     """The same report row as a lazy plan (for callers that need a DataFrame,
-    not observed numbers): three aggregates combined by one grouped pass over
-    their three single-row results -- no cross join."""
-    cols = [c for c in final.columns if c not in set(exclude)]
+    not observed numbers): an aggregate of the raw frame and one of the
+    deduplicated frame with its `COPIES`, combined by a pass over the two rows."""
+    cols = [c for c in deduplicated.columns if c not in {*exclude, COPIES}]
     nul = F.lit(None).cast("long")
-    parts = [
-        raw.agg(row_count().alias("b"), nul.alias("p"), nul.alias("a"), nul.alias("n")),
-        before_dedup.agg(nul.alias("b"), row_count().alias("p"), nul.alias("a"), nul.alias("n")),
-        final.agg(nul.alias("b"), nul.alias("p"), row_count().alias("a"),
-                  null_cells(final, cols).alias("n")),
-    ]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    u = raw.agg(row_count().alias("b"), nul.alias("p"), nul.alias("a"), nul.alias("n")).unionByName(
+        deduplicated.agg(nul.alias("b"), F.coalesce(F.sum(COPIES), F.lit(0)).cast("long").alias("p"), row_count().alias("a"),
+                         null_cells(deduplicated, cols).alias("n")))
     m = u.agg(F.max("b").alias("b"), F.max("p").alias("p"), F.max("a").alias("a"),
               F.max("n").alias("n"))
     out = [F.lit(table_name).alias("table_name"), F.col("b").alias("rows_before"),
@@ -177,5 +162,5 @@ def quality_row_frame(table_name: str, raw: DataFrame, before_dedup: DataFrame,
     return m.select(*out)
 
 
-__all__ = ["QUALITY_SCHEMA", "is_missing", "row_null_count", "null_cells", "row_count",
-           "null_profile", "QualityTracker", "quality_report", "quality_row_frame"]
+__all__ = ["QUALITY_SCHEMA", "COPIES", "is_missing", "row_null_count", "null_cells", "row_count", "null_profile",
+           "counted_distinct", "counted_first", "QualityTracker", "quality_report", "quality_row_frame"]

@@ -1,7 +1,7 @@
 """Statistics over whole columns.
 
-Only column-level aggregates come back to the driver (one row, or a bounded
-histogram); table rows never do.
+Only column-level aggregates come back to the driver (one row); table rows
+never do.
 """
 
 from __future__ import annotations
@@ -29,65 +29,81 @@ def _column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int
 
 def exact_order_statistics(df: DataFrame, targets: dict[str, list[int]],
                            ranges: dict[str, tuple[int, float, float]] | None = None,
-                           buckets: int = 16384, exact_limit: int = 200_000,
-                           max_rounds: int = 40) -> dict[tuple[str, int], float]:
+                           accuracy: int = 100_000) -> dict[tuple[str, int], float]:
     """Exact k-th smallest values (0-based ranks over the non-missing values)
     of several columns, without sorting the table or gathering a column.
 
-    Each round is one distributed pass over the candidate intervals still
-    open (targets sharing a column and interval share the pass): an interval
-    known to hold at most `exact_limit` values is counted per distinct value,
-    a larger one per histogram bucket (`buckets` rows at most). Both are
-    partial aggregations, so only bounded per-interval tables reach the
-    driver. Bucketing is monotone, so a bucket's [min, max] holds exactly that
-    bucket's values and becomes the next interval."""
+    Each round is one pass for all open targets. A mergeable quantile sketch
+    (rank error below n / accuracy) brackets the rank between two values of the
+    column; the next pass counts what lies below, on and inside the bracket and
+    sketches the inside anew. A rank on an end of the bracket is settled, else
+    the open interval goes on with about 4 / accuracy of the values; up to
+    `accuracy` values the sketch itself is exact. Only counts and bracket ends
+    reach the driver. Nothing depends on the spread of the values."""
     if not targets:
         return {}
     cols = list(targets)
     ranges = ranges or _column_ranges(df, cols)
-    # open target -> [column, lo, hi, rank within interval, values in interval]
-    state = {(c, k): [c, ranges[c][1], ranges[c][2], k, ranges[c][0]]
-             for c in cols for k in targets[c]}
     done: dict[tuple[str, int], float] = {}
-    for _ in range(max_rounds):
-        for key, (c, lo, hi, k, n) in list(state.items()):
-            if lo is None or lo == hi:
-                done[key] = lo
-                del state[key]
-        if not state:
-            return done
-        intervals = sorted({(c, lo, hi, n) for (c, lo, hi, _k, n) in state.values()}, key=repr)
-        pieces = []
-        for t, (c, lo, hi, n) in enumerate(intervals):
-            v = _value(df, c)
-            if n <= exact_limit:
-                b = F.lit(-1)
+    # target -> (column, open interval, rank among the values inside, their number)
+    state = {}
+    for c in cols:
+        n, lo, hi = ranges[c]
+        for k in targets[c]:
+            if k >= n:
+                raise ValueError(f"rank {k} outside the {n} values of {c}")
+            if lo == hi:
+                done[c, k] = lo
             else:
-                b = F.floor((v - F.lit(float(lo))) / F.lit(float(hi) - float(lo)) * F.lit(float(buckets)))
-                b = F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))
-            pieces.append(F.when(v.between(float(lo), float(hi)),
-                                 F.struct(F.lit(t).alias("t"), b.cast("int").alias("b"), v.alias("v"))))
-        e = df.select(F.explode(F.array(*pieces)).alias("e")).filter(F.col("e").isNotNull())
-        # exact intervals group by value (b = -1), the others by bucket
-        grp = F.when(F.col("e.b") < 0, F.col("e.v"))
-        hist = (e.groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"), grp.alias("g"))
-                .agg(F.count(F.lit(1)).alias("cnt"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx"))
-                .collect())
-        by_t: dict[int, list] = {}
-        for r in hist:
-            by_t.setdefault(r["t"], []).append(r)
-        index = {iv: t for t, iv in enumerate(intervals)}
-        for key, (c, lo, hi, k, n) in list(state.items()):
-            rows = sorted(by_t.get(index[(c, lo, hi, n)], []), key=lambda r: (r["b"], r["mn"]))
-            seen = 0
-            for r in rows:
-                if seen + r["cnt"] > k:
-                    state[key] = [c, r["mn"], r["mx"], k - seen, r["cnt"]]
-                    break
-                seen += r["cnt"]
+                state[c, k] = (c, None, None, k, n)
+    while state:
+        keys = list(state)
+        ends = _brackets(df, [state[t] for t in keys], accuracy)
+        exprs = []
+        for i, (t, (lo, hi)) in enumerate(zip(keys, ends)):
+            v = _inside(df, *state[t][:3])
+            exprs += [F.count_if(v < F.lit(lo)).alias(f"below{i}"), F.count_if(v == F.lit(lo)).alias(f"on_lo{i}"),
+                      F.count_if((v > F.lit(lo)) & (v < F.lit(hi))).alias(f"in{i}"),
+                      F.count_if((v == F.lit(hi)) & F.lit(hi > lo)).alias(f"on_hi{i}")]
+        row = df.agg(*exprs).first()
+        for i, (t, (lo, hi)) in enumerate(zip(keys, ends)):
+            c, low, high, k, n = state.pop(t)
+            below, on_lo, inside, on_hi = (row[f"{x}{i}"] for x in ("below", "on_lo", "in", "on_hi"))
+            up_to = below + on_lo + inside + on_hi
+            if k < below:  # outside the sketch's bracket: go on below it
+                state[t] = (c, low, lo, k, below)
+            elif k < below + on_lo:
+                done[t] = lo
+            elif k < below + on_lo + inside:
+                state[t] = (c, lo, hi, k - below - on_lo, inside)
+            elif k < up_to:
+                done[t] = hi
             else:
-                raise RuntimeError(f"rank {k} outside the values of {c}")
-    raise RuntimeError("exact_order_statistics did not converge")
+                state[t] = (c, hi, high, k - up_to, n - up_to)
+    return done
+
+
+def _inside(df: DataFrame, c: str, low: float | None, high: float | None) -> Column:
+    """The column's values strictly between the ends (None: no end)."""
+    v = _value(df, c)
+    keep = F.lit(True)
+    if low is not None:
+        keep = keep & (v > F.lit(low))
+    if high is not None:
+        keep = keep & (v < F.lit(high))
+    return F.when(keep, v)
+
+
+def _brackets(df: DataFrame, open_: list[tuple], accuracy: int) -> list[tuple[float, float]]:
+    """Two values around each target's rank, from one pass of sketches. At
+    most `accuracy` values: the value at the rank itself, twice."""
+    exprs = []
+    for i, (c, low, high, k, n) in enumerate(open_):
+        slack = 0.0 if n <= accuracy else 2.0 / accuracy
+        exprs.append(F.percentile_approx(_inside(df, c, low, high), [max(0.0, (k + 0.5) / n - slack), min(1.0, (k + 0.5) / n + slack)],
+                                         accuracy).alias(f"q{i}"))
+    row = df.agg(*exprs).first()
+    return [tuple(row[f"q{i}"]) for i in range(len(open_))]
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
@@ -111,7 +127,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
             out[c] = float(stats[(c, ks[0])])
         else:
             lo, hi = float(stats[(c, ks[0])]), float(stats[(c, ks[1])])
-            out[c] = lo + (hi - lo) * 0.5
+            out[c] = lo + (hi - lo) * 0.5 if math.isfinite(hi - lo) else lo * 0.5 + hi * 0.5
     return out
 
 
@@ -168,10 +184,18 @@ def zscore(df: DataFrame, columns: Sequence[str], fit: DataFrame | None = None,
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair (a, b, r), all pairs in
-    one aggregation (pairwise-complete rows)."""
+    one aggregation (pairwise-complete rows). A column without variation has
+    no correlation: NULL."""
     cols = list(columns)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    exprs = []
+    for i, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = (F.when(both, F.col(k).cast("double")) for k in (a, b))
+        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+        # `corr` divides by the deviations, which ANSI mode refuses where they are zero
+        exprs.append(F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))).alias(f"c{i}"))
+    agg = df.agg(*exprs)
     rows = []
     for i, (a, b) in enumerate(pairs):
         rows.append(f"'{a}', '{b}', c{i}")

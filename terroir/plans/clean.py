@@ -2,8 +2,8 @@
 
 Each plan is a function raw DataFrame -> cleaned DataFrame, composed from the
 operators; territory prefix, code widths and key names are parameters with
-the original job's values as defaults. A `QualityTracker` observes the raw,
-pre-deduplication and final row counts during the (later) write action.
+the original job's values as defaults. A `QualityTracker` counts the raw rows
+and observes the deduplicated ones during the (later) write action.
 """
 
 from __future__ import annotations
@@ -14,24 +14,35 @@ from pyspark.sql import functions as F
 from terroir.functions.numeric import parse_int, parse_number
 from terroir.functions.text import (remove_substring, safe_code, strip, strip_char, title_case, upper,
                                     zero_pad)
-from terroir.operators.cleaning import clean_label_columns
-from terroir.operators.dedup import ORDINAL, distinct_rows, keep_first
-from terroir.operators.filters import drop_empty_rows, equals_after_pad, territory_predicate, vote_consistency
-from terroir.operators.quality import QualityTracker
+from terroir.operators.cleaning import clean_label_columns, computed_once
+from terroir.operators.dedup import ORDINAL
+from terroir.operators.filters import drop_empty_rows, territory_predicate, vote_consistency
+from terroir.operators.quality import QualityTracker, counted_distinct, counted_first
 from terroir.operators.schema import (ascii_columns, drop_all_null_columns, map_columns, normalize_columns,
                                       rename_columns, rename_position, require_columns)
 from terroir.quirks import PARITY, Quirks
 
+# Column names of the sources and the notes of the quality report.
 ELECTION_REQUIRED = ["code_commune", "code_departement", "inscrits", "votants", "blancs", "nuls",
                      "exprimes"]
 ELECTION_VOTES = ["inscrits", "abstentions", "votants", "blancs", "nuls", "exprimes"]
 ELECTION_TEXT = ["libelle_commune", "libelle_circonscription", "libelle_departement", "libelle_region"]
 SECURITE_NUMERIC = ["nombre", "taux_pour_mille", "insee_pop", "insee_log"]
 IRIS_KEYS = ["codeiris", "codgeo", "typ_iris", "lab_iris"]
+NOTES = {
+    "fact_election_tour1": "Nettoyage élection + contrôle cohérence votants/exprimes",
+    "fact_election_tour2": "Nettoyage élection + contrôle cohérence votants/exprimes",
+    "fact_securite": "Filtre Rhône + conversion colonnes numériques",
+    "fact_emploi_pop_active": "Filtre Rhône niveau commune",
+    "fact_revenus": "Filtre Rhône niveau commune/IRIS selon source",
+    "fact_diplomes": "Filtre Rhône niveau IRIS",
+    "fact_logement": "Filtre Rhône niveau IRIS",
+    "dim_iris_lyon": "Nettoyage référentiel IRIS Lyon",
+}
 
 
-def _tracker(tracker: QualityTracker | None, name: str, notes: str) -> QualityTracker:
-    return tracker if tracker is not None else QualityTracker(name, notes)
+def _tracker(tracker: QualityTracker | None, name: str) -> QualityTracker:
+    return tracker if tracker is not None else QualityTracker(name, NOTES.get(name, ""))
 
 
 def _territory(df: DataFrame, column: str, prefix: str, length: int, quirks: Quirks) -> DataFrame:
@@ -45,27 +56,26 @@ def _keep_first(df: DataFrame, key: str) -> DataFrame:
     if ORDINAL not in df.columns:
         raise ValueError("keep-first needs the file-order ordinal column "
                          f"{ORDINAL!r} (read_delimited(..., ordinal=True))")
-    return keep_first(df, [key], [F.col(ORDINAL)])
+    return counted_first(df, key, ORDINAL)
 
 
 def _distinct(df: DataFrame) -> DataFrame:
     """D1 on the cleaned columns; the file-order ordinal is not needed past
     this point, so it is dropped and the dedup stays a hash aggregation."""
-    return distinct_rows(df.drop(ORDINAL) if ORDINAL in df.columns else df)
+    return counted_distinct(df.drop(ORDINAL) if ORDINAL in df.columns else df)
 
 
 def clean_election(df: DataFrame, label: str, quirks: Quirks = PARITY,
                    tracker: QualityTracker | None = None) -> DataFrame:
     """One election round."""
-    t = _tracker(tracker, f"fact_election_{label}",
-                 "Nettoyage élection + contrôle cohérence votants/exprimes")
+    t = _tracker(tracker, f"fact_election_{label}")
     df = normalize_columns(df)
     require_columns(df, ELECTION_REQUIRED, f"election_{label}")
     df = drop_all_null_columns(df, ["code_canton", "libelle_canton"])
     df = t.raw(df)
     numeric = [c for c in ELECTION_VOTES if c in df.columns] + \
         [c for c in df.columns if c.startswith("ratio_")]
-    df = map_columns(df, parse_number, only=numeric)
+    df = computed_once(map_columns(df, parse_number, only=numeric))
     df = vote_consistency(df)
     df = clean_label_columns(df, ELECTION_TEXT, quirks)
     out = []
@@ -80,7 +90,7 @@ def clean_election(df: DataFrame, label: str, quirks: Quirks = PARITY,
             out.append(remove_substring(safe_code(F.col(c), None, quirks), "_").alias(c))
         else:
             out.append(F.col(c))
-    df = t.before_dedup(df.select(*out))
+    df = df.select(*out)
     df = _distinct(df)
     return t.final(df, exclude=[ORDINAL])
 
@@ -88,7 +98,7 @@ def clean_election(df: DataFrame, label: str, quirks: Quirks = PARITY,
 def clean_securite(df: DataFrame, department: str = "69", quirks: Quirks = PARITY,
                    tracker: QualityTracker | None = None) -> DataFrame:
     """Crime statistics of one department."""
-    t = _tracker(tracker, "fact_securite", "Filtre Rhône + conversion colonnes numériques")
+    t = _tracker(tracker, "fact_securite")
     df = t.raw(df)
     df = normalize_columns(df)
     df = rename_position(df, 0, "code_departement")
@@ -102,27 +112,25 @@ def clean_securite(df: DataFrame, department: str = "69", quirks: Quirks = PARIT
         elif c in SECURITE_NUMERIC:
             out.append(parse_number(F.col(c)).alias(c))
         elif c == "annee":
-            out.append(parse_int(F.col(c)).alias(c))
+            out.append(parse_int(F.col(c)).try_cast("int").alias(c))
         else:
             out.append(F.col(c))
     df = df.select(*out).filter(F.col("code_departement") == F.lit(department))
-    df = t.before_dedup(df)
     df = _distinct(df)
     return t.final(df, exclude=[ORDINAL])
 
 
-def _clean_commune_measures(df: DataFrame, name: str, notes: str, drop_empty: bool, prefix: str,
+def _clean_commune_measures(df: DataFrame, name: str, drop_empty: bool, prefix: str,
                             length: int, quirks: Quirks, tracker: QualityTracker | None) -> DataFrame:
-    t = _tracker(tracker, name, notes)
+    t = _tracker(tracker, name)
     df = t.raw(df)
     df = normalize_columns(df)
     require_columns(df, ["codgeo"], name)
     df = _territory(df, "codgeo", prefix, length, quirks)
     df = df.withColumn("codgeo", safe_code(F.col("codgeo"), length, quirks))
-    df = map_columns(df, parse_number, exclude=["codgeo", ORDINAL])
+    df = computed_once(map_columns(df, parse_number, exclude=["codgeo", ORDINAL]))
     if drop_empty:
         df = drop_empty_rows(df, [c for c in df.columns if c not in ("codgeo", ORDINAL)])
-    df = t.before_dedup(df)
     df = _keep_first(df, "codgeo")
     return t.final(df, exclude=[ORDINAL])
 
@@ -130,20 +138,18 @@ def _clean_commune_measures(df: DataFrame, name: str, notes: str, drop_empty: bo
 def clean_emploi(df: DataFrame, prefix: str = "69", length: int = 5, quirks: Quirks = PARITY,
                  tracker: QualityTracker | None = None) -> DataFrame:
     """Employment per commune."""
-    return _clean_commune_measures(df, "fact_emploi_pop_active", "Filtre Rhône niveau commune",
-                                   True, prefix, length, quirks, tracker)
+    return _clean_commune_measures(df, "fact_emploi_pop_active", True, prefix, length, quirks, tracker)
 
 
 def clean_revenus(df: DataFrame, prefix: str = "69", length: int = 5, quirks: Quirks = PARITY,
                   tracker: QualityTracker | None = None) -> DataFrame:
     """T4: income per commune (rows with only missing measures are kept)."""
-    return _clean_commune_measures(df, "fact_revenus", "Filtre Rhône niveau commune/IRIS selon source",
-                                   False, prefix, length, quirks, tracker)
+    return _clean_commune_measures(df, "fact_revenus", False, prefix, length, quirks, tracker)
 
 
 def _clean_iris_measures(df: DataFrame, name: str, ascii_names: bool, prefix: str, length: int,
                          quirks: Quirks, tracker: QualityTracker | None) -> DataFrame:
-    t = _tracker(tracker, name, "Filtre Rhône niveau IRIS")
+    t = _tracker(tracker, name)
     df = t.raw(df)
     df = normalize_columns(df)
     df = rename_columns(df, {"iris": "codeiris", "com": "codgeo"})
@@ -163,9 +169,8 @@ def _clean_iris_measures(df: DataFrame, name: str, ascii_names: bool, prefix: st
             out.append(F.col(c))
         else:
             out.append(parse_number(F.col(c)).alias(c))
-    df = df.select(*out)
+    df = computed_once(df.select(*out))
     df = drop_empty_rows(df, [c for c in df.columns if c not in keys and c != ORDINAL])
-    df = t.before_dedup(df)
     df = _keep_first(df, "codeiris")
     return t.final(df, exclude=[ORDINAL])
 
@@ -184,7 +189,7 @@ def clean_logement(df: DataFrame, prefix: str = "69", length: int = 5, quirks: Q
 
 def clean_iris(df: DataFrame, quirks: Quirks = PARITY, tracker: QualityTracker | None = None) -> DataFrame:
     """IRIS reference table."""
-    t = _tracker(tracker, "dim_iris_lyon", "Nettoyage référentiel IRIS Lyon")
+    t = _tracker(tracker, "dim_iris_lyon")
     df = t.raw(df)
     df = normalize_columns(df)
     require_columns(df, ["codeiris"], "dim_iris_lyon")
@@ -200,7 +205,7 @@ def clean_iris(df: DataFrame, quirks: Quirks = PARITY, tracker: QualityTracker |
             out.append(upper(safe_code(F.col(c), None, quirks)).alias(c))
         else:
             out.append(F.col(c))
-    df = t.before_dedup(df.select(*out))
+    df = df.select(*out)
     df = _keep_first(df, "codeiris")
     return t.final(df, exclude=[ORDINAL])
 
@@ -217,10 +222,5 @@ def add_time_key(df: DataFrame, year: int, quirks: Quirks = PARITY) -> DataFrame
     return df.withColumn("annee", F.lit(year))
 
 
-def filter_department(df: DataFrame, column: str, department: str = "69", width: int = 2) -> DataFrame:
-    """P6 as the preparation script uses it."""
-    return df.filter(equals_after_pad(column, department, width))
-
-
 __all__ = ["clean_election", "clean_securite", "clean_emploi", "clean_revenus", "clean_diplomes",
-           "clean_logement", "clean_iris", "rename_geo_keys", "add_time_key", "filter_department"]
+           "clean_logement", "clean_iris", "rename_geo_keys", "add_time_key"]

@@ -5,18 +5,20 @@ and create the two views.
 Each cleaned table is written once as Parquet into a folder of its own run;
 its delimited copy and every later reader (dimensions, views) read the
 written files. Writes cut the lineage, so a lost executor costs a re-read of
-a table, not a re-run of the cleaning; no cache is needed. Quality counts
-are observed during the table writes (no extra count jobs).
-
-Publishing is all or nothing: the catalog tables and views are pointed at the
-new run only after every table and the report were written. A run that fails
-(or a driver that dies) leaves the previously published tables in place, and
-a re-run writes to a fresh run folder.
+a table, not a re-run of the cleaning; no cache is needed. Quality counts are
+observed during the table writes; the raw rows are counted by one more scan.
+
+Publishing is all or nothing: one small pointer file, replaced by an atomic
+rename, names the run's folder, and is written only after every table and the
+report were. Readers come in through it: `attach` registers the tables and the
+two views in any session. A run that fails (or a driver that dies) leaves the
+pointer, and so the previous run, in place; a re-run writes to a fresh folder.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import logging
 import os
 import uuid
@@ -31,9 +33,10 @@ from terroir.plans.dimensions import build_dim_commune, build_dim_departement, b
 from terroir.plans.views import register_views
 from terroir.quirks import PARITY, Quirks
 from terroir.sources.delimited import SourceSpec, read_delimited
-from terroir.sources.sinks import publish_table, write_delimited, write_parquet
+from terroir.sources.sinks import write_delimited, write_parquet
 
 log = logging.getLogger("terroir.etl")
+POINTER = "latest.json"  # no leading underscore: readers skip such files
 
 # Default input file names and encodings of the eight sources.
 DEFAULT_FILES = {
@@ -71,7 +74,6 @@ class EtlConfig:
     single_file_csv: bool = False         # one part file per table (small tables only)
     bom: bool = True
     parallel_loads: int = 4               # independent table writes submitted concurrently
-    exact_counts: bool = False            # raw / pre-dedup counts by count() (exact under retries)
 
     def specs(self) -> list[SourceSpec]:
         out = []
@@ -117,27 +119,21 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     # transform
     trackers: dict[str, QualityTracker] = {}
 
-    def tr(name, notes):
-        trackers[name] = QualityTracker(name, notes, exact_counts=cfg.exact_counts)
+    def tr(name):
+        trackers[name] = QualityTracker(name, T.NOTES[name])
         return trackers[name]
 
+    width, dep = cfg.commune_width, cfg.department
     facts = {
-        "fact_election_tour1": T.clean_election(raw["t1"], "tour1", q, tr(
-            "fact_election_tour1", "Nettoyage élection + contrôle cohérence votants/exprimes")),
-        "fact_election_tour2": T.clean_election(raw["t2"], "tour2", q, tr(
-            "fact_election_tour2", "Nettoyage élection + contrôle cohérence votants/exprimes")),
-        "fact_securite": T.clean_securite(raw["securite"], cfg.department, q, tr(
-            "fact_securite", "Filtre Rhône + conversion colonnes numériques")),
-        "fact_emploi_pop_active": T.clean_emploi(raw["emploi"], cfg.department, cfg.commune_width, q, tr(
-            "fact_emploi_pop_active", "Filtre Rhône niveau commune")),
-        "fact_revenus": T.clean_revenus(raw["revenus"], cfg.department, cfg.commune_width, q, tr(
-            "fact_revenus", "Filtre Rhône niveau commune/IRIS selon source")),
-        "fact_diplomes": T.clean_diplomes(raw["diplomes"], cfg.department, cfg.commune_width, q, tr(
-            "fact_diplomes", "Filtre Rhône niveau IRIS")),
-        "fact_logement": T.clean_logement(raw["logement"], cfg.department, cfg.commune_width, q, tr(
-            "fact_logement", "Filtre Rhône niveau IRIS")),
+        "fact_election_tour1": T.clean_election(raw["t1"], "tour1", q, tr("fact_election_tour1")),
+        "fact_election_tour2": T.clean_election(raw["t2"], "tour2", q, tr("fact_election_tour2")),
+        "fact_securite": T.clean_securite(raw["securite"], dep, q, tr("fact_securite")),
+        "fact_emploi_pop_active": T.clean_emploi(raw["emploi"], dep, width, q, tr("fact_emploi_pop_active")),
+        "fact_revenus": T.clean_revenus(raw["revenus"], dep, width, q, tr("fact_revenus")),
+        "fact_diplomes": T.clean_diplomes(raw["diplomes"], dep, width, q, tr("fact_diplomes")),
+        "fact_logement": T.clean_logement(raw["logement"], dep, width, q, tr("fact_logement")),
     }
-    iris = T.clean_iris(raw["iris"], q, tr("dim_iris_lyon", "Nettoyage référentiel IRIS Lyon"))
+    iris = T.clean_iris(raw["iris"], q, tr("dim_iris_lyon"))
     for k in ("fact_election_tour1", "fact_election_tour2"):
         facts[k] = T.rename_geo_keys(facts[k])
     facts = {k: T.add_time_key(v, FACT_YEARS[k], q) for k, v in facts.items()}
@@ -180,25 +176,48 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     write_delimited(report, f"{csv_root}/quality_report", bom=cfg.bom, single_file=True)
     mark("report")
 
-    # publish: every table of this run is written; point the catalog at it
-    published = {}
-    for name in loaded:
-        publish_table(spark, name, f"{run_path}/{name}")
-        published[name] = spark.table(name)
-    register_views(spark, published)
-    # pointer to the published run, next to the delimited copies
-    (spark.createDataFrame([(run_id, run_path, csv_root)], "run string, tables string, csv string")
-     .coalesce(1).write.mode("overwrite").json(f"{cfg.output_path.rstrip('/')}/_latest"))
+    # publish: every table of this run is written; the pointer is the commit
+    _replace_file(spark, f"{cfg.output_path.rstrip('/')}/{POINTER}", json.dumps(
+        {"run": run_id, "tables": run_path, "csv": csv_root, "names": sorted(loaded)}))
+    published = attach(spark, cfg.output_path)
     mark("publish")
     return EtlResult(published, report, timings, run_path)
 
 
+def _replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside `path` and rename it over `path` (atomic)."""
+    fs_ = spark._jvm.org.apache.hadoop.fs
+    target = fs_.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    target = files.makeQualified(target)
+    temp = fs_.Path(target.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = files.create(temp, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    options = spark.sparkContext._gateway.new_array(getattr(fs_, "Options$Rename"), 1)
+    options[0] = getattr(fs_, "Options$Rename").OVERWRITE
+    fs_.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(temp, target, options)
+
+
 def latest_run(spark: SparkSession, output_path: str) -> dict:
-    """The run id and folders of the last published run under `output_path`."""
-    return spark.read.json(f"{output_path.rstrip('/')}/_latest").first().asDict()
+    """The run id, folders and table names of the published run under `output_path`."""
+    return json.loads(spark.read.text(f"{output_path.rstrip('/')}/{POINTER}", wholetext=True).first()[0])
+
+
+def attach(spark: SparkSession, output_path: str) -> dict[str, DataFrame]:
+    """Register the published tables and the two views in this session; returns
+    the tables. All of them are of one run."""
+    run_ = latest_run(spark, output_path)
+    tables = {n: spark.read.parquet(f"{run_['tables']}/{n}") for n in run_["names"]}
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    register_views(spark, tables)
+    return tables
 
 
-__all__ = ["DEFAULT_FILES", "FACT_YEARS", "EtlConfig", "EtlResult", "run", "latest_run", "main"]
+__all__ = ["DEFAULT_FILES", "FACT_YEARS", "EtlConfig", "EtlResult", "run", "latest_run", "attach", "main"]
 
 
 def main(argv: list[str] | None = None) -> None:

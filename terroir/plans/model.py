@@ -43,16 +43,15 @@ def per_key_totals(df: DataFrame, key: str, measures: Sequence[str] = VOTE_COUNT
 
 def build_feature_table(t1: DataFrame, t2: DataFrame, enrichments: Sequence[DataFrame],
                         key: str = "codgeo", target: str = TARGET,
-                        aggregate_rounds: bool = False) -> DataFrame:
+                        aggregate_rounds: bool = True) -> DataFrame:
     """G1: round 1 x round 2 (inner, suffixes _t1/_t2), LEFT joins of the
     enrichment tables (suffixes _x/_y on overlap), ratio features, target
     ratio, and the target filter (not NULL, <= 1).
 
-    As in the original notebook the rounds are joined row by row: with several
-    rows per key (polling stations of a commune) that is every pair of the
-    key's rows, and AQE splits a hot key's partition. `aggregate_rounds=True`
-    sums each round's counts per key first and joins one row to one row --
-    the form to use when a key can hold a large share of the rows."""
+    Each round's counts are summed per key first, so one row meets one row
+    whatever share of the rows a key holds. `aggregate_rounds=False` joins the
+    rounds row by row as the original notebook does: every pair of a key's rows,
+    which grows with the square of a key's rows."""
     if aggregate_rounds:
         t1, t2 = per_key_totals(t1, key), per_key_totals(t2, key)
     j = join_suffixed(t1, t2, key, "inner", ("_t1", "_t2"))
@@ -78,11 +77,14 @@ class ModelResult:
 
 
 def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
-              target: str = TARGET, num_trees: int = 100, max_depth: int = 5, seed: int = 42,
+              target: str = TARGET, num_trees: int = 100, max_depth: int = 30, seed: int = 42,
               test_fraction: float = 0.2, curve: bool = False, curve_trees: int = 20,
+              max_fit_rows: int | None = 200_000,
               impute_on_train_only: bool = False, quirks: Quirks = PARITY,
               split_bucket=None) -> ModelResult:
-    """R3 on a feature table with one row per `key`."""
+    """R3 on a feature table with one row per `key`. `max_fit_rows` bounds the
+    training rows the forests are fitted on (chosen by a hash of the key); the
+    statistics, predictions and metrics use all rows."""
     spark = table.sparkSession
     ensure_checkpoint_dir(spark)
     feats = [c for c in (features or CANDIDATE_FEATURES) if c in table.columns]
@@ -90,8 +92,7 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
                         F.col(target).cast("double").alias(target))
     # one row per key: written once to the shared checkpoint folder, so the
     # statistics passes and the fits re-read it instead of re-running joins
-    split = G.right_size(G.hash_split(base, [key], test_fraction, seed, bucket=split_bucket)
-                         .checkpoint(eager=True))
+    split = G.hash_split(base, [key], test_fraction, seed, bucket=split_bucket).checkpoint(eager=True)
     # the original fills with medians of the whole table before the split
     fit_src = split.filter(F.col("split") == "train") if impute_on_train_only else split
     medians = A.exact_medians(fit_src, feats)
@@ -99,9 +100,9 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
     # scale with train moments (population deviation, centred)
     train0 = filled.filter(F.col("split") == "train")
     scaled = A.zscore(filled, feats, params=A.moments(train0, feats))
-    data = G.assemble(scaled, feats)
-    train = data.filter(F.col("split") == "train")
-    test = data.filter(F.col("split") == "test")
+    fitted = G.fit_partitions(scaled.filter(F.col("split") == "train"), [key], max_rows=max_fit_rows)
+    train = G.assemble(fitted, feats).checkpoint(eager=True)
+    test = G.assemble(scaled.filter(F.col("split") == "test"), feats)
     model = G.forest(target, num_trees, max_depth, seed).fit(train)
     preds = G.predictions(model, test, target, [key])
     m = A.regression_metrics(preds, "actual", "predicted")
@@ -114,7 +115,7 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
     lc = None
     if curve:
         rows = G.learning_curve(scaled.filter(F.col("split") == "train"), feats, target, [key],
-                                num_trees=curve_trees, max_depth=max_depth, seed=seed)
+                                num_trees=curve_trees, max_depth=max_depth, seed=seed, max_rows=max_fit_rows)
         schema = T.StructType([T.StructField("train_fraction", T.DoubleType()),
                                T.StructField("train_r2", T.DoubleType()),
                                T.StructField("valid_r2", T.DoubleType())])
@@ -122,10 +123,15 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
     return ModelResult(metrics, importance, preds, correlation, missing, lc)
 
 
-def run_from_warehouse(spark, num_trees: int = 100, max_depth: int = 5, curve: bool = False,
-                       quirks: Quirks = PARITY, aggregate_rounds: bool = False) -> ModelResult:
+def run_from_warehouse(spark, output_path: str | None = None, num_trees: int = 100, max_depth: int = 30, curve: bool = False,
+                       quirks: Quirks = PARITY, aggregate_rounds: bool = True) -> ModelResult:
     """R3 as the notebook runs it: the two election rounds, employment and
-    income facts from the published warehouse tables, joined on `codgeo`."""
+    income facts from the published warehouse tables, joined on `codgeo`.
+    `output_path` attaches the run published there; without it the session's
+    tables are read."""
+    if output_path:
+        from terroir.plans.etl import attach
+        attach(spark, output_path)
     t1 = spark.table("fact_election_tour1")
     t2 = spark.table("fact_election_tour2")
     table = build_feature_table(t1, t2, [spark.table("fact_emploi_pop_active"),

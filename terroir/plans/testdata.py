@@ -52,10 +52,10 @@ def view_fact_dims(spark, d):
                          F.year("o_orderdate").cast("long").alias("annee"))
     j = J.left_join_dims(
         fact.withColumnRenamed("o_custkey", "c_custkey"),
-        [(customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal"), "c_custkey", None)])
+        [(customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal"), "c_custkey")])
     j = J.left_join_dims(
         j.withColumnRenamed("c_nationkey", "n_nationkey"),
-        [(nation.select("n_nationkey", "n_name"), "n_nationkey", 25 * 1000)])
+        [(nation.select("n_nationkey", "n_name"), "n_nationkey")])
     return j.select("o_orderkey", "c_name", "n_name", "annee", "o_orderstatus", "o_totalprice",
                     "c_acctbal",
                     N.guarded_percentage(F.col("o_totalprice"), F.col("c_acctbal")).alias("price_to_balance_pct"))
@@ -99,8 +99,7 @@ def view_dims_facts(spark, d):
     return dimension_facts_view(
         nation.select("n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey")),
         key="n_nationkey", base_labels=["n_name"],
-        lookup=(region, "r_regionkey", ["r_name"], 1000),
-        facts=[(cust, None), (supp, None)])
+        lookup=(region, "r_regionkey", ["r_name"]), facts=[cust, supp])
 
 
 SQL["view_dims_facts"] = """
@@ -233,7 +232,7 @@ def parse_year(spark, d):
     txt = (F.when(k == 0, F.lit("abcd")).when(k == 1, F.concat(y, F.lit(".5")))
             .when(k == 2, F.concat(F.lit(" "), y, F.lit(" "))).when(k == 3, F.lit(""))
             .when(k == 4, F.concat(y, F.lit(".0"))).otherwise(y))
-    return o.select("o_orderkey", N.parse_int(txt).alias("annee"))
+    return o.select("o_orderkey", N.parse_int(txt).try_cast("int").alias("annee"))
 
 
 SQL["parse_year"] = f"""
@@ -306,6 +305,18 @@ def repair_text(spark, d):
     return docs.select("doc_id", X.repair_mojibake(damaged).alias("text"))
 
 
+# The damaged text holds a trigger character when the text has a character of
+# U+0080-U+00FF, U+2000-U+2FFF or U+10000-U+3FFFF (lead bytes C2, C3, E2, F0):
+# then the repair gives the text back, else the damaged text stays.
+SQL["repair_text"] = r"""
+SELECT doc_id, CASE WHEN trim(text, E' \t\n\r\f\x0b') = '' OR lower(trim(text, E' \t\n\r\f\x0b')) = 'nan' THEN NULL
+  WHEN regexp_matches(text, '[\x{80}-\x{FF}\x{2000}-\x{2FFF}\x{10000}-\x{3FFFF}]') OR regexp_full_match(text, '[\x00-\x7F]*')
+  THEN trim(text, E' \t\n\r\f\x0b')
+  ELSE trim(array_to_string(list_transform(regexp_extract_all(hex(encode(text)), '..'),
+       lambda h: chr(CAST('0x' || h AS INTEGER))), ''), E' \t\n\r\f\x0b') END AS text
+FROM documents"""
+
+
 # --------------------------------------------------------------------------
 # accents stripped (NFKD, non-ASCII dropped) on whole documents
 # --------------------------------------------------------------------------
@@ -406,15 +417,7 @@ def _vote_columns():
 
 
 def _votes(li):
-    q10 = F.col("l_quantity") * 10
-    votants = q10 - F.col("l_linenumber") + F.when(F.col("l_partkey") % 17 == 0, 1000).otherwise(0)
-    blancs = F.col("l_linenumber").cast("double")
-    nuls = (F.col("l_suppkey") % 5).cast("double")
-    exprimes = votants - blancs - nuls + F.when(F.col("l_partkey") % 19 == 0, 1).otherwise(0)
-    return li.select(*LINEITEM_KEYS,
-                     F.when(F.col("l_orderkey") % 13 != 0, q10).alias("inscrits"),
-                     votants.cast("double").alias("votants"), blancs.alias("blancs"),
-                     nuls.alias("nuls"), exprimes.cast("double").alias("exprimes"))
+    return li.select(*LINEITEM_KEYS, *[c.alias(n) for n, c in _vote_columns().items()])
 
 
 _SQL_VOTES = """
@@ -576,9 +579,9 @@ def quality_report(spark, d):
     c = table(spark, d, "customer").withColumn(
         "c_name", F.when(F.col("c_custkey") % 11 != 0, F.col("c_name")))
     c_pre = c.select("c_nationkey", "c_mktsegment", F.when(F.col("c_name").isNull(), "x").alias("flag"))
-    rows = [Q.quality_row_frame("lineitem", li, li_pre, D.distinct_rows(li_pre), "lines", False),
-            Q.quality_row_frame("orders", o, o_pre, D.distinct_rows(o_pre), "orders", False),
-            Q.quality_row_frame("customer", c, c_pre, D.distinct_rows(c_pre), "customers", False)]
+    rows = [Q.quality_row_frame("lineitem", li, Q.counted_distinct(li_pre), "lines", False),
+            Q.quality_row_frame("orders", o, Q.counted_distinct(o_pre), "orders", False),
+            Q.quality_row_frame("customer", c, Q.counted_distinct(c_pre), "customers", False)]
     return D.union_all(rows)
 
 
@@ -690,14 +693,19 @@ SQL["zscore"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, " + ", "
 # --------------------------------------------------------------------------
 
 def corr_matrix(spark, d):
-    li = table(spark, d, "lineitem")
-    m = A.corr_matrix(li, MEASURES)
+    li = table(spark, d, "lineitem").withColumn("constant", F.lit(1.5))
+    m = A.corr_matrix(li, [*MEASURES, "constant"])
     return m.select("feature_a", "feature_b", r6(F.col("r")).alias("r"))
 
 
-SQL["corr_matrix"] = "\nUNION ALL\n".join(
-    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {sql_r6(f'corr({a}, {b})')} AS r FROM lineitem"
-    for a in MEASURES for b in MEASURES)
+def _sql_corr(features, frame, constant=()):
+    return "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, " + (
+            "CAST(NULL AS DOUBLE) AS r" if {a, b} & set(constant) else f"{sql_r6(f'corr({a}, {b})')} AS r FROM {frame}")
+        for a in features for b in features)
+
+
+SQL["corr_matrix"] = _sql_corr([*MEASURES, "constant"], "lineitem", ["constant"])
 
 
 # --------------------------------------------------------------------------
@@ -724,15 +732,21 @@ SELECT {sql_r6('mae')} AS mae, {sql_r6('mse')} AS mse, {sql_r6('sqrt(mse)')} AS
 # Inner join with _t1/_t2 suffixes, then left joins with _x/_y
 # --------------------------------------------------------------------------
 
-def _per_customer(o, status):
-    return (o.filter(F.col("o_orderstatus") == status).groupBy("o_custkey")
+def _round(o, n):
+    """Two rounds that together hold every order: the finished ones, the others."""
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    return o.filter(finished if n == 1 else ~finished)
+
+
+def _per_customer(o, n):
+    return (_round(o, n).groupBy("o_custkey")
              .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total_price")))
 
 
 def join_suffixed(spark, d):
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
-    t = J.join_suffixed(_per_customer(o, "F"), _per_customer(o, "O"), "o_custkey", "inner",
+    t = J.join_suffixed(_per_customer(o, 1), _per_customer(o, 2), "o_custkey", "inner",
                         ("_t1", "_t2"))
     a = c.select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", F.lit(2022).alias("annee"))
     b = c.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", F.lit(2021).alias("annee"))
@@ -747,7 +761,7 @@ SQL["join_suffixed"] = f"""
 WITH f AS (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total_price
            FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey),
 o AS (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total_price
-      FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey)
+      FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F' GROUP BY o_custkey)
 SELECT f.o_custkey, f.n_orders AS n_orders_t1, {sql_r6('f.total_price')} AS total_price_t1,
        o.n_orders AS n_orders_t2, {sql_r6('o.total_price')} AS total_price_t2,
        c.c_acctbal, 2022 AS annee_x, c.c_nationkey, 2021 AS annee_y
@@ -760,9 +774,9 @@ LEFT JOIN customer c ON f.o_custkey = c.c_custkey
 # Feature table with guarded ratios and a bounded target
 # --------------------------------------------------------------------------
 
-def _votes_per_customer(o, status):
+def _votes_per_customer(o, n):
     p = F.col("o_orderpriority")
-    return (o.filter(F.col("o_orderstatus") == status).groupBy("o_custkey").agg(
+    return (_round(o, n).groupBy("o_custkey").agg(
         F.count(F.lit(1)).cast("double").alias("inscrits"),
         F.count_if(p.isin("1-URGENT", "2-HIGH", "3-MEDIUM")).cast("double").alias("votants"),
         F.count_if(p == "3-MEDIUM").cast("double").alias("blancs"),
@@ -770,11 +784,11 @@ def _votes_per_customer(o, status):
 
 
 def feature_frame(spark, d):
-    """The model's input: one row per customer (both status groups present)."""
+    """The model's input: one row per customer (both rounds present)."""
     from terroir.plans.model import build_feature_table
     o = table(spark, d, "orders")
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal")
-    return build_feature_table(_votes_per_customer(o, "F"), _votes_per_customer(o, "O"),
+    return build_feature_table(_votes_per_customer(o, 1), _votes_per_customer(o, 2),
                                [c], key="o_custkey")
 
 
@@ -791,16 +805,16 @@ def feature_table(spark, d):
                     r6(F.col(TARGET)).alias(TARGET))
 
 
-def _sql_votes(status):
+def _sql_votes(which):
     return f"""SELECT o_custkey, CAST(count(*) AS DOUBLE) AS inscrits,
       CAST(count(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS DOUBLE) AS votants,
       CAST(count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS DOUBLE) AS blancs,
       CAST(count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS DOUBLE) AS nuls
-    FROM orders WHERE o_orderstatus = '{status}' GROUP BY o_custkey"""
+    FROM orders WHERE o_orderstatus IS {which} 'F' GROUP BY o_custkey"""
 
 
 SQL["feature_table"] = f"""
-WITH t1 AS ({_sql_votes('F')}), t2 AS ({_sql_votes('O')}),
+WITH t1 AS ({_sql_votes('NOT DISTINCT FROM')}), t2 AS ({_sql_votes('DISTINCT FROM')}),
 j AS (
   SELECT t1.o_custkey, t1.inscrits AS inscrits_t1, t1.votants AS votants_t1, t1.blancs AS blancs_t1,
          t1.nuls AS nuls_t1,
@@ -890,15 +904,88 @@ def csv_round_trip(spark, d):
     write_delimited(c, path)
     back = read_delimited(spark, path, encoding="utf-8", ordinal=False)
     return back.select(
-        N.parse_int(F.col("c_custkey")).cast("long").alias("c_custkey"),
-        F.col("c_name"), N.parse_int(F.col("c_nationkey")).alias("c_nationkey"),
+        N.parse_long(F.col("c_custkey")).alias("c_custkey"),
+        F.col("c_name"), N.parse_int(F.col("c_nationkey")).try_cast("int").alias("c_nationkey"),
         N.parse_number(F.col("c_acctbal")).alias("c_acctbal"), F.col("c_mktsegment"))
 
 
 SQL["csv_round_trip"] = "SELECT * FROM customer"
 
 
+# --------------------------------------------------------------------------
+# Files whose header sits below a title line and a blank line
+# --------------------------------------------------------------------------
+
+def header_offset(spark, d):
+    from terroir.session import scratch_path
+    from terroir.sources.delimited import read_with_header_offset
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    line = F.concat_ws(";", *[F.col(c).cast("string") for c in cols])
+    first = F.monotonically_increasing_id() % (1 << 33) == 0  # the first row of a file
+    lines = table(spark, d, "customer").repartition(3).select(
+        F.when(first, F.concat(F.lit("Titre\n\n" + ";".join(cols) + "\n"), line)).otherwise(line).alias("value"))
+    path = scratch_path(spark, "header_offset")
+    lines.write.text(path)
+    back = read_with_header_offset(spark, path, 2)
+    return back.select(N.parse_long("c_custkey").alias("c_custkey"), "c_name",
+                       N.parse_int("c_nationkey").try_cast("int").alias("c_nationkey"), "c_mktsegment")
+
+
+SQL["header_offset"] = "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer"
+
+
+# --------------------------------------------------------------------------
+# V1: votes x communes x departments with the turnout percentage
+# --------------------------------------------------------------------------
+
+def elections_view(spark, d):
+    from terroir.plans.views import elections_view as view
+    votes = _vote_columns()
+    fact = table(spark, d, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("codgeo"), (F.col("l_suppkey") % 30).cast("string").alias("code_departement"),
+        F.lit(2024).alias("annee"), *[c.alias(n) for n, c in votes.items()])
+    communes = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("codgeo"), F.col("p_name").alias("libelle_commune"))
+    departments = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("code_departement"),
+                                                   F.col("n_name").alias("libelle_departement"))
+    return view(fact, communes, departments)
+
+
+SQL["elections_view"] = f"""
+SELECT CAST(v.l_partkey AS VARCHAR) AS codgeo, p.p_name AS libelle_commune, n.n_name AS libelle_departement, 2024 AS annee,
+  v.inscrits, v.votants, v.blancs, v.nuls, v.exprimes,
+  CASE WHEN v.inscrits > 0 THEN floor(v.votants / v.inscrits * 100.0 * 100.0 + 0.5) / 100.0 END AS taux_participation
+FROM ({_SQL_VOTES}) v LEFT JOIN part p ON v.l_partkey = p.p_partkey
+LEFT JOIN nation n ON v.l_suppkey % 30 = n.n_nationkey
+"""
+
+
+# --------------------------------------------------------------------------
+# K2 A3: a table's columns, their types and their missing values
+# --------------------------------------------------------------------------
+
+def describe_table(spark, d):
+    from terroir.sources.catalog import describe_table as describe
+    from terroir.sources.catalog import register_tables
+    orders = table(spark, d, "orders")
+    register_tables(spark, {"terroir_described": orders})
+    return (describe(spark, "terroir_described").select(F.col("col_name").alias("column_name"), "data_type")
+            .join(Q.null_profile(orders).select("column_name", "null_count", "non_null_count"), "column_name"))
+
+
+SQL["describe_table"] = """
+WITH n AS (UNPIVOT (SELECT count(COLUMNS(*)) FROM orders) ON COLUMNS(*) INTO NAME column_name VALUE non_null_count)
+SELECT c.column_name, CASE WHEN c.data_type = 'INTEGER' THEN 'int' WHEN c.data_type = 'VARCHAR' THEN 'string'
+    WHEN c.data_type LIKE 'TIMESTAMP WITH%' THEN 'timestamp' WHEN c.data_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz'
+    ELSE lower(c.data_type) END AS data_type,
+  (SELECT count(*) FROM orders) - n.non_null_count AS null_count, n.non_null_count
+FROM information_schema.columns c JOIN n ON c.column_name = n.column_name WHERE c.table_name = 'orders'
+"""
+
+
 QUERIES = {
+    "header_offset": header_offset,
+    "elections_view": elections_view,
+    "describe_table": describe_table,
     "view_fact_dims": view_fact_dims,
     "view_dims_facts": view_dims_facts,
     "normalize_columns": normalize_columns,
@@ -967,7 +1054,35 @@ def learning_curve(spark, d):
     return _model(spark, d, curve=True).curve
 
 
+def _plain_model(spark, d):
+    """The job with an arithmetic split, which SQL can follow."""
+    from terroir.plans.model import run_model
+    return run_model(feature_frame(spark, d), key="o_custkey", features=FEATURE_COLS, num_trees=MODEL_TREES,
+                     max_depth=MODEL_DEPTH, split_bucket=((F.col("o_custkey") % 1000003) * F.lit(2654435761)) % 1000)
+
+
+def model_actuals(spark, d):
+    """Split membership and actual values of the job's predictions."""
+    return _plain_model(spark, d).predictions.select("o_custkey", r6(F.col("actual")).alias("actual"))
+
+
+def model_correlation(spark, d):
+    """The job's correlation table, after the median fill."""
+    return _plain_model(spark, d).correlation.select("feature_a", "feature_b", r6(F.col("r")).alias("r"))
+
+
+_SQL_FRAME = SQL["feature_table"][:SQL["feature_table"].rindex("SELECT o_custkey")] + """
+SELECT * FROM j WHERE taux_participation_t2 IS NOT NULL AND taux_participation_t2 <= 1"""
+SQL["model_actuals"] = f"""
+SELECT o_custkey, {sql_r6(TARGET)} AS actual FROM ({_SQL_FRAME}) f WHERE ((o_custkey % 1000003) * 2654435761) % 1000 < 200
+"""
+SQL["model_correlation"] = f"WITH f AS ({_SQL_FRAME}), filled AS (SELECT " + ", ".join(
+    f"coalesce({c}, (SELECT median({c}) FROM f)) AS {c}" for c in FEATURE_COLS) + " FROM f)\n" + _sql_corr(FEATURE_COLS, "filled")
+
+
 QUERIES.update({
+    "model_actuals": model_actuals,
+    "model_correlation": model_correlation,
     "forest_metrics": forest_metrics,
     "feature_importance": feature_importance,
     "forest_predictions": forest_predictions,
@@ -1204,6 +1319,15 @@ SELECT codeiris, codgeo, typ_iris, lab_iris, p22_nscol_lves, p22_pop FROM (
 """
 
 
+# T6 is T5 with the accents of the column names kept
+def clean_iris_housing(spark, d):
+    from terroir.plans.clean import clean_logement
+    return clean_logement(_raw_iris_measures(table(spark, d, "lineitem"))).drop(D.ORDINAL)
+
+
+SQL["clean_iris_housing"] = SQL["clean_iris_measures"].replace("p22_nscol_lves", '"p22_nscol_élèves"')
+
+
 # --------------------------------------------------------------------------
 # T7 on whole tables: IRIS reference rows (codes stripped, labels title-cased,
 # type upper-cased, numeric id, first row per code)
@@ -1249,6 +1373,7 @@ SELECT codeiris, libelle, type, typelibelle, commune, insee, gid FROM (
 QUERIES.update({
     "clean_crime_rows": clean_crime_rows,
     "clean_iris_measures": clean_iris_measures,
+    "clean_iris_housing": clean_iris_housing,
     "clean_iris_reference": clean_iris_reference,
 })
 
@@ -1289,8 +1414,7 @@ def star_territories(spark, d):
     securite = written(add_time_key(clean_securite(_raw_crime(o)), 2024), "securite")
     dim_commune = build_dim_commune(None, None, emploi, revenus)
     dim_departement = build_dim_departement(None, None, securite)
-    # synthetic commune codes have no fixed key set: no broadcast bound
-    return territories_view(dim_commune, dim_departement, revenus, emploi, commune_bound=None)
+    return territories_view(dim_commune, dim_departement, revenus, emploi)
 
 
 SQL["star_territories"] = f"""

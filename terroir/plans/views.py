@@ -9,22 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terroir.functions.numeric import guarded_percentage
-from terroir.operators.joins import bounded_broadcast
 from terroir.operators.schema import select_except
 
-# Row bounds of the territorial dimensions (fixed key sets: communes and
-# departments of one country), used to allow a broadcast of those sides.
-COMMUNE_ROWS_BOUND = 50_000
-DEPARTMENT_ROWS_BOUND = 200
-
-
-def elections_view(fact: DataFrame, dim_commune: DataFrame, dim_departement: DataFrame,
-                   commune_bound: int | None = COMMUNE_ROWS_BOUND,
-                   department_bound: int | None = DEPARTMENT_ROWS_BOUND) -> DataFrame:
+def elections_view(fact: DataFrame, dim_commune: DataFrame, dim_departement: DataFrame) -> DataFrame:
     """V1: election fact x commune x department with the turnout percentage."""
     f = fact.alias("f")
-    dc = bounded_broadcast(dim_commune, commune_bound).alias("dc")
-    dd = bounded_broadcast(dim_departement, department_bound).alias("dd")
+    dc = dim_commune.alias("dc")
+    dd = dim_departement.alias("dd")
     j = (f.join(dc, F.col("f.codgeo") == F.col("dc.codgeo"), "left")
           .join(dd, F.col("f.code_departement") == F.col("dd.code_departement"), "left"))
     return j.select(
@@ -51,24 +42,11 @@ def _suffix_duplicates(names: Sequence[str]) -> list[str]:
 
 
 def territories_view(dim_commune: DataFrame, dim_departement: DataFrame,
-                     revenus: DataFrame, emploi: DataFrame, key: str = "codgeo",
-                     commune_bound: int | None = COMMUNE_ROWS_BOUND,
-                     department_bound: int | None = DEPARTMENT_ROWS_BOUND) -> DataFrame:
+                     revenus: DataFrame, emploi: DataFrame, key: str = "codgeo") -> DataFrame:
     """V2: commune x department x income x employment; every fact column but
     the key, duplicate names (the two year keys) suffixed `_1`."""
-    dc = dim_commune.alias("dc")
-    dd = bounded_broadcast(dim_departement, department_bound).alias("dd")
-    r = bounded_broadcast(revenus, commune_bound).alias("r")
-    e = bounded_broadcast(emploi, commune_bound).alias("e")
-    j = (dc.join(dd, F.col("dc.code_departement") == F.col("dd.code_departement"), "left")
-           .join(r, F.col("dc." + key) == F.col("r." + key), "left")
-           .join(e, F.col("dc." + key) == F.col("e." + key), "left"))
-    r_cols = [c for c in revenus.columns if c != key]
-    e_cols = [c for c in emploi.columns if c != key]
-    names = _suffix_duplicates([key, "libelle_commune", "libelle_departement", *r_cols, *e_cols])
-    exprs = ([F.col("dc." + key), F.col("dc.libelle_commune"), F.col("dd.libelle_departement")]
-             + [F.col(f"r.`{c}`") for c in r_cols] + [F.col(f"e.`{c}`") for c in e_cols])
-    return j.select(*[x.alias(n) for x, n in zip(exprs, names)])
+    return dimension_facts_view(dim_commune, key, ["libelle_commune"],
+                                (dim_departement, "code_departement", ["libelle_departement"]), [revenus, emploi])
 
 
 def register_views(spark, tables: dict[str, DataFrame]) -> None:
@@ -80,13 +58,9 @@ def register_views(spark, tables: dict[str, DataFrame]) -> None:
         "vw_indicateurs_territoires")
 
 
-__all__ = ["elections_view", "territories_view", "dimension_facts_view", "register_views",
-           "COMMUNE_ROWS_BOUND", "DEPARTMENT_ROWS_BOUND"]
-
-
 def dimension_facts_view(base: DataFrame, key: str, base_labels: Sequence[str],
-                         lookup: tuple[DataFrame, str, Sequence[str], int | None] | None,
-                         facts: Sequence[tuple[DataFrame, int | None]]) -> DataFrame:
+                         lookup: tuple[DataFrame, str, Sequence[str]] | None,
+                         facts: Sequence[DataFrame]) -> DataFrame:
     """V2 in general form: a dimension, an optional second dimension looked up
     through one of its columns, then each fact (one row per key) LEFT-joined
     on the key with all its columns but the key (star with exclusion);
@@ -97,16 +71,19 @@ def dimension_facts_view(base: DataFrame, key: str, base_labels: Sequence[str],
     names += list(base_labels)
     j = b
     if lookup is not None:
-        ldf, lkey, lcols, lbound = lookup
-        j = j.join(bounded_broadcast(ldf, lbound).alias("l"),
+        ldf, lkey, lcols = lookup
+        j = j.join(ldf.alias("l"),
                    F.col(f"b.{lkey}") == F.col(f"l.{lkey}"), "left")
         exprs += [F.col(f"l.{c}") for c in lcols]
         names += list(lcols)
-    for i, (fdf, bound) in enumerate(facts):
+    for i, fdf in enumerate(facts):
         a = f"f{i}"
-        j = j.join(bounded_broadcast(fdf, bound).alias(a), F.col(f"b.{key}") == F.col(f"{a}.{key}"), "left")
+        j = j.join(fdf.alias(a), F.col(f"b.{key}") == F.col(f"{a}.{key}"), "left")
         rest = select_except(fdf, [key]).columns
         exprs += [F.col(f"{a}.`{c}`") for c in rest]
         names += rest
     names = _suffix_duplicates(names)
     return j.select(*[e.alias(n) for e, n in zip(exprs, names)])
+
+
+__all__ = ["elections_view", "territories_view", "dimension_facts_view", "register_views"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # whole documents go through the accent-strip UDF: keep Arrow batches to
-    # a few hundred MB even for 100 KB texts
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.ui.enabled": "false",
 }
 
@@ -53,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
                                "(a machine-local folder is not visible to other executors)")
         conf_dir = tempfile.mkdtemp(prefix="terroir-ckpt-")
@@ -68,9 +66,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_dir(path: str) -> str:
-    """Strip a file: scheme so that Python file APIs can use the path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_dir", "DEFAULT_CONF"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "DEFAULT_CONF"]

@@ -5,11 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terroir.operators.dedup import ORDINAL, with_ordinal
+from terroir.operators.dedup import ORDINAL, union_all, with_ordinal
 
 # The text tokens a data-frame CSV reader treats as missing by
 # default (Spark only treats the empty field as NULL).
@@ -57,24 +57,68 @@ def na_to_null(df: DataFrame, tokens: list[str] = NA_TOKENS, exclude: tuple = (O
     return df.select(*out)
 
 
+class MalformedRowError(ValueError):
+    """A header or row does not fit (raised before any job; inside a job the
+    row's own error is raised)."""
+
+
+CORRUPT = "_corrupt"
+
+
+def _from_csv(value: Column, names: list[str], sep: str) -> Column:
+    """One line as a struct of strings; a cell that is there but empty is ''."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return F.from_csv(value, _ddl(schema),
+                      {"sep": sep, "quote": '"', "escape": '"', "nullValue": "\x00", "emptyValue": "", "mode": "PERMISSIVE"})
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema.fields)
+
+
+def _refuse_long_rows(df: DataFrame, line: Column, width: int, sep: str, where: Column | None = None, first: str | None = None) -> DataFrame:
+    """Fail when a line has more cells than the header (fewer are padded with
+    NULL, as a data-frame reader does)."""
+    cells = _from_csv(line, [f"c{i}" for i in range(width + 1)], sep)
+    long = cells[f"c{width}"].isNotNull()
+    if where is not None:
+        long = where & long
+    told = F.concat_ws("", F.lit(f"more than {width} cells in line: "), line)
+    if first is not None:  # a scan of the corrupt-record column alone is not allowed
+        told = F.concat_ws(" of ", told, F.col(f"`{first}`"))
+    return df.filter(F.when(long, F.raise_error(told)).otherwise(F.lit(True)))
+
+
 def read_delimited(spark: SparkSession, path: str, encoding: str = "utf-8", sep: str = ";",
                    header: bool = True, ordinal: bool = True, multiline: bool = False,
                    na_tokens: list[str] | None = NA_TOKENS) -> DataFrame:
     """Header-driven scan where every column is a string; quotes are
     doubled inside quoted fields; missing tokens become NULL; optional file
-    order ordinal for keep-first deduplication. No schema inference."""
+    order ordinal for keep-first deduplication. No schema inference.
+
+    Every file of a folder must have the first file's header (another one
+    fails the job: nothing is read by position), and a row with more cells than
+    the header fails it too. Shorter rows are padded with NULL."""
     reader = (spark.read.option("sep", sep).option("header", header)
               .option("encoding", spark_charset(encoding)).option("quote", '"').option("escape", '"').option("inferSchema", False)
-              .option("multiLine", multiline).option("mode", "PERMISSIVE"))
+              .option("multiLine", multiline).option("mode", "PERMISSIVE").option("enforceSchema", not header))
     try:
-        df = reader.csv(path)
-        _ = df.schema
+        names = reader.csv(path).columns
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise SourceNotFoundError(f"input not found: {path}") from e
         raise
-    if ordinal:
-        df = with_ordinal(df)
+    if header and CORRUPT not in names:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+        # cells are counted on whole lines
+        df = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).schema(schema).csv(path)
+        if ordinal:
+            df = with_ordinal(df)
+        df = _refuse_long_rows(df, F.col(CORRUPT), len(names), sep, F.col(CORRUPT).isNotNull(), names[0]).drop(CORRUPT)
+    else:
+        df = reader.csv(path)
+        if ordinal:
+            df = with_ordinal(df)
     if na_tokens:
         df = na_to_null(df, na_tokens)
     return df
@@ -88,7 +132,7 @@ def read_delimited_typed(spark: SparkSession, path: str, schema: T.StructType |
     value that is not a number becomes NULL instead of failing the job),
     other types through `try_cast`. Declared columns missing from the file
     come back as NULL; extra file columns are dropped."""
-    from terroir.functions.numeric import parse_number
+    from terroir.functions.numeric import parse_long, parse_number
     if isinstance(schema, str):
         schema = spark.createDataFrame([], schema).schema
     df = read_delimited(spark, path, encoding, sep, ordinal=ordinal)
@@ -101,8 +145,7 @@ def read_delimited_typed(spark: SparkSession, path: str, schema: T.StructType |
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             out.append(parse_number(c, decimal_comma).try_cast(f.dataType).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-            d = parse_number(c, decimal_comma)
-            out.append(F.when(d == F.floor(d), d.try_cast(f.dataType)).alias(f.name))
+            out.append(parse_long(c, decimal_comma).try_cast(f.dataType).alias(f.name))
         elif isinstance(f.dataType, T.StringType):
             out.append(c.alias(f.name))
         else:
@@ -112,42 +155,51 @@ def read_delimited_typed(spark: SparkSession, path: str, schema: T.StructType |
     return df.select(*out)
 
 
-def extract(spark: SparkSession, specs: list[SourceSpec], ordinal: bool = True) -> dict[str, DataFrame]:
-    """S3: one lazy frame per source (row counts are observed later, with
-    the write of each cleaned table)."""
-    return {s.name: read_delimited(spark, s.path, s.encoding, s.sep, ordinal=ordinal) for s in specs}
-
-
 def read_with_header_offset(spark: SparkSession, path: str, skip: int, encoding: str = "utf-8",
                             sep: str = ";") -> DataFrame:
     """The first `skip` lines are junk, line `skip` holds the header.
 
-    Lines are read without header with their file-order ordinal; the line
-    number inside a file's first split is its id minus that split's first id
-    (one row per file, broadcast back). Only the header line comes to the
-    driver."""
-    raw = (spark.read.option("sep", sep).option("header", False).option("encoding", spark_charset(encoding))
-           .option("quote", '"').option("escape", '"').csv(path))
-    raw = with_ordinal(raw)
-    # header lines are in the first split of each file: one row per file
-    first = (raw.filter(F.col(f"{ORDINAL}.block") == 0)
-             .groupBy(F.col(f"{ORDINAL}.file").alias("f"))
-             .agg(F.min(f"{ORDINAL}.pos").alias("p0")))
-    pos = (raw.join(F.broadcast(first), (F.col(f"{ORDINAL}.file") == F.col("f"))
-                    & (F.col(f"{ORDINAL}.block") == 0), "left")
-           .withColumn("_line", F.col(f"{ORDINAL}.pos") - F.col("p0"))
-           .drop("f", "p0"))
-    data_cols = [c for c in raw.columns if c != ORDINAL]
-    head = (pos.filter(F.col("_line") == skip).orderBy(f"{ORDINAL}.file").select(*data_cols)
-            .limit(1).collect())
-    if not head:
+    Files are read as lines (blank ones count), numbered inside each file's
+    first split, where the junk lines are. The header lines come to the driver,
+    one per different header; files whose headers hold the same names in
+    another order are read by name, other differences are refused. The rest is
+    parsed with the header's full width; blank lines are dropped, rows with more
+    cells than the header fail the job. A quoted cell cannot hold a line break."""
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            raise SourceNotFoundError(f"input not found: {path}") from e
+        raise
+    charset = spark_charset(encoding)
+    line = F.col("value") if charset == "UTF-8" else F.decode(F.col("value").cast("binary"), charset)
+    lines = with_ordinal(lines).withColumn("value", F.regexp_replace(line, r"\r$", ""))
+    o = F.col(ORDINAL)
+    # lines of one split are numbered one after the other; only first splits hold junk
+    start = lines.filter(o["block"] == 0).groupBy(o["file"].alias("f")).agg(F.min(o["pos"]).alias("p0"))
+    heads = (lines.filter(o["block"] == 0).join(start, o["file"] == F.col("f")).filter(o["pos"] - F.col("p0") == skip)
+             .select("f", F.regexp_replace("value", "^\ufeff", "").alias("head")))
+    different = heads.groupBy("head").agg(F.min("f").alias("f")).orderBy("f").collect()
+    if not different:
         raise ValueError(f"no header line {skip} in {path}")
-    names = [str(v) if v is not None else f"_c{i}" for i, v in enumerate(head[0])]
-    body = pos.filter(F.col("_line").isNull() | (F.col("_line") > skip))
-    body = body.select(*[F.col(c).alias(n) for c, n in zip(data_cols, names)], ORDINAL)
-    return na_to_null(body)
+    parts, first = [], None
+    for r in different:
+        width = r["head"].count(sep) + 1
+        cells = spark.range(1).select(_from_csv(F.lit(r["head"]), [f"c{i}" for i in range(width)], sep).alias("c")).first()["c"]
+        names = [c if c else f"_c{i}" for i, c in enumerate(x for x in cells if x is not None)]
+        first = first or names
+        if sorted(names) != sorted(first):
+            raise MalformedRowError(f"header of {r['f']} is {names}, not {first}")
+        parts.append((r["head"], names))
+    body = lines.join(heads.select(F.col("f"), "head").join(start, "f"), o["file"] == F.col("f"))
+    body = body.filter(((o["block"] != 0) | (o["pos"] - F.col("p0") > skip)) & (F.trim("value") != ""))
+    out = []
+    for head, names in parts:
+        mine = _refuse_long_rows(body.filter(F.col("head") == head), F.col("value"), len(names), sep)
+        row = mine.select(_from_csv(F.col("value"), [f"c{i}" for i in range(len(names))], sep).alias("r"), ORDINAL)
+        out.append(row.select(*[F.col("r")[f"c{names.index(n)}"].alias(n) for n in first], ORDINAL))
+    return na_to_null(union_all(out))
 
 
-__all__ = ["NA_TOKENS", "SourceNotFoundError", "SourceSpec", "na_to_null", "read_delimited",
-           "read_delimited_typed",
-           "extract", "read_with_header_offset"]
+__all__ = ["NA_TOKENS", "SourceNotFoundError", "MalformedRowError", "SourceSpec", "na_to_null", "read_delimited",
+           "read_delimited_typed", "read_with_header_offset"]

@@ -48,27 +48,4 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def publish_table(spark, name: str, path: str) -> None:
-    """Point catalog table `name` at Parquet files already written at `path`
-    (metadata only; the previous files stay where they were)."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
-
-
-def load_all(tables: dict[str, DataFrame], csv_root: str | None, table_root: str | None = None,
-             bom: bool = True, single_file: bool = False) -> dict[str, DataFrame]:
-    """Write each table once as a Parquet table, then the delimited copy
-    from the written table (no second run of the cleaning plan, no cache).
-    Returns the written tables."""
-    spark = next(iter(tables.values())).sparkSession if tables else None
-    written = {}
-    for name, df in tables.items():
-        write_table(df, name, f"{table_root.rstrip('/')}/{name}" if table_root else None)
-        written[name] = spark.table(name)
-        if csv_root:
-            write_delimited(written[name], f"{csv_root.rstrip('/')}/{name}", bom=bom,
-                            single_file=single_file)
-    return written
-
-
-__all__ = ["BOM", "write_delimited", "write_table", "write_parquet", "publish_table", "load_all"]
+__all__ = ["BOM", "write_delimited", "write_table", "write_parquet"]

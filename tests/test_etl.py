@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from terroir.plans.etl import EtlConfig, run
+from terroir.plans.etl import EtlConfig, attach, latest_run, run
 from terroir.sources.delimited import SourceNotFoundError, read_delimited
 
 ELECTION_HEADER = ("Code departement;Libelle departement;Code commune;Libelle commune;Code canton;"
@@ -152,7 +152,6 @@ def test_views(spark, etl):
 
 
 def test_outputs_written(spark, etl):
-    from terroir.plans.etl import latest_run
     res, cfg = etl
     run = os.path.basename(res.run_path)
     assert latest_run(spark, cfg.output_path)["tables"] == res.run_path
@@ -193,12 +192,10 @@ def test_corrected_quirks(spark, tmp_path_factory):
 def test_failed_run_keeps_published_tables(spark, etl, tmp_path_factory, monkeypatch):
     import terroir.plans.etl as etl_mod
     res, cfg = etl
-    old_paths = {n: spark.sql(f"DESCRIBE TABLE EXTENDED {n}").filter("col_name = 'Location'").first()[1]
-                 for n in ("fact_election_tour1", "fact_emploi_pop_active")}
+    attach(spark, cfg.output_path)
+    old_run = latest_run(spark, cfg.output_path)
     old_counts = {n: spark.table(n).count() for n in ("fact_emploi_pop_active", "vw_elections_communes")}
-    base = tmp_path_factory.mktemp("etl_broken")
-    data = base / "data"
-    data.mkdir()
+    data = tmp_path_factory.mktemp("etl_broken")
     write_inputs(str(data))
     real = etl_mod.write_delimited
 
@@ -207,31 +204,36 @@ def test_failed_run_keeps_published_tables(spark, etl, tmp_path_factory, monkeyp
             raise RuntimeError("executor lost for good")
         return real(df, path, **kw)
 
+    def failing_commit(*_):
+        raise RuntimeError("driver lost")
+
     monkeypatch.setattr(etl_mod, "write_delimited", failing)
     with pytest.raises(RuntimeError):
-        run(spark, EtlConfig(str(data), str(base / "out"), cfg.table_path))
-    for n, loc in old_paths.items():
-        now = spark.sql(f"DESCRIBE TABLE EXTENDED {n}").filter("col_name = 'Location'").first()[1]
-        assert now == loc
+        run(spark, EtlConfig(str(data), cfg.output_path, cfg.table_path))
+    monkeypatch.setattr(etl_mod, "write_delimited", real)
+    monkeypatch.setattr(etl_mod, "_replace_file", failing_commit)
+    with pytest.raises(RuntimeError):            # dies when everything but the commit is done
+        run(spark, EtlConfig(str(data), cfg.output_path, cfg.table_path))
+    assert latest_run(spark, cfg.output_path) == old_run
+    other = spark.newSession()
+    assert attach(other, cfg.output_path)["fact_emploi_pop_active"].count() == old_counts["fact_emploi_pop_active"]
     assert {n: spark.table(n).count() for n in old_counts} == old_counts
 
 
 def test_model_from_warehouse(spark, etl):
     from terroir.plans.model import run_from_warehouse
-    res = run_from_warehouse(spark, num_trees=3, max_depth=2)
+    res = run_from_warehouse(spark.newSession(), etl[1].output_path, num_trees=3, max_depth=2, aggregate_rounds=False)
+    assert run_from_warehouse(spark, num_trees=2, max_depth=2).metrics.count() == 1
     feats = [r.feature for r in res.importance.collect()]
     assert set(feats) <= {"inscrits_t1", "votants_t1", "blancs_t1", "nuls_t1", "exprimes_t1",
                           "taux_blancs_t1", "taux_nuls_t1"} and feats
     assert res.missing.count() > 0
 
 
-def test_exact_counts_mode(spark, tmp_path_factory):
-    base = tmp_path_factory.mktemp("etl_exact")
-    data = base / "data"
-    data.mkdir()
-    write_inputs(str(data))
-    res = run(spark, EtlConfig(str(data), str(base / "out"), str(base / "tables"), exact_counts=True))
-    rows = {r.table_name: r for r in res.report.collect()}
-    assert (rows["fact_election_tour1"].rows_before, rows["fact_election_tour1"].rows_after,
-            rows["fact_election_tour1"].duplicates_removed) == (8, 4, 1)
-    assert (rows["fact_emploi_pop_active"].rows_before, rows["fact_emploi_pop_active"].duplicates_removed) == (7, 1)
+def test_another_session_attaches(spark, etl):
+    res, cfg = etl
+    other = spark.newSession()
+    attach(other, cfg.output_path)
+    assert {t.name for t in other.catalog.listTables()} >= {*res.tables, "vw_elections_communes", "vw_indicateurs_territoires"}
+    assert other.sql("SELECT count(*) FROM vw_elections_communes").first()[0] == 4
+    assert len(res.tables) == 11

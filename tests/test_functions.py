@@ -171,16 +171,6 @@ def test_parse_number_f3_matches_to_numeric(spark, vals):
             assert math.isclose(g, w, rel_tol=1e-15), (v, g, w)
 
 
-def test_clean_labels_distinct_first_same_result(spark):
-    from terroir.operators.cleaning import clean_label_columns
-    vals = [("rhone", "1Ere circ"), ("VÃ©nissieux", None), ("rhone", " lyon 1er "), (None, "2Ème Circ")]
-    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(vals)], "i int, a string, b string")
-    one = [tuple(r) for r in clean_label_columns(df, ["a", "b"]).orderBy("i").collect()]
-    two = [tuple(r) for r in clean_label_columns(df, ["a", "b"], distinct_first=True).orderBy("i").collect()]
-    assert one == two
-    assert one[1][1] == "Venissieux" and one[3][2] == "2eme Circ"
-
-
 def test_null_as_text_quirk(spark):
     from terroir.quirks import Quirks
     q = Quirks(null_as_text=True)
@@ -199,3 +189,23 @@ def test_idempotent_names_strip_pad(spark, vals):
     once = col_values(spark, vals, lambda c: X.zero_pad(X.strip(c), 5))
     twice = col_values(spark, once, lambda c: X.zero_pad(X.strip(c), 5))
     assert once == twice
+
+
+def test_strip_accents_over_all_of_unicode(spark):
+    import unicodedata
+    chars = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i <= 0xDFFF]
+    lines = ["".join(chars[k:k + 500]) for k in range(0, len(chars), 500)] + ["plain", "", "Évê\u0301que ﬁn ½"]
+    want = [unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode() for x in lines]
+    assert col_values(spark, lines, X.strip_accents) == want
+
+
+def test_round_half_up_beyond_64_bits(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(x,) for x in (1e13, 2.5e17, nan, inf, -inf, -2.5, 1.005, -1e-20)], "x double")
+    got = [r[0] for r in df.select(N.round_half_up("x", 6)).collect()]
+    assert got[:2] == [1e13, 2.5e17] and got[2] != got[2] and got[3:6] == [inf, -inf, -2.5] and got[6:] == [1.005, 0.0]
+
+
+def test_parse_long(spark):
+    assert col_values(spark, ["3000000000", " 9007199254740993 ", "-5", "12.0", "1.5", "1e3", "99999999999999999999", "x", None], N.parse_long) == [
+        3000000000, 9007199254740993, -5, 12, None, 1000, None, None, None]

@@ -72,7 +72,7 @@ def test_join_suffixed_many_to_many(spark):
 def test_left_join_keeps_rows(spark):
     f = spark.range(100).withColumn("k", F.col("id") % 7)
     d = spark.range(5).withColumnRenamed("id", "k").withColumn("lbl", F.col("k").cast("string"))
-    out = J.left_join_dims(f, [(d, "k", 10)])
+    out = J.left_join_dims(f, [(d, "k")])
     assert out.count() == 100
 
 
@@ -107,8 +107,8 @@ def test_exact_median_brute_force(spark):
     n = len(finite)
     want = finite[n // 2] if n % 2 else finite[n // 2 - 1] + (finite[n // 2] - finite[n // 2 - 1]) * 0.5
     assert m == want
-    # small exact limit forces histogram rounds
-    ks = A.exact_order_statistics(df, {"x": [0, 17, n - 1]}, buckets=8, exact_limit=4)
+    # a coarse sketch forces several rounds
+    ks = A.exact_order_statistics(df, {"x": [0, 17, n - 1]}, accuracy=20)
     assert [ks[("x", k)] for k in (0, 17, n - 1)] == [finite[0], finite[17], finite[-1]]
     assert A.exact_medians(spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (None,)], "x double"),
                            ["x"]) == {"x": 2.5}
@@ -144,8 +144,7 @@ def test_null_profile_and_quality(spark):
     assert prof == {"a": (1, 2), "b": (2, 1)}
     t = Q.QualityTracker("t", "n")
     raw = t.raw(df)
-    pre = t.before_dedup(raw.filter(F.col("a").isNotNull()))
-    fin = t.final(pre.dropDuplicates())
+    fin = t.final(Q.counted_distinct(raw.filter(F.col("a").isNotNull())))
     fin.write.format("noop").mode("overwrite").save()
     row = t.row("2026-01-01 00:00:00")
     assert (row["rows_before"], row["rows_after"], row["rows_removed"], row["null_cells"],
@@ -158,7 +157,7 @@ def test_empty_inputs(spark):
     assert A.exact_medians(empty, ["v"]) == {"v": None}
     prof = Q.null_profile(empty).collect()
     assert [(r.null_count, r.non_null_count) for r in prof] == [(0, 0), (0, 0)]
-    qr = Q.quality_row_frame("e", empty, empty, empty, with_timestamp=False).first()
+    qr = Q.quality_row_frame("e", empty, Q.counted_distinct(empty), with_timestamp=False).first()
     assert (qr.rows_before, qr.rows_after, qr.null_cells) == (0, 0, 0)
 
 
@@ -193,10 +192,31 @@ def test_feature_table_pairs_or_totals(spark):
     rows2 = [("69001", 100.0, 70.0, 1.0, 1.0), ("69001", 50.0, 40.0, 0.0, 0.0), ("69002", 10.0, 9.0, 0.0, 0.0)]
     schema = "codgeo string, inscrits double, votants double, blancs double, nuls double"
     t1, t2 = spark.createDataFrame(rows1, schema), spark.createDataFrame(rows2, schema)
-    pairs = build_feature_table(t1, t2, [], key="codgeo")
+    pairs = build_feature_table(t1, t2, [], key="codgeo", aggregate_rounds=False)
     assert pairs.count() == 5                            # 2 x 2 pairs for 69001, 1 for 69002
-    totals = {r.codgeo: r for r in build_feature_table(t1, t2, [], key="codgeo",
-                                                       aggregate_rounds=True).collect()}
+    totals = {r.codgeo: r for r in build_feature_table(t1, t2, [], key="codgeo").collect()}
     assert set(totals) == {"69001", "69002"}
     assert abs(totals["69001"].taux_participation_t2 - 110.0 / 150.0) < 1e-12
     assert abs(totals["69001"].taux_blancs_t1 - 3.0 / 90.0) < 1e-12
+
+
+def test_order_statistics_of_extreme_spreads(spark):
+    rnd = random.Random(3)
+    wide = [rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-300, 300) for _ in range(20_000)] + [1.7e308, -1.7e308]
+    ties = [5.0] * 15_000 + [rnd.random() for _ in range(5_002)]
+    df = spark.createDataFrame(list(zip(wide, ties)), "x double, y double")
+    got = A.exact_medians(df, ["x", "y"])
+    for c, values in (("x", sorted(wide)), ("y", sorted(ties))):
+        lo, hi = values[len(values) // 2 - 1], values[len(values) // 2]
+        assert got[c] == lo + (hi - lo) * 0.5
+    ks = [0, 1, 4_000, 10_000, 20_001]
+    st = A.exact_order_statistics(df, {"x": ks, "y": ks}, accuracy=50)
+    assert [st["x", k] for k in ks] == [sorted(wide)[k] for k in ks] and [st["y", k] for k in ks] == [sorted(ties)[k] for k in ks]
+    two = spark.createDataFrame([(1.7e308,), (-1.7e308,)], "x double")
+    assert A.exact_medians(two, ["x"]) == {"x": 0.0}
+
+
+def test_correlation_with_a_constant_column(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.5, 5.0), (3.0, 5.0, 5.0)], "a double, b double, c double")
+    r = {(x.feature_a, x.feature_b): x.r for x in A.corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert r["a", "c"] is None and r["c", "c"] is None and abs(r["a", "a"] - 1) < 1e-12 and 0.9 < r["a", "b"] < 1

@@ -5,6 +5,8 @@ dimension) or split by AQE (joins); filters and projections reach the scan."""
 import io
 from contextlib import contextmanager, redirect_stdout
 
+import os
+
 from pyspark.sql import functions as F
 
 from terroir.operators import dedup as D
@@ -72,20 +74,26 @@ def test_hot_key_join_is_split(spark):
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        out = left_join_dims(hot_fact(spark), [(dim, "k", None)])
+        out = left_join_dims(hot_fact(spark), [(dim, "k")])
         rows = out.collect()
         final = plan_of(out)
     assert len(rows) == 30000
     assert "skew=true" in final
 
 
-def test_bounded_dimension_is_broadcast_unbounded_is_not(spark):
-    dim = spark.range(1000).select(F.col("id").alias("k"))
-    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
-                        "spark.sql.adaptive.enabled": "false"}):
-        assert "BroadcastHashJoin" in plan_of(left_join_dims(hot_fact(spark), [(dim, "k", 1000)]))
-        assert "BroadcastHashJoin" not in plan_of(left_join_dims(hot_fact(spark), [(dim, "k", None)]))
-        assert "BroadcastHashJoin" not in plan_of(left_join_dims(hot_fact(spark), [(dim, "k", 10 ** 9)]))
+def test_large_sides_are_not_broadcast(spark):
+    import glob
+    large = spark.range(3_000_000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("label"))
+    with conf(spark, **{"spark.sql.adaptive.enabled": "false"}):
+        assert "BroadcastHashJoin" not in plan_of(left_join_dims(large, [(large.withColumnRenamed("label", "other"), "k")]))
+    for f in glob.glob(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "terroir", "**", "*.py"), recursive=True):
+        assert "F.broadcast(" not in open(f).read(), f
+
+
+def test_numbers_are_parsed_once(spark):
+    from terroir.plans import testdata as TD
+    for query, numbers in ((TD.clean_commune_measures, 2), (TD.clean_iris_measures, 2)):
+        assert plan_of(query(spark, SF)).count("RLIKE") <= numbers
 
 
 def test_scan_pruning_and_pushdown(spark):

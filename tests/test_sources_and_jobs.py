@@ -1,17 +1,14 @@
-"""Sources, sinks, catalog, preparation job, streaming ingestion, model job."""
+"""Sources, sinks, catalog, preparation job, model job."""
 
 import os
 
-from pyspark.sql import functions as F
+import pytest
+from pyspark.errors import PySparkException
 
-from terroir.functions.numeric import parse_number
-from terroir.functions.text import safe_code
-from terroir.operators.filters import territory_predicate
 from terroir.plans import prep
 from terroir.sources.catalog import describe_table, list_tables, scan_table
 from terroir.sources.delimited import read_delimited
 from terroir.sources.sinks import write_delimited, write_table
-from terroir.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,26 +59,6 @@ def test_catalog(spark):
     assert scan_table(spark, "cust_small").count() == cust.count()
 
 
-def test_streaming_ingest(spark, tmp_dir):
-    land = os.path.join(tmp_dir, "landing")
-    os.makedirs(land)
-    _w(os.path.join(land, "f1.csv"), "CODGEO;POP\n69001;1,5\n01001;2\n69002;3\n")
-    _w(os.path.join(land, "f2.csv"), "CODGEO;POP\n69001;9\n69003;4\n")
-
-    def clean(df):
-        return (df.filter(territory_predicate("CODGEO"))
-                  .select(safe_code(F.col("CODGEO"), 5).alias("codgeo"),
-                          parse_number(F.col("POP")).alias("pop")))
-
-    sink = os.path.join(tmp_dir, "sink")
-    q = ingest(spark, land, ["CODGEO", "POP"], clean, ["codgeo"], sink,
-               os.path.join(tmp_dir, "ckpt"))
-    q.awaitTermination(120)
-    out = {r.codgeo: r.pop for r in spark.read.parquet(sink).collect()}
-    assert set(out) == {"69001", "69002", "69003"}
-    assert out["69002"] == 3.0
-
-
 def test_model_job(spark):
     from terroir.plans import testdata as TD
     from terroir.plans.model import run_model
@@ -116,24 +93,6 @@ def test_typed_read(spark, tmp_dir):
         ("69001", 1.5, 2021, "a", None), ("69002", None, None, "b", None), ("69003", None, None, None, None)]
 
 
-def test_streaming_resumes_from_checkpoint(spark, tmp_dir):
-    land = os.path.join(tmp_dir, "landing2")
-    os.makedirs(land)
-    sink, ckpt = os.path.join(tmp_dir, "sink2"), os.path.join(tmp_dir, "ckpt2")
-
-    def clean(df):
-        return df.select(safe_code(F.col("CODGEO"), 5).alias("codgeo"),
-                         parse_number(F.col("POP")).alias("pop"))
-
-    _w(os.path.join(land, "a.csv"), "CODGEO;POP\n69001;1\n69002;2\n")
-    ingest(spark, land, ["CODGEO", "POP"], clean, ["codgeo"], sink, ckpt).awaitTermination(120)
-    # restart: a new file lands, with one key already seen and one new key
-    _w(os.path.join(land, "b.csv"), "CODGEO;POP\n69001;99\n69003;3\n")
-    ingest(spark, land, ["CODGEO", "POP"], clean, ["codgeo"], sink, ckpt).awaitTermination(120)
-    rows = sorted((r.codgeo, r.pop) for r in spark.read.parquet(sink).collect())
-    assert rows == [("69001", 1.0), ("69002", 2.0), ("69003", 3.0)]
-
-
 def test_utf8_bom_read_as_latin1(spark, tmp_dir):
     from terroir.operators.schema import normalize_columns, rename_position
     p = os.path.join(tmp_dir, "bom.csv")
@@ -142,3 +101,71 @@ def test_utf8_bom_read_as_latin1(spark, tmp_dir):
     df = normalize_columns(read_delimited(spark, p, encoding="latin1", ordinal=False))
     assert df.columns == ["code_departement", "annee"]
     assert rename_position(df, 0, "code_departement").columns == ["code_departement", "annee"]
+
+
+def test_header_below_a_one_cell_title_and_a_blank_line(spark, tmp_dir):
+    from terroir.sources.delimited import MalformedRowError, read_with_header_offset
+    src = os.path.join(tmp_dir, "one.csv")
+    _w(src, "Titre\nSource\nCode;Lib;Val\n69001;a;1\n\n69002;\"b;c\";\n")
+    rows = sorted(tuple(r)[:3] for r in read_with_header_offset(spark, src, 2).collect())
+    assert rows == [("69001", "a", "1"), ("69002", "b;c", None)]
+    _w(os.path.join(tmp_dir, "latin.csv"), "Titre;;\n\nCode;Lib\n1;é\n", "latin1")
+    df = read_with_header_offset(spark, os.path.join(tmp_dir, "latin.csv"), 2, "latin1")
+    assert df.columns[:2] == ["Code", "Lib"] and [tuple(r)[:2] for r in df.collect()] == [("1", "é")]
+    folder = os.path.join(tmp_dir, "folder")
+    os.makedirs(folder)
+    _w(os.path.join(folder, "a.csv"), "t\nk;v\n1;x\n")
+    _w(os.path.join(folder, "b.csv"), "t\nv;k\ny;2\n")
+    assert sorted((r.k, r.v) for r in read_with_header_offset(spark, folder, 1).collect()) == [("1", "x"), ("2", "y")]
+    _w(os.path.join(folder, "c.csv"), "t\nk;w\n3;z\n")
+    with pytest.raises(MalformedRowError):
+        read_with_header_offset(spark, folder, 1)
+    _w(src, "t\nk;v\n1;x;more\n")
+    with pytest.raises(PySparkException, match="more than 2 cells"):
+        read_with_header_offset(spark, src, 1).collect()
+
+
+def test_swapped_columns_and_long_rows_are_refused(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "swapped")
+    os.makedirs(folder)
+    _w(os.path.join(folder, "a.csv"), "k;v\n1;x\n")
+    assert [(r.k, r.v) for r in read_delimited(spark, folder).collect()] == [("1", "x")]
+    _w(os.path.join(folder, "b.csv"), "v;k\nz;9\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_delimited(spark, folder).collect()
+    long = os.path.join(tmp_dir, "long.csv")
+    _w(long, "k;v\n1;x\n2\n3;\"q;r\"\n")
+    assert sorted((r.k, r.v) for r in read_delimited(spark, long).collect()) == [("1", "x"), ("2", None), ("3", "q;r")]
+    _w(long, "k;v\n1;x\n2;b;EXTRA\n")
+    with pytest.raises(PySparkException, match="more than 2 cells"):
+        read_delimited(spark, long).select("k").collect()
+
+
+def test_typed_read_of_large_keys(spark, tmp_dir):
+    from terroir.sources.delimited import read_delimited_typed
+    p = os.path.join(tmp_dir, "keys.csv")
+    _w(p, "k;n\n9007199254740993;3000000000\n-9223372036854775808;5\n9223372036854775808;x\n")
+    df = read_delimited_typed(spark, p, "k long, n int")
+    assert [tuple(r) for r in df.collect()] == [(9007199254740993, None), (-9223372036854775808, 5), (None, None)]
+
+
+def test_same_model_however_the_rows_come(spark):
+    from terroir.plans import testdata as TD
+    from terroir.plans.model import run_model
+    ft = TD.feature_frame(spark, SF).fillna(0)
+    one, many = (run_model(x, key="o_custkey", features=TD.FEATURE_COLS, num_trees=5, max_depth=4)
+                 for x in (ft.coalesce(1), ft.repartition(5)))
+    assert [tuple(r) for r in one.importance.collect()] == [tuple(r) for r in many.importance.collect()]
+
+
+def test_forest_finds_a_planted_signal(spark):
+    from terroir.operators import features as G
+    from terroir.operators.stats import regression_metrics
+    rows = [(k, float(k % 17), float(k * 7919 % 101), 3.0 * (k % 17) + 1000.0) for k in range(2000)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, y double")
+    data = G.assemble(G.fit_partitions(df, ["k"], 4), ["a", "b"])
+    model = G.forest("y", 10, 8).fit(data)
+    imp = {r.feature: r.importance for r in G.feature_importance(spark, model, ["a", "b"]).collect()}
+    assert imp["a"] > 0.9
+    assert regression_metrics(G.predictions(model, data, "y"), "actual", "predicted").first().r2 > 0.95
+    assert abs(G.fit_partitions(df, ["k"], 4, max_rows=500).count() - 500) < 120
