@@ -397,7 +397,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with the text that is left; null texts stay null."""
-    rows = keyed(docs, id_col, text_col, [c for c in docs.columns if c != text_col] + [F.col(text_col).isNull().alias("no text")])
+    mark = "no text" + "_" * sum(c.startswith("no text") for c in docs.columns)
+    rows = keyed(docs, id_col, text_col, [F.col(f"`{c}`") for c in docs.columns if c != text_col] + [F.col(text_col).isNull().alias(mark)])
     out = cut_out(rows, repeated_spans(rows), True)
-    return out.select(*[F.when(~F.col("rest")["no text"], F.col("kept_text")).alias(c) if c == text_col
+    return out.select(*[F.when(~F.col("rest")[mark], F.col("kept_text")).alias(c) if c == text_col
                         else F.col("rest")[c].alias(c) for c in docs.columns])
