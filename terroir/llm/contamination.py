@@ -26,17 +26,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terroir.llm.common import bounded_batches, key_filter, mix, slices, written
+from terroir.llm.common import bounded_batches, key_filter, mix, ragged, slices, written
 
 WINDOW, RUN, SHORTEST = 8, 13, 4
-CACHE_TOKENS = 600_000
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]")
 # Number words and unit words that become placeholders.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen "
@@ -51,38 +52,32 @@ NUMBER, UNIT, NAME = (np.uint64(x) for x in (11, 13, 17))
 HITS = "key long, doc_id long, text_hash long, typed boolean, pos int, n int, slots array<string>"
 
 
-class Lexicon:
-    """Properties of tokens, remembered between batches."""
-
-    def __init__(self):
-        self.reset()
-
-    def reset(self) -> None:
-        self.at: dict[str, int] = {}
-        self.rows = np.zeros((0, 2), np.uint64)  # hash of the lower-case token; flags
-
-    def rows_of(self, tokens: list[str]) -> np.ndarray:
-        if len(self.at) > CACHE_TOKENS:
-            self.reset()
-        new = [t for t in dict.fromkeys(tokens) if t not in self.at]
-        rows = np.zeros((len(new), 2), np.uint64)
-        for k, t in enumerate(new):
-            low = t.lower()
-            flags = (1 if t[0].isdigit() or low in NUMBER_WORDS else 0) | (2 if t in ".!?\n" else 0) \
-                | (4 if t[0].isupper() and not (len(t) > 1 and t.isupper()) else 0) | (8 if low in UNIT_WORDS else 0)
-            rows[k] = xxhash.xxh3_64_intdigest(low), flags
-            self.at[t] = len(self.rows) + k
-        self.rows = np.concatenate([self.rows, rows])
-        return self.rows[np.fromiter(map(self.at.__getitem__, tokens), np.int64, len(tokens))]
-
-
-def templates(texts: list[str | None], lexicon: Lexicon):
-    """(tokens, text of each, [(typed, codes, first token, tokens) of the two templates])."""
-    found = [TOKEN.findall(t) if t else [] for t in texts]
-    tokens = [t for f in found for t in f]
-    doc = np.repeat(np.arange(len(texts)), [len(f) for f in found])
-    rows = lexicon.rows_of(tokens) if tokens else np.zeros((0, 2), np.uint64)
-    code, flag = rows[:, 0].copy(), rows[:, 1]
+def lexicon(chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(tokens of all chunks, (hash of the lower-case token, flags) of each, tokens of each chunk)."""
+    found = [TOKEN.findall(c) for c in chunks]
+    tokens = list(chain.from_iterable(found))
+    rows = np.zeros((len(tokens), 2), np.uint64)
+    low = [t.lower() for t in tokens]
+    rows[:, 0] = np.fromiter(map(xxhash.xxh3_64_intdigest, low), np.uint64, len(low))
+    rows[:, 1] = np.fromiter((
+        (1 if t[0].isdigit() or w in NUMBER_WORDS else 0) | (2 if t in ".!?\n" else 0)
+        | (4 if t[0].isupper() and not (len(t) > 1 and t.isupper()) else 0) | (8 if w in UNIT_WORDS else 0)
+        for t, w in zip(tokens, low)), np.uint64, len(low))
+    return tokens, rows, np.fromiter(map(len, found), np.int64, len(found))
+
+
+def templates(texts: pa.Array):
+    """(token strings, their place by token, [(typed, codes, first token, tokens, text)
+    of the two templates]). No token spans ASCII white space, so a text is its
+    chunks' tokens one after the other; line ends become stops."""
+    split = pc.ascii_split_whitespace(pc.replace_substring(pc.fill_null(texts, ""), "\n", " . "))
+    coded = split.flatten().dictionary_encode()
+    words, kinds, per_chunk = lexicon(coded.dictionary.to_pylist())
+    chunk = coded.indices.to_numpy(zero_copy_only=False)
+    word = ragged((np.cumsum(per_chunk) - per_chunk)[chunk], per_chunk[chunk])
+    per_text = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    doc = np.repeat(np.repeat(np.arange(len(texts)), per_text), per_chunk[chunk])
+    code, flag = kinds[word, 0], kinds[word, 1]
     stop = (flag & np.uint64(2)) > 0
     fresh = np.ones(len(code), bool)  # behind a sentence's end, or first in its text
     fresh[1:] = stop[:-1] | (doc[1:] != doc[:-1])
@@ -103,7 +98,7 @@ def templates(texts: list[str | None], lexicon: Lexicon):
         typed = np.where(name, NAME, code)[kept]
         # tokens of a run of names lie side by side, stops never between them
         out.append((True, typed, place[kept], np.diff(np.append(kept, len(code))), doc[kept]))
-    return tokens, out
+    return words, word, out
 
 
 def windows(code: np.ndarray, doc: np.ndarray, size: int, typed: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -129,9 +124,9 @@ def template_windows(rows: DataFrame, sizes: list[int], bits: np.ndarray | None,
     shared = spark.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, lexicon = shared.value, Lexicon()
+        known = shared.value
         for b in slices(batches, "text"):
-            tokens, both = templates(b.column("text").to_pylist(), lexicon)
+            words, word, both = templates(b.column("text"))
             ids, prints = b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist()
             out: list[tuple] = []
             for typed, code, place, run_len, doc in both:
@@ -142,13 +137,13 @@ def template_windows(rows: DataFrame, sizes: list[int], bits: np.ndarray | None,
                     if whole and size < WINDOW:
                         own = count[doc[starts]] == size
                         starts, hashes = starts[own], hashes[own]
-                    if words is not None:
-                        at = (hashes & np.uint64(len(words) * 32 - 1)).astype(np.int64)
-                        hit = ((words[at // 32] >> (at % 32).astype(np.uint32)) & np.uint32(1)) > 0
+                    if known is not None:
+                        at = (hashes & np.uint64(len(known) * 32 - 1)).astype(np.int64)
+                        hit = ((known[at // 32] >> (at % 32).astype(np.uint32)) & np.uint32(1)) > 0
                         starts, hashes = starts[hit], hashes[hit]
                     for s, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
                         d = int(doc[s])
-                        slots = [f"{int(code[k])}:{' '.join(tokens[place[k]:place[k] + run_len[k]]).lower()}"
+                        slots = [f"{int(code[k])}:{' '.join(words[w] for w in word[place[k]:place[k] + run_len[k]]).lower()}"
                                  for k in range(s, s + size) if code[k] <= NAME]
                         out.append((h, ids[d], prints[d], typed, s - int(first[d]), int(count[d]), slots))
             for lo in range(0, len(out), 20_000):
