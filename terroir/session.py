@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -42,7 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The folder comes from `spark.checkpoint.dir` (or one already set on the
     context). Only when neither is set -- local runs and tests -- a fresh
-    folder under the system temp directory is created and registered.
+    folder under the system temp directory is created, and removed at exit.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
                                "(a machine-local folder is not visible to other executors)")
         conf_dir = tempfile.mkdtemp(prefix="terroir-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)  # made here, so removed here
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
