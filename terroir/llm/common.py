@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from terroir.session import scratch_path
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-SLICE_BYTES = 20 << 20
+SLICE_BYTES = 6 << 20       # text that a worker looks at as a whole
+TOKENS_BYTES = 12 << 20     # the same where ids are looked up: fewer look-ups of common chunks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, limit: int = 32 << 20) -> None:
+def bounded_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
     """Bound the bytes of one Arrow batch, so that long texts reach Python a
     few at a time. A smaller bound set by the user stays."""
     now = spark.conf.get(ARROW_BYTES, None)
@@ -40,8 +41,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], column: str | int,
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Split batches so that `column` holds about `limit` bytes in each; a
-    single longer value stays whole."""
+    single longer value stays whole. Between batches freed memory goes back to
+    the system: workers live on from task to task."""
     for b in batches:
+        give_back()
         n = b.num_rows
         if not n:
             continue
@@ -50,6 +53,26 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | int,
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), n]
         for lo, hi in zip(cuts, cuts[1:]):
             yield b.slice(lo, hi - lo)
+    give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc():
+    import ctypes
+
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        return libc if hasattr(libc, "malloc_trim") else None
+    except OSError:
+        return None
+
+
+_LIBC = _libc()
 
 
 def utf8_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -139,12 +162,12 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
 FILTER_BITS = 1 << 23
 
 
-def key_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS, hashed: bool = False) -> np.ndarray:
-    """A one-hash Bloom filter of a long column as a bit array of a fixed size
+def key_filter(keys: DataFrame, *columns: str, bits: int = FILTER_BITS, hashed: bool = False) -> np.ndarray:
+    """A one-hash Bloom filter of key columns as a bit array of a fixed size
     (1 MB by default): what is sent to all tasks never grows with the data. With
     more keys it lets more rows through; whoever uses it joins afterwards.
-    `hashed` keys are taken as they are."""
-    at = F.pmod(F.col(column) if hashed else F.xxhash64(column), F.lit(bits))
+    `hashed` keys (one long column) are taken as they are."""
+    at = F.pmod(F.col(columns[0]) if hashed else F.xxhash64(*columns), F.lit(bits))
     rows = keys.select(F.floor(at / 32).cast("int").alias("word"), (at % 32).cast("int").alias("bit")).groupBy("word").agg(
         F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")).toPandas()
     out = np.zeros(bits // 32, np.uint32)
@@ -152,17 +175,31 @@ def key_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS, hashed: bo
     return out
 
 
-def prefiltered(rows: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """Rows of which the filter may hold the long `column` (null: no)."""
+def prefiltered(rows: DataFrame, keys: list, bits: np.ndarray, held: bool = True) -> DataFrame:
+    """The rows whose keys (names or columns) the filter may hold, or surely does not."""
     shared = rows.sparkSession.sparkContext.broadcast(bits)
     size = len(bits) * 32
+    mark = "at" + "_" * sum(c.startswith("at") for c in rows.columns)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         for b in batches:
-            at = b.column("__at").to_numpy(zero_copy_only=False)
-            hit = (words[at // 32] >> (at % 32).astype(np.uint32)) & np.uint32(1)
-            yield b.filter(pa.array(hit.astype(bool))).drop_columns(["__at"])
-
-    marked = rows.filter(F.col(column).isNotNull()).withColumn("__at", F.pmod(F.xxhash64(column), F.lit(size)))
-    return marked.mapInArrow(keep, rows.schema)
+            at = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
+            hit = ((words[at // 32] >> (at % 32).astype(np.uint32)) & np.uint32(1)) > 0
+            yield b.select(range(b.num_columns - 1)).filter(pa.array(hit == held))
+
+    return rows.withColumn(mark, F.pmod(F.xxhash64(*keys), F.lit(size))).mapInArrow(keep, rows.schema)
+
+
+def without(rows: DataFrame, keys: list, gone: DataFrame) -> DataFrame:
+    """`rows` whose keys (columns, nulls equal) are not among those of `gone`, a
+    table of as many columns. Rows that a fixed-size filter of `gone` surely does
+    not hold are not shuffled."""
+    names = [f"gone {k}" for k in range(len(keys))]
+    gone = gone.toDF(*names)
+    bits = key_filter(gone, *names)
+    same = None
+    for key, name in zip(keys, names):
+        equal = key.eqNullSafe(F.col(f"`{name}`"))
+        same = equal if same is None else same & equal
+    return prefiltered(rows, keys, bits, False).unionByName(prefiltered(rows, keys, bits).join(gone, same, "left_anti"))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terroir.llm.common import bounded_batches, key_filter, mix, ragged, slices, written
+from terroir.llm.common import bounded_batches, key_filter, mix, ragged, slices, without, written
 
 WINDOW, RUN, SHORTEST = 8, 13, 4
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]")
@@ -191,7 +191,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that no item contaminates, with all their columns."""
-    found = written(contaminated(docs, benchmark, id_col, text_col).select(
-        F.col("doc_id").alias("c_doc_id"), F.col("text_hash").alias("c_text_hash")).distinct(), "contaminated")
-    return docs.join(found, docs[id_col].cast("long").eqNullSafe(found["c_doc_id"])
-                     & (F.xxhash64(docs[text_col]) == found["c_text_hash"]), "left_anti")
+    found = written(contaminated(docs, benchmark, id_col, text_col).select("doc_id", "text_hash").distinct(), "contaminated")
+    return without(docs, [F.col(id_col).cast("long"), F.xxhash64(text_col)], found)

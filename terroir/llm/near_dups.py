@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terroir.llm import signatures as S
-from terroir.llm.common import bounded_batches, key_filter, prefiltered, runs, slices, written
+from terroir.llm.common import bounded_batches, key_filter, prefiltered, runs, slices, without, written
 from terroir.llm.graph import components
 from terroir.llm.shingles import shingle_sets
 
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     homes = homes.join(sizes, "home").select("rep", F.xxhash64("home", F.pmod(F.xxhash64("rep"), "parts")).alias("block"))
     homes = written(homes, "homes")
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    texts = prefiltered(texts, "rep", key_filter(homes, "rep")).join(homes, "rep").join(reps, "rep")
+    texts = prefiltered(texts, ["rep"], key_filter(homes, "rep")).join(homes, "rep").join(reps, "rep")
     texts = written(texts, "near-texts")
 
     inner = _compared(texts.withColumn("label", F.col("rep")).withColumn("side", F.lit(0)), ["block"])
@@ -213,8 +213,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     visits = pairs.join(chunks, "host").select("host", "guest", F.pmod(F.xxhash64("guest"), "chunks").alias("chunk"))
     sides = visits.select("host", "chunk", F.col("guest").alias("block"), F.lit(1).alias("side")).unionByName(
         visits.select("host", "chunk", F.col("host").alias("block"), F.lit(0).alias("side")).distinct())
-    both = sides.join(texts.join(labels.select("rep", "label"), "rep"), "block")
-    outer = _compared(both.select("host", "chunk", "side", "rep", "label", "sig", "text"), ["host", "chunk"])
+    who = written(sides.join(labels, "block").select("host", "chunk", "side", "rep", "label"), "visits")
+    needed = prefiltered(texts, ["rep"], key_filter(who, "rep"))
+    outer = _compared(who.join(needed, "rep").select("host", "chunk", "side", "rep", "label", "sig", "text"), ["host", "chunk"])
 
     roots = components(outer.select("rep", "root"))
     found = labels.filter("rep <> label").select("rep", "label").unionByName(
@@ -230,8 +231,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of `docs` that `near_duplicates` keeps, with all their columns.
     Of rows that repeat an id the least stays; rows without an id all stay."""
     found = written(near_duplicates(docs, id_col, text_col).select(F.col("doc_id").alias("found_id"), "kept"), "near-kept")
-    gone = found.filter("not kept").select("found_id").distinct()
-    rest = docs.join(gone, docs[id_col].cast("long") == gone["found_id"], "left_anti")
+    gone = found.filter("not kept and found_id is not null").select("found_id").distinct()
+    rest = without(docs, [F.col(id_col).cast("long")], gone)
     several = found.filter("found_id is not null").groupBy("found_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if several.isEmpty():
         return rest

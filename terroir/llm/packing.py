@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terroir.llm.common import bounded_batches, slices, written
+from terroir.llm.common import TOKENS_BYTES, bounded_batches, slices, written
 from terroir.llm.tokens import encoder
 
 PER_PARTITION = 8192
@@ -49,7 +49,7 @@ def cut_pieces(docs: DataFrame, length: int, tokenizer: str, end_id: int | None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, words)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", TOKENS_BYTES):
             ids, off = enc.encode(b.column("text"))
             if end_id is not None:
                 ids, off = np.insert(ids, off[1:], end_id), off + np.arange(len(off))

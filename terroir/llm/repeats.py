@@ -46,7 +46,8 @@ LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM          # a trigger lies at most so many bytes behind its string's start
 SPAN = REACH + 1
 CHUNK = 1 << 20
-BUCKET_BYTES = 4 << 20         # text bytes for each bucket
+BUCKET_BYTES = 4 << 20         # text bytes for each bucket, worked on as a whole
+PARTITION_BYTES = 128 << 20    # text bytes for each task, at most, which takes its buckets one by one
 HOT_UNITS, SAMPLE = 500_000, 20_000
 NO_ID = -(1 << 63)
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64))
@@ -185,7 +186,7 @@ def _units(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
 FOUND = "doc long, tie int, loc long, kind int"  # kind 0: entry to tell apart, 1: removed whole, 2: entry of a hot trigger
 
 
-def _dictionary(units: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
+def _dictionary(units: DataFrame, partitions: int, hot: np.ndarray) -> DataFrame:
     shared = units.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +220,7 @@ def _dictionary(units: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(tie[keep]), pa.array(loc[keep]),
                                               pa.array(kind[keep].astype(np.int32))], names=["doc", "tie", "loc", "kind"])
 
-    return units.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
+    return units.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
 
 def _contexts(rows: DataFrame, buckets: int) -> DataFrame:
@@ -294,7 +295,7 @@ def earlier(left: np.ndarray, count: np.ndarray, context: np.ndarray) -> np.ndar
     return out
 
 
-def _told_apart(contexts: DataFrame, buckets: int) -> DataFrame:
+def _told_apart(contexts: DataFrame, partitions: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, ["bucket"]):
             doc, tie, loc, raw = _gathered(t, [np.int64, np.int32, np.int64, np.uint8])
@@ -320,23 +321,25 @@ def _told_apart(contexts: DataFrame, buckets: int) -> DataFrame:
                     pa.array(doc[row]), pa.array(tie[row]), pa.array(at - (high - 1)), pa.array(at - low + LENGTH)],
                     names=["doc", "tie", "lo", "hi"])
 
-    return contexts.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc long, tie int, lo long, hi long")
+    return contexts.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc long, tie int, lo long, hi long")
 
 
 def repeated_spans(rows: DataFrame, hot_units: int = HOT_UNITS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc, tie, spans (array of lo, hi; may overlap) of `keyed` rows."""
     bounded_batches(rows.sparkSession)
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
-    buckets = max(1, -(-(total["b"] or 0) // bucket_bytes))
+    text = total["b"] or 0
+    buckets = max(1, -(-text // bucket_bytes))
+    partitions = min(buckets, max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-text // PARTITION_BYTES)))
     hot = _hot_triggers(rows, total["n"], hot_units)
-    found = _dictionary(_units(rows, buckets, hot), buckets, hot)
+    found = _dictionary(_units(rows, buckets, hot), partitions, hot)
     pick = lambda k: F.collect_list(F.when(F.col("kind") == k, F.col("loc")))
     found = written(found.groupBy("doc", "tie").agg(pick(0).alias("entries"), pick(1).alias("whole"), pick(2).alias("hot")), "found")
     open_ = found.filter("size(entries) > 0 or size(hot) > 0")
     texts = prefiltered(rows.select("doc", "tie", "text").dropDuplicates(["doc", "tie"]) if _repeats(rows) else
-                        rows.select("doc", "tie", "text"), "doc", key_filter(open_, "doc"))
+                        rows.select("doc", "tie", "text"), ["doc"], key_filter(open_, "doc"))
     contexts = _contexts(texts.join(open_.select("doc", "tie", "entries", "hot"), ["doc", "tie"]), buckets)
-    apart = _told_apart(contexts, buckets)
+    apart = _told_apart(contexts, partitions)
     whole = found.select("doc", "tie", F.explode("whole").alias("loc")).select(
         "doc", "tie", F.shiftright("loc", 16).alias("lo"),
         (F.shiftright("loc", 16) + F.col("loc").bitwiseAND(F.lit(255)) + (LENGTH - 1)).alias("hi"))

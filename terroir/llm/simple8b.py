@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terroir.llm.common import bounded_batches, filesystem, partition_number, ragged, slices, write_once
+from terroir.llm.common import TOKENS_BYTES, bounded_batches, filesystem, partition_number, ragged, slices, write_once
 from terroir.llm.tokens import encoder
 
 MAGIC = b"S8BWORD1"
@@ -207,7 +207,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
             .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
 
     def write_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = slices(batches, "text")
+        parts = slices(batches, "text", TOKENS_BYTES)
         first = next(parts, None)
         if first is None:
             return
