@@ -34,8 +34,8 @@ from terroir.llm.graph import components
 from terroir.llm.near_dups import Forest
 
 THRESHOLD = 0.93
-SHARD = 1024
-QUERIES = 1024
+SHARD = 8192     # vectors of a graph: a few megabytes
+QUERIES = 8192   # of a task, against one graph
 DEGREE = 16      # neighbours of a node above the bottom layer; twice as many there
 BEAM = 64
 AUDIT = 0.99
@@ -44,7 +44,7 @@ AUDITED = 64     # queries of a block that the audit checks
 
 def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Cosine in double precision of the rows of x with those of y."""
-    x, y = x.astype(np.float64), y.astype(np.float64)
+    x, y = (v.astype(np.float64) / np.abs(v).max(-1, keepdims=True) for v in (x, y))
     return (x * y).sum(-1) / np.sqrt((x * x).sum(-1) * (y * y).sum(-1))
 
 
@@ -209,11 +209,9 @@ def audited(graph: Graph, queries: np.ndarray, threshold: float) -> list[np.ndar
 def classes(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
     """(vec_id with its class representative, or null; classes: label, rep, size, vector)."""
     v = F.col(vector_col)
-    norm = F.aggregate(v, F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
-    fine = (F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull())
-            & (norm > 0) & (norm < float("inf")) & ~F.isnan(norm))
-    base = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"),
-                       F.when(fine, F.transform(v, lambda x: x.cast("double"))).alias("vector"))
+    fine = (F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & F.exists(v, lambda x: x != 0)
+            & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    base = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), F.when(fine, v).alias("vector"))
     base = written(base.withColumn("hash", F.when(F.col("vector").isNotNull(), F.xxhash64("vector"))), "vectors")
     distinct = base.filter("vector is not null").groupBy("label", "hash", "vector").agg(
         F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("size"))
@@ -227,8 +225,7 @@ def _matrix(col) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    scale = np.abs(x).max(axis=1, keepdims=True)
-    x = x / scale
+    x = x.astype(np.float64) / np.abs(x).max(axis=1, keepdims=True)
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -243,18 +240,18 @@ def build(shards: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist([{
                 "cell": t.column("cell")[0].as_py(), "shard": t.column("shard")[0].as_py(),
                 "reps": t.column("rep").to_numpy().astype("<i8").tobytes(), "sizes": t.column("size").to_numpy().astype("<i8").tobytes(),
-                "vectors": x.astype("<f8").tobytes(), "height": g.height.astype("<i8").tobytes(), "top": g.top,
+                "single": x.dtype == np.float32, "vectors": x.tobytes(), "height": g.height.astype("<i8").tobytes(), "top": g.top,
                 "layers": [y.near.astype("<i4").tobytes() for y in g.layers]}], schema=pa.schema([
                     ("cell", pa.int64()), ("shard", pa.int32()), ("reps", pa.binary()), ("sizes", pa.binary()),
-                    ("vectors", pa.binary()), ("height", pa.binary()), ("top", pa.int32()), ("layers", pa.list_(pa.binary()))]))
+                    ("single", pa.bool_()), ("vectors", pa.binary()), ("height", pa.binary()), ("top", pa.int32()), ("layers", pa.list_(pa.binary()))]))
 
     return shards.repartition("cell", "shard").sortWithinPartitions("cell", "shard").mapInArrow(
-        run, "cell long, shard int, reps binary, sizes binary, vectors binary, height binary, top int, layers array<binary>")
+        run, "cell long, shard int, reps binary, sizes binary, single boolean, vectors binary, height binary, top int, layers array<binary>")
 
 
 def loaded(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
     reps, sizes = np.frombuffer(row["reps"], "<i8"), np.frombuffer(row["sizes"], "<i8")
-    x = np.frombuffer(row["vectors"], "<f8").reshape(len(reps), -1)
+    x = np.frombuffer(row["vectors"], np.float32 if row["single"] else np.float64).reshape(len(reps), -1)
     g = Graph.__new__(Graph)
     g.unit, g.top, g.height = _unit(x), row["top"], np.frombuffer(row["height"], "<i8")
     g.layers = []

@@ -71,6 +71,12 @@ def test_repeated_and_missing_ids(spark):
     assert got == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)], key=repr)
 
 
+def test_double_vectors(spark):
+    data = [(1, [1e200, 1e200], 1), (2, [1.0, 1.01], 1), (3, [1e-200, 0.0], 1)]
+    docs = spark.createDataFrame(data, "vec_id long, embedding array<double>, label string")
+    assert rows(V.near_vectors(docs), "vec_id", "n_links", "component_id") == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
 def test_empty_table(spark):
     assert V.near_vectors(frame(spark, [])).count() == 0
 
