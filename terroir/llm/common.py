@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from terroir.session import scratch_path
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-SLICE_BYTES = 6 << 20       # text that a worker looks at as a whole
-TOKENS_BYTES = 12 << 20     # the same where ids are looked up: fewer look-ups of common chunks
+SLICE_BYTES = 3 << 20       # text that a worker looks at as a whole
+TOKENS_BYTES = 8 << 20     # the same where ids are looked up: fewer look-ups of common chunks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
+def bounded_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
     """Bound the bytes of one Arrow batch, so that long texts reach Python a
     few at a time. A smaller bound set by the user stays."""
     now = spark.conf.get(ARROW_BYTES, None)

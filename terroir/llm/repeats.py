@@ -45,7 +45,7 @@ from terroir.llm.common import bounded_batches, key_filter, mix, prefiltered, ra
 LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM          # a trigger lies at most so many bytes behind its string's start
 SPAN = REACH + 1
-CHUNK = 1 << 20
+CHUNK = 1 << 18               # starts parsed at once
 BUCKET_BYTES = 4 << 20         # text bytes for each bucket, worked on as a whole
 PARTITION_BYTES = 128 << 20    # text bytes for each task, at most, which takes its buckets one by one
 HOT_UNITS, SAMPLE = 500_000, 20_000
@@ -236,9 +236,10 @@ def _contexts(rows: DataFrame, buckets: int) -> DataFrame:
                 per = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 loc = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 text = np.repeat(np.arange(len(per)), per)
-                for lo in range(0, len(loc), 100_000):
-                    start, left, count = _unpacked(loc[lo:lo + 100_000])
-                    own = text[lo:lo + 100_000]
+                step_ = 10_000 if column == "entries" else 10_000 // SPAN  # bounds the memory
+                for lo in range(0, len(loc), step_):
+                    start, left, count = _unpacked(loc[lo:lo + step_])
+                    own = text[lo:lo + step_]
                     if column == "hot":
                         which = np.repeat(np.arange(len(start)), count)
                         step = ragged(np.zeros(len(start), np.int64), count)
@@ -266,8 +267,8 @@ def _order(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order of the rows as byte strings, common prefix of each with the one before it)."""
     order = np.argsort(np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel(), kind="stable")
     common = np.zeros(len(rows), np.int64)
-    for lo in range(1, len(rows), 100_000):  # blocks bound the memory
-        a, b = rows[order[lo - 1:lo - 1 + 100_000]], rows[order[lo:lo + 100_000]]
+    for lo in range(1, len(rows), 20_000):  # blocks bound the memory
+        a, b = rows[order[lo - 1:lo - 1 + 20_000]], rows[order[lo:lo + 20_000]]
         same = a[:len(b)] == b
         common[lo:lo + len(b)] = np.where(same.all(axis=1), rows.shape[1], same.argmin(axis=1))
     return order, common

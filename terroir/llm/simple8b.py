@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terroir.llm.common import TOKENS_BYTES, bounded_batches, filesystem, partition_number, ragged, slices, write_once
+from terroir.llm.common import TOKENS_BYTES, bounded_batches, filesystem, partition_number, slices, write_once
 from terroir.llm.tokens import encoder
 
 MAGIC = b"S8BWORD1"
