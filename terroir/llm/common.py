@@ -15,7 +15,7 @@ from terroir.session import scratch_path
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 SLICE_BYTES = 3 << 20       # text that a worker looks at as a whole
-TOKENS_BYTES = 8 << 20     # the same where ids are looked up: fewer look-ups of common chunks
+TOKENS_BYTES = 16 << 20     # the same where ids are looked up: fewer look-ups of common chunks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

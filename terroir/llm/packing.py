@@ -45,7 +45,7 @@ PLACED = PIECES + ", salt long, sequence_id long, offset long, fill long, excess
 def cut_pieces(docs: DataFrame, length: int, tokenizer: str, end_id: int | None = 0, words: bool = True,
                id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece; `with_ids` adds the piece's ids."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 2 * TOKENS_BYTES)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, words)

@@ -202,7 +202,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode whole texts, append `end_id` to each, and write the files; returns the manifest."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, 2 * TOKENS_BYTES)
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
             .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
 
