@@ -6,11 +6,14 @@ placeholders. That is its literal template. In the typed template names
 Windows of `WINDOW` tokens of either template are hashed and joined with the
 benchmark's windows by hash; a filter of fixed size over the benchmark's hashes
 spares the other document windows the shuffle. Joined windows are collected by
-document, item and alignment; the slots of all of them must be consistent: one
-value of the item stands for one value of the document throughout. A document
-is contaminated by an item when consistent windows cover at least
+document, item and alignment. Windows are consistent when one value of the item
+stands for one value of the document in all of them, and that at half of the
+value's places on the alignment at least; windows whose slots all have the
+item's own values are consistent whatever the others hold. A document is
+contaminated by an item when consistent windows cover at least
 `min(RUN, tokens of the item)` of its tokens on one alignment. This finds
-copies and questions with other numbers, names or units.
+copies, also with some values changed, and questions with other numbers, names
+or units.
 
 Windows with fewer than half plain words are not used. Items of fewer than
 `WINDOW` tokens are looked for whole; items of fewer than `SHORTEST` tokens
@@ -25,6 +28,7 @@ columns of either table are read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -49,7 +53,8 @@ UNIT_WORDS = frozenset("mm cm m km in inch inches ft foot feet yd yard yards mi
                        "degree degrees dollar dollars cent cents euro euros usd eur gbp j w kw v a hz mph kmh meter meters "
                        "metre metres kilometer kilometers centimeter centimeters".split())
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (11, 13, 17))
-HITS = "key long, doc_id long, text_hash long, typed boolean, pos int, n int, slots array<string>"
+HITS = "key long, doc_id long, text_hash long, typed boolean, pos int, n int, holes array<int>, slots array<string>"
+JUDGED = "doc_id long, text_hash long, item_id long, covered int, literal boolean, same boolean, item_tokens int, token int"
 
 
 def lexicon(chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -143,18 +148,82 @@ def template_windows(rows: DataFrame, sizes: list[int], bits: np.ndarray | None,
                         starts, hashes = starts[hit], hashes[hit]
                     for s, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
                         d = int(doc[s])
+                        holes = [k for k in range(size) if code[s + k] <= NAME]
                         slots = [f"{int(code[k])}:{' '.join(words[w] for w in word[place[k]:place[k] + run_len[k]]).lower()}"
-                                 for k in range(s, s + size) if code[k] <= NAME]
-                        out.append((h, ids[d], prints[d], typed, s - int(first[d]), int(count[d]), slots))
+                                 for k in (s + h for h in holes)]
+                        out.append((h, ids[d], prints[d], typed, s - int(first[d]), int(count[d]), holes, slots))
             for lo in range(0, len(out), 20_000):
                 cols = zip(*out[lo:lo + 20_000])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
-                    pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.string())))],
-                    names=["key", "doc_id", "text_hash", "typed", "pos", "n", "slots"])
+                    pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())))],
+                    names=["key", "doc_id", "text_hash", "typed", "pos", "n", "holes", "slots"])
 
     return rows.mapInArrow(run, HITS)
 
 
+def agreed(at: list[int], pairs: list[list[tuple[int, str, str]]], size: int, need: int) -> list[int]:
+    """Sorted starts of consistent windows that cover `need` tokens, or none. `at`:
+    the windows' starts in the item; `pairs`: (place in the item, its value, the
+    document's value) of each one's slots.
+
+    Two windows reach from the first to the last of any such windows, and cover
+    `need` tokens by themselves: looking at all pairs of windows misses nothing."""
+    literal = sorted(a for a, p in zip(at, pairs) if all(i == d for _, i, d in p))
+    values: dict[str, dict[int, str]] = {}
+    for k, i, d in chain.from_iterable(pairs):
+        values.setdefault(i, {})[k] = d
+    stands = {i: {d for d, n in Counter(v.values()).items() if 2 * n >= len(v)} for i, v in values.items()}
+    # windows by what they choose where two values stand at half of the places each
+    chosen: dict[frozenset, list[int]] = {}
+    for a, p in sorted(zip(at, pairs)):
+        pick = frozenset((i, d) for _, i, d in p if len(stands[i]) > 1)
+        if all(d in stands[i] for _, i, d in p) and len(dict(pick)) == len(pick):
+            chosen.setdefault(pick, []).append(a)
+    reach, best = need - 1, None
+    last = sorted(chosen, key=lambda c: -chosen[c][-1])
+    for one in chosen:  # by their first windows
+        for other in last:
+            far = chosen[other][-1] - chosen[one][0] + size
+            if far <= reach:
+                break
+            if len(dict(one | other)) == len(one | other):
+                reach, best = far, one | other
+                break
+    kept: list[int] = []
+    for pick in sorted(chosen, key=lambda c: -len(chosen[c])) if best is not None else []:
+        if pick <= best or len(dict(best | pick)) == len(best | pick):
+            best |= pick
+            kept += chosen[pick]
+    most = max(literal, sorted(kept), key=lambda starts: cover(starts, size))
+    return most if cover(most, size) >= need else []
+
+
+def cover(starts: list[int], size: int) -> int:
+    """Tokens that windows at sorted starts cover."""
+    return sum(min(size, b - a) for a, b in zip(starts, starts[1:])) + size if starts else 0
+
+
+def judged(alignments: DataFrame) -> DataFrame:
+    """The alignments on which consistent windows cover enough tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                at = [w["item_pos"] for w in r["windows"]]
+                pairs = [[(w["item_pos"] + h, i, d) for h, i, d in zip(w["item_holes"], w["item_slots"], w["slots"])] for w in r["windows"]]
+                starts = agreed(at, pairs, r["size"], min(RUN, r["item_tokens"]))
+                if starts:
+                    out.append({"doc_id": r["doc_id"], "text_hash": r["text_hash"], "item_id": r["item_id"], "covered": cover(starts, r["size"]),
+                                "literal": not r["typed"], "same": all(i == d for _, i, d in chain.from_iterable(pairs)),
+                                "item_tokens": r["item_tokens"], "token": r["shift"] + starts[0]})
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
+                ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("covered", pa.int32()), ("literal", pa.bool_()),
+                ("same", pa.bool_()), ("item_tokens", pa.int32()), ("token", pa.int32())]))
+
+    return alignments.mapInArrow(run, JUDGED)
+
+
 def _texts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("text_hash"))
@@ -168,22 +237,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = _texts(benchmark, item_id_col, item_text_col)
     small = list(range(SHORTEST, WINDOW))
     bench = written(template_windows(items, [*small, WINDOW], None, True).select(
-        "key", F.col("doc_id").alias("item_id"), "typed", F.col("pos").alias("item_pos"), F.col("n").alias("item_tokens"),
-        F.col("slots").alias("item_slots")).withColumn("size", F.least("item_tokens", F.lit(WINDOW))), "bench-windows")
+        "key", F.col("doc_id").alias("item_id"), F.col("text_hash").alias("item_hash"), "typed", F.col("pos").alias("item_pos"),
+        F.col("n").alias("item_tokens"), F.col("holes").alias("item_holes"), F.col("slots").alias("item_slots")).withColumn(
+            "size", F.least("item_tokens", F.lit(WINDOW))), "bench-windows")
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # 4 to 8 at most
     bits = key_filter(bench, "key", hashed=True)
-    hits = template_windows(_texts(docs, id_col, text_col), sizes, bits, False).drop("n")
+    hits = template_windows(_texts(docs, id_col, text_col), sizes, bits, False).drop("n", "holes")
     met = hits.join(bench, ["key", "typed"])
-    pair = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    on = met.groupBy("doc_id", "text_hash", "item_id", "typed", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.array_sort(F.collect_set("item_pos")).alias("at"), F.first("size").alias("size"), F.first("item_tokens").alias("item_tokens"),
-        F.array_distinct(F.flatten(F.collect_list(pair))).alias("pairs"))
+    on = met.groupBy("doc_id", "text_hash", "item_id", "item_hash", "typed", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+        F.collect_set(F.struct("item_pos", "item_holes", "item_slots", "slots")).alias("windows"),
+        F.first("size").alias("size"), F.first("item_tokens").alias("item_tokens"))
+    # what all windows cover; no fewer than the consistent ones
     covered = F.expr("aggregate(transform(at, (x, k) -> least(size, coalesce(try_element_at(at, k + 2) - x, size))), 0, (a, x) -> a + x)")
-    kept = on.withColumn("covered", covered).filter(
-        (F.col("covered") >= F.least(F.lit(RUN), "item_tokens"))
-        & (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))))
-    best = F.max(F.struct("covered", (~F.col("typed")).alias("literal"), F.forall("pairs", lambda p: p["i"] == p["d"]).alias("same"),
-                          "item_tokens", (F.col("shift") + F.col("at")[0]).alias("token")))
+    near = on.withColumn("at", F.array_sort("windows.item_pos")).filter(covered >= F.least(F.lit(RUN), "item_tokens")).drop("at")
+    kept = judged(near)
+    best = F.max(F.struct("covered", "literal", "same", "item_tokens", "token"))
     out = kept.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("b"))
     return out.select("doc_id", "text_hash", "item_id", F.col("b.covered").alias("covered"), F.col("b.item_tokens").alias("item_tokens"),
                       F.col("b.literal").alias("literal"), F.col("b.same").alias("same_slots"), F.col("b.token").alias("token"))

@@ -37,6 +37,24 @@ def test_slots_must_agree(spark):
     assert set(got) == {(0, 0)}
 
 
+def test_consistent_windows_count_alone(spark):
+    long = ("put 2 cups of flour and some salt into the bowl then add 2 eggs with warm milk and stir everything slowly before "
+            "baking it for half of the afternoon inside a very hot oven until 2 guests arrive")
+    pears = "we keep 5 apples and 5 pears in a basket near the door of the old house so how many fruits can be sold"
+    texts = [long.replace("2 eggs", "3 eggs"), pears.replace("5 apples", "7 apples").replace("5 pears", "9 pears"),
+             long.replace("2 cups", "4 cups").replace("2 eggs", "6 eggs").replace("2 guests", "4 guests")]
+    got = found(spark, texts, [long, pears])
+    assert set(got) == {(0, 0), (1, 1), (2, 0)}
+    assert not got[0, 0].same_slots
+
+
+def test_agreed_takes_the_value_that_leads_to_more():
+    tied = [[(1, "5", "7")], [(1, "5", "7"), (6, "5", "9")], [(6, "5", "9")], []]
+    assert C.agreed([0, 1, 2, 9], tied, 8, 13) == [0, 9]
+    assert C.agreed([0, 1, 6], [[(1, "5", "7")], [(1, "5", "7"), (6, "5", "9")], [(6, "5", "9")]], 8, 13) == []
+    assert C.agreed([0, 5], [[(1, "5", "5")], [(5, "6", "6"), (9, "5", "5")]], 8, 13) == [0, 5]
+
+
 def test_edges(spark):
     short, tiny = "what is the capital of france", "one two three"
     got = found(spark, [None, "", ITEM, ITEM, f"so {short} then", tiny, "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "x " * 200_000],
