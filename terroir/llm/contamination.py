@@ -2,7 +2,10 @@
 
 A text becomes tokens; numbers, and unit words behind numbers, become typed
 placeholders. That is its literal template. In the typed template names
-(capitalised words inside a sentence) are placeholders too, a run of them one.
+(capitalised words inside a sentence) are placeholders too, a run of them one;
+in the opened template so are capitalised words that open a sentence, whether
+names or not, each with the names behind it. Both are joined with both, since a
+word may open the item and not its sentence in the document.
 Windows of `WINDOW` tokens of either template are hashed and joined with the
 benchmark's windows by hash; a filter of fixed size over the benchmark's hashes
 spares the other document windows the shuffle. Joined windows are collected by
@@ -53,7 +56,8 @@ UNIT_WORDS = frozenset("mm cm m km in inch inches ft foot feet yd yard yards mi
                        "degree degrees dollar dollars cent cents euro euros usd eur gbp j w kw v a hz mph kmh meter meters "
                        "metre metres kilometer kilometers centimeter centimeters".split())
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (11, 13, 17))
-HITS = "key long, doc_id long, text_hash long, typed boolean, pos int, n int, holes array<int>, slots array<string>"
+LITERAL, TYPED, OPENED = range(3)
+HITS = "key long, doc_id long, text_hash long, kind int, pos int, n int, holes array<int>, slots array<string>"
 JUDGED = "doc_id long, text_hash long, item_id long, covered int, literal boolean, same boolean, item_tokens int, token int"
 
 
@@ -72,8 +76,8 @@ def lexicon(chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def templates(texts: pa.Array):
-    """(token strings, their place by token, [(typed, codes, first token, tokens, text)
-    of the two templates]). No token spans ASCII white space, so a text is its
+    """(token strings, their place by token, [(kind, codes, first token, tokens, text)
+    of the templates]). No token spans ASCII white space, so a text is its
     chunks' tokens one after the other; line ends become stops."""
     split = pc.ascii_split_whitespace(pc.replace_substring(pc.fill_null(texts, ""), "\n", " . "))
     coded = split.flatten().dictionary_encode()
@@ -92,17 +96,18 @@ def templates(texts: pa.Array):
     after = np.zeros(len(code), bool)
     after[1:] = number[:-1] & (doc[1:] == doc[:-1])
     unit = after & ((flag & np.uint64(8)) > 0) & ~number
-    name = ((flag & np.uint64(4)) > 0) & ~fresh & ~number & ~unit
+    capital = ((flag & np.uint64(4)) > 0) & ~number & ~unit
     code[number], code[unit] = NUMBER, UNIT
     size = np.ones(len(code), np.int64)
-    out = [(False, code, place, size, doc)]
-    if name.any():
-        inner = np.zeros(len(code), bool)
-        inner[1:] = name[1:] & name[:-1] & (doc[1:] == doc[:-1])
-        kept = np.flatnonzero(~inner)
-        typed = np.where(name, NAME, code)[kept]
-        # tokens of a run of names lie side by side, stops never between them
-        out.append((True, typed, place[kept], np.diff(np.append(kept, len(code))), doc[kept]))
+    out = [(LITERAL, code, place, size, doc)]
+    for kind, name in ((TYPED, capital & ~fresh), (OPENED, capital)):
+        if (name & fresh).any() if kind == OPENED else name.any():
+            inner = np.zeros(len(code), bool)
+            inner[1:] = name[1:] & name[:-1] & ~fresh[1:]
+            kept = np.flatnonzero(~inner)
+            typed = np.where(name, NAME, code)[kept]
+            # tokens of a run of names lie side by side, stops never between them
+            out.append((kind, typed, place[kept], np.diff(np.append(kept, len(code))), doc[kept]))
     return words, word, out
 
 
@@ -131,14 +136,14 @@ def template_windows(rows: DataFrame, sizes: list[int], bits: np.ndarray | None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for b in slices(batches, "text"):
-            words, word, both = templates(b.column("text"))
+            words, word, kinds = templates(b.column("text"))
             ids, prints = b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist()
             out: list[tuple] = []
-            for typed, code, place, run_len, doc in both:
+            for kind, code, place, run_len, doc in kinds:
                 count = np.bincount(doc, minlength=len(ids))
                 first = np.cumsum(count) - count
                 for size in sizes:
-                    starts, hashes = windows(code, doc, size, typed)
+                    starts, hashes = windows(code, doc, size, kind != LITERAL)
                     if whole and size < WINDOW:
                         own = count[doc[starts]] == size
                         starts, hashes = starts[own], hashes[own]
@@ -151,12 +156,12 @@ def template_windows(rows: DataFrame, sizes: list[int], bits: np.ndarray | None,
                         holes = [k for k in range(size) if code[s + k] <= NAME]
                         slots = [f"{int(code[k])}:{' '.join(words[w] for w in word[place[k]:place[k] + run_len[k]]).lower()}"
                                  for k in (s + h for h in holes)]
-                        out.append((h, ids[d], prints[d], typed, s - int(first[d]), int(count[d]), holes, slots))
+                        out.append((h, ids[d], prints[d], kind, s - int(first[d]), int(count[d]), holes, slots))
             for lo in range(0, len(out), 20_000):
                 cols = zip(*out[lo:lo + 20_000])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
-                    pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())))],
-                    names=["key", "doc_id", "text_hash", "typed", "pos", "n", "holes", "slots"])
+                    pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())))],
+                    names=["key", "doc_id", "text_hash", "kind", "pos", "n", "holes", "slots"])
 
     return rows.mapInArrow(run, HITS)
 
@@ -215,7 +220,7 @@ def judged(alignments: DataFrame) -> DataFrame:
                 starts = agreed(at, pairs, r["size"], min(RUN, r["item_tokens"]))
                 if starts:
                     out.append({"doc_id": r["doc_id"], "text_hash": r["text_hash"], "item_id": r["item_id"], "covered": cover(starts, r["size"]),
-                                "literal": not r["typed"], "same": all(i == d for _, i, d in chain.from_iterable(pairs)),
+                                "literal": r["kind"] == LITERAL, "same": all(i == d for _, i, d in chain.from_iterable(pairs)),
                                 "item_tokens": r["item_tokens"], "token": r["shift"] + starts[0]})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
                 ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("covered", pa.int32()), ("literal", pa.bool_()),
@@ -237,14 +242,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = _texts(benchmark, item_id_col, item_text_col)
     small = list(range(SHORTEST, WINDOW))
     bench = written(template_windows(items, [*small, WINDOW], None, True).select(
-        "key", F.col("doc_id").alias("item_id"), F.col("text_hash").alias("item_hash"), "typed", F.col("pos").alias("item_pos"),
+        "key", F.col("doc_id").alias("item_id"), F.col("text_hash").alias("item_hash"), F.col("kind").alias("item_kind"), F.col("pos").alias("item_pos"),
         F.col("n").alias("item_tokens"), F.col("holes").alias("item_holes"), F.col("slots").alias("item_slots")).withColumn(
             "size", F.least("item_tokens", F.lit(WINDOW))), "bench-windows")
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # 4 to 8 at most
     bits = key_filter(bench, "key", hashed=True)
     hits = template_windows(_texts(docs, id_col, text_col), sizes, bits, False).drop("n", "holes")
-    met = hits.join(bench, ["key", "typed"])
-    on = met.groupBy("doc_id", "text_hash", "item_id", "item_hash", "typed", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+    met = hits.join(bench, "key").filter((F.col("kind") == LITERAL) == (F.col("item_kind") == LITERAL))
+    on = met.groupBy("doc_id", "text_hash", "item_id", "item_hash", "kind", "item_kind", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.collect_set(F.struct("item_pos", "item_holes", "item_slots", "slots")).alias("windows"),
         F.first("size").alias("size"), F.first("item_tokens").alias("item_tokens"))
     # what all windows cover; no fewer than the consistent ones

@@ -55,6 +55,15 @@ def test_agreed_takes_the_value_that_leads_to_more():
     assert C.agreed([0, 5], [[(1, "5", "5")], [(5, "6", "6"), (9, "5", "5")]], 8, 13) == [0, 5]
 
 
+def test_names_that_open_sentences(spark):
+    tom = "Tom has 5 apples. Tom buys 3 more. Tom gives 2 to Ann. How many apples does Tom have now?"
+    short = "Rita walks slowly from the old mill to school"
+    new = [tom.replace("Tom", a).replace("Ann", b).replace("5", "6") for a, b in (("Sam", "Eve"), ("Mary Ann", "Eve"), ("Sam", "Bo Lee"))]
+    mixed = "Sam has 6 apples. Joe buys 3 more. Kim gives 2 to Eve. How many apples does Lou have now?"
+    texts = [*new, f"Read this Sam {new[0][4:]} Thanks.", short.replace("Rita", "Old Bob"), f"so {short.replace('Rita', 'Bob')} Thanks", mixed]
+    assert set(found(spark, texts, [tom, short])) == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1)}
+
+
 def test_edges(spark):
     short, tiny = "what is the capital of france", "one two three"
     got = found(spark, [None, "", ITEM, ITEM, f"so {short} then", tiny, "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "x " * 200_000],
