@@ -18,9 +18,11 @@ contaminated by an item when consistent windows cover at least
 copies, also with some values changed, and questions with other numbers, names
 or units.
 
-Windows with fewer than half plain words are not used. Items of fewer than
-`WINDOW` tokens are looked for whole; items of fewer than `SHORTEST` tokens
-cannot be told from ordinary text and match nothing.
+Windows with fewer than half plain words are not used in the templates with
+names; in the literal template they are hashed with their own values, so they
+join where the document repeats them exactly. Items of fewer than `WINDOW`
+tokens are looked for whole; items of fewer than `SHORTEST` tokens, or without
+any plain word, cannot be told from ordinary text and match nothing.
 
 Null and empty texts match nothing. Repeated rows give one result row; null
 document ids are reported as null, and rows are told apart by id and text.
@@ -76,8 +78,8 @@ def lexicon(chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def templates(texts: pa.Array):
-    """(token strings, their place by token, [(kind, codes, first token, tokens, text)
-    of the templates]). No token spans ASCII white space, so a text is its
+    """(token strings, their place by token, [(kind, codes, first token, tokens, text,
+    codes of the values themselves or None) of the templates]). No token spans ASCII white space, so a text is its
     chunks' tokens one after the other; line ends become stops."""
     split = pc.ascii_split_whitespace(pc.replace_substring(pc.fill_null(texts, ""), "\n", " . "))
     coded = split.flatten().dictionary_encode()
@@ -97,9 +99,10 @@ def templates(texts: pa.Array):
     after[1:] = number[:-1] & (doc[1:] == doc[:-1])
     unit = after & ((flag & np.uint64(8)) > 0) & ~number
     capital = ((flag & np.uint64(4)) > 0) & ~number & ~unit
+    own = code.copy()
     code[number], code[unit] = NUMBER, UNIT
     size = np.ones(len(code), np.int64)
-    out = [(LITERAL, code, place, size, doc)]
+    out = [(LITERAL, code, place, size, doc, own)]
     for kind, name in ((TYPED, capital & ~fresh), (OPENED, capital)):
         if (name & fresh).any() if kind == OPENED else name.any():
             inner = np.zeros(len(code), bool)
@@ -107,20 +110,28 @@ def templates(texts: pa.Array):
             kept = np.flatnonzero(~inner)
             typed = np.where(name, NAME, code)[kept]
             # tokens of a run of names lie side by side, stops never between them
-            out.append((kind, typed, place[kept], np.diff(np.append(kept, len(code))), doc[kept]))
+            out.append((kind, typed, place[kept], np.diff(np.append(kept, len(code))), doc[kept], None))
     return words, word, out
 
 
-def windows(code: np.ndarray, doc: np.ndarray, size: int, typed: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, hashes) of the windows inside one text with enough plain words."""
+def windows(code: np.ndarray, doc: np.ndarray, size: int, typed: bool, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the windows inside one text with enough plain words; by
+    their own codes, if given, of the others too."""
     n = len(code) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = np.full(n, size * 2 + typed, np.uint64)
+    h = np.full(n, size * 4 + typed, np.uint64)
     for k in range(size):
         h = h * np.uint64(0x9E3779B97F4A7C15) + code[k:k + n]
     plain = np.concatenate([[0], np.cumsum(code > np.uint64(17))])
-    ok = (doc[:n] == doc[size - 1:]) & (2 * (plain[size:] - plain[:n]) >= size)
+    inside = doc[:n] == doc[size - 1:]
+    ok = inside & (2 * (plain[size:] - plain[:n]) >= size)
+    if own is not None:
+        rest = np.flatnonzero(inside & ~ok)
+        exact = np.full(len(rest), size * 4 + 2, np.uint64)
+        for k in range(size):
+            exact = exact * np.uint64(0x9E3779B97F4A7C15) + own[rest + k]
+        h[rest], ok = exact, inside
     starts = np.flatnonzero(ok)
     return starts, mix(h[starts])
 
@@ -139,11 +150,15 @@ def template_windows(rows: DataFrame, sizes: list[int], bits: np.ndarray | None,
             words, word, kinds = templates(b.column("text"))
             ids, prints = b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist()
             out: list[tuple] = []
-            for kind, code, place, run_len, doc in kinds:
+            for kind, code, place, run_len, doc, own_code in kinds:
                 count = np.bincount(doc, minlength=len(ids))
+                worded = np.bincount(doc[code > NAME], minlength=len(ids)) > 0
                 first = np.cumsum(count) - count
                 for size in sizes:
-                    starts, hashes = windows(code, doc, size, kind != LITERAL)
+                    starts, hashes = windows(code, doc, size, kind != LITERAL, own_code)
+                    if whole:
+                        some = worded[doc[starts]]
+                        starts, hashes = starts[some], hashes[some]
                     if whole and size < WINDOW:
                         own = count[doc[starts]] == size
                         starts, hashes = starts[own], hashes[own]

@@ -64,6 +64,13 @@ def test_names_that_open_sentences(spark):
     assert set(found(spark, texts, [tom, short])) == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1)}
 
 
+def test_exact_copies_with_few_plain_words(spark):
+    items = ["What is 12 + 7 - 3 + 15 - 4 + 2?", "Sum 4 8 15 16 23 42 and 7 11 13 of these", "Give 3 9 27 81 243 please",
+             "Year 1990 12 17 21 1991 14 18 25 1992 16 19 28 1993 17 22 31"]
+    texts = [f"before {i} after" for i in items] + [i.replace("2", "5").replace("3", "6") for i in items] + ["1990 12 17 21 1991 14 18 25 and no more"]
+    assert set(found(spark, texts, items)) == {(0, 0), (1, 1), (2, 2), (3, 3)}
+
+
 def test_edges(spark):
     short, tiny = "what is the capital of france", "one two three"
     got = found(spark, [None, "", ITEM, ITEM, f"so {short} then", tiny, "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "x " * 200_000],
