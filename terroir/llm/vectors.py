@@ -7,8 +7,10 @@
    linked to near and diverse neighbours found by beam search from the top layer.
 3. Every class queries every shard of its label from its own on (a pair is met
    once), in blocks. A beam is widened while all of it is above the threshold,
-   and all beams of a block are widened until an audit of some queries against
-   brute force over the shard finds at least `AUDIT` of their links.
+   and all beams of a block are widened until an audit against brute force over
+   the shard finds at least `AUDIT` of the links of each audited query. Queries
+   are audited until `AUDITED` of them have links besides themselves. Where beams
+   would hold a quarter of the shard, all queries are answered by brute force.
 4. Every hit is confirmed by cosine in double precision. What leaves a task is
    the number of links of each class and one edge for each component of the
    shard that a class is linked with, not its pairs.
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terroir.llm.common import runs, written
+from terroir.llm.common import mix, runs, written
 from terroir.llm.graph import components
 from terroir.llm.near_dups import Forest
 
@@ -39,7 +41,7 @@ QUERIES = 8192   # of a task, against one graph
 DEGREE = 16      # neighbours of a node above the bottom layer; twice as many there
 BEAM = 64
 AUDIT = 0.99
-AUDITED = 64     # queries of a block that the audit checks
+AUDITED = 64     # queries with links that the audit of a block checks
 
 
 def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -192,18 +194,39 @@ class Graph:
         return found
 
 
-def audited(graph: Graph, queries: np.ndarray, threshold: float) -> list[np.ndarray]:
-    """`within` with beams widened until the audit passes. A beam of the whole shard ends it."""
-    step = max(1, len(queries) // AUDITED)
-    sample = np.arange(0, len(queries), step)
-    truth = queries[sample] @ graph.unit.T >= threshold
+def brute(graph: Graph, queries: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """`within` without the graph."""
+    return [np.flatnonzero(row) for lo in range(0, len(queries), AUDITED)
+            for row in queries[lo:lo + AUDITED] @ graph.unit.T >= threshold]
+
+
+def audited(graph: Graph, queries: np.ndarray, threshold: float, home: np.ndarray | None = None) -> list[np.ndarray]:
+    """`within` with beams widened until each audited query passes. `home`: the
+    node that a query is itself, or -1."""
+    n = len(queries)
+    home = np.full(n, -1) if home is None else home
+    order = np.argsort(mix(np.arange(1, n + 1, dtype=np.uint64)))
+    found: list[np.ndarray] = [np.zeros(0, np.int64)] * n
+    todo: list[int] = []  # audited queries that miss links
+    seen = 0
+    while seen < n and len(todo) < AUDITED:
+        part = order[seen:seen + AUDITED].tolist()
+        for k, hits in zip(part, brute(graph, queries[part], threshold)):
+            found[k] = hits
+            if (hits != home[k]).any():
+                todo.append(k)
+        seen += len(part)
+    rest = order[seen:]
     beam = BEAM
-    while beam < len(graph.unit):
-        got = graph.within(queries[sample], threshold, beam)
-        if sum(map(len, got)) >= AUDIT * truth.sum():
-            break
-        beam *= 2
-    return graph.within(queries, threshold, beam)
+    while len(rest) and todo and 4 * beam < len(graph.unit):
+        got = graph.within(queries[todo], threshold, beam)
+        todo = [k for k, g in zip(todo, got) if (g != home[k]).sum() < AUDIT * (found[k] != home[k]).sum()]
+        if todo:
+            beam *= 2
+    answer = brute(graph, queries[rest], threshold) if 4 * beam >= len(graph.unit) else graph.within(queries[rest], threshold, beam)
+    for k, hits in zip(rest.tolist(), answer):
+        found[k] = hits
+    return found
 
 
 def classes(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
@@ -276,16 +299,16 @@ def links(graphs: DataFrame, queries: DataFrame, threshold: float) -> DataFrame:
             forest, gained = Forest(len(reps)), np.zeros(len(reps), np.int64)
             asked = np.zeros(len(q_rep), np.int64)
             cross: list[tuple[int, int]] = []
-            for k, hits in enumerate(audited(graph, _unit(q), threshold - 1e-5)):
+            home = np.where(own, np.searchsorted(reps, q_rep), -1)
+            for k, hits in enumerate(audited(graph, _unit(q), threshold - 1e-5, home)):
                 hits = hits[reps[hits] != q_rep[k]]
                 hits = hits[cosines(x[hits], q[k][None, :]) >= threshold]
                 if not len(hits):
                     continue
                 asked[k] = sizes[hits].sum()
                 if own[k]:  # a pair of one shard is met from both sides
-                    here = int(np.searchsorted(reps, q_rep[k]))
                     for h in hits.tolist():
-                        forest.join(here, h)
+                        forest.join(int(home[k]), h)
                 else:
                     gained[hits] += q_size[k]
                     cross += [(k, h) for h in hits.tolist()]

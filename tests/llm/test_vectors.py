@@ -97,6 +97,45 @@ def test_graph_finds_neighbours():
     assert sum(map(len, hits)) >= 0.99 * truth.sum()
 
 
+class Narrow:
+    """Finds the links of the tight group at once, others by beams of 256."""
+
+    def __init__(self, unit, tight):
+        self.unit, self.tight = unit, tight
+
+    def within(self, queries, threshold, beam=V.BEAM):
+        hits = V.brute(self, queries, threshold)
+        return [h if beam >= 256 or len(h) >= self.tight else h[:1] for h in hits]
+
+
+def hot(n, tight, seed):
+    """A tight group and pairs, as unit vectors."""
+    rng = np.random.default_rng(seed)
+    centre, pairs = rng.normal(size=32), np.repeat(rng.normal(size=((n - tight) // 2, 32)), 2, axis=0)
+    x = np.concatenate([centre + rng.normal(size=(tight, 32)) * 0.05, pairs + rng.normal(size=pairs.shape) * 0.05])
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+def test_audit_weighs_each_query():
+    x = hot(3000, 1000, 5)
+    truth = x @ x.T >= 0.93
+    hits = V.audited(Narrow(x, 900), x, 0.93, np.arange(len(x)))
+    assert all(len(h) >= 0.99 * t.sum() for h, t in zip(hits, truth))
+    foreign = np.concatenate([x[2990:], hot(3000, 10, 6)[10:]])  # few queries have links
+    hits = V.audited(Narrow(x[:2990], 900), foreign, 0.93)
+    assert sum(map(len, hits)) == (foreign @ x[:2990].T >= 0.93).sum()
+    hits = V.audited(Narrow(x, 900), foreign, 0.93)
+    assert sum(map(len, hits)) == (foreign @ x.T >= 0.93).sum() > 0
+
+
+def test_recall_of_each_vector_beside_a_hot_group(spark):
+    x = hot(1500, 500, 7)
+    data = [(k, v, 1) for k, v in enumerate(x.tolist())]
+    got = rows(V.near_vectors(frame(spark, data)), "vec_id", "n_links")
+    want = {r[0]: r[1] for r in brute(data)}
+    assert np.mean([g / want[k] for k, g in got if want[k]]) >= 0.99
+
+
 def test_query_recall(spark):
     sf = "/root/testdata/sf0.1"
     data = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
