@@ -78,13 +78,14 @@ class ModelResult:
 
 def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
               target: str = TARGET, num_trees: int = 100, max_depth: int = 30, seed: int = 42,
-              test_fraction: float = 0.2, curve: bool = False, curve_trees: int = 20,
+              test_fraction: float = 0.2, curve: bool = False, curve_trees: int | None = None,
               max_fit_rows: int | None = 200_000,
               impute_on_train_only: bool = False, quirks: Quirks = PARITY,
               split_bucket=None) -> ModelResult:
     """R3 on a feature table with one row per `key`. `max_fit_rows` bounds the
     training rows the forests are fitted on (chosen by a hash of the key); the
-    statistics, predictions and metrics use all rows."""
+    statistics, predictions and metrics use all rows. The learning curve fits
+    `num_trees` trees too unless `curve_trees` is given."""
     spark = table.sparkSession
     ensure_checkpoint_dir(spark)
     feats = [c for c in (features or CANDIDATE_FEATURES) if c in table.columns]
@@ -115,7 +116,7 @@ def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
     lc = None
     if curve:
         rows = G.learning_curve(scaled.filter(F.col("split") == "train"), feats, target, [key],
-                                num_trees=curve_trees, max_depth=max_depth, seed=seed, max_rows=max_fit_rows)
+                                num_trees=num_trees if curve_trees is None else curve_trees, max_depth=max_depth, seed=seed, max_rows=max_fit_rows)
         schema = T.StructType([T.StructField("train_fraction", T.DoubleType()),
                                T.StructField("train_r2", T.DoubleType()),
                                T.StructField("valid_r2", T.DoubleType())])

@@ -1027,15 +1027,9 @@ QUERIES = {
 # Random forest on the feature table (no SQL form: rows only)
 # --------------------------------------------------------------------------
 
-MODEL_TREES = 20
-MODEL_DEPTH = 5
-
-
 def _model(spark, d, curve=False):
     from terroir.plans.model import run_model
-    return run_model(feature_frame(spark, d), key="o_custkey", features=FEATURE_COLS,
-                     num_trees=MODEL_TREES, max_depth=MODEL_DEPTH, curve=curve,
-                     curve_trees=MODEL_TREES, split_bucket=None)
+    return run_model(feature_frame(spark, d), key="o_custkey", features=FEATURE_COLS, curve=curve)
 
 
 def forest_metrics(spark, d):
@@ -1057,8 +1051,8 @@ def learning_curve(spark, d):
 def _plain_model(spark, d):
     """The job with an arithmetic split, which SQL can follow."""
     from terroir.plans.model import run_model
-    return run_model(feature_frame(spark, d), key="o_custkey", features=FEATURE_COLS, num_trees=MODEL_TREES,
-                     max_depth=MODEL_DEPTH, split_bucket=((F.col("o_custkey") % 1000003) * F.lit(2654435761)) % 1000)
+    return run_model(feature_frame(spark, d), key="o_custkey", features=FEATURE_COLS,
+                     split_bucket=((F.col("o_custkey") % 1000003) * F.lit(2654435761)) % 1000)
 
 
 def model_actuals(spark, d):
