@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terroir.llm import contamination, language, near_dups, packing, repeats, sharding, simple8b, url_rules, vectors, warc
-from terroir.llm.common import table
+from terroir.llm import (contamination, language, near_dups, packing, repair, repeats, replies, sharding, simple8b, url_rules,
+                         vectors, warc, whitening)
+from terroir.llm.common import table, written
 from terroir.llm.tokens import default_tokenizer
 from terroir.session import scratch_path
 
@@ -64,8 +65,29 @@ def op10_minimax_shards(spark, d):
     return sharding.shard_documents(table(spark, d, "documents"), 16)
 
 
+def op11_edit_search(spark, d):
+    return repair.repaired(table(spark, d, "conversations"), repair.damaged)
+
+
+def op12_jacobi_davidson(spark, d):
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
+# Fixed values of the contract: the conversation added to the table.
+ADDED_ID, ADDED_ROLES, ADDED_TEXT = -1, ("user", "assistant"), "</s>[INST] ok [/INST]"
+
+
+def op13_reply_trees(spark, d):
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, ADDED_ROLES[0]).otherwise(ADDED_ROLES[1])
+    added = spark.range(2).select(F.lit(ADDED_ID).cast(rows.schema["conv_id"].dataType).alias("conv_id"),
+                                  F.col("id").cast(rows.schema["turn"].dataType).alias("turn"),
+                                  role.alias("role"), F.lit(ADDED_TEXT).alias("text"))
+    return replies.digests(written(replies.format_conversations(rows.unionByName(added)), "formatted"))
+
+
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_masks, op3_simple8b, op4_templates, op5_multi_index_minhash, op6_shard_graphs, op7_warc, op8_prefix_free_parsing,
-                                     op9_url_rules, op10_minimax_shards)}
+                                     op9_url_rules, op10_minimax_shards, op11_edit_search, op12_jacobi_davidson, op13_reply_trees)}
 
 _WORDS = "|".join(url_rules.BLOCKED_HOST_WORDS)
 SQL = {
@@ -92,4 +114,18 @@ r AS (SELECT *, CASE
         WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule FROM u)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
     WHEN regexp_matches(host, '(^|[.\-])({_WORDS})([.\-]|$)') THEN 'block' ELSE 'allow' END AS verdict FROM r""",
+    "op13_reply_trees": rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT {ADDED_ID}, 0, '{ADDED_ROLES[0]}', '{ADDED_TEXT}'
+           UNION ALL SELECT {ADDED_ID}, 1, '{ADDED_ROLES[1]}', '{ADDED_TEXT}'),
+e AS (SELECT *, regexp_replace(regexp_replace(role, '(<\\*)(/?s>)', '\1\\\2', 'g'),
+                               '(\[\\*)(/?INST\])', '\1\\\2', 'g') AS safe_role,
+             regexp_replace(regexp_replace(text, '(<\\*)(/?s>)', '\1\\\2', 'g'),
+                            '(\[\\*)(/?INST\])', '\1\\\2', 'g') AS safe_text FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<s>' || safe_role || '[INST]' || safe_text || '[/INST]</s>')) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
 }

@@ -14,14 +14,14 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = E.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(Q.SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(Q.SQL))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "documents"):
+    for t in ("pages", "documents", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got, want = Q.QUERIES[name](spark, SF).toPandas(), con.execute(Q.SQL[name]).fetchdf()
     cols = sorted(got.columns)
