@@ -242,9 +242,10 @@ def _audits(segments: DataFrame) -> DataFrame:
                                               pa.array(edits, pa.string())], [*key, "state", "audit"])
 
     base = f"conv_id {kind}, segment long, symbols string, low long, high long"
-    priced = parts.repartition("conv_id", "segment").mapInArrow(cross, f"{base}, {costs}")
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows, long searches: not to be coalesced
+    priced = parts.repartition(tasks, "conv_id", "segment").mapInArrow(cross, f"{base}, {costs}")
     rests = priced.repartition("conv_id").sortWithinPartitions("conv_id", F.desc("segment")).mapInArrow(after, f"{base}, rest array<int>")
-    found = rests.repartition("conv_id", "segment").mapInArrow(
+    found = rests.repartition(tasks, "conv_id", "segment").mapInArrow(
         choose, f"conv_id {kind}, segment long, low long, audits array<string>, states array<int>")
     picked = found.repartition("conv_id").sortWithinPartitions("conv_id", "segment").mapInArrow(pick, schema)
     return whole.unionByName(picked)
