@@ -5,15 +5,15 @@ aggregates (medians, moments, metrics) reach the driver."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from terroir.functions.numeric import ratio
 from terroir.operators import features as G
+from terroir.operators import forests
 from terroir.operators import stats as A
 from terroir.operators.filters import not_null_le
 from terroir.operators.joins import join_suffixed
@@ -66,62 +66,104 @@ def build_feature_table(t1: DataFrame, t2: DataFrame, enrichments: Sequence[Data
     return not_null_le(j.select(*cols), target, 1.0)
 
 
-@dataclass
 class ModelResult:
-    metrics: DataFrame
-    importance: DataFrame
-    predictions: DataFrame
-    correlation: DataFrame
-    missing: DataFrame
-    curve: DataFrame | None
+    """The job's tables, each made when first asked for: the correlation and
+    missingness tables neither split nor fit; metrics, importance and
+    predictions share one forest, the curve grows its own."""
+
+    def __init__(self, raw: DataFrame, base: DataFrame, split: Callable[[DataFrame], DataFrame], key: str, features: list[str],
+                 target: str, num_trees: int, max_depth: int, seed: int, curve_trees: int | None, train_only: bool, quirks: Quirks):
+        self._raw, self._base, self._to_split = raw, base, split
+        self._key, self._features, self._target = key, features, target
+        self._trees, self._depth, self._seed, self._curve_trees = num_trees, max_depth, seed, curve_trees
+        self._train_only, self._quirks = train_only, quirks
+
+    @cached_property
+    def _split(self) -> DataFrame:
+        return self._to_split(self._base)
+
+    @cached_property
+    def _medians(self) -> dict:
+        # the original fills with medians of the whole table before the split
+        source = self._split.filter(F.col("split") == "train") if self._train_only else self._base
+        return A.exact_medians(source, self._features)
+
+    @cached_property
+    def _scaled(self) -> DataFrame:
+        """Filled, then scaled with the training rows' moments (population deviation, centred)."""
+        filled = A.median_fill(self._split, self._features, medians=self._medians)
+        train = filled.filter(F.col("split") == "train")
+        return A.zscore(filled, self._features, params=A.moments(train, self._features))
+
+    @cached_property
+    def _grown(self) -> forests.Grown:
+        """One fit: the training rows, with the test rows to be scored."""
+        member = F.struct(F.lit(0).alias("fit"), (F.col("split") == "train").alias("train"))
+        rows = self._scaled.select(F.col(ROW).alias("row"), forests.key_hash([self._key], self._seed).alias("h"),
+                                   F.array(*self._features).alias("x"), F.col(self._target).alias("y"), F.array(member).alias("fits"))
+        return forests.grow(rows, len(self._features), self._trees, self._depth, self._seed)
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """Key, actual and predicted value of the test rows. Grouped by row alone,
+        so that a query of the actual values drops the join and grows no forest."""
+        got = self._grown.predictions.groupBy(F.col("row").alias(ROW)).agg(F.max("predicted").alias("predicted"))
+        test = self._split.filter(F.col("split") == "test").select(self._key, F.col(self._target).alias("actual"), ROW)
+        return test.join(got, ROW, "left").select(self._key, "actual", "predicted")
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        m = A.regression_metrics(self.predictions, "actual", "predicted")
+        legacy = F.col("mse") if self._quirks.rmse_is_mse else F.col("rmse")
+        return m.select("mae", "mse", "rmse", legacy.alias("reported_rmse"), "r2", F.lit(len(self._features)).alias("n_features"))
+
+    @cached_property
+    def importance(self) -> DataFrame:
+        return G.grown_importance(self._grown, self._features)
+
+    @cached_property
+    def correlation(self) -> DataFrame:
+        return A.corr_matrix(A.median_fill(self._base, self._features, medians=self._medians), self._features)
+
+    @cached_property
+    def missing(self) -> DataFrame:
+        return null_profile(self._raw)
+
+    @cached_property
+    def curve(self) -> DataFrame | None:
+        if self._curve_trees is None:
+            return None
+        rows = G.learning_curve(self._scaled.filter(F.col("split") == "train"), self._features, self._target, [self._key],
+                                num_trees=self._curve_trees, max_depth=self._depth, seed=self._seed)
+        return self._raw.sparkSession.createDataFrame(rows, "train_fraction double, train_r2 double, valid_r2 double")
+
+
+ROW = "_row"  # number of a row in the written feature table
 
 
 def run_model(table: DataFrame, key: str, features: Sequence[str] | None = None,
               target: str = TARGET, num_trees: int = 100, max_depth: int = 30, seed: int = 42,
               test_fraction: float = 0.2, curve: bool = False, curve_trees: int | None = None,
-              max_fit_rows: int | None = 200_000,
               impute_on_train_only: bool = False, quirks: Quirks = PARITY,
               split_bucket=None) -> ModelResult:
-    """R3 on a feature table with one row per `key`. `max_fit_rows` bounds the
-    training rows the forests are fitted on (chosen by a hash of the key); the
-    statistics, predictions and metrics use all rows. The learning curve fits
-    `num_trees` trees too unless `curve_trees` is given."""
+    """R3 on a feature table with one row per `key`. The test split has the
+    original's exact size, unless `split_bucket` (a bucket of 0 to 999 per row)
+    decides. Forests are fitted on all training rows. The learning curve grows
+    `num_trees` trees a fit too unless `curve_trees` is given."""
     spark = table.sparkSession
     ensure_checkpoint_dir(spark)
     feats = [c for c in (features or CANDIDATE_FEATURES) if c in table.columns]
-    base = table.select(key, *[F.col(c).cast("double").alias(c) for c in feats],
-                        F.col(target).cast("double").alias(target))
     # one row per key: written once to the shared checkpoint folder, so the
     # statistics passes and the fits re-read it instead of re-running joins
-    split = G.hash_split(base, [key], test_fraction, seed, bucket=split_bucket).checkpoint(eager=True)
-    # the original fills with medians of the whole table before the split
-    fit_src = split.filter(F.col("split") == "train") if impute_on_train_only else split
-    medians = A.exact_medians(fit_src, feats)
-    filled = A.median_fill(split, feats, medians=medians)
-    # scale with train moments (population deviation, centred)
-    train0 = filled.filter(F.col("split") == "train")
-    scaled = A.zscore(filled, feats, params=A.moments(train0, feats))
-    fitted = G.fit_partitions(scaled.filter(F.col("split") == "train"), [key], max_rows=max_fit_rows)
-    train = G.assemble(fitted, feats).checkpoint(eager=True)
-    test = G.assemble(scaled.filter(F.col("split") == "test"), feats)
-    model = G.forest(target, num_trees, max_depth, seed).fit(train)
-    preds = G.predictions(model, test, target, [key])
-    m = A.regression_metrics(preds, "actual", "predicted")
-    legacy = F.col("mse") if quirks.rmse_is_mse else F.col("rmse")
-    metrics = m.select("mae", "mse", "rmse", legacy.alias("reported_rmse"), "r2",
-                       F.lit(len(feats)).alias("n_features"))
-    importance = G.feature_importance(spark, model, feats)
-    correlation = A.corr_matrix(filled, feats)
-    missing = null_profile(table)
-    lc = None
-    if curve:
-        rows = G.learning_curve(scaled.filter(F.col("split") == "train"), feats, target, [key],
-                                num_trees=num_trees if curve_trees is None else curve_trees, max_depth=max_depth, seed=seed, max_rows=max_fit_rows)
-        schema = T.StructType([T.StructField("train_fraction", T.DoubleType()),
-                               T.StructField("train_r2", T.DoubleType()),
-                               T.StructField("valid_r2", T.DoubleType())])
-        lc = spark.createDataFrame(rows, schema)
-    return ModelResult(metrics, importance, preds, correlation, missing, lc)
+    base = table.select(key, *[F.col(c).cast("double").alias(c) for c in feats], F.col(target).cast("double").alias(target),
+                        F.monotonically_increasing_id().alias(ROW)).checkpoint(eager=True)
+    def split(df: DataFrame) -> DataFrame:
+        if split_bucket is None:
+            return G.exact_split(df, [key], test_fraction, seed)
+        return G.hash_split(df, [key], test_fraction, seed, bucket=split_bucket)
+
+    trees = None if not curve else num_trees if curve_trees is None else curve_trees
+    return ModelResult(table, base, split, key, feats, target, num_trees, max_depth, seed, trees, impute_on_train_only, quirks)
 
 
 def run_from_warehouse(spark, output_path: str | None = None, num_trees: int = 100, max_depth: int = 30, curve: bool = False,

@@ -852,6 +852,20 @@ FROM orders
 """
 
 
+def exact_split(spark, d):
+    """A fifth of all order lines, to the row, by the default hash of their keys."""
+    from terroir.operators.features import exact_split as split
+    return split(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey", "l_linenumber"])
+
+
+SQL["exact_split"] = """
+WITH h AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST('0x' || substr(md5(
+               l_orderkey::VARCHAR || chr(31) || l_linenumber::VARCHAR || chr(31) || '42'), 1, 13) AS BIGINT) AS h FROM lineitem),
+r AS (SELECT *, row_number() OVER (ORDER BY h, l_orderkey, l_linenumber, l_partkey) AS r, count(*) OVER () AS n FROM h)
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN r <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM r
+"""
+
+
 # --------------------------------------------------------------------------
 # L2 L3: top-k by a descending measure (total order)
 # --------------------------------------------------------------------------
@@ -1017,6 +1031,7 @@ QUERIES = {
     "join_suffixed": join_suffixed,
     "feature_table": feature_table,
     "hash_split": hash_split,
+    "exact_split": exact_split,
     "top_k": top_k,
     "catalog_listing": catalog_listing,
     "csv_round_trip": csv_round_trip,
