@@ -948,6 +948,28 @@ def header_offset(spark, d):
 SQL["header_offset"] = "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer"
 
 
+# --------------------------------------------------------------------------
+# Quoted cells with line breaks, doubled quotes and separators, read split by split
+# --------------------------------------------------------------------------
+
+def quoted_breaks(spark, d):
+    from terroir.session import scratch_path
+    from terroir.sources.delimited import read_delimited
+    from terroir.sources.sinks import write_delimited
+    note = F.concat(F.col("o_orderpriority"), F.when(F.col("o_orderkey") % 3 == 0, F.lit('\n"quoted"; line\n'))
+                    .when(F.col("o_orderkey") % 3 == 1, F.lit("\n\n")).otherwise(F.lit('"')), F.col("o_orderstatus"))
+    path = scratch_path(spark, "quoted_breaks")
+    write_delimited(table(spark, d, "orders").select("o_orderkey", note.alias("note"), "o_custkey"), path)
+    back = read_delimited(spark, path, ordinal=False, multiline=True)
+    return back.select(N.parse_long("o_orderkey").alias("o_orderkey"), "note", N.parse_long("o_custkey").alias("o_custkey"))
+
+
+SQL["quoted_breaks"] = """
+SELECT o_orderkey, o_orderpriority || CASE o_orderkey % 3 WHEN 0 THEN chr(10) || '"quoted"; line' || chr(10)
+       WHEN 1 THEN chr(10) || chr(10) ELSE '"' END || o_orderstatus AS note, o_custkey FROM orders
+"""
+
+
 # --------------------------------------------------------------------------
 # V1: votes x communes x departments with the turnout percentage
 # --------------------------------------------------------------------------
@@ -1035,6 +1057,7 @@ QUERIES = {
     "top_k": top_k,
     "catalog_listing": catalog_listing,
     "csv_round_trip": csv_round_trip,
+    "quoted_breaks": quoted_breaks,
 }
 
 

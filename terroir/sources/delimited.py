@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terroir.operators.dedup import ORDINAL, union_all, with_ordinal
+from terroir.session import scratch_path
+from terroir.sources.records import quoted_records
 
 # The text tokens a data-frame CSV reader treats as missing by
 # default (Spark only treats the empty field as NULL).
@@ -69,7 +71,7 @@ def _from_csv(value: Column, names: list[str], sep: str) -> Column:
     """One line as a struct of strings; a cell that is there but empty is ''."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return F.from_csv(value, _ddl(schema),
-                      {"sep": sep, "quote": '"', "escape": '"', "nullValue": "\x00", "emptyValue": "", "mode": "PERMISSIVE"})
+                      {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\x00", "emptyValue": "", "mode": "PERMISSIVE"})
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -98,7 +100,12 @@ def read_delimited(spark: SparkSession, path: str, encoding: str = "utf-8", sep:
 
     Every file of a folder must have the first file's header (another one
     fails the job: nothing is read by position), and a row with more cells than
-    the header fails it too. Shorter rows are padded with NULL."""
+    the header fails it too. Shorter rows are padded with NULL. `multiline`
+    takes line breaks in quoted cells, without giving a file to one task; files
+    may then hold the columns in another order (they are read by name)."""
+    if multiline and header:
+        df = read_with_header_offset(spark, path, 0, encoding, sep, quoted_breaks=True, na_tokens=na_tokens)
+        return df if ordinal else df.drop(ORDINAL)
     reader = (spark.read.option("sep", sep).option("header", header)
               .option("encoding", spark_charset(encoding)).option("quote", '"').option("escape", '"').option("inferSchema", False)
               .option("multiLine", multiline).option("mode", "PERMISSIVE").option("enforceSchema", not header))
@@ -156,7 +163,8 @@ def read_delimited_typed(spark: SparkSession, path: str, schema: T.StructType |
 
 
 def read_with_header_offset(spark: SparkSession, path: str, skip: int, encoding: str = "utf-8",
-                            sep: str = ";") -> DataFrame:
+                            sep: str = ";", quoted_breaks: bool = False,
+                            na_tokens: list[str] | None = NA_TOKENS) -> DataFrame:
     """The first `skip` lines are junk, line `skip` holds the header.
 
     Files are read as lines (blank ones count), numbered inside each file's
@@ -164,21 +172,31 @@ def read_with_header_offset(spark: SparkSession, path: str, skip: int, encoding:
     one per different header; files whose headers hold the same names in
     another order are read by name, other differences are refused. The rest is
     parsed with the header's full width; blank lines are dropped, rows with more
-    cells than the header fail the job. A quoted cell cannot hold a line break."""
+    cells than the header fail the job. With `quoted_breaks` quoted cells may hold
+    line breaks (`sources.records`: still split by split; lines end with LF or
+    CRLF, the quotes of the junk lines balance); without, they cannot."""
     try:
-        lines = spark.read.text(path)
+        lines = spark.read.option("lineSep", "\n").text(path) if quoted_breaks else spark.read.text(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise SourceNotFoundError(f"input not found: {path}") from e
         raise
     charset = spark_charset(encoding)
     line = F.col("value") if charset == "UTF-8" else F.decode(F.col("value").cast("binary"), charset)
-    lines = with_ordinal(lines).withColumn("value", F.regexp_replace(line, r"\r$", ""))
+    lines = with_ordinal(lines).withColumn("value", line)
+    if quoted_breaks:
+        lines = quoted_records(lines)
+    lines = lines.withColumn("value", F.regexp_replace("value", r"\r\z", ""))
     o = F.col(ORDINAL)
     # lines of one split are numbered one after the other; only first splits hold junk
-    start = lines.filter(o["block"] == 0).groupBy(o["file"].alias("f")).agg(F.min(o["pos"]).alias("p0"))
-    heads = (lines.filter(o["block"] == 0).join(start, o["file"] == F.col("f")).filter(o["pos"] - F.col("p0") == skip)
-             .select("f", F.regexp_replace("value", "^\ufeff", "").alias("head")))
+    top = lines.filter(o["block"] == 0)
+    start = top.groupBy(o["file"].alias("f")).agg(F.min(o["pos"]).alias("p0"), F.min_by("value", o["pos"]).alias("head"))
+    if skip:
+        start = (top.join(start.drop("head"), o["file"] == F.col("f")).filter(o["pos"] - F.col("p0") == skip)
+                 .select("f", "p0", F.col("value").alias("head")))
+    kept = scratch_path(spark, "headers")
+    start.withColumn("head", F.regexp_replace("head", "^\ufeff", "")).write.parquet(kept)
+    heads = spark.read.schema("f string, p0 long, head string").parquet(kept)  # one row a file, of a known size
     different = heads.groupBy("head").agg(F.min("f").alias("f")).orderBy("f").collect()
     if not different:
         raise ValueError(f"no header line {skip} in {path}")
@@ -191,14 +209,15 @@ def read_with_header_offset(spark: SparkSession, path: str, skip: int, encoding:
         if sorted(names) != sorted(first):
             raise MalformedRowError(f"header of {r['f']} is {names}, not {first}")
         parts.append((r["head"], names))
-    body = lines.join(heads.select(F.col("f"), "head").join(start, "f"), o["file"] == F.col("f"))
+    body = lines.join(heads, o["file"] == F.col("f"))
     body = body.filter(((o["block"] != 0) | (o["pos"] - F.col("p0") > skip)) & (F.trim("value") != ""))
     out = []
     for head, names in parts:
         mine = _refuse_long_rows(body.filter(F.col("head") == head), F.col("value"), len(names), sep)
         row = mine.select(_from_csv(F.col("value"), [f"c{i}" for i in range(len(names))], sep).alias("r"), ORDINAL)
         out.append(row.select(*[F.col("r")[f"c{names.index(n)}"].alias(n) for n in first], ORDINAL))
-    return na_to_null(union_all(out))
+    found = union_all(out)
+    return na_to_null(found, na_tokens) if na_tokens else found
 
 
 __all__ = ["NA_TOKENS", "SourceNotFoundError", "MalformedRowError", "SourceSpec", "na_to_null", "read_delimited",
