@@ -770,6 +770,25 @@ LEFT JOIN customer c ON f.o_custkey = c.c_custkey
 """
 
 
+# --------------------------------------------------------------------------
+# Many-to-many join with a key that holds a third of both sides
+# --------------------------------------------------------------------------
+
+def join_spread(spark, d):
+    from terroir.operators.joins import join_spread as spread
+    hot = lambda k, key: F.when(F.col(k) % 3 == 0, -1).otherwise(F.col(key)).alias("zone")
+    customers = table(spark, d, "customer").select(hot("c_custkey", "c_nationkey"), "c_custkey", F.col("c_acctbal").alias("balance"))
+    suppliers = table(spark, d, "supplier").select(hot("s_suppkey", "s_nationkey"), "s_suppkey", F.col("s_acctbal").alias("balance"))
+    return spread(customers, suppliers, "zone", rows_per_task=50_000)
+
+
+SQL["join_spread"] = """
+WITH c AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN -1 ELSE c_nationkey END AS zone, c_custkey, c_acctbal AS balance_x FROM customer),
+s AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN -1 ELSE s_nationkey END AS zone, s_suppkey, s_acctbal AS balance_y FROM supplier)
+SELECT c.zone, c_custkey, balance_x, s_suppkey, balance_y FROM c JOIN s ON c.zone = s.zone
+"""
+
+
 # --------------------------------------------------------------------------
 # Feature table with guarded ratios and a bounded target
 # --------------------------------------------------------------------------
@@ -1051,6 +1070,7 @@ QUERIES = {
     "corr_matrix": corr_matrix,
     "regression_metrics": regression_metrics,
     "join_suffixed": join_suffixed,
+    "join_spread": join_spread,
     "feature_table": feature_table,
     "hash_split": hash_split,
     "exact_split": exact_split,
