@@ -205,7 +205,8 @@ def _records(items: list[dict], wanted: bool) -> pa.RecordBatch:
 def read_bundles(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """All records of the bundles below `path`, digests recomputed from the
     payloads that were stored; `payloads` False leaves the payload column null."""
-    names = spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/index").select("bundle").distinct()
+    names = written(spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/index").select("bundle").distinct(), "bundles")
+    names = names.repartitionByRange(max(1, names.count()), "bundle")  # a task for each: the names are small, the bundles are not
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fsys, base = filesystem(path)

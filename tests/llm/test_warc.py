@@ -75,3 +75,10 @@ def test_any_zstandard_reader_unpacks_a_bundle(spark, tmp_dir):
         r = W.BundleReader(pa.BufferReader(raw))
         assert whole == b"".join(r.frame(k) for k in range(len(r.sizes)))
         assert len(raw) == sum(p for p, _ in r.sizes) + 8 + 8 * len(r.sizes) + 9
+
+
+def test_each_bundle_is_read_by_a_task_of_its_own(spark, tmp_dir):
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('http://h/', id) AS url", "repeat(concat('x', id), 50) AS html").repartition(16)
+    W.write_bundles(pages, tmp_dir)
+    read = W.read_bundles(spark, tmp_dir, payloads=False)
+    assert [len(p) > 0 for p in read.select("page_id").rdd.glom().collect()] == [True] * 16
