@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 
 from terroir.llm.common import mix, runs, written
 from terroir.llm.graph import components
-from terroir.llm.near_dups import Forest
 
 THRESHOLD = 0.93
 SHARD = 8192     # vectors of a graph: a few megabytes
@@ -41,7 +40,7 @@ QUERIES = 8192   # of a task, against one graph
 DEGREE = 16      # neighbours of a node above the bottom layer; twice as many there
 BEAM = 64
 AUDIT = 0.99
-AUDITED = 64     # queries with links that the audit of a block checks
+AUDITED = 64     # queries that the audit of a block checks, and turned nodes
 
 
 def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -200,32 +199,49 @@ def brute(graph: Graph, queries: np.ndarray, threshold: float) -> list[np.ndarra
             for row in queries[lo:lo + AUDITED] @ graph.unit.T >= threshold]
 
 
+def probes(unit: np.ndarray, nodes: np.ndarray, threshold: float) -> np.ndarray:
+    """Nodes turned a little, half way to the threshold's angle: queries with a
+    link that is known without brute force."""
+    x = unit[nodes].astype(np.float64)
+    side = x[:, ::-1] * np.where(np.arange(x.shape[1]) % 2, 1.0, -1.0) + 1e-3
+    side -= x * (side * x).sum(1, keepdims=True)
+    length = np.linalg.norm(side, axis=1, keepdims=True)
+    angle = np.arccos(threshold) / 2 * (length > 1e-9)
+    return (np.cos(angle) * x + np.sin(angle) * side / np.maximum(length, 1e-9)).astype(np.float32)
+
+
 def audited(graph: Graph, queries: np.ndarray, threshold: float, home: np.ndarray | None = None) -> list[np.ndarray]:
-    """`within` with beams widened until each audited query passes. `home`: the
-    node that a query is itself, or -1."""
-    n = len(queries)
+    """`within` for all queries, with the beam doubled until the audits pass.
+    `home`: the node that a query is itself, or -1.
+
+    Audited are: at most `AUDITED` queries against brute force, half of them
+    from those for which the graph found links, half from all; and as many nodes turned
+    by a known angle, which must find their node. Only when beams as wide as
+    the shard do not pass (the graph has come apart) are all queries answered
+    by brute force."""
+    n, size = len(queries), len(graph.unit)
     home = np.full(n, -1) if home is None else home
     order = np.argsort(mix(np.arange(1, n + 1, dtype=np.uint64)))
-    found: list[np.ndarray] = [np.zeros(0, np.int64)] * n
-    todo: list[int] = []  # audited queries that miss links
-    seen = 0
-    while seen < n and len(todo) < AUDITED:
-        part = order[seen:seen + AUDITED].tolist()
-        for k, hits in zip(part, brute(graph, queries[part], threshold)):
-            found[k] = hits
-            if (hits != home[k]).any():
-                todo.append(k)
-        seen += len(part)
-    rest = order[seen:]
+    half = max(1, min(AUDITED, n // 8) // 2)
+    turned = np.argsort(mix(np.arange(1, size + 1, dtype=np.uint64)))[:AUDITED]
+    moved = probes(graph.unit, turned, threshold)
+    truth: dict[int, np.ndarray] = {}
     beam = BEAM
-    while len(rest) and todo and 4 * beam < len(graph.unit):
-        got = graph.within(queries[todo], threshold, beam)
-        todo = [k for k, g in zip(todo, got) if (g != home[k]).sum() < AUDIT * (found[k] != home[k]).sum()]
-        if todo:
-            beam *= 2
-    answer = brute(graph, queries[rest], threshold) if 4 * beam >= len(graph.unit) else graph.within(queries[rest], threshold, beam)
-    for k, hits in zip(rest.tolist(), answer):
-        found[k] = hits
+    while True:
+        found = graph.within(queries, threshold, beam)
+        linked = np.fromiter((len(f) > (h >= 0 and h in f) for f, h in zip(found, home)), bool, n)
+        chosen = [*order[linked[order]][:half].tolist(), *order[:half].tolist()]
+        new = [k for k in dict.fromkeys(chosen) if k not in truth][:AUDITED - len(truth)]
+        truth.update(zip(new, brute(graph, queries[new], threshold)))
+        missed = any((found[k] != home[k]).sum() < AUDIT * (t != home[k]).sum() for k, t in truth.items())
+        hits = graph.within(moved, threshold, beam)
+        if not missed and sum(k in h for k, h in zip(turned, hits)) >= AUDIT * len(turned):
+            break
+        if beam >= size:
+            return brute(graph, queries, threshold)
+        beam *= 2
+    for k, t in truth.items():
+        found[k] = t
     return found
 
 
@@ -296,33 +312,29 @@ def links(graphs: DataFrame, queries: DataFrame, threshold: float) -> DataFrame:
             right = right.sort_by("rep")
             q_rep, q_size, q = right.column("rep").to_numpy(), right.column("size").to_numpy(), _matrix(right.column("vector"))
             own = right.column("own").to_numpy(zero_copy_only=False)
-            forest, gained = Forest(len(reps)), np.zeros(len(reps), np.int64)
-            asked = np.zeros(len(q_rep), np.int64)
-            cross: list[tuple[int, int]] = []
+            unit = _unit(q)
+            gained, asked = np.zeros(len(reps), np.int64), np.zeros(len(q_rep), np.int64)
             home = np.where(own, np.searchsorted(reps, q_rep), -1)
-            for k, hits in enumerate(audited(graph, _unit(q), threshold - 1e-5, home)):
+            # places: the nodes, then the foreign queries; a place's mark is the least place it is connected with
+            place = np.where(own, home, len(reps) + np.arange(len(q_rep)))
+            mark = np.arange(len(reps) + len(q_rep))
+            for k, hits in enumerate(audited(graph, unit, threshold - 1e-5, home)):
                 hits = hits[reps[hits] != q_rep[k]]
                 hits = hits[cosines(x[hits], q[k][None, :]) >= threshold]
                 if not len(hits):
                     continue
                 asked[k] = sizes[hits].sum()
-                if own[k]:  # a pair of one shard is met from both sides
-                    for h in hits.tolist():
-                        forest.join(int(home[k]), h)
-                else:
+                if not own[k]:  # a pair of one shard is met from both sides
                     gained[hits] += q_size[k]
-                    cross += [(k, h) for h in hits.tolist()]
+                marks = np.unique(np.append(mark[hits], mark[place[k]]))
+                if len(marks) > 1:
+                    mark[np.isin(mark, marks)] = marks[0]
             for rep, n in [*zip(q_rep.tolist(), asked.tolist()), *zip(reps.tolist(), gained.tolist())]:
                 if n:
                     out["rep"].append(rep), out["links"].append(n), out["other"].append(None)
-            edges = {(int(reps[k]), int(reps[forest.root(k)])) for k in range(len(reps)) if forest.root(k) != k}
-            both = Forest(len(reps) + len(q_rep))  # positions: nodes, then queries
-            for k, h in cross:
-                if both.root(h) != both.root(len(reps) + k):
-                    both.join(h, len(reps) + k)
-                    edges.add((int(reps[h]), int(q_rep[k])))
-            for a, b in sorted(edges):
-                out["rep"].append(a), out["links"].append(0), out["other"].append(b)
+            at = np.concatenate([reps, q_rep])
+            for k in np.flatnonzero(mark != np.arange(len(mark))).tolist():
+                out["rep"].append(int(at[k])), out["links"].append(0), out["other"].append(int(at[mark[k]]))
         return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()})
 
     return graphs.groupBy("cell", "shard", "block").cogroup(queries.groupBy("cell", "shard", "block")).applyInArrow(

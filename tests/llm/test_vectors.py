@@ -142,3 +142,71 @@ def test_query_recall(spark):
     got = rows(Q.op6_shard_graphs(spark, sf), "vec_id", "n_links", "component_id", "kept")
     want = brute(data)
     assert len(got) == len(want) and sum(r[1] for r in got) >= 0.9 * sum(r[1] for r in want)
+
+
+class Counting(V.Graph):
+    """Counts the queries answered by the graph and by brute force."""
+
+    def __init__(self, unit):
+        super().__init__(unit)
+        self.searched = 0
+
+    def within(self, queries, *args, **kw):
+        self.searched += len(queries)
+        return super().within(queries, *args, **kw)
+
+
+def counted(monkeypatch, unit, queries, home=None):
+    plain, asked = V.brute, []
+    monkeypatch.setattr(V, "brute", lambda g, q, t: asked.append(len(q)) or plain(g, q, t))
+    graph = Counting(unit)
+    hits = V.audited(graph, queries, 0.93, home)
+    truth = queries @ unit.T >= 0.93
+    return hits, truth, graph.searched, sum(asked)
+
+
+def test_blocks_are_searched_through_the_graph(monkeypatch):
+    """With few links, none, and small shards: brute force for the audit's queries alone."""
+    rng = np.random.default_rng(8)
+    few = hot(2048, 40, 9)
+    none = rng.normal(size=(2048, 32)).astype(np.float32)
+    none /= np.linalg.norm(none, axis=1, keepdims=True)
+    small = hot(60, 6, 10)
+    for unit, queries, home in ((few, few, np.arange(2048)), (none, none, np.arange(2048)), (none, few, None), (small, small, np.arange(60))):
+        hits, truth, searched, by_brute = counted(monkeypatch, unit, queries, home)
+        assert by_brute <= V.AUDITED and searched >= len(queries)
+        if len(queries) < 100:
+            assert by_brute <= len(queries) // 4
+        linked = [(len(h), t.sum()) for h, t in zip(hits, truth) if t.sum() > (home is not None)]
+        assert all(a >= 0.9 * b for a, b in linked) or np.mean([a / b for a, b in linked]) >= 0.99
+
+
+def test_given_tables_are_searched_through_the_graph(spark, monkeypatch):
+    for sf in ("sf0.001", "sf0.1"):
+        by_label = {}
+        for r in spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").collect():
+            by_label.setdefault(r.label, []).append(r.embedding)
+        for vectors in by_label.values():
+            unit = V._unit(np.array(vectors, np.float32))
+            hits, truth, _, by_brute = counted(monkeypatch, unit, unit, np.arange(len(unit)))
+            assert by_brute <= max(2, len(unit) // 4)
+            assert sum(map(len, hits)) >= 0.99 * truth.sum()
+
+
+def test_turned_nodes_are_linked_with_their_nodes():
+    x = hot(500, 20, 11)
+    moved = V.probes(x, np.arange(500), 0.93)
+    cos = (moved * x).sum(axis=1)
+    assert cos.min() > 0.93 and cos.max() < 0.999
+    flat = np.eye(1, dtype=np.float32)   # one dimension cannot be turned
+    assert (V.probes(flat, np.array([0]), 0.93) @ flat.T >= 0.93).all()
+
+
+def test_a_graph_that_came_apart_is_answered_whole(monkeypatch):
+    class Apart(Counting):
+        def within(self, queries, *args, **kw):
+            return [np.zeros(0, np.int64)] * len(queries)
+
+    x = hot(300, 30, 12)
+    hits = V.audited(Apart(x), x, 0.93, np.arange(300))
+    assert sum(map(len, hits)) == (x @ x.T >= 0.93).sum()
