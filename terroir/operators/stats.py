@@ -7,8 +7,10 @@ never do.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -185,8 +187,10 @@ def zscore(df: DataFrame, columns: Sequence[str], fit: DataFrame | None = None,
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair (a, b, r), all pairs in
     one aggregation (pairwise-complete rows). A column without variation has
-    no correlation: NULL."""
+    no correlation: NULL. More than `WIDE` columns go by matrix products."""
     cols = list(columns)
+    if len(cols) > WIDE:
+        return wide_corr_matrix(df, cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     exprs = []
     for i, (a, b) in enumerate(pairs):
@@ -204,6 +208,54 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return agg.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (feature_a, feature_b, r)")
 
 
+WIDE = 40     # columns up to which all pairs are one aggregation's expressions
+STRIP = 64    # rows of the matrices that are summed and finished together
+
+
+def wide_corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A6 for hundreds of columns: (a, b, r) of every ordered pair, as of
+    `corr_matrix`, from matrix products instead of an expression a pair.
+
+    With the values centred and missing ones set to 0, and a mask of those
+    present, four products per batch hold the counts, sums, squares and products
+    over the rows that both columns of a pair have. A task adds up its batches,
+    strips of `STRIP` columns meet by shuffle, and each strip is finished on its
+    own. NaN counts as missing; a variance within rounding of 0 is none (NULL)."""
+    cols = list(columns)
+    width, names = len(cols), pa.array(cols)
+    value = [F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")) for c in cols]
+    centre = np.array([0.0 if v is None else v for v in df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(value)]).first()])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, width, width))
+        for b in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns], axis=1) if b.num_rows else np.zeros((0, width))
+            here = ~np.isnan(x)
+            z, m = np.where(here, x - centre, 0.0), here.astype(float)
+            for k, (left, right) in enumerate(((m, m), (z, m), (z * z, m), (z, z))):
+                total[k] += left.T @ right
+        starts = list(range(0, width, STRIP))
+        yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int32()), pa.array([total[:, s:s + STRIP].tobytes() for s in starts], pa.binary()),
+                                          pa.array([total[1:3, :, s:s + STRIP].tobytes() for s in starts], pa.binary())], ["strip", "own", "other"])
+
+    def finish(t: pa.Table) -> pa.Table:
+        start = t.column("strip")[0].as_py()
+        add = lambda c, shape: np.sum([np.frombuffer(v.as_buffer()) for v in t.column(c)], axis=0).reshape(shape)
+        n, s, q, p = add("own", (4, -1, width))
+        s_other, q_other = (x.T for x in add("other", (2, width, -1)))
+        with np.errstate(all="ignore"):
+            var, var_other = q - s * s / n, q_other - s_other * s_other / n
+            flat = (var <= 1e-13 * q) | (var_other <= 1e-13 * q_other) | (n < 2)
+            r = (p - s * s_other / n) / np.sqrt(var * var_other)
+        high = len(r)
+        return pa.table({"feature_a": names.take(pa.array(np.repeat(np.arange(start, start + high), width))),
+                         "feature_b": names.take(pa.array(np.tile(np.arange(width), high))),
+                         "r": pa.array(np.clip(r, -1.0, 1.0).ravel(), mask=flat.ravel())})
+
+    rows = df.select(*[v.alias(f"c{i}") for i, v in enumerate(value)]).mapInArrow(sums, "strip int, own binary, other binary")
+    return rows.groupBy("strip").applyInArrow(finish, "feature_a string, feature_b string, r double")
+
+
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """MAE, MSE, RMSE, R2 in one aggregation (one row)."""
     e = F.col(prediction) - F.col(label)
@@ -215,4 +267,4 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 __all__ = ["exact_order_statistics", "_column_ranges", "exact_medians", "approx_medians", "median_fill",
-           "moments", "zscore", "corr_matrix", "regression_metrics"]
+           "moments", "zscore", "corr_matrix", "wide_corr_matrix", "regression_metrics"]

@@ -708,6 +708,31 @@ def _sql_corr(features, frame, constant=()):
 SQL["corr_matrix"] = _sql_corr([*MEASURES, "constant"], "lineitem", ["constant"])
 
 
+def _wide_measures() -> list[tuple[str, str]]:
+    """(name, SQL of lineitem): eight measures, each shifted by powers of another, some with NULLs: 48 columns."""
+    base = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey % 97", "l_suppkey % 13", "l_orderkey % 101", "l_linenumber"]
+    out = []
+    for i, m in enumerate(base):
+        out.append((f"m{i}", f"CAST({m} AS DOUBLE)"))
+        out += [(f"m{i}_{k}", f"CASE WHEN l_orderkey % {k + 3} > 0 THEN CAST({m} AS DOUBLE) + {k} * CAST({base[(i + k) % 8]} AS DOUBLE) END")
+                for k in range(1, 6)]
+    return out
+
+
+def wide_corr(spark, d):
+    """Correlations of more columns than one aggregation's expressions carry."""
+    cols = _wide_measures()
+    df = table(spark, d, "lineitem").select(*[F.expr(sql).alias(n) for n, sql in cols])
+    return A.corr_matrix(df, [n for n, _ in cols]).select("feature_a", "feature_b", r6(F.col("r")).alias("r"))
+
+
+SQL["wide_corr"] = (f"WITH w AS (SELECT {', '.join(f'{s} AS {n}' for n, s in _wide_measures())} FROM lineitem),\n"
+                    f"c AS (SELECT {', '.join(f'corr({a}, {b}) AS {a}__{b}' for a, _ in _wide_measures() for b, _ in _wide_measures())} FROM w),\n"
+                    "u AS (UNPIVOT c ON COLUMNS(*) INTO NAME pair VALUE r)\n"
+                    f"SELECT split_part(pair, '__', 1) AS feature_a, split_part(pair, '__', 2) AS feature_b, {sql_r6('r')} AS r FROM u")
+
+
+
 # --------------------------------------------------------------------------
 # Regression metrics of a fixed linear guess
 # --------------------------------------------------------------------------
@@ -1068,6 +1093,7 @@ QUERIES = {
     "median_fill": median_fill,
     "zscore": zscore,
     "corr_matrix": corr_matrix,
+    "wide_corr": wide_corr,
     "regression_metrics": regression_metrics,
     "join_suffixed": join_suffixed,
     "join_spread": join_spread,
