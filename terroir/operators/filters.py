@@ -4,12 +4,15 @@ columns reach the scan as pushed filters."""
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terroir.functions.numeric import parse_number
 from terroir.functions.text import strip, zero_pad
+from terroir.operators.quality import is_missing
 
 
 def _c(c) -> Column:
@@ -21,6 +24,13 @@ def drop_null_rows(df: DataFrame, subset: Iterable[str]) -> DataFrame:
     return df.na.drop(how="any", subset=list(subset))
 
 
+def any_present(df: DataFrame, subset: Iterable[str]) -> Column:
+    """P2's condition: some subset column holds a value (NaN is none). True
+    without such columns."""
+    found = [~is_missing(df, c) for c in subset if c in df.columns]
+    return reduce(or_, found) if found else F.lit(True)
+
+
 def drop_empty_rows(df: DataFrame, subset: Iterable[str]) -> DataFrame:
     """Drop rows whose subset columns are all NULL."""
     subset = [c for c in subset if c in df.columns]
@@ -39,12 +49,17 @@ def arithmetic_identity(df: DataFrame, target: str, expr: Column) -> DataFrame:
     return df.filter(F.col(target) == expr)
 
 
+def consistent_votes(df: DataFrame, registered="inscrits", voters="votants",
+                     blank="blancs", void="nuls", cast="exprimes") -> Column:
+    """P1 + P3 + P4 as one condition."""
+    return (~is_missing(df, registered) & (F.col(voters) <= F.col(registered))
+            & (F.col(cast) == F.col(voters) - F.col(blank) - F.col(void)))
+
+
 def vote_consistency(df: DataFrame, registered="inscrits", voters="votants",
                      blank="blancs", void="nuls", cast="exprimes") -> DataFrame:
     """P1 + P3 + P4 as the election cleaning applies them."""
-    df = drop_null_rows(df, [registered])
-    df = column_le(df, voters, registered)
-    return arithmetic_identity(df, cast, F.col(voters) - F.col(blank) - F.col(void))
+    return df.filter(consistent_votes(df, registered, voters, blank, void, cast))
 
 
 def territory_predicate(c, prefix: str = "69", min_length: int = 5,
@@ -78,6 +93,6 @@ def not_null_le(df: DataFrame, column: str, bound: float) -> DataFrame:
     return df.filter(F.col(column).isNotNull() & (F.col(column) <= bound))
 
 
-__all__ = ["drop_null_rows", "drop_empty_rows", "column_le", "arithmetic_identity",
-           "vote_consistency", "territory_predicate", "filter_territory", "equals_after_pad",
+__all__ = ["drop_null_rows", "any_present", "drop_empty_rows", "column_le", "arithmetic_identity",
+           "consistent_votes", "vote_consistency", "territory_predicate", "filter_territory", "equals_after_pad",
            "numeric_range", "not_null_le"]

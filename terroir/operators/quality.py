@@ -78,6 +78,7 @@ def null_profile(df: DataFrame, columns: Iterable[str] | None = None,
 
 
 COPIES = "_copies"
+REJECTED = "_rejected"
 
 
 def counted_distinct(df: DataFrame) -> DataFrame:
@@ -88,38 +89,59 @@ def counted_distinct(df: DataFrame) -> DataFrame:
 def counted_first(df: DataFrame, key: str, order: str) -> DataFrame:
     """D2 (the first row per key in `order`) with the number of rows per key,
     combined before the shuffle."""
-    rest = [c for c in df.columns if c not in (key, order)]
+    rest = [c for c in df.columns if c not in (key, order, REJECTED)]
     first = F.min(F.struct(F.col(order), *[F.col(f"`{c}`") for c in rest])).alias("_first")
-    out = df.groupBy(key).agg(first, row_count().alias(COPIES))
-    return out.select(*[F.col("_first").getField(c).alias(c) if c != key else F.col(key) for c in df.columns], COPIES)
+    keys = [key, REJECTED] if REJECTED in df.columns else [key]
+    out = df.groupBy(*keys).agg(first, row_count().alias(COPIES))
+    return out.select(*[F.col("_first").getField(c).alias(c) if c not in keys else F.col(c) for c in df.columns], COPIES)
+
+
+def mark_rejected(df: DataFrame, keep: Column) -> DataFrame:
+    """In place of a filter: rows that fail `keep` stay as rows of NULLs with
+    `REJECTED` set. All are equal, so the deduplication's partial aggregation
+    makes one row of a task's, and their copies are their number."""
+    keep = F.coalesce(keep, F.lit(False))
+    if REJECTED in df.columns:
+        keep = keep & ~F.col(REJECTED)
+    return df.select(*[F.when(keep, F.col(f"`{c}`")).alias(c) for c in df.columns if c != REJECTED], (~keep).alias(REJECTED))
 
 
 @dataclass
 class QualityTracker:
-    """The raw scan, counted by an action of its own, and the
-    deduplicated frame with its `COPIES`, observed by the table's write."""
+    """The deduplicated frame with its `COPIES`, observed by the table's
+    write. With `count_rejected` the rows that the cleaning's filters drop are
+    carried to that frame as one row (`mark_rejected`), so the raw rows are
+    counted by the same pass, in the stage whose finished tasks never run again;
+    otherwise the raw scan is counted by an action of its own."""
 
     table_name: str
     notes: str = ""
+    count_rejected: bool = False
     _raw: DataFrame = field(default=None, repr=False)
     _post: Observation = field(default=None, repr=False)
     columns_count: int | None = None
 
     def raw(self, df: DataFrame) -> DataFrame:
-        self._raw = df
+        if not self.count_rejected:
+            self._raw = df
         return df
 
+    def keep(self, df: DataFrame, condition: Column) -> DataFrame:
+        return mark_rejected(df, condition) if self.count_rejected else df.filter(condition)
+
     def final(self, df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
-        cols = [c for c in df.columns if c not in {*exclude, COPIES}]
+        cols = [c for c in df.columns if c not in {*exclude, COPIES, REJECTED}]
         self.columns_count = len(cols)
         self._post = Observation(f"{self.table_name}_post")
-        return df.observe(self._post, row_count().alias("rows"), null_cells(df, cols).alias("nulls"),
-                          F.sum(COPIES).alias("copies")).drop(COPIES)
+        kept = ~F.col(REJECTED) if REJECTED in df.columns else F.lit(True)
+        out = df.observe(self._post, F.count_if(kept).alias("rows"), F.sum(F.when(kept, row_null_count(df, cols))).alias("nulls"),
+                         F.sum(F.when(kept, F.col(COPIES))).alias("copies"), F.sum(COPIES).alias("raw"))
+        return out.filter(kept).drop(COPIES, REJECTED) if REJECTED in df.columns else out.drop(COPIES)
 
     def row(self, timestamp: str | None = None) -> dict:
         seen = self._post.get if self._post else {}
         after = int(seen.get("rows") or 0)
-        before = int(self._raw.count()) if self._raw is not None else 0
+        before = int(seen.get("raw") or 0) if self.count_rejected else int(self._raw.count()) if self._raw is not None else 0
         return {
             "table_name": self.table_name,
             "rows_before": before,
@@ -163,4 +185,4 @@ def quality_row_frame(table_name: str, raw: DataFrame, deduplicated: DataFrame,
 
 
 __all__ = ["QUALITY_SCHEMA", "COPIES", "is_missing", "row_null_count", "null_cells", "row_count", "null_profile",
-           "counted_distinct", "counted_first", "QualityTracker", "quality_report", "quality_row_frame"]
+           "REJECTED", "counted_distinct", "counted_first", "mark_rejected", "QualityTracker", "quality_report", "quality_row_frame"]

@@ -2,8 +2,9 @@
 
 Each plan is a function raw DataFrame -> cleaned DataFrame, composed from the
 operators; territory prefix, code widths and key names are parameters with
-the original job's values as defaults. A `QualityTracker` counts the raw rows
-and observes the deduplicated ones during the (later) write action.
+the original job's values as defaults. A `QualityTracker` drops the rows that a
+filter rejects (or carries their number along) and observes the deduplicated
+ones during the (later) write action.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from terroir.functions.text import (remove_substring, safe_code, strip, strip_ch
                                     zero_pad)
 from terroir.operators.cleaning import clean_label_columns, computed_once
 from terroir.operators.dedup import ORDINAL
-from terroir.operators.filters import drop_empty_rows, territory_predicate, vote_consistency
-from terroir.operators.quality import QualityTracker, counted_distinct, counted_first
+from terroir.operators.filters import any_present, consistent_votes, territory_predicate
+from terroir.operators.quality import REJECTED, QualityTracker, counted_distinct, counted_first
 from terroir.operators.schema import (ascii_columns, drop_all_null_columns, map_columns, normalize_columns,
                                       rename_columns, rename_position, require_columns)
 from terroir.quirks import PARITY, Quirks
@@ -45,9 +46,9 @@ def _tracker(tracker: QualityTracker | None, name: str) -> QualityTracker:
     return tracker if tracker is not None else QualityTracker(name, NOTES.get(name, ""))
 
 
-def _territory(df: DataFrame, column: str, prefix: str, length: int, quirks: Quirks) -> DataFrame:
-    return df.filter(territory_predicate(column, prefix, length,
-                                         exact_length=not quirks.territory_min_length))
+def _territory(t: QualityTracker, df: DataFrame, column: str, prefix: str, length: int, quirks: Quirks) -> DataFrame:
+    return t.keep(df, territory_predicate(column, prefix, length,
+                                          exact_length=not quirks.territory_min_length))
 
 
 def _keep_first(df: DataFrame, key: str) -> DataFrame:
@@ -76,7 +77,7 @@ def clean_election(df: DataFrame, label: str, quirks: Quirks = PARITY,
     numeric = [c for c in ELECTION_VOTES if c in df.columns] + \
         [c for c in df.columns if c.startswith("ratio_")]
     df = computed_once(map_columns(df, parse_number, only=numeric))
-    df = vote_consistency(df)
+    df = t.keep(df, consistent_votes(df))
     df = clean_label_columns(df, ELECTION_TEXT, quirks)
     out = []
     for c in df.columns:
@@ -115,7 +116,7 @@ def clean_securite(df: DataFrame, department: str = "69", quirks: Quirks = PARIT
             out.append(parse_int(F.col(c)).try_cast("int").alias(c))
         else:
             out.append(F.col(c))
-    df = df.select(*out).filter(F.col("code_departement") == F.lit(department))
+    df = t.keep(df.select(*out), F.col("code_departement") == F.lit(department))
     df = _distinct(df)
     return t.final(df, exclude=[ORDINAL])
 
@@ -126,11 +127,11 @@ def _clean_commune_measures(df: DataFrame, name: str, drop_empty: bool, prefix:
     df = t.raw(df)
     df = normalize_columns(df)
     require_columns(df, ["codgeo"], name)
-    df = _territory(df, "codgeo", prefix, length, quirks)
+    df = _territory(t, df, "codgeo", prefix, length, quirks)
     df = df.withColumn("codgeo", safe_code(F.col("codgeo"), length, quirks))
-    df = computed_once(map_columns(df, parse_number, exclude=["codgeo", ORDINAL]))
+    df = computed_once(map_columns(df, parse_number, exclude=["codgeo", ORDINAL, REJECTED]))
     if drop_empty:
-        df = drop_empty_rows(df, [c for c in df.columns if c not in ("codgeo", ORDINAL)])
+        df = t.keep(df, any_present(df, [c for c in df.columns if c not in ("codgeo", ORDINAL, REJECTED)]))
     df = _keep_first(df, "codgeo")
     return t.final(df, exclude=[ORDINAL])
 
@@ -157,7 +158,7 @@ def _clean_iris_measures(df: DataFrame, name: str, ascii_names: bool, prefix: st
         df = ascii_columns(df, keep=[ORDINAL])
     require_columns(df, ["codeiris", "codgeo"], name)
     df = df.withColumn("codgeo", strip(F.col("codgeo")))
-    df = _territory(df, "codgeo", prefix, length, quirks)
+    df = _territory(t, df, "codgeo", prefix, length, quirks)
     keys = set(IRIS_KEYS)
     out = []
     for c in df.columns:
@@ -165,12 +166,12 @@ def _clean_iris_measures(df: DataFrame, name: str, ascii_names: bool, prefix: st
             out.append(safe_code(F.col(c), length, quirks).alias(c))
         elif c == "codeiris":
             out.append(safe_code(F.col(c), None, quirks).alias(c))
-        elif c in keys or c == ORDINAL:
+        elif c in keys or c in (ORDINAL, REJECTED):
             out.append(F.col(c))
         else:
             out.append(parse_number(F.col(c)).alias(c))
     df = computed_once(df.select(*out))
-    df = drop_empty_rows(df, [c for c in df.columns if c not in keys and c != ORDINAL])
+    df = t.keep(df, any_present(df, [c for c in df.columns if c not in keys and c not in (ORDINAL, REJECTED)]))
     df = _keep_first(df, "codeiris")
     return t.final(df, exclude=[ORDINAL])
 

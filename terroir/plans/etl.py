@@ -120,7 +120,7 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     trackers: dict[str, QualityTracker] = {}
 
     def tr(name):
-        trackers[name] = QualityTracker(name, T.NOTES[name])
+        trackers[name] = QualityTracker(name, T.NOTES[name], count_rejected=True)
         return trackers[name]
 
     width, dep = cfg.commune_width, cfg.department
