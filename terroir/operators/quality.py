@@ -81,9 +81,11 @@ COPIES = "_copies"
 REJECTED = "_rejected"
 
 
-def counted_distinct(df: DataFrame) -> DataFrame:
-    """D1 with the number of copies of each row."""
-    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(row_count().alias(COPIES))
+def counted_distinct(df: DataFrame, order: str | None = None) -> DataFrame:
+    """D1 with the number of copies of each row, and with `order` (a column that
+    does not count) the place of its first copy."""
+    first = [F.min(order).alias(order)] if order else []
+    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns if c != order]).agg(*first, row_count().alias(COPIES))
 
 
 def counted_first(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -112,11 +114,13 @@ class QualityTracker:
     write. With `count_rejected` the rows that the cleaning's filters drop are
     carried to that frame as one row (`mark_rejected`), so the raw rows are
     counted by the same pass, in the stage whose finished tasks never run again;
-    otherwise the raw scan is counted by an action of its own."""
+    otherwise the raw scan is counted by an action of its own. `keep_order` asks
+    the cleaning to keep the file order of its rows."""
 
     table_name: str
     notes: str = ""
     count_rejected: bool = False
+    keep_order: bool = False
     _raw: DataFrame = field(default=None, repr=False)
     _post: Observation = field(default=None, repr=False)
     columns_count: int | None = None

@@ -60,10 +60,13 @@ def _keep_first(df: DataFrame, key: str) -> DataFrame:
     return counted_first(df, key, ORDINAL)
 
 
-def _distinct(df: DataFrame) -> DataFrame:
-    """D1 on the cleaned columns; the file-order ordinal is not needed past
-    this point, so it is dropped and the dedup stays a hash aggregation."""
-    return counted_distinct(df.drop(ORDINAL) if ORDINAL in df.columns else df)
+def _distinct(t: QualityTracker, df: DataFrame) -> DataFrame:
+    """D1 on the cleaned columns. The file-order ordinal does not count: the
+    first copy's is kept if the tracker asks for it, else it is dropped and the
+    deduplication stays a hash aggregation."""
+    if ORDINAL not in df.columns:
+        return counted_distinct(df)
+    return counted_distinct(df, ORDINAL) if t.keep_order else counted_distinct(df.drop(ORDINAL))
 
 
 def clean_election(df: DataFrame, label: str, quirks: Quirks = PARITY,
@@ -92,7 +95,7 @@ def clean_election(df: DataFrame, label: str, quirks: Quirks = PARITY,
         else:
             out.append(F.col(c))
     df = df.select(*out)
-    df = _distinct(df)
+    df = _distinct(t, df)
     return t.final(df, exclude=[ORDINAL])
 
 
@@ -117,7 +120,7 @@ def clean_securite(df: DataFrame, department: str = "69", quirks: Quirks = PARIT
         else:
             out.append(F.col(c))
     df = t.keep(df.select(*out), F.col("code_departement") == F.lit(department))
-    df = _distinct(df)
+    df = _distinct(t, df)
     return t.final(df, exclude=[ORDINAL])
 
 

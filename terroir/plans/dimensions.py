@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terroir.functions.text import prefix, safe_code, sentinel_to_null, strip, title_case
-from terroir.operators.dedup import keep_first_sorted, union_all
+from terroir.operators.dedup import ORDINAL, keep_first_sorted, union_all
 from terroir.quirks import PARITY, Quirks
 
 SOURCE_RANK = "_source_rank"
@@ -20,16 +20,19 @@ def conformed_dimension(frames: Sequence[DataFrame], key: str, label: str, key_w
                         ) -> DataFrame:
     """B1/B2 core: union the frames (same columns), drop duplicate rows, pad
     the codes, title-case the label, then keep one row per key -- labelled
-    rows first, ties decided by frame order (or, with `region_first`, rows
-    where that column is set first).
+    rows first, ties decided by frame order, then by file order where all frames
+    carry their ordinal (or, with `region_first`, rows where that column is set first).
 
     The union keeps a frame rank; duplicate rows collapse with partial
     aggregation, so a hot key is reduced before the shuffle."""
     pad = pad or {}
-    ranked = [f.withColumn(SOURCE_RANK, F.lit(i)) for i, f in enumerate(frames)]
+    ordered = all(ORDINAL in f.columns for f in frames)
+    place = [F.col(ORDINAL)] if ordered else []
+    ranked = [(f if ordered else f.drop(ORDINAL)).withColumn(SOURCE_RANK, F.struct(F.lit(i).alias("frame"), *place)).drop(ORDINAL)
+              for i, f in enumerate(frames)]
     u = union_all(ranked)
     cols = [c for c in u.columns if c != SOURCE_RANK]
-    # distinct rows: the earliest frame of identical rows wins
+    # distinct rows: the earliest of identical rows wins
     u = u.groupBy(*cols).agg(F.min(SOURCE_RANK).alias(SOURCE_RANK))
     out = []
     for c in cols:
@@ -43,7 +46,7 @@ def conformed_dimension(frames: Sequence[DataFrame], key: str, label: str, key_w
         else:
             out.append(F.col(c))
     u = u.select(*out, SOURCE_RANK)
-    # ties: frame order, then the remaining columns so the pick is deterministic
+    # ties: frame order and file order; without it the remaining columns, so that the pick is deterministic
     rest = [F.col(c).asc_nulls_last() for c in cols if c not in (key, label)]
     tie = [F.col(SOURCE_RANK), *rest]
     if region_first:
@@ -51,6 +54,10 @@ def conformed_dimension(frames: Sequence[DataFrame], key: str, label: str, key_w
     return keep_first_sorted(u, [key], [label], tie).drop(SOURCE_RANK)
 
 
+def _order(df: DataFrame) -> list[str]:
+    return [ORDINAL] if ORDINAL in df.columns else []
+
+
 def _session(*frames):
     return next(f for f in frames if f is not None).sparkSession
 
@@ -59,8 +66,8 @@ def build_dim_commune(t1: DataFrame | None, t2: DataFrame | None, emploi: DataFr
                       revenus: DataFrame | None, quirks: Quirks = PARITY) -> DataFrame:
     """B1: communes (codgeo, libelle_commune, code_departement) from both
     election rounds and the two commune-level facts (absent frames: None).
-    Ties inside one frame (same code and label) are decided by the remaining
-    columns, not by file order."""
+    Ties inside one frame (same code and label) are decided by file order if the
+    frames carry it, as the batch job's do."""
     frames = []
     for t in (t1, t2):
         if t is None:
@@ -75,11 +82,11 @@ def build_dim_commune(t1: DataFrame | None, t2: DataFrame | None, emploi: DataFr
                     src = k
                     break
         if src:
-            frames.append(t.select(F.col(src).alias("codgeo"), "libelle_commune", "code_departement"))
+            frames.append(t.select(F.col(src).alias("codgeo"), "libelle_commune", "code_departement", *_order(t)))
     for f in (emploi, revenus):
         if f is not None and "codgeo" in f.columns:
             frames.append(f.select("codgeo", F.lit(None).cast("string").alias("libelle_commune"),
-                                   prefix(F.col("codgeo").cast("string"), 2).alias("code_departement")))
+                                   prefix(F.col("codgeo").cast("string"), 2).alias("code_departement"), *_order(f)))
     if not frames:
         schema = "codgeo string, libelle_commune string, code_departement string"
         return _session(t1, t2, emploi, revenus).createDataFrame([], schema)
@@ -94,11 +101,11 @@ def build_dim_departement(t1: DataFrame | None, t2: DataFrame | None, securite:
     for t in (t1, t2):
         if t is not None and {"code_departement", "libelle_departement"} <= set(t.columns):
             frames.append(t.select("code_departement", "libelle_departement",
-                                   F.lit(None).cast("string").alias("code_region")))
+                                   F.lit(None).cast("string").alias("code_region"), *_order(t)))
     if securite is not None and {"code_departement", "code_region"} <= set(securite.columns):
         frames.append(securite.select("code_departement",
                                       F.lit(label).alias("libelle_departement"),
-                                      F.col("code_region").cast("string").alias("code_region")))
+                                      F.col("code_region").cast("string").alias("code_region"), *_order(securite)))
     if not frames:
         schema = "code_departement string, libelle_departement string, code_region string"
         return _session(t1, t2, securite).createDataFrame([], schema)

@@ -32,6 +32,7 @@ from terroir.plans import clean as T
 from terroir.plans.dimensions import build_dim_commune, build_dim_departement, build_dim_temps
 from terroir.plans.views import register_views
 from terroir.quirks import PARITY, Quirks
+from terroir.operators.dedup import ORDINAL
 from terroir.sources.delimited import SourceSpec, read_delimited
 from terroir.sources.sinks import write_delimited, write_parquet
 
@@ -120,7 +121,7 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     trackers: dict[str, QualityTracker] = {}
 
     def tr(name):
-        trackers[name] = QualityTracker(name, T.NOTES[name], count_rejected=True)
+        trackers[name] = QualityTracker(name, T.NOTES[name], count_rejected=True, keep_order=True)
         return trackers[name]
 
     width, dep = cfg.commune_width, cfg.department
@@ -147,7 +148,7 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     loaded: dict[str, DataFrame] = {}
 
     def load(name: str, df: DataFrame):
-        write_parquet(df, f"{run_path}/{name}")
+        write_parquet(df, f"{run_path}/{name}", keep_order=True)  # the dimensions' ties ask for file order
         loaded[name] = spark.read.parquet(f"{run_path}/{name}")
         write_delimited(loaded[name], f"{csv_root}/{name}", bom=cfg.bom, single_file=cfg.single_file_csv)
 
@@ -210,7 +211,7 @@ def attach(spark: SparkSession, output_path: str) -> dict[str, DataFrame]:
     """Register the published tables and the two views in this session; returns
     the tables. All of them are of one run."""
     run_ = latest_run(spark, output_path)
-    tables = {n: spark.read.parquet(f"{run_['tables']}/{n}") for n in run_["names"]}
+    tables = {n: spark.read.parquet(f"{run_['tables']}/{n}").drop(ORDINAL) for n in run_["names"]}
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     register_views(spark, tables)

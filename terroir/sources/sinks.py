@@ -38,10 +38,11 @@ def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> None:
+                  partition_by: list[str] | None = None, keep_order: bool = False) -> None:
     """Parquet files at `path` (the job's output is committed only when the
-    whole write succeeded)."""
-    out = df.drop(ORDINAL) if ORDINAL in df.columns else df
+    whole write succeeded). `keep_order` keeps the file-order ordinal: a file's
+    path, a dictionary of few entries, and two numbers; readers drop it."""
+    out = df.drop(ORDINAL) if ORDINAL in df.columns and not keep_order else df
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
