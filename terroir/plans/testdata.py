@@ -970,6 +970,48 @@ def csv_round_trip(spark, d):
 SQL["csv_round_trip"] = "SELECT * FROM customer"
 
 
+# --------------------------------------------------------------------------
+# Typed read with a declared schema; S6 S8: catalog table written and scanned by name
+# --------------------------------------------------------------------------
+
+def typed_read(spark, d):
+    """Text with decimal commas, non-numbers and NA tokens, read to declared types; a declared column that is missing is NULL."""
+    from terroir.session import scratch_path
+    from terroir.sources.delimited import read_delimited_typed
+    from terroir.sources.sinks import write_delimited
+    k = F.col("o_orderkey")
+    price = F.when(k % 11 == 0, "ND").when(k % 11 == 1, "n/a").otherwise(F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(",")))
+    raw = table(spark, d, "orders").select("o_orderkey", price.alias("price"), F.year("o_orderdate").cast("string").alias("year"),
+                                           F.when(k % 7 > 0, F.col("o_orderpriority")).otherwise("NULL").alias("priority"))
+    path = scratch_path(spark, "typed_read")
+    write_delimited(raw, path)
+    return read_delimited_typed(spark, path, "o_orderkey long, price double, year int, priority string, absent int", decimal_comma=True)
+
+
+SQL["typed_read"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 > 1 THEN CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) END AS price,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END AS priority,
+       CAST(NULL AS INTEGER) AS absent FROM orders
+"""
+
+
+def table_round_trip(spark, d):
+    """A catalog table, replaced by a second write, scanned by its name and through SQL."""
+    from terroir.session import scratch_path
+    from terroir.sources.sinks import write_table
+    path = scratch_path(spark, "table_round_trip")
+    name = "t_" + path.rsplit("-", 1)[1]
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    write_table(o.limit(0), name, path)
+    write_table(o.withColumn("year", F.lit(2024)), name, path)
+    return spark.sql(f"SELECT o_orderstatus, year, count(*) AS n, max(o_totalprice) AS highest FROM {name} GROUP BY o_orderstatus, year")
+
+
+SQL["table_round_trip"] = """
+SELECT o_orderstatus, 2024 AS year, count(*) AS n, max(o_totalprice) AS highest FROM orders GROUP BY o_orderstatus
+"""
+
+
 # --------------------------------------------------------------------------
 # Files whose header sits below a title line and a blank line
 # --------------------------------------------------------------------------
@@ -1103,6 +1145,8 @@ QUERIES = {
     "top_k": top_k,
     "catalog_listing": catalog_listing,
     "csv_round_trip": csv_round_trip,
+    "typed_read": typed_read,
+    "table_round_trip": table_round_trip,
     "quoted_breaks": quoted_breaks,
 }
 
