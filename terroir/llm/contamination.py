@@ -12,7 +12,10 @@ spares the other document windows the shuffle. Joined windows are collected by
 document, item and alignment. Windows are consistent when one value of the item
 stands for one value of the document in all of them, and that at half of the
 value's places on the alignment at least; windows whose slots all have the
-item's own values are consistent whatever the others hold. A document is
+item's own values are consistent whatever the others hold. Capitals mark names
+only where they are few: languages that write all nouns large share their
+frames, so consistent windows may exchange `RENAMES` different names, or one for
+each `WINDOW` tokens they cover. A document is
 contaminated by an item when consistent windows cover at least
 `min(RUN, tokens of the item)` of its tokens on one alignment. This finds
 copies, also with some values changed, and questions with other numbers, names
@@ -51,14 +54,25 @@ TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]")
 # Number words and unit words that become placeholders.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen "
                          "sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety "
-                         "hundred thousand million billion".split())
+                         "hundred thousand million billion "
+                         "zwei drei vier fünf sechs sieben acht neun zehn elf zwölf zwanzig dreißig vierzig fünfzig sechzig siebzig "
+                         "achtzig neunzig hundert tausend "
+                         "deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze vingt trente quarante "
+                         "cinquante soixante mille "
+                         "dos tres cuatro cinco seis siete ocho nueve diez doce trece catorce quince veinte treinta cuarenta "
+                         "cincuenta sesenta setenta ochenta noventa cien ciento mil".split())
 UNIT_WORDS = frozenset("mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t lb lbs oz pound pounds "
                        "gram grams kilogram kilograms ton tons ml l liter liters litre litres gallon gallons s sec second "
                        "seconds min minute minutes h hour hours day days week weeks month months year years percent k c f "
                        "degree degrees dollar dollars cent cents euro euros usd eur gbp j w kw v a hz mph kmh meter meters "
-                       "metre metres kilometer kilometers centimeter centimeters".split())
+                       "metre metres kilometer kilometers centimeter centimeters "
+                       "tag tage tagen stunde stunden minuten woche wochen monat monate jahr jahre jahren prozent "
+                       "jour jours heure heures semaine semaines mois ans mètre mètres "
+                       "día días hora horas minutos semana semanas meses año años metro metros".split())
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (11, 13, 17))
 LITERAL, TYPED, OPENED = range(3)
+RENAMES = 2              # different names that may be exchanged, or one for each WINDOW covered tokens
+RENAMED = f"{NAME}:"     # how a name's slot begins
 HITS = "key long, doc_id long, text_hash long, kind int, pos int, n int, holes array<int>, slots array<string>"
 JUDGED = "doc_id long, text_hash long, item_id long, covered int, literal boolean, same boolean, item_tokens int, token int"
 
@@ -214,7 +228,12 @@ def agreed(at: list[int], pairs: list[list[tuple[int, str, str]]], size: int, ne
         if pick <= best or len(dict(best | pick)) == len(best | pick):
             best |= pick
             kept += chosen[pick]
-    most = max(literal, sorted(kept), key=lambda starts: cover(starts, size))
+    kept = sorted(kept)
+    taken = set(kept)
+    renamed = {i for a, p in zip(at, pairs) if a in taken for _, i, d in p if i != d and i.startswith(RENAMED)}
+    if len(renamed) > max(RENAMES, cover(kept, size) // WINDOW):
+        kept = []
+    most = max(literal, kept, key=lambda starts: cover(starts, size))
     return most if cover(most, size) >= need else []
 
 
