@@ -53,6 +53,9 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, s
                          .otherwise("train"))
 
 
+HASH_BITS = 52
+
+
 def split_hash(keys: Sequence[str], seed: int = 42) -> Column:
     """52 bits of the MD5 of the keys' texts and the seed: any engine has it, and a double holds it."""
     text = F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
@@ -70,9 +73,17 @@ def exact_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2,
     k = min(n, math.ceil(test_fraction * n))
     if k == 0:
         return df.withColumn(name, F.lit("train"))
-    edge = int(exact_order_statistics(hashed, {mark: [k - 1]})[mark, k - 1])
     h = F.col(mark)
-    below, on = hashed.agg(F.count_if(h < edge), F.count_if(h == edge)).first()
+    # hashes are uniform: the threshold is within a few deviations of its share, where the search is among few rows
+    share, slack = (k - 0.5) / n, 6 * math.sqrt(0.25 / n)
+    low, high = (int(min(max(s, 0.0), 1.0) * (1 << HASH_BITS)) for s in (share - slack, share + slack))
+    ensure_checkpoint_dir(df.sparkSession)
+    near = hashed.filter((h >= low) & (h < high)).select(mark).checkpoint(eager=True)
+    under, inside = hashed.filter(h < low).count(), near.count()
+    if not under < k <= under + inside:  # repeated keys make hashes lumpy
+        near, under = hashed.select(mark), 0
+    edge = int(exact_order_statistics(near, {mark: [k - 1 - under]})[mark, k - 1 - under])
+    below, on = near.agg(F.count_if(h < edge) + under, F.count_if(h == edge)).first()
     side = F.when(h <= edge, "test").otherwise("train")
     if below + on == k:
         return hashed.withColumn(name, side).drop(mark)

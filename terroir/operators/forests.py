@@ -304,7 +304,9 @@ def grow(rows: DataFrame, features: int, trees: int = 100, max_depth: int = 30,
     outputs, gains = [], []
 
     # whole trees that one task grows, several trees at a time
-    per_unit = {fit: max(1, min(trees, UNIT_CELLS // max(1, n * features))) for fit, n in sizes.items() if n <= group_rows}
+    # (few fits: fewer trees at a time, so that one forest occupies all tasks)
+    most = -(-trees * len(sizes) // (2 * partitions))
+    per_unit = {fit: max(1, min(trees, most, UNIT_CELLS // max(1, n * features))) for fit, n in sizes.items() if n <= group_rows}
     if per_unit:
         size = F.create_map(*[F.lit(v).cast("int") for kv in sorted(per_unit.items()) for v in kv])
         few = rows.filter(F.col("fit").isin(sorted(per_unit))).withColumn("size", F.get(F.map_values(F.map_filter(
