@@ -195,7 +195,8 @@ def without(rows: DataFrame, keys: list, gone: DataFrame) -> DataFrame:
     """`rows` whose keys (columns, nulls equal) are not among those of `gone`, a
     table of as many columns. Rows that a fixed-size filter of `gone` surely does
     not hold are not shuffled."""
-    names = [f"gone {k}" for k in range(len(keys))]
+    mark = "gone" + "_" * sum(c.startswith("gone") for c in rows.columns)
+    names = [f"{mark} {k}" for k in range(len(keys))]
     gone = gone.toDF(*names)
     bits = key_filter(gone, *names)
     same = None

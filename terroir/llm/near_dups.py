@@ -10,11 +10,13 @@
    that one's home in turn. Homes are dealt to blocks of about BLOCK texts. In each block all signatures are
    compared, pairs within MAX_DISTANCE that are not connected yet are confirmed
    on the full sets.
-4. Buckets whose members are in different blocks and not connected by step 3
-   name pairs of blocks; these are compared in the same way, the smaller block
-   of a pair visiting the larger. A home of any size is thus split over tasks,
-   and members that are already connected cost nothing.
-5. The links found make components, by `graph.components`.
+4. Where a bucket's members are in different blocks and not connected by step 3,
+   each of its blocks is compared with its first block in the same way, the
+   smaller block of a pair visiting the larger, and the links found make components
+   (`graph.components`). A home of any size is thus split over tasks.
+5. Only the blocks of buckets that are still not connected are compared with each
+   other: no pair with a common key is left out, and a group that hangs together
+   names one pair a block, not all pairs of its blocks.
 
 Null, empty and white-space texts have no shingles and link with nothing. Rows
 that repeat a document id count as one document. A null id cannot be linked; it
@@ -28,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +41,7 @@ from terroir.llm.graph import components
 from terroir.llm.shingles import shingle_sets
 
 BLOCK = 1024
+KEYED = 4000  # signatures whose keys are grouped before the shuffle
 PERCENT = 75
 
 
@@ -62,20 +66,33 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def buckets(reps: DataFrame) -> DataFrame:
-    """key, first, rep: the members of every bucket of two and more."""
+    """key, first, rep: the members of every bucket of two and more, `first` the
+    smallest of the bucket, or of those of its members that were read together.
+    Those send one row a key to the shuffle's group; the others pass it dealt by
+    member, so that a key of any size goes to one task once for KEYED texts."""
 
     def to_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 2000):
-                part = b.slice(lo, 2000)
+            for lo in range(0, b.num_rows, KEYED):
+                part = b.slice(lo, KEYED)
                 sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(-1, S.SYMBOLS)
-                keys = S.keys(sig)
+                keys = S.keys(sig).view(np.int64)
                 rep = np.repeat(part.column("rep").to_numpy(), keys.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(rep)], names=["key", "rep"])
+                order = np.lexsort((rep, keys.ravel()))
+                key, rep = keys.ravel()[order], rep[order]
+                start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+                size = np.diff(np.r_[start, len(key)])
+                first, several = np.repeat(rep[start], size), np.repeat(size > 1, size)
+                yield _met(key[several], first[several], rep[several], True)
+                yield _met(key[start], rep[start], rep[start], False)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key, last_rep, told = None, None, False  # the run that the next batch may go on with
         for b in batches:
+            done = b.filter(b.column("done"))
+            if done.num_rows:
+                yield done.select(["key", "first", "rep"])
+            b = b.filter(pc.invert(b.column("done")))
             if not b.num_rows:
                 continue
             key, rep = b.column("key").to_numpy(), b.column("rep").to_numpy()
@@ -97,8 +114,14 @@ def buckets(reps: DataFrame) -> DataFrame:
             last_key, told = key[-1], told_now
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in out], names=["key", "first", "rep"])
 
-    rows = reps.select("rep", "sig").mapInArrow(to_keys, "key long, rep long")
-    return rows.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(members, "key long, first long, rep long")
+    rows = reps.select("rep", "sig").mapInArrow(to_keys, "key long, first long, rep long, done boolean")
+    dealt = rows.repartition(F.when(F.col("done"), F.xxhash64("key", "rep")).otherwise(F.xxhash64("key")))
+    return dealt.sortWithinPartitions("done", "key", "rep").mapInArrow(members, "key long, first long, rep long")
+
+
+def _met(key: np.ndarray, first: np.ndarray, rep: np.ndarray, done: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(first), pa.array(rep), pa.array(np.full(len(key), done))],
+                                      names=["key", "first", "rep", "done"])
 
 
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
@@ -171,6 +194,38 @@ def _compared(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "rep long, root long")
 
 
+def _apart(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, first, block, low, high: the blocks of the buckets that hold several
+    components in several blocks, each with its least and largest label there and
+    the bucket's first block."""
+    split = met.join(labels, "rep").groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("block").alias("first"), F.max("block").alias("last"))
+    split = written(split.filter("low <> high and first <> last").select("key", "first"), "apart")
+    rows = prefiltered(met.select("key", "rep"), ["key"], key_filter(split, "key")).join(labels, "rep")
+    rows = rows.groupBy("key", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return rows.join(split, "key")
+
+
+def _visited(pairs: DataFrame, labels: DataFrame, texts: DataFrame, block: int) -> DataFrame:
+    """`labels` after the pairs (x, y) of blocks were compared."""
+    # the larger block of a pair is the host; its guests come to it, at most about two blocks at a time
+    count = labels.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    pairs = pairs.join(count.toDF("x", "nx"), "x").join(count.toDF("y", "ny"), "y")
+    pairs = written(pairs.select(F.when(F.col("nx") >= F.col("ny"), F.col("x")).otherwise(F.col("y")).alias("host"),
+                                 F.when(F.col("nx") >= F.col("ny"), F.col("y")).otherwise(F.col("x")).alias("guest"),
+                                 F.least("nx", "ny").alias("n")), "hosts")
+    chunks = pairs.groupBy("host").agg(F.ceil(F.sum("n") / (2 * block)).alias("chunks"))
+    visits = pairs.join(chunks, "host").select("host", "guest", F.pmod(F.xxhash64("guest"), "chunks").alias("chunk"))
+    sides = visits.select("host", "chunk", F.col("guest").alias("block"), F.lit(1).alias("side")).unionByName(
+        visits.select("host", "chunk", F.col("host").alias("block"), F.lit(0).alias("side")).distinct())
+    who = written(sides.join(labels, "block").select("host", "chunk", "side", "rep", "label"), "visits")
+    needed = prefiltered(texts, ["rep"], key_filter(who, "rep"))
+    outer = _compared(who.join(needed, "rep").select("host", "chunk", "side", "rep", "label", "sig", "text"), ["host", "chunk"])
+    roots = components(outer.select("rep", "root"))
+    return written(labels.join(roots, labels["label"] == roots["node"], "left")
+                   .select("rep", "block", F.coalesce("root", "label").alias("label")), "labels")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; a row per document."""
     all_ = written(described(docs, id_col, text_col), "described")
@@ -196,31 +251,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = homes.join(inner, "rep", "left").select("rep", "block", F.coalesce("root", "rep").alias("label"))
     labels = written(labels, "labels")
 
-    # buckets that hold several components name the pairs of blocks to compare
-    seen = met.join(labels, "rep").groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"),
-                                                      F.collect_set("block").alias("blocks"))
-    seen = seen.filter("a <> b and size(blocks) > 1").select(F.array_sort("blocks").alias("blocks")).distinct()
-    pairs = seen.select(F.explode(F.expr(
-        "flatten(transform(blocks, (x, i) -> transform(slice(blocks, i + 2, size(blocks)), y -> struct(x as x, y as y))))"
-    )).alias("p")).distinct().select("p.x", "p.y")
-    # the larger block of a pair is the host; its guests come to it, at most about two blocks at a time
-    count = labels.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
-    pairs = pairs.join(count.toDF("x", "nx"), "x").join(count.toDF("y", "ny"), "y")
-    pairs = written(pairs.select(F.when(F.col("nx") >= F.col("ny"), F.col("x")).otherwise(F.col("y")).alias("host"),
-                                 F.when(F.col("nx") >= F.col("ny"), F.col("y")).otherwise(F.col("x")).alias("guest"),
-                                 F.least("nx", "ny").alias("n")), "block-pairs")
-    chunks = pairs.groupBy("host").agg(F.ceil(F.sum("n") / (2 * block)).alias("chunks"))
-    visits = pairs.join(chunks, "host").select("host", "guest", F.pmod(F.xxhash64("guest"), "chunks").alias("chunk"))
-    sides = visits.select("host", "chunk", F.col("guest").alias("block"), F.lit(1).alias("side")).unionByName(
-        visits.select("host", "chunk", F.col("host").alias("block"), F.lit(0).alias("side")).distinct())
-    who = written(sides.join(labels, "block").select("host", "chunk", "side", "rep", "label"), "visits")
-    needed = prefiltered(texts, ["rep"], key_filter(who, "rep"))
-    outer = _compared(who.join(needed, "rep").select("host", "chunk", "side", "rep", "label", "sig", "text"), ["host", "chunk"])
-
-    roots = components(outer.select("rep", "root"))
-    found = labels.filter("rep <> label").select("rep", "label").unionByName(
-        roots.select(F.col("node").alias("rep"), F.col("node").alias("label"))).groupBy("rep").agg(F.min("label").alias("label"))
-    found = found.join(roots, found["label"] == roots["node"], "left").select("rep", F.coalesce("root", "label").alias("root"))
+    stars = written(_apart(met, labels).filter("block <> first").select(
+        F.least("first", "block").alias("x"), F.greatest("first", "block").alias("y")).distinct(), "stars")
+    labels = _visited(stars, labels, texts, block)
+    rest = _apart(met, labels)
+    other = rest.select("key", F.col("block").alias("y"), F.col("low").alias("low_y"), F.col("high").alias("high_y"))
+    rest = rest.withColumnRenamed("block", "x").join(other, "key").filter(
+        "x < y and least(low, low_y) <> greatest(high, high_y)").select("x", "y").distinct()
+    rest = written(rest.join(stars, ["x", "y"], "left_anti"), "block-pairs")
+    if not rest.isEmpty():
+        labels = _visited(rest, labels, texts, block)
+    found = labels.filter("rep <> label").select("rep", F.col("label").alias("root"))
     of_class = classes.join(found, "rep", "left").select("n_shingles", "f1", "f2", F.coalesce("root", "rep").alias("root"))
     return (all_.join(of_class, ["n_shingles", "f1", "f2"], "left")
             .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
@@ -229,7 +270,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that `near_duplicates` keeps, with all their columns.
-    Of rows that repeat an id the least stays; rows without an id all stay."""
+    Of rows that repeat an id the one that is least as JSON stays; rows without an
+    id all stay. Columns of any type are carried."""
     found = written(near_duplicates(docs, id_col, text_col).select(F.col("doc_id").alias("found_id"), "kept"), "near-kept")
     gone = found.filter("not kept and found_id is not null").select("found_id").distinct()
     rest = without(docs, [F.col(id_col).cast("long")], gone)
@@ -239,5 +281,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     several = written(several.select("found_id"), "near-several")
     single = rest.join(several, rest[id_col].cast("long") == several["found_id"], "left_anti")
     rows = rest.select(F.col(id_col).cast("long").alias("found_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    least = rows.join(several, "found_id").groupBy("found_id").agg(F.min("row").alias("row")).select("row.*")
+    least = rows.join(several, "found_id").groupBy("found_id").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
     return single.unionByName(least)

@@ -95,3 +95,38 @@ def test_query_against_brute_force(spark):
     want = near(data)
     got = rows(Q.op5_multi_index_minhash(spark, sf), "doc_id", "n_shingles", "component_id", "kept")
     assert got == sorted(((d, *want[d], want[d][1] == d) for d, _ in data), key=repr)
+
+
+def test_members_that_only_later_blocks_connect(spark):
+    """Links between blocks that are not their bucket's first."""
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for k in range(40):  # neighbours are alike, texts far apart are not
+        w = list(base)
+        for j in range(k):
+            w[(j * 7) % 60] = f"x{j}"
+        texts.append(" ".join(w))
+    random.Random(8).shuffle(texts)
+    check(spark, list(enumerate(texts)), block=2)
+
+
+def test_large_group_names_few_pairs_of_blocks(spark, monkeypatch):
+    texts = group(600, 120, 3, 9)
+    counts, visited = [], N._visited
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return visited(pairs, *rest)
+
+    monkeypatch.setattr(N, "_visited", counted)
+    monkeypatch.setattr(N, "KEYED", 100)
+    got = N.near_duplicates(frame(spark, list(enumerate(texts))), block=16).collect()
+    assert {r.component_id for r in got} == {0}
+    blocks = -(-len(set(texts)) // 16)
+    assert sum(counts) < 8 * blocks < blocks * (blocks - 1) // 2
+
+
+def test_columns_of_any_type_and_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g", {"k": 1}, 5), (1, "a b c d e f g", {"k": 2}, 5), (2, "a b c d e f g", None, 5),
+                                  (3, "quite another text", {}, 5)], "doc_id long, text string, m map<string,int>, `gone 0` int")
+    assert rows(N.one_of_each(docs), "doc_id", "m") == [(1, {"k": 1}), (3, {})]
