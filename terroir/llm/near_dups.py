@@ -198,11 +198,9 @@ def _apart(met: DataFrame, labels: DataFrame) -> DataFrame:
     """key, first, block, low, high: the blocks of the buckets that hold several
     components in several blocks, each with its least and largest label there and
     the bucket's first block."""
-    split = met.join(labels, "rep").groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.min("block").alias("first"), F.max("block").alias("last"))
-    split = written(split.filter("low <> high and first <> last").select("key", "first"), "apart")
-    rows = prefiltered(met.select("key", "rep"), ["key"], key_filter(split, "key")).join(labels, "rep")
-    rows = rows.groupBy("key", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    rows = written(met.join(labels, "rep").groupBy("key", "block").agg(F.min("label").alias("low"), F.max("label").alias("high")), "key-blocks")
+    split = rows.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("block").alias("first"),
+                                    F.max("block").alias("last")).filter("low <> high and first <> last").select("key", "first")
     return rows.join(split, "key")
 
 
