@@ -18,7 +18,10 @@ the corpus (smaller document id, or earlier in the document).
    of all strings around the trigger, and equal strings are neighbours in it.
 4. The removed strings of each document are united and cut out.
 
-Work is dealt by a hash of the trigger to buckets sized by the corpus. Triggers
+Where texts are parsed, a task remembers a bounded number of units that it met
+again: later occurrences are removed there and pass the shuffle dealt by document,
+so that a passage of any number of documents sends about one row a task to its
+bucket. Work is dealt by a hash of the trigger to buckets sized by the corpus. Triggers
 that a sample of documents shows to be frequent are dealt by unit, and their
 entries by string, so no bucket holds a hot passage's rows.
 
@@ -49,6 +52,7 @@ CHUNK = 1 << 18               # starts parsed at once
 BUCKET_BYTES = 4 << 20         # text bytes for each bucket, worked on as a whole
 PARTITION_BYTES = 128 << 20    # text bytes for each task, at most, which takes its buckets one by one
 HOT_UNITS, SAMPLE = 500_000, 20_000
+KNOWN = 1 << 16                # repeated units that a task remembers
 NO_ID = -(1 << 63)
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64))
 _BASE = 0x9E3779B97F4A7C15
@@ -118,17 +122,18 @@ def _unpacked(loc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return loc >> 16, (loc >> 8) & 255, loc & 255
 
 
-def _dealt(bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """One row per bucket: the columns' bytes, side by side."""
+def _dealt(bucket: np.ndarray, columns: list[np.ndarray], gone: bool | None = None) -> pa.RecordBatch:
+    """One row per bucket: the columns' bytes, side by side; `gone` is added if given."""
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
     ends = np.append(cuts[1:], len(bucket))
     cols = [np.ascontiguousarray(c[order]) for c in columns]
+    mark = [] if gone is None else [pa.array(np.full(len(cuts), gone))]
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[cuts].astype(np.int64)), *[pa.array([c[lo:hi].tobytes() for lo, hi in zip(cuts.tolist(), ends.tolist())], pa.binary())
-                                                    for c in cols]],
-        names=["bucket", *[f"c{k}" for k in range(len(cols))]])
+                                                    for c in cols], *mark],
+        names=["bucket", *[f"c{k}" for k in range(len(cols))], *["gone"] * len(mark)])
 
 
 def _gathered(t: pa.Table, kinds: list) -> list[np.ndarray]:
@@ -167,20 +172,70 @@ def _hot_triggers(rows: DataFrame, n: int, hot_units: int) -> np.ndarray:
     return np.sort(hot.view(np.uint64))
 
 
+class Known:
+    """Units that a task has met more than once, with the first place of each:
+    what comes later of them is removed at once and need not meet the rest."""
+
+    def __init__(self, limit: int = KNOWN):
+        self.limit = limit
+        self.held = [np.zeros(0, k) for k in (np.uint64, np.uint64, np.int64, np.int32, np.int64)]
+
+    def sift(self, *new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Masks over trigger, unit, doc, tie, loc of a slice: occurrences behind
+        another one that the task has seen, and those that go on. The same place
+        of a repeated row is neither twice."""
+        n, old = len(new[0]), len(self.held[0])
+        again, first = np.zeros(n, bool), np.ones(n, bool)
+        cols = [np.r_[x, y] for x, y in zip(self.held, new)]
+        if not n:
+            return again, first
+        by_unit = np.argsort(cols[1], kind="stable")
+        unit = cols[1][by_unit]
+        same = unit[1:] == unit[:-1]
+        at = by_unit[np.r_[False, same] | np.r_[same, False]]  # only these may be repeats
+        if not len(at):
+            return again, first
+        trigger, unit, doc, tie, loc = (c[at] for c in cols)
+        order = np.lexsort((at, loc, tie, doc, unit, trigger))
+        at = at[order]
+        key = [x[order] for x in (trigger, unit, doc, tie, loc)]
+        new_unit = np.r_[True, (key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])]
+        head = np.flatnonzero(new_unit)[np.cumsum(new_unit) - 1]
+        at_head = (key[2] == key[2][head]) & (key[3] == key[3][head]) & (key[4] == key[4][head])
+        mine = at >= old
+        # of one place the held row or the first one counts: it went on already, or goes on now
+        again[at[mine & ~at_head] - old] = True
+        first[at[mine & ~(at == at[head])] - old] = False
+        size = np.diff(np.append(np.flatnonzero(new_unit), len(at)))
+        chosen = np.flatnonzero(new_unit)[size > 1][-self.limit:]
+        met = at[chosen]
+        stay = np.ones(old, bool)
+        stay[at[~mine]] = False  # replaced by the unit's head, which may be the same
+        room = max(0, self.limit - len(met))
+        kept = np.flatnonzero(stay)[:room]
+        self.held = [np.r_[c[met], h[kept]] for c, h in zip(cols, self.held)]
+        return again, first
+
+
 def _units(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser, warm = Parser(), shared.value
+        parser, warm, known = Parser(), shared.value, Known()
         for b in slices(batches, "text"):
             u = parser.units(*utf8_bytes(b.column("text")))
             doc, tie = b.column("doc").to_numpy()[u["text"]], b.column("tie").to_numpy()[u["text"]]
-            is_hot = np.isin(u["trigger"], warm)
-            bucket = mix(np.where(is_hot, u["unit"], u["trigger"])) % np.uint64(buckets)
-            yield _dealt(bucket.astype(np.int64), [u["trigger"], u["unit"], doc, tie, _packed(u["start"], u["left"], u["count"])])
+            loc = _packed(u["start"], u["left"], u["count"])
+            again, first = known.sift(u["trigger"], u["unit"], doc, tie.astype(np.int32), loc)
+            if again.any():
+                bucket = mix(doc[again].view(np.uint64)) % np.uint64(buckets)
+                yield _dealt(bucket.astype(np.int64), [u["trigger"][again], u["unit"][again], doc[again], tie[again], loc[again]], True)
+            trigger, unit = u["trigger"][first], u["unit"][first]
+            bucket = mix(np.where(np.isin(trigger, warm), unit, trigger)) % np.uint64(buckets)
+            yield _dealt(bucket.astype(np.int64), [trigger, unit, doc[first], tie[first], loc[first]], False)
 
     return rows.select("doc", "tie", "text").mapInArrow(
-        run, "bucket long, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
+        run, "bucket long, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary, gone boolean")
 
 
 FOUND = "doc long, tie int, loc long, kind int"  # kind 0: entry to tell apart, 1: removed whole, 2: entry of a hot trigger
@@ -190,8 +245,12 @@ def _dictionary(units: DataFrame, partitions: int, hot: np.ndarray) -> DataFrame
     shared = units.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in runs(batches, ["bucket"]):
+        for t in runs(batches, ["gone", "bucket"]):
             trigger, unit, doc, tie, loc = _gathered(t, [np.uint64, np.uint64, np.int64, np.int32, np.int64])
+            if t.column("gone")[0].as_py():
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tie), pa.array(loc), pa.array(np.ones(len(doc), np.int32))],
+                                                 names=["doc", "tie", "loc", "kind"])
+                continue
             order = np.argsort(trigger, kind="stable")
             trigger = trigger[order]
             new = np.r_[True, trigger[1:] != trigger[:-1]]
@@ -220,7 +279,7 @@ def _dictionary(units: DataFrame, partitions: int, hot: np.ndarray) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(tie[keep]), pa.array(loc[keep]),
                                               pa.array(kind[keep].astype(np.int32))], names=["doc", "tie", "loc", "kind"])
 
-    return units.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
+    return units.repartition(partitions, "gone", "bucket").sortWithinPartitions("gone", "bucket").mapInArrow(run, FOUND)
 
 
 def _contexts(rows: DataFrame, buckets: int) -> DataFrame:

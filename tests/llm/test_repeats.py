@@ -116,3 +116,38 @@ def test_query_against_brute_force(spark):
     want = repeats(data)
     got = rows(Q.op8_prefix_free_parsing(spark, sf), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got == sorted(((d, *want[d][:4]) for d, _ in data), key=repr)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 3), st.integers(0, 4), st.integers(0, 1), st.integers(0, 3)),
+                         max_size=12), max_size=5), st.integers(1, 5))
+def test_known_units_keep_every_least_place(parts, limit):
+    known, went, gone = R.Known(limit), [], []
+    for part in parts:
+        cols = [np.array([r[k] for r in part], kind) for k, kind in enumerate((np.uint64, np.uint64, np.int64, np.int32, np.int64))]
+        again, first = known.sift(*cols)
+        assert not (again & first).any() and len(known.held[0]) <= limit
+        went += [r for r, f in zip(part, first) if f]
+        gone += [r for r, g in zip(part, again) if g]
+    rows_ = [r for part in parts for r in part]
+    least = {k: min(r for r in rows_ if r[:2] == k) for k in {r[:2] for r in rows_}}
+    assert set(least.values()) <= set(went)             # the first place always goes on
+    assert set(went) | set(gone) == set(rows_)          # no place is lost
+    assert not set(gone) & set(least.values())          # and the first is never removed
+
+
+def test_hot_passage_sends_few_rows_to_its_bucket(spark):
+    rng = random.Random(11)
+    line = "".join(rng.choice("abcdefghijkl") for _ in range(400))
+    data = [(k, "".join(rng.choice("mnopqrst") for _ in range(50)) + line) for k in range(400)]
+    check(spark, data)
+    docs = frame(spark, data).repartition(4)
+    kept = R.keyed(docs, "doc_id", "text", ["doc_id"])
+    units = R._units(kept, 1, np.zeros(0, np.uint64)).collect()
+    times = {}
+    for r in units:
+        for k in range(0, len(r.c1), 8):
+            times.setdefault(r.c1[k:k + 8], [0, 0])[r.gone] += 1
+    hot = [n for n in times.values() if sum(n) == 400]
+    assert len(hot) >= 2                                # units that lie inside the passage
+    assert all(met <= 4 for met, _ in times.values())   # one row a task, whatever the number of documents
