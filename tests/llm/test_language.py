@@ -1,5 +1,7 @@
 import zlib
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from terroir.llm import language as L
@@ -60,3 +62,64 @@ def test_more_than_64_languages(spark):
     assert f.table.shape == (L.ROWS, 2)
     got = L.predict(docs, f).join(docs, "doc_id").collect()
     assert all(r.lang == r.lang_pred for r in got)
+
+
+def plain_sets(texts, min_share, min_ratio):
+    """{language: its n-grams}, as the method reads, in sets of strings."""
+    rate = {}
+    for lang, text in texts:
+        for w in L.WORD.findall(text.lower()):
+            for n in L.ORDERS:
+                for k in range(len(w) + 3 - n):
+                    of = rate.setdefault((lang, n), {})
+                    gram = f" {w} "[k:k + n]
+                    of[gram] = of.get(gram, 0) + 1
+    share = {(lang, n, g): c / sum(of.values()) for (lang, n), of in rate.items() for g, c in of.items()}
+    top = {}
+    for (_, n, g), s in share.items():
+        if s >= min_share:
+            top[n, g] = max(top.get((n, g), 0), s)
+    sets = {lang: set() for lang, _ in rate}
+    for (lang, n, g), s in share.items():
+        if s >= min_share and s >= min_ratio * top[n, g]:
+            sets[lang].add(g)
+    return sets
+
+
+def test_masks_and_scores_against_plain_sets(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    learned = [(r.lang, r.text) for r in L.labelled_rows(docs).collect()]
+    f = L.fit(L.labelled_rows(docs))
+    sets = plain_sets(learned, 5e-5, 0.25)
+    assert f.languages == sorted(sets)
+    masked, wrong, seen = 0, [0] * len(f.languages), 0
+    for g in set().union(*sets.values()):
+        h = gram_hash(g)
+        mask = f.table[[(int(h & 0xFFFFFFFF) + int((h >> 32) | 1) * j) & (L.ROWS - 1) for j in range(L.HASHES)]]
+        word = mask[0]
+        for row in mask[1:]:
+            word = word & row
+        seen += 1
+        for k, lang in enumerate(f.languages):
+            bit = int(word[k // 64]) >> (k % 64) & 1
+            masked += bit
+            assert bit or g not in sets[lang]        # no language that holds the n-gram is missing
+            wrong[k] += bit and g not in sets[lang]
+    assert all(w <= 5 + 3 * p * seen for w, p in zip(wrong, f.false_positive))
+    for r in Q.op2_language_masks(spark, sf).join(docs.select("doc_id", "text"), "doc_id").collect():
+        of = [f" {w} "[k:k + n] for w in L.WORD.findall((r.text or "").lower()) for n in L.ORDERS for k in range(len(w) + 3 - n)]
+        if not of:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        share = {lang: sum(g in s for g in of) / len(of) for lang, s in sets.items()}
+        assert abs(share[r.lang_pred] - r.score) < 0.01
+        assert share[r.lang_pred] >= max(share.values()) - 0.01
+
+
+def gram_hash(gram):
+    """64-bit hash of one n-gram, as the filters know it."""
+    h = len(gram)
+    for c in gram:
+        h = (h * 0x9E3779B97F4A7C15 + ord(c)) & (1 << 64) - 1
+    return int(L.mix(np.array([h], np.uint64))[0])
