@@ -5,6 +5,7 @@ import zlib
 import corpus_pipeline as C
 import numpy as np
 from brute import holds_item, near, repeats, rows
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from terroir.llm.common import table, written
@@ -58,3 +59,30 @@ def test_run_and_empty_table(spark, tmp_dir):
     for name, stage in C.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() == 0, name
+
+
+def test_chain_with_missing_and_repeated_ids_and_clashing_columns(spark):
+    docs = table(spark, SF, "documents")
+    small = docs.orderBy("doc_id").limit(60)
+    first = small.first()
+    words = "the quick brown fox jumps over a lazy dog near the river bank every single morning before the sun comes up "
+    odd = spark.createDataFrame([
+        (None, words + "for whoever has no number", "en", "x", 0), (None, words + "for whoever has no number", "en", "x", 0),
+        (None, None, None, None, None), (first.doc_id, first.text, first.lang, first.source, first.n_chars),
+        (10**6, "", "en", "x", 0), (10**6 + 1, words * 3000, "en", None, None)], docs.schema)
+    odd = small.unionByName(odd)
+    for name in ("found_id", "gone 0", "rest", "doc", "tie", "spans", "text_hash", "label", "piece", "no text", "at"):
+        odd = odd.withColumn(name, F.lit("own"))
+    odd = written(odd.withColumn("m", F.create_map(F.lit("k"), F.lit(1))), "t")
+    now, columns = odd, odd.columns
+    for name, stage in C.STAGES[:-1]:
+        before, now = now, written(stage(spark, now, SF), "t")
+        assert now.columns == columns, name
+        assert now.filter("m['k'] = 1 and rest = 'own' and `gone 0` = 'own'").count() == now.count() > 0, name
+        assert now.select("doc_id").exceptAll(before.select("doc_id")).isEmpty(), name
+        if name == "near_dedup":
+            assert now.filter("doc_id is null").count() == 2 and now.filter(F.col("doc_id") == first.doc_id).count() == 1
+    assert now.filter("doc_id is null").count() == 2
+    packed = written(C.STAGES[-1][1](spark, now, SF), "t")
+    assert packed.filter("piece = 0").count() == now.count()
+    assert packed.groupBy("sequence_id").sum("length").filter("`sum(length)` > 2048").isEmpty()
