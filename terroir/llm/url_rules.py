@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,8 +80,7 @@ def rule_index(tokens: DataFrame, rules: list[Rule]) -> tuple[list[tuple[str, Ru
     if not wanted:
         return [], list(rules)
     spark = tokens.sparkSession
-    count = {r["token"]: r["n"] for r in tokens.join(spark.createDataFrame([(t,) for t in wanted], "token string"),
-                                                     "token").groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
+    count = {r["token"]: r["n"] for r in tokens.join(spark.createDataFrame(pa.table({"token": wanted})), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
     filed = [(min(r.tokens, key=lambda t: (count.get(t, 0), t)), r) for r in rules if r.tokens]
     return filed, [r for r in rules if not r.tokens]
 
@@ -103,8 +103,11 @@ def judge_urls(pages: DataFrame, rules: list[Rule], patterns: list[Rule] | None
     own = F.array_max(F.array_compact(F.array(*tried))) if tried else F.lit(None).cast(hit)
     found = urls.select("page_id", "host", "path", F.lit(1).alias("rows"), own.cast(hit).alias("hit"))
     if filed:
-        index = spark.createDataFrame([(t, r.text, r.verdict, r.pattern, r.rank) for t, r in filed],
-                                      "token string, rule string, verdict string, pattern string, rank int")
+        # of Arrow data Spark knows the size: few rules are broadcast, many are joined by shuffle
+        index = spark.createDataFrame(pa.table({
+            "token": [t for t, _ in filed], "rule": pa.array([r.text for _, r in filed], pa.string()),
+            "verdict": [r.verdict for _, r in filed], "pattern": [r.pattern for _, r in filed],
+            "rank": pa.array([r.rank for _, r in filed], pa.int32())}))
         fetched = tokens.join(index, "token").filter(F.expr("rlike(concat(host, path), pattern)"))
         found = found.unionByName(fetched.select("page_id", "host", "path", F.lit(0).alias("rows"), best(
             F.col("rank"), F.col("verdict"), F.col("rule")).cast(hit).alias("hit")))
