@@ -203,8 +203,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
     """Encode whole texts, append `end_id` to each, and write the files; returns the manifest."""
     spark = docs.sparkSession
     bounded_batches(spark, 2 * TOKENS_BYTES)
+    # rows that share an id, or have none, are ordered and dealt by their texts: a retry writes the same bytes
+    order = ["doc_id", F.xxhash64("text")]
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
+            .repartitionByRange(*order).sortWithinPartitions(*order))
 
     def write_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = slices(batches, "text", TOKENS_BYTES)

@@ -1,4 +1,5 @@
 import io
+import random
 import zlib
 
 import numpy as np
@@ -85,3 +86,18 @@ def test_query(spark):
         ids = np.array(tok.encode(d.text, add_special_tokens=False).ids + [2], "<u4")
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d.doc_id, start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+def test_rows_of_one_id_have_one_order(spark, tmp_dir):
+    data = [(None, f"text {k} without a number") for k in range(300)] + [(7, f"text {k} of seven") for k in range(300)]
+    got = []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small files are not put together
+    for k in range(2):
+        random.Random(k).shuffle(data)
+        docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3 + k)
+        manifest = B.write_token_files(docs, f"{tmp_dir}/{k}", default_tokenizer())
+        assert manifest.count() > 1  # rows without an id are not all in one file
+        got.append([tuple(r) for r in B.read_documents(spark, f"{tmp_dir}/{k}").orderBy("start").collect()])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r[1:] for r in got[0]] == [r[1:] for r in got[1]] and len(got[0]) == 600
+    assert [r[0] for r in got[0]] == [None] * 300 + [7] * 300
