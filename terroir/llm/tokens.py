@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from terroir.llm.common import ragged
 
 CACHE_CHUNKS = 900_000  # chunks a worker remembers before it forgets the rare ones
+JOINED = 500            # chunks for one call of the library
 CACHE_CHARS = 64        # longer chunks are encoded each time
 
 
@@ -28,6 +29,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok, self.words = Tokenizer.from_file(path), words
+        added = self.tok.get_added_tokens_decoder()
+        # a special token that is cut out before anything else is done to a text
+        marks = [k for k, t in added.items() if t.special and not (t.normalized or t.single_word or t.lstrip or t.rstrip)]
+        self.mark = min(marks, default=None)
+        self.firsts = {t.content[0] for t in added.values() if t.content}
         self.reset()
 
     def reset(self) -> None:
@@ -51,6 +57,20 @@ class Encoder:
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, number of each). A call of the library costs more than
+        a chunk does, so many go in one text, with a special token between them;
+        chunks that may hold part of such a token go alone."""
+        if self.mark is None or any(c in k for k in chunks for c in self.firsts):
+            got = self.library(chunks)
+            n = np.fromiter(map(len, got), np.int64, len(got))
+            return np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n
+        between = self.tok.id_to_token(self.mark)
+        texts = [between.join(chunks[lo:lo + JOINED]) for lo in range(0, len(chunks), JOINED)]
+        ids = np.concatenate([np.array([*x, self.mark], np.uint32) for x in self.library(texts)])
+        is_mark = ids == self.mark
+        return ids[~is_mark], np.diff(np.flatnonzero(is_mark), prepend=-1) - 1
+
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, n+1 offsets). A null text has no ids."""
         col = pc.fill_null(col, "")
@@ -77,15 +97,15 @@ class Encoder:
         if len(self.at) > CACHE_CHUNKS:
             self.shrink()
         new = list(dict.fromkeys(k for k in keys if k not in self.at))
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
-            got = self.library(part)
-            n = np.fromiter(map(len, got), np.int64, len(got))
+        odd = [k for k in new if any(c in k for c in self.firsts)]
+        plain = [k for k in new if not any(c in k for c in self.firsts)] if odd else new
+        for part in (x[lo:lo + 20_000] for x in (plain, odd) for lo in range(0, len(x), 20_000)):
+            ids, n = self.chunk_ids(part)
             first, base = int(self.off[-1]), len(self.off) - 1
             need = first + int(n.sum())
             if need > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), np.uint32)])
-            self.flat[first:need] = np.fromiter(chain.from_iterable(got), np.uint32, need - first)
+            self.flat[first:need] = ids
             self.off = np.concatenate([self.off, first + np.cumsum(n)])
             self.at.update(zip(part, range(base, base + len(part))))
         self.hits = np.concatenate([self.hits, np.zeros(len(self.off) - 1 - len(self.hits), np.uint8)])

@@ -38,3 +38,15 @@ def test_forgets_rare_chunks(monkeypatch):
             e.ids for e in enc.tok.encode_batch(texts, add_special_tokens=False)]
     assert "common" in enc.at and len(enc.at) < 130
     assert isinstance(ids, np.ndarray)
+
+
+def test_chunks_in_one_call_are_as_alone():
+    e = Encoder(default_tokenizer())
+    assert e.mark is not None
+    chunks = ["plain", "̸x", "é", "e", "́", "日本", "a" * 300, "12", "it's", "'s", "|>", "\x00", "‍", "ſ", "İ"] * 80
+    ids, n = e.chunk_ids(chunks)
+    alone = e.library(chunks)
+    assert n.tolist() == [len(x) for x in alone] and ids.tolist() == [i for x in alone for i in x]
+    odd = [*chunks, "<|endoftext|>", "<", "a<|startoftext|>b"]
+    ids, n = e.chunk_ids(odd)
+    assert ids.tolist() == [i for x in e.library(odd) for i in x] and len(n) == len(odd)
