@@ -69,6 +69,7 @@ def cut_pieces(docs: DataFrame, length: int, tokenizer: str, end_id: int | None
                 cols.append(pa.ListArray.from_arrays(pa.array(np.append(at, off[-1]), pa.int32()), pa.array(ids.astype(np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
+        enc.rest()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(cut, PIECES + (", ids array<int>" if with_ids else ""))

@@ -224,6 +224,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
                     ids, counts = np.insert(ids, off[1:], end_id), counts + 1
                 w.add(b.column("doc_id").to_pylist(), counts, ids)
             got.append(w.close())
+            enc.rest()
 
         write_once(path, name, write)
         yield pa.RecordBatch.from_pylist([{"part": partition_number(), "file": name, "n_docs": got[0][0],

@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from terroir.llm.common import ragged
+from terroir.llm.common import give_back, ragged
 
 CACHE_CHUNKS = 900_000  # chunks a worker remembers before it forgets the rare ones
+RESTING_CHUNKS = 100_000  # of them, those it keeps between tasks: the next task may be another operator's
 JOINED = 500            # chunks for one call of the library
 CACHE_CHARS = 64        # longer chunks are encoded each time
 
@@ -42,11 +43,17 @@ class Encoder:
         self.off = np.zeros(1, np.int64)
         self.hits = np.zeros(0, np.uint8)
 
-    def shrink(self) -> None:
-        """Forget the chunks that only one batch has asked for."""
-        kept = [(k, i) for k, i in self.at.items() if self.hits[i] > 1]
-        if len(kept) > CACHE_CHUNKS // 2:
-            kept = []
+    def rest(self) -> None:
+        """The end of a task: workers live on, and memory held here is missing there."""
+        if len(self.at) > RESTING_CHUNKS:
+            self.shrink(RESTING_CHUNKS)
+            give_back()
+
+    def shrink(self, most: int = CACHE_CHUNKS // 2) -> None:
+        """Forget the chunks that only one batch has asked for; of too many others keep those most asked for."""
+        asked = np.bincount(self.hits[np.fromiter(self.at.values(), np.int64, len(self.at))], minlength=256)
+        least = max(2, 1 + int(np.flatnonzero(np.cumsum(asked[::-1])[::-1] > most).max(initial=0)))
+        kept = [(k, i) for k, i in self.at.items() if self.hits[i] >= least]
         old = np.fromiter((i for _, i in kept), np.int64, len(kept))
         lens = np.diff(self.off)[old]
         flat = self.flat[ragged(self.off[old], lens)]

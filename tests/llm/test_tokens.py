@@ -50,3 +50,22 @@ def test_chunks_in_one_call_are_as_alone():
     odd = [*chunks, "<|endoftext|>", "<", "a<|startoftext|>b"]
     ids, n = e.chunk_ids(odd)
     assert ids.tolist() == [i for x in e.library(odd) for i in x] and len(n) == len(odd)
+
+
+def test_a_resting_encoder_keeps_few_chunks(monkeypatch):
+    """Workers live on after a task: the chunks most asked for stay, the ids are the same afterwards."""
+    from terroir.llm import tokens
+    monkeypatch.setattr(tokens, "RESTING_CHUNKS", 50)
+    enc = Encoder(default_tokenizer())
+    rare, often = " ".join(f"rare{k}x" for k in range(900)), " ".join(f"often{k}" for k in range(40))
+    want = enc.encode(pa.array([rare, often]))[0].tolist()
+    for _ in range(3):
+        enc.encode(pa.array([often]))
+    assert len(enc.at) > 900
+    enc.rest()
+    assert set(enc.at) == set(often.split()) and len(enc.flat) < 1000
+    assert enc.encode(pa.array([rare, often]))[0].tolist() == want
+    for _ in range(2):  # all of them more than once: too many to keep
+        enc.encode(pa.array([rare]))
+    enc.rest()
+    assert len(enc.at) <= 50
