@@ -12,8 +12,8 @@ there: forests are never shipped anywhere to score.
 Two phases, by the size of a node:
 
 * Nodes of more than `group_rows` rows are split in Spark: one aggregation per
-  level by (fit, tree, node, feature, bin), a window over the bins, a join that
-  sends the rows to the children. Bins are a feature's distinct values where it
+  level by (fit, tree, node, feature, bin), a window over the bins, a pass that
+  sends the rows to the children. A row is kept once for all trees. Bins are a feature's distinct values where it
   has at most `bins`, else its quantiles; a threshold lies half way between the
   node's own values on either side.
 * Smaller nodes, whole trees mostly, go to one task each (small trees several
@@ -39,9 +39,12 @@ from terroir.session import scratch_path
 
 GROUP_ROWS = 1 << 16     # rows of a node that one task grows
 UNIT_CELLS = 1_500_000   # rows x features x trees that one task grows at a time
+CELLS = 100_000          # rows x trees that are grown in the same array operations
 BINS = 256
 TIE = 1e-11              # share of a split's score that counts as rounding
+CELL_BYTES = 64 << 20    # sums by node, feature and bin that a task holds
 NODE = ["fit", "tree", "node"]
+SMALL, LEAF, SPLIT = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -70,60 +73,42 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- small nodes
 
-def _best_splits(x: np.ndarray, y: np.ndarray, w: np.ndarray, s: np.ndarray, order: np.ndarray, starts: np.ndarray):
-    """Per segment of `order` (one row a feature, each sorted by value within
-    the segments): whether it splits, feature, threshold, gain, weight, label sum."""
-    m = order.shape[1]
-    lens = np.diff(np.append(starts, m))
-    segment = np.repeat(np.arange(len(starts)), lens)
-    some = y[order[0]]
-    weight, labels = np.add.reduceat(w[order[0]], starts), np.add.reduceat(s[order[0]], starts)
-    impure = np.minimum.reduceat(some, starts) < np.maximum.reduceat(some, starts)
-    score = np.full(order.shape, -np.inf)
-    may = impure[segment[:-1]] & (segment[:-1] == segment[1:])
+def _best_splits(x: np.ndarray, w: np.ndarray, s: np.ndarray, order: list[np.ndarray], starts: np.ndarray, weight: np.ndarray,
+                 labels: np.ndarray):
+    """Per segment of `order` (one array a feature, each sorted by value within
+    the segments): whether it splits, feature, threshold, gain."""
+    m = len(order[0])
+    segment = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, m)))
+    same = segment[:-1] == segment[1:]
+    top = np.full((len(order), len(starts)), -np.inf)
+    cuts = []
     for f, at in enumerate(order):
-        value, w_at, s_at = x[f][at], w[at], s[at]
+        value = x[f].take(at)
+        pos = np.flatnonzero((value[:-1] < value[1:]) & same)
+        g = segment.take(pos)
+        w_at, s_at = w.take(at), s.take(at)
         cum_w, cum_s = np.cumsum(w_at), np.cumsum(s_at)
-        pos = np.flatnonzero(may & (value[:-1] < value[1:]))
-        g = segment[pos]
-        wl, sl = cum_w[pos] - (cum_w[starts] - w_at[starts])[g], cum_s[pos] - (cum_s[starts] - s_at[starts])[g]
-        score[f, pos] = sl * sl / wl + (labels[g] - sl) ** 2 / (weight[g] - wl)
-    top = np.maximum.reduceat(score, starts, axis=1)
+        wl = cum_w.take(pos) - (cum_w.take(starts) - w_at.take(starts)).take(g)
+        sl = cum_s.take(pos) - (cum_s.take(starts) - s_at.take(starts)).take(g)
+        sr = labels.take(g) - sl
+        score = sl * sl / wl + sr * sr / (weight.take(g) - wl)
+        heads = np.flatnonzero(np.diff(g, prepend=-1))
+        if len(heads):
+            top[f, g[heads]] = np.maximum.reduceat(score, heads)
+        cuts.append((pos, g, score))
     best = top.max(axis=0)
     splits = best > -np.inf
     enough = np.where(splits, best - TIE * np.abs(best), np.inf)   # equal but for rounding: the first feature, the least value
     feature = np.argmax(top >= enough, axis=0)
-    here = score[feature[segment], np.arange(m)] >= enough[segment]
-    first = np.minimum.reduceat(np.where(here, np.arange(m), m), starts)
-    lo, hi = first[splits], np.minimum(first[splits] + 1, m - 1)
-    f = feature[splits]
-    low, high = x[f, order[f, lo]], x[f, order[f, hi]]
-    middle = low / 2 + high / 2
     threshold = np.zeros(len(starts))
-    threshold[splits] = np.where((middle < low) | (middle >= high), low, middle)
+    for f, (pos, g, score) in enumerate(cuts):
+        near = np.flatnonzero(score >= np.where(feature == f, enough, np.inf).take(g))
+        first = near[np.flatnonzero(np.diff(g[near], prepend=-1))]
+        low, high = x[f][order[f][pos[first]]], x[f][order[f][pos[first] + 1]]
+        middle = low / 2 + high / 2
+        threshold[g[first]] = np.where((middle < low) | (middle >= high), low, middle)
     gain = np.where(splits, best - labels * labels / weight, 0.0)
-    return splits, feature, threshold, np.maximum(gain, 0.0), weight, labels
-
-
-def _children(order: np.ndarray, starts: np.ndarray, splits: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """`order` with each splitting segment parted in two, in the same order
-    inside, and the others gone; and the new starts."""
-    lens = np.diff(np.append(starts, order.shape[1]))
-    keep = np.repeat(splits, lens)
-    order = order[:, keep]
-    lens = lens[splits]
-    begin = np.concatenate([[0], np.cumsum(lens)[:-1]]).astype(np.int64)
-    segment = np.repeat(np.arange(len(lens)), lens)
-    lefts = np.add.reduceat(left[order[0]].astype(np.int64), begin)
-    place = np.arange(order.shape[1])
-    out = np.empty_like(order)
-    for f, at in enumerate(order):
-        is_left = left[at]
-        cum = np.cumsum(is_left)
-        cum = cum - (cum[begin] - is_left[begin])[segment]   # lefts up to here within the segment
-        local = place - begin[segment]
-        out[f, begin[segment] + np.where(is_left, cum - 1, lefts[segment] + local - cum)] = at
-    return out, np.stack([begin, begin + lefts], axis=1).ravel()
+    return splits, feature, threshold, np.maximum(gain, 0.0)
 
 
 def grow_trees(x: np.ndarray, y: np.ndarray, counts: np.ndarray, max_depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,44 +117,80 @@ def grow_trees(x: np.ndarray, y: np.ndarray, counts: np.ndarray, max_depth: int)
     drawn row gives NaN."""
     trees, rows = counts.shape
     out, gains = np.full((trees, rows), np.nan), np.zeros((trees, len(x)))
+    ranked = [np.argsort(v, kind="stable") for v in x]
+    step = max(1, CELLS // max(1, rows))  # so many trees at a time as caches hold
+    for lo in range(0, trees, step):
+        _grow_some(x, y, counts[lo:lo + step], max_depth, ranked, out[lo:lo + step], gains[lo:lo + step])
+    return out, gains
+
+
+def _grow_some(x: np.ndarray, y: np.ndarray, counts: np.ndarray, max_depth: int, ranked: list[np.ndarray], out: np.ndarray,
+               gains: np.ndarray) -> None:
     tree, row = np.nonzero(counts)
     if not len(tree):
-        return out, gains
+        return
     xi, yi, wi = x[:, row], y[row], counts[tree, row].astype(float)
     si = wi * yi
-    order = np.stack([np.lexsort((v, tree)).astype(np.int32) for v in xi])
+    cell = np.zeros(counts.shape, np.int64)
+    cell[tree, row] = np.arange(len(tree))
+    order = []
+    for by in ranked:
+        t, place = np.nonzero(counts[:, by])
+        order.append(cell[t, by[place]])
     starts = np.flatnonzero(np.diff(tree, prepend=-1))
     owner = tree[starts]                       # tree of each open node
     # all rows outside a tree's sample follow its splits
-    rest_tree, rest_row = np.nonzero((counts == 0) & np.isin(np.arange(trees), owner)[:, None])
-    node_of = np.full(trees, -1)
+    rest_tree, rest_row = np.nonzero((counts == 0) & np.isin(np.arange(len(counts)), owner)[:, None])
+    node_of = np.full(len(counts), -1)
     node_of[owner] = np.arange(len(owner))
     rest_node = node_of[rest_tree]
     for depth in range(max_depth + 1):
-        splits, feature, threshold, gain, weight, labels = _best_splits(xi, yi, wi, si, order, starts)
+        # pure nodes end before anything else is done to them
+        first = order[0]
+        labels_at = yi[first]
+        weight, labels = np.add.reduceat(wi[first], starts), np.add.reduceat(si[first], starts)
+        open_ = np.minimum.reduceat(labels_at, starts) < np.maximum.reduceat(labels_at, starts)
         if depth == max_depth:
-            splits[:] = False
-        value = labels / weight
-        np.add.at(gains, (owner[splits], feature[splits]), gain[splits])
-        lens = np.diff(np.append(starts, order.shape[1]))
-        segment = np.repeat(np.arange(len(starts)), lens)
-        done = order[0][~splits[segment]]
-        out[tree[done], row[done]] = value[segment[~splits[segment]]]
-        ends = ~splits[rest_node]
-        out[rest_tree[ends], rest_row[ends]] = value[rest_node[ends]]
-        if not splits.any():
-            break
-        first_child = np.cumsum(splits) * 2 - 2
-        go = ~ends
-        rest_tree, rest_row, rest_node = rest_tree[go], rest_row[go], rest_node[go]
+            open_[:] = False
+        value, lens = labels / weight, np.diff(np.append(starts, len(first)))
+        ends = ~open_
+        if open_.any():
+            if ends.any():
+                alive = np.zeros(len(tree), bool)
+                alive[first[np.repeat(open_, lens)]] = True
+                order = [at[alive.take(at)] for at in order]
+            begin = np.cumsum(lens[open_]) - lens[open_]
+            splits, feature, threshold, gain = _best_splits(xi, wi, si, order, begin, weight[open_], labels[open_])
+            ends[open_] = ~splits
+        done = np.repeat(ends, lens)
+        at = first[done]
+        out[tree[at], row[at]] = np.repeat(value, lens)[done]
+        over = ends[rest_node]
+        out[rest_tree[over], rest_row[over]] = value[rest_node[over]]
+        if ends.all():
+            return
+        np.add.at(gains, (owner[open_][splits], feature[splits]), gain[splits])
+        number = np.full(len(starts), -1)
+        number[~ends] = np.arange(int((~ends).sum()))
+        feature, threshold, lens = feature[splits], threshold[splits], lens[~ends]
+        rest_tree, rest_row, rest_node = rest_tree[~over], rest_row[~over], number[rest_node[~over]]
         right = ~(x[feature[rest_node], rest_row] <= threshold[rest_node])
-        rest_node = first_child[rest_node] + right
-        left = np.zeros(len(tree), bool)
-        at = order[0]
-        left[at] = xi[feature[segment], at] <= threshold[segment]
-        owner = np.repeat(owner[splits], 2)
-        order, starts = _children(order, starts, splits, left)
-    return out, gains
+        rest_node = rest_node + right * len(lens)
+        # the left children of all nodes, then the right ones, rows inside in the same order
+        goes = first[np.repeat(number >= 0, np.diff(np.append(starts, len(first))))]
+        segment = np.repeat(np.arange(len(lens)), lens)
+        is_left = xi[feature[segment], goes] <= threshold[segment]
+        side = np.zeros(len(tree), np.int8)
+        side[goes] = np.where(is_left, 1, 2)
+        parted = []
+        for at in order:
+            s = side.take(at)
+            parted.append(np.concatenate([at[s == 1], at[s == 2]]))
+        order = parted
+        lefts = np.bincount(segment[is_left], minlength=len(lens))
+        sizes = np.concatenate([lefts, lens - lefts])
+        starts = np.cumsum(sizes) - sizes
+        owner = np.tile(owner[~ends], 2)
 
 
 def _unit(max_depth: int, levels: bool):
@@ -225,39 +246,194 @@ def _cuts(rows: DataFrame, features: int, bins: int) -> list[list[float]]:
     return out
 
 
-def _split_large(inst: DataFrame, features: int, cuts: list[list[float]], max_depth: int, group_rows: int):
-    """Splits nodes of more than `group_rows` rows, level after level. Returns
-    (rows whose nodes are small, finished leaves, gains)."""
-    def bin_of(value: Column, ends: list[float]) -> Column:
-        return F.size(F.filter(F.lit(ends), lambda v: v < value)) if ends else F.lit(0)
+def _matrix(b: pa.RecordBatch, name: str) -> np.ndarray:
+    """A column of arrays of one length: (rows, length)."""
+    return b.column(name).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+
+
+def _packed(b: pa.RecordBatch, name: str, kind: type) -> np.ndarray:
+    """A column of byte strings of one length as numbers: (rows, trees)."""
+    col = b.column(name)
+    off = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1]
+    return np.frombuffer(col.buffers()[2], np.uint8)[off[0]:off[-1]].view(kind).reshape(len(col), -1)
+
+
+def _pack(values: np.ndarray) -> pa.Array:
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)
+    off = np.arange(0, raw.size + 1, raw.shape[1], dtype=np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(off), pa.py_buffer(raw)])
+
+
+def _at_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts and nodes of all trees as one byte string each: Spark moves them as they are."""
+    for b in batches:
+        if b.num_rows:
+            w = _matrix(b, "w").astype(np.uint8)
+            new = {"w": _pack(w), "node": _pack(np.ones(w.shape, np.int64))}
+            yield pa.RecordBatch.from_arrays([new.get(c, b.column(c)) for c in b.schema.names], names=b.schema.names)
+
+
+def _waiting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each small node that a row waits in."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        node, w = _packed(b, "node", np.int64), _packed(b, "w", np.uint8)
+        for tree in range(node.shape[1]):
+            at = np.flatnonzero(node[:, tree] < 0)
+            if not len(at):
+                continue
+            some = b.take(pa.array(at))
+            count = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32)), pa.array(w[at, tree].astype(np.int32)))
+            new = {"tree": pa.array(np.full(len(at), tree, np.int32)), "node": pa.array(-node[at, tree]), "w": count}
+            names = ["fit", "tree", "node", "row", "h", "train", "y", "z", "x", "w"]
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else some.column(c) for c in names], names=names)
+
+
+def _open_nodes(b: pa.RecordBatch):
+    """(fit, tree, rows in open nodes, their nodes) of a batch."""
+    node, fits = _packed(b, "node", np.int64), b.column("fit").to_numpy()
+    for fit in np.unique(fits).tolist():
+        rows = np.flatnonzero(fits == fit)
+        for tree in range(node.shape[1]):
+            at = rows[node[rows, tree] > 0]
+            if len(at):
+                yield fit, tree, at, node[at, tree]
+
+
+def _node_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, weight, label sum and range of the drawn labels of each open node, batch by batch."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        w, z, got = _packed(b, "w", np.uint8), b.column("z").to_numpy(), []
+        for fit, tree, at, node in _open_nodes(b):
+            ids, slot = np.unique(node, return_inverse=True)
+            weight, label = w[at, tree].astype(float), z[at]
+            drawn = weight > 0
+            low, high = np.full(len(ids), np.nan), np.full(len(ids), np.nan)
+            np.fmin.at(low, slot[drawn], label[drawn])
+            np.fmax.at(high, slot[drawn], label[drawn])
+            got.append((np.full(len(ids), fit, np.int32), np.full(len(ids), tree, np.int32), ids, np.bincount(slot, minlength=len(ids)),
+                        np.bincount(slot, weight, len(ids)), np.bincount(slot, np.where(drawn, weight * label, 0.0), len(ids)), low, high))
+        if got:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*got)], names=NODE + ["n", "weight", "labels", "low", "high"])
+
+
+def _cell_sums(shared, cuts: list[list[float]]):
+    """Weight, label sum, least and largest value of the drawn rows by node,
+    feature and bin. A task adds its batches up where its cells fit in
+    `CELL_BYTES`, else each batch is sent as it is."""
+    size = max(map(len, cuts)) + 1
+    ends = [np.array(c, float) for c in cuts]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ids, sums = shared.value, {}
+        whole = sum(len(i) for i in open_ids.values()) * size * len(ends) * 32 <= CELL_BYTES
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for (fit, tree, f), (weight, label, low, high) in sums.items():
+                at = np.flatnonzero(weight)
+                slot, n = at // size, len(at)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(n, fit, np.int32)), pa.array(np.full(n, tree, np.int32)), pa.array(open_ids[fit, tree][slot]),
+                    pa.array(np.full(n, f, np.int32)), pa.array((at % size).astype(np.int32)), pa.array(weight[at]), pa.array(label[at]),
+                    pa.array(low[at]), pa.array(high[at])], names=NODE + ["feature", "bin", "w", "s", "low", "high"])
+            sums.clear()
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, w, z = np.ascontiguousarray(_matrix(b, "x").T), _packed(b, "w", np.uint8), b.column("z").to_numpy()
+            bins = [np.searchsorted(c, v) for c, v in zip(ends, x)]  # a missing value comes after all
+            for fit, tree, at, node in _open_nodes(b):
+                ids = open_ids.get((fit, tree))
+                if ids is None:
+                    continue
+                slot = np.minimum(np.searchsorted(ids, node), len(ids) - 1)
+                here = (w[at, tree] > 0) & (ids[slot] == node)
+                at, slot = at[here], slot[here]
+                weight = w[at, tree].astype(float)
+                label = weight * z[at]
+                for f, v in enumerate(x):
+                    cell, v = slot * size + bins[f][at], v[at]
+                    if (fit, tree, f) not in sums:
+                        n = len(ids) * size
+                        sums[fit, tree, f] = np.zeros(n), np.zeros(n), np.full(n, np.nan), np.full(n, np.nan)
+                    of_w, of_s, low, high = sums[fit, tree, f]
+                    of_w += np.bincount(cell, weight, len(of_w))
+                    of_s += np.bincount(cell, label, len(of_s))
+                    np.fmin.at(low, cell, v)
+                    np.fmax.at(high, cell, v)
+            if not whole:
+                yield from sent()
+        yield from sent()
+    return run
+
+
+def _sent_down(shared):
+    """A level's rows with their nodes replaced: small ones waiting (negative),
+    leaves added to the row's total (0), others by the child."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fates = shared.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            node, x = _packed(b, "node", np.int64).copy(), _matrix(b, "x")
+            total, trees = b.column("total").to_numpy().copy(), b.column("trees").to_numpy().copy()
+            for fit, tree, at, now in _open_nodes(b):
+                ids, fate, feature, threshold, value = fates[fit, tree]
+                k = np.searchsorted(ids, now)
+                right = ~(x[at, feature[k]] <= threshold[k])
+                node[at, tree] = np.where(fate[k] == SMALL, -now, np.where(fate[k] == LEAF, 0, 2 * now + right))
+                known = (fate[k] == LEAF) & ~np.isnan(value[k])
+                total[at[known]] += value[k[known]]
+                trees[at[known]] += 1
+            new = {"node": _pack(node), "total": pa.array(total), "trees": pa.array(trees)}
+            yield pa.RecordBatch.from_arrays([new.get(c, b.column(c)) for c in b.schema.names], names=b.schema.names)
+    return run
+
 
-    bins = F.array(*[bin_of(F.col("x")[i], c) for i, c in enumerate(cuts)])
-    now = _written(inst.withColumn("bin", bins), "forest-level")
-    small, leaves, gains = [], [], []
+def _split_large(rows: DataFrame, w: Column, cuts: list[list[float]], max_depth: int, group_rows: int):
+    """Splits nodes of more than `group_rows` rows, level after level. A row is
+    kept once, with its counts and its node in every tree; rows are neither
+    multiplied by the trees nor shuffled here, only sums by node and bin are. Of
+    each node of a level one line reaches the driver, which every task gets.
+    Returns (rows by tree whose nodes are small, rows' sums of finished leaves, gains)."""
+    spark = rows.sparkSession
+    # few bytes for much work: as many parts as the session has, whatever the size
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ready = rows.repartition(parts, "fit", "row").select(
+        "fit", "row", "h", "train", "y", "z", "x", w.alias("w"), F.lit(b"").alias("node"), F.lit(0.0).alias("total"),
+        F.lit(0).cast("long").alias("trees"))
+    state = "fit int, row long, h long, train boolean, y double, z double, x array<double>, w binary, node binary, total double, trees long"
+    now = _written(ready.mapInArrow(_at_roots, state), "forest-level")
+    gains = []
     for depth in range(max_depth + 1):
-        drawn = F.when(F.col("w") > 0, F.col("z"))
-        nodes = now.groupBy(*NODE).agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("weight"),
-                                       F.sum(F.when(F.col("w") > 0, F.col("w") * F.col("z"))).alias("labels"),
-                                       (F.min(drawn) < F.max(drawn)).alias("impure"))
-        fate = (F.when(F.col("n") <= group_rows, "small")
-                .when(F.coalesce("impure", F.lit(False)) & F.lit(depth < max_depth), "split").otherwise("leaf"))
+        nodes = now.select("fit", "node", "w", "z").mapInArrow(
+            _node_sums, "fit int, tree int, node long, n long, weight double, labels double, low double, high double").groupBy(*NODE).agg(
+            F.sum("n").alias("n"), F.sum("weight").alias("weight"), F.sum("labels").alias("labels"),
+            F.min("low").alias("low"), F.max(F.when(~F.isnan("high"), F.col("high"))).alias("high"))
+        # a range without drawn rows is NaN to null: not impure
+        fate = (F.when(F.col("n") <= group_rows, SMALL)
+                .when(F.coalesce(F.col("low") < F.col("high"), F.lit(False)) & F.lit(depth < max_depth), SPLIT).otherwise(LEAF))
         nodes = _written(nodes.withColumn("fate", fate), "forest-nodes")
-        kinds = {r["fate"] for r in nodes.select("fate").distinct().collect()}
-        if "small" in kinds:
-            small.append(now.join(nodes.filter("fate = 'small'").select(*NODE), NODE, "left_semi"))
-        splits = None
-        if "split" in kinds:
-            big = now.join(nodes.filter("fate = 'split'").select(*NODE), NODE, "left_semi").filter("w > 0")
-            cells = big.select(*NODE, "w", "z", F.posexplode(F.arrays_zip(F.col("bin").alias("bin"), F.col("x").alias("x"))).alias("feature", "cell"))
-            table = cells.groupBy(*NODE, "feature", F.col("cell.bin").alias("bin")).agg(
-                F.sum("w").alias("w"), F.sum(F.col("w") * F.col("z")).alias("s"),
-                F.min("cell.x").alias("low"), F.max("cell.x").alias("high"))
+        every = nodes.select(*NODE, "fate", F.try_divide("labels", "weight").alias("value")).toPandas().sort_values("node")
+        if every.empty:
+            break
+        found = {}
+        split = every[every["fate"] == SPLIT]
+        if len(split):
+            open_ids = spark.sparkContext.broadcast({k: g["node"].to_numpy() for k, g in split.groupby(["fit", "tree"])})
+            table = now.select("fit", "node", "w", "z", "x").mapInArrow(
+                _cell_sums(open_ids, cuts), "fit int, tree int, node long, feature int, bin int, w double, s double, low double, high double"
+            ).groupBy(*NODE, "feature", "bin").agg(F.sum("w").alias("w"), F.sum("s").alias("s"), F.min("low").alias("low"), F.max("high").alias("high"))
             along = Window.partitionBy(*NODE, "feature").orderBy("bin")
             to_here = along.rowsBetween(Window.unboundedPreceding, 0)
             scan = table.select(*NODE, "feature", "bin", "high", F.lead("low").over(along).alias("next"),
                                 F.sum("w").over(to_here).alias("wl"), F.sum("s").over(to_here).alias("sl"))
             scored = (scan.filter("next is not null and not isnan(next)")
-                      .join(nodes.filter("fate = 'split'").select(*NODE, "weight", "labels"), NODE)
+                      .join(nodes.filter(F.col("fate") == SPLIT).select(*NODE, "weight", "labels"), NODE)
                       .withColumn("score", F.expr("sl * sl / wl + (labels - sl) * (labels - sl) / (weight - wl)")))
             middle = F.expr("high / 2 + next / 2")
             threshold = F.when((middle < F.col("high")) | (middle >= F.col("next")), F.col("high")).otherwise(middle)
@@ -268,17 +444,19 @@ def _split_large(inst: DataFrame, features: int, cuts: list[list[float]], max_de
                 *NODE, "best.feature", "best.threshold",
                 F.greatest(F.expr("best.score - labels * labels / weight"), F.lit(0.0)).alias("gain")), "forest-splits")
             gains.append(splits.select("fit", "tree", "feature", "gain"))
-        ended = nodes.filter("fate <> 'small'")
-        if splits is not None:
-            ended = ended.join(splits.select(*NODE), NODE, "left_anti")
-        value = F.try_divide("labels", "weight")
-        leaves.append(now.join(ended.select(*NODE, value.alias("total")), NODE).select("fit", "row", "train", "y", "total"))
-        if splits is None:
+            found = {(r["fit"], r["tree"], r["node"]): (r["feature"], r["threshold"]) for r in splits.collect()}
+        fates = {}
+        for key, g in every.groupby(["fit", "tree"]):
+            how = [found.get((*key, k)) for k in g["node"].tolist()]
+            kind = g["fate"].to_numpy(copy=True)
+            kind[(kind == SPLIT) & np.array([h is None for h in how])] = LEAF  # no two values to part
+            fates[key] = (g["node"].to_numpy(), kind, np.array([h[0] if h else 0 for h in how]), np.array([h[1] if h else 0.0 for h in how]),
+                          g["value"].to_numpy(float))
+        now = _written(now.mapInArrow(_sent_down(spark.sparkContext.broadcast(fates)), now.schema), "forest-level")
+        if not found:
             break
-        right = ~F.coalesce(F.get("x", "feature") <= F.col("threshold"), F.lit(False))
-        now = _written(now.join(splits.drop("gain"), NODE).withColumn("node", F.col("node") * 2 + right.cast("long"))
-                       .select(*now.columns), "forest-level")
-    return small, leaves, gains
+    small = now.mapInArrow(_waiting, "fit int, tree int, node long, row long, h long, train boolean, y double, z double, x array<double>, w array<int>")
+    return small, now.select("fit", "row", "train", "y", "total", "trees"), gains
 
 
 # ---------------------------------------------------------------- all of it
@@ -322,15 +500,11 @@ def grow(rows: DataFrame, features: int, trees: int = 100, max_depth: int = 30,
     large = sorted(fit for fit, n in sizes.items() if n > group_rows)
     if large:
         some = rows.filter(F.col("fit").isin(large))
-        inst = some.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).select(
-            "fit", "tree", F.lit(1).cast("long").alias("node"), "row", "h", "train", "y", "z", "x", count(F.col("tree")).cast("int").alias("w"))
-        small, leaves, split_gains = _split_large(inst, features, _cuts(some, features, bins), max_depth, group_rows)
-        for part in small:
-            units = part.select(*NODE, "row", "h", "train", "y", "z", "x", F.array("w").alias("w")).repartition(8 * partitions, *NODE)
-            outputs.append(units.groupBy(*NODE).applyInArrow(_unit(max_depth, True), LEAVES))
+        w = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda k: count(k).cast("int"))
+        small, leaves, split_gains = _split_large(some, w, _cuts(some, features, bins), max_depth, group_rows)
+        outputs.append(small.repartition(8 * partitions, *NODE).groupBy(*NODE).applyInArrow(_unit(max_depth, True), LEAVES))
         empty = [F.lit(None).cast(t).alias(c) for c, t in (("tree", "int"), ("feature", "int"), ("gain", "double"))]
-        outputs += [p.select("fit", "row", "train", "y", F.coalesce("total", F.lit(0.0)).alias("total"),
-                             F.col("total").isNotNull().cast("long").alias("trees"), *empty) for p in leaves]
+        outputs.append(leaves.select("fit", "row", "train", "y", "total", "trees", *empty))
         gains += split_gains
 
     if not outputs:
@@ -340,8 +514,9 @@ def grow(rows: DataFrame, features: int, trees: int = 100, max_depth: int = 30,
     out = outputs[0]
     for more in outputs[1:]:
         out = out.unionByName(more)
-    predictions = out.filter("row is not null").groupBy("fit", "row").agg(
-        F.first("train").alias("train"), F.first("y").alias("y"),
+    # grouped by `train` too: whoever reads the scored rows alone has the others dropped before the shuffle
+    predictions = out.filter("row is not null").groupBy("fit", "row", "train").agg(
+        F.first("y").alias("y"),
         (F.try_divide(F.sum("total"), F.sum("trees")) + F.lit(centre)).alias("predicted"))
     by_tree = out.filter("row is null").select("fit", "tree", "feature", "gain")
     for more in gains:

@@ -107,7 +107,7 @@ class ModelResult:
     def predictions(self) -> DataFrame:
         """Key, actual and predicted value of the test rows. Grouped by row alone,
         so that a query of the actual values drops the join and grows no forest."""
-        got = self._grown.predictions.groupBy(F.col("row").alias(ROW)).agg(F.max("predicted").alias("predicted"))
+        got = self._grown.predictions.filter(~F.col("train")).groupBy(F.col("row").alias(ROW)).agg(F.max("predicted").alias("predicted"))
         test = self._split.filter(F.col("split") == "test").select(self._key, F.col(self._target).alias("actual"), ROW)
         return test.join(got, ROW, "left").select(self._key, "actual", "predicted")
 
