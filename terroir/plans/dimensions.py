@@ -28,7 +28,7 @@ def conformed_dimension(frames: Sequence[DataFrame], key: str, label: str, key_w
     pad = pad or {}
     ordered = all(ORDINAL in f.columns for f in frames)
     place = [F.col(ORDINAL)] if ordered else []
-    ranked = [(f if ordered else f.drop(ORDINAL)).withColumn(SOURCE_RANK, F.struct(F.lit(i).alias("frame"), *place)).drop(ORDINAL)
+    ranked = [(f if ordered else f.drop(ORDINAL)).withColumn(SOURCE_RANK, F.struct(F.lit(i).alias("frame"), *place) if ordered else F.lit(i)).drop(ORDINAL)
               for i, f in enumerate(frames)]
     u = union_all(ranked)
     cols = [c for c in u.columns if c != SOURCE_RANK]
