@@ -50,6 +50,8 @@ from pyspark.sql import functions as F
 from terroir.llm.common import bounded_batches, key_filter, mix, ragged, slices, without, written
 
 WINDOW, RUN, SHORTEST = 8, 13, 4
+TEMPLATE_BYTES = 1 << 19  # text whose templates a worker makes at once: they take about a hundred times as much
+SENT = 20_000             # windows in one batch
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]")
 # Number words and unit words that become placeholders.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen "
@@ -160,7 +162,7 @@ def template_windows(rows: DataFrame, sizes: list[int], bits: np.ndarray | None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", TEMPLATE_BYTES):
             words, word, kinds = templates(b.column("text"))
             ids, prints = b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist()
             out: list[tuple] = []
@@ -186,15 +188,21 @@ def template_windows(rows: DataFrame, sizes: list[int], bits: np.ndarray | None,
                         slots = [f"{int(code[k])}:{' '.join(words[w] for w in word[place[k]:place[k] + run_len[k]]).lower()}"
                                  for k in (s + h for h in holes)]
                         out.append((h, ids[d], prints[d], kind, s - int(first[d]), int(count[d]), holes, slots))
-            for lo in range(0, len(out), 20_000):
-                cols = zip(*out[lo:lo + 20_000])
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
-                    pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())))],
-                    names=["key", "doc_id", "text_hash", "kind", "pos", "n", "holes", "slots"])
+                        if len(out) == SENT:
+                            yield _sent(out)
+                            out = []
+            if out:
+                yield _sent(out)
 
     return rows.mapInArrow(run, HITS)
 
 
+def _sent(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+        pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())))],
+        names=["key", "doc_id", "text_hash", "kind", "pos", "n", "holes", "slots"])
+
+
 def agreed(at: list[int], pairs: list[list[tuple[int, str, str]]], size: int, need: int) -> list[int]:
     """Sorted starts of consistent windows that cover `need` tokens, or none. `at`:
     the windows' starts in the item; `pairs`: (place in the item, its value, the

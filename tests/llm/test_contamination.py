@@ -1,3 +1,7 @@
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 from brute import holds_item
 
 from pyspark.sql import functions as F
@@ -114,3 +118,25 @@ def test_number_words_of_other_languages(spark):
     new = item.replace("cinq", "sept").replace("trois", "neuf").replace("deux", "quatre")
     german = "der Bauer hat zwölf Kühe und kauft noch drei dazu und verkauft dann zwei von ihnen wie viele bleiben ihm am Ende"
     assert set(found(spark, [new, german.replace("zwölf", "20").replace("drei", "sieben").replace("zwei", "elf")], [item, german])) == {(0, 0), (1, 1)}
+
+
+def test_memory_of_templates_is_bounded(spark):
+    class Rows:  # hands over what would run in a task
+        sparkSession = spark
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    rng = np.random.default_rng(4)
+    words = np.array([f"w{k:x}z" for k in range(30_000)])
+    texts = [" ".join(words[rng.integers(0, len(words), 200)]) for _ in range(3000)]  # about 4 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.array(range(len(texts)), pa.int64())],
+                                       names=["doc_id", "text", "text_hash"])
+    for bits, whole, part in ((np.zeros(1 << 10, np.uint32), False, batch), (None, True, batch.slice(0, 800))):
+        run = C.template_windows(Rows(), [4, 5, 6, 7, 8], bits, whole)
+        tracemalloc.start()
+        sent = [b.num_rows for b in run(iter([part]))]
+        peak = tracemalloc.get_traced_memory()[1] / 2**20
+        tracemalloc.stop()
+        assert sum(sent) == whole * 193 * part.num_rows and max(sent, default=0) <= 20_000
+        assert peak < 80, (whole, peak)
