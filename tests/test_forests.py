@@ -216,3 +216,59 @@ def test_actual_values_alone_grow_no_forest(spark):
     from terroir.plans import testdata as TD
     plan = TD.model_actuals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapGroups" not in plan
+
+
+def continuous(spark, n=400):
+    """One fit: a feature of as many values as rows, one with missing values, one with few; labels of noise and a step."""
+    rows = [(k, k * 7919, [k * 7919 % 10007 / 7.0, None if k % 19 == 0 else k * 104729 % 5003 / 3.0, float(k % 5)],
+             float(k * 7919 % 10007 > 7000) * 2 + k * 31337 % 97 / 50.0, [(0, k % 5 > 0)]) for k in range(n)]
+    return spark.createDataFrame(rows, "row long, h long, x array<double>, y double, fits array<struct<fit: int, train: boolean>>")
+
+
+@pytest.mark.parametrize("group_rows,bins", [(150, 256), (60, 8)])
+def test_forest_does_not_depend_on_the_size_that_one_task_grows(spark, group_rows, bins):
+    """More values than bins: thresholds of large nodes are exact too, those inside a bin included."""
+    df = continuous(spark)
+    want, want_importance = collected(forests.grow(df, 3, 2, 9))
+    got, importance = collected(forests.grow(df, 3, 2, 9, group_rows=group_rows, bins=bins))
+    assert got.keys() == want.keys()
+    assert max(abs(got[k][2] - want[k][2]) for k in want) < 1e-9
+    assert importance == pytest.approx(want_importance, abs=1e-9)
+
+
+@pytest.mark.parametrize("large,cells", [(1, 1), (20, 100), (200, 10 ** 6)])
+def test_nodes_parted_alone_or_together(monkeypatch, large, cells):
+    """The same trees whatever nodes are parted by themselves and however many are grown at a time."""
+    rng = np.random.default_rng(3)
+    x = np.array([rng.normal(size=700), rng.integers(0, 4, 700), np.where(rng.random(700) < 0.1, np.nan, rng.integers(0, 40, 700))])
+    y, w = np.round(rng.random(700) + (x[0] > 1), 2), rng.poisson(1, (2, 700))
+    monkeypatch.setattr(forests, "LARGE", 10 ** 9)
+    want, gains = forests.grow_trees(x, y, w, 12)
+    monkeypatch.setattr(forests, "LARGE", large)
+    monkeypatch.setattr(forests, "CELLS", cells)
+    got, other = forests.grow_trees(x, y, w, 12)
+    np.testing.assert_allclose(got, want)
+    np.testing.assert_allclose(other, gains)
+    plain, plain_gains = plain_tree(x, y, w[0], 12)
+    np.testing.assert_allclose(got[0], plain)
+    np.testing.assert_allclose(other[0], plain_gains, atol=1e-9)
+
+
+def test_draws_are_those_of_spark(spark):
+    h = [0, 1, -1, 2 ** 63 - 1, -2 ** 63, None, *[k * 982451653 for k in range(3000)]]
+    df = spark.createDataFrame([(v,) for v in h], "h long")
+    got = df.select(F.xxhash64("h").alias("key"), *[forests.poisson(F.xxhash64("h", F.lit(t), F.lit(-7))).alias(f"t{t}") for t in (0, 1, 99)]).toPandas()
+    for t in (0, 1, 99):
+        assert forests.draws(got["key"].to_numpy().view(np.uint64), t, -7).tolist() == got[f"t{t}"].tolist()
+
+
+@pytest.mark.parametrize("number", [1, 2, 7, 50, 300])
+def test_units_are_dealt_one_to_a_partition(spark, number):
+    df = spark.createDataFrame([(p,) for p in forests._places(number)], "place int").repartition(number, "place")
+    assert [r["part"] for r in df.select("place", F.spark_partition_id().alias("part")).collect()] == list(range(number))
+
+
+def test_actual_values_alone_run_no_tree_task(spark):
+    from terroir.plans import testdata as TD
+    plan = TD.model_actuals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan
