@@ -39,8 +39,17 @@ def parse_number(c, decimal_comma: bool = True) -> Column:
         s = F.btrim(s, F.lit(ASCII_WS))
     v = s.try_cast("double")
     # an exponent beyond the double range parses to infinity in Spark and to
-    # a missing value in a data-frame library: NULL
-    return F.when(s.rlike(NUMBER_PATTERN) & (F.abs(v) != F.lit(float("inf"))), v)
+    # a missing value in a data-frame library: NULL, of a zero too
+    return F.when(s.rlike(NUMBER_PATTERN) & (F.abs(v) != F.lit(float("inf"))) & ~((v == 0) & _zero_beyond_range(s)), v)
+
+
+def _zero_beyond_range(s: Column) -> Column:
+    """Whether a zero's exponent, moved by its digits (17 at most are read), is beyond 308."""
+    zero = r"^[+-]?(0*)\.?(0*)[eE]\+?(\d+)$"
+    whole, part = (F.length(F.regexp_extract(s, zero, i)) for i in (1, 2))
+    power = F.regexp_extract(s, zero, 3).try_cast("double")
+    moved = F.greatest(whole - 17, F.lit(0)) - F.least(part, F.greatest(17 - whole, F.lit(0)))
+    return F.coalesce(power + moved > 308, F.lit(False))
 
 
 def parse_long(c, decimal_comma: bool = False) -> Column:
