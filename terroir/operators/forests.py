@@ -31,7 +31,7 @@ scored only. A fit without training rows predicts NULL.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -45,8 +45,8 @@ from terroir.session import scratch_path
 GROUP_ROWS = 6 << 20     # rows of a node that one task grows
 BLOCK = 64               # rows of a fit that are moved together
 OUT_ROWS = 50_000        # rows that a task hands out at a time
-CELLS = 100_000          # rows x trees that are grown in the same array operations
-LARGE = 2048             # drawn rows of a node that is parted by itself
+CELLS = 200_000          # rows x trees that are grown in the same array operations
+LARGE = 4096             # drawn rows of a node that is parted by itself
 BINS = 256
 TIE = 1e-9               # share of a split's score that counts as rounding
 CELL_BYTES = 64 << 20    # sums by node, feature and bin that a task holds
@@ -80,9 +80,9 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- small nodes
 
-def _codes(x: Sequence[np.ndarray], rows: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def _codes(x: Iterable[np.ndarray], features: int, rows: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Per feature the rank of each row's value among the distinct ones, and these in order (a missing one last)."""
-    codes, values = np.empty((len(x), rows), np.int32), []
+    codes, values = np.empty((features, rows), np.int32), []
     for f, v in enumerate(x):
         by = np.argsort(v, kind="stable")
         ordered = v[by]
@@ -160,7 +160,7 @@ def grow_trees(x: np.ndarray, y: np.ndarray, counts: np.ndarray, max_depth: int)
     (trees, rows) of all rows and the gains (trees, features). A tree without a
     drawn row gives NaN."""
     out, gains = np.full(counts.shape, np.nan), np.zeros((len(counts), len(x)))
-    _grow_some(*_codes(x, len(y)), y, counts, max_depth, out, gains)
+    _grow_some(*_codes(x, len(x), len(y)), y, counts, max_depth, out, gains)
     return out, gains
 
 
@@ -425,18 +425,22 @@ def _units(features: int, trees: int, sizes: dict[int, int], max_depth: int, see
 def _unit(parts: list[pa.RecordBatch], features: int, fit: int, first: int, end: int, max_depth: int, seed: int) -> Iterator[pa.RecordBatch]:
     """The trees from `first` to before `end` of a fit: its rows (sum of the leaf
     values and number of trees) and the gains by tree and feature. Empties `parts`."""
-    data = np.concatenate([_packed_bytes(b, "block") for b in parts]).view(np.int64).reshape(-1, X + features)
-    parts.clear()
-    real = data.view(np.float64)
+    held = [_packed_bytes(b, "block").view(np.int64).reshape(-1, X + features) for b in parts]
+    column = lambda k, kind=np.float64: np.concatenate([p.view(kind)[:, k] for p in held])
     # rows in an order that does not depend on how they came: by key, then values
-    rank = np.argsort(data[:, KEY], kind="stable")
-    key = data[rank, KEY]
+    key = column(KEY, np.int64)
+    rank = np.argsort(key, kind="stable")
+    key = key[rank]
     same = np.flatnonzero(key[:-1] == key[1:])
     tied = np.union1d(same, same + 1)
-    rank[tied] = rank[tied][np.lexsort((*real[rank[tied], X:].T[::-1], real[rank[tied], Z], key[tied]))]
-    codes, values = _codes([np.ascontiguousarray(real[:, f])[rank] for f in range(X, X + features)], len(data))
-    row, flags, y, z = data[rank, ROW], data[rank, FLAGS], real[rank, Y], real[rank, Z]
-    del data, real, rank
+    if len(tied):
+        alike = [column(f)[rank[tied]] for f in [*range(X, X + features)][::-1] + [Z]]
+        rank[tied] = rank[tied][np.lexsort((*alike, key[tied]))]
+    codes, values = _codes((column(f)[rank] for f in range(X, X + features)), features, len(rank))
+    row, flags, y, z = column(ROW, np.int64)[rank], column(FLAGS, np.int64)[rank].astype(np.uint8), column(Y)[rank], column(Z)[rank]
+    held.clear()
+    parts.clear()
+    del rank
     drawn, key = flags & DRAWS > 0, key.view(np.uint64)
     total, known, gains = np.zeros(len(row)), 0, np.zeros((end - first, features))
     step = max(1, CELLS // len(row))
