@@ -844,10 +844,10 @@ def grow(rows: DataFrame, features: int, trees: int = 100, max_depth: int = 30,
         per_unit = {fit: max(1, min(trees, math.ceil(most / n))) for fit, n in small.items()}
         units = sorted(((fit, tree) for fit, k in per_unit.items() for tree in range(0, trees, k)),
                        key=lambda u: (-small[u[0]] * min(per_unit[u[0]], trees - u[1]), u))
-        plan = spark.createDataFrame([(*u, p) for u, p in zip(units, _places(len(units)))], "fit int, tree int, place int")
+        plan = spark.sql("SELECT * FROM VALUES " + ", ".join(str((*u, p)) for u, p in zip(units, _places(len(units)))) + " AS t(fit, tree, place)")
         blocks = rows.mapInArrow(_blocks(features, sorted(small)), "fit int, block binary")
         # a few trees of a fit each: many times fewer bytes than rows by tree
-        dealt = blocks.join(F.broadcast(plan), "fit").repartition(len(units), "place").sortWithinPartitions("fit", "tree")
+        dealt = blocks.join(plan, "fit").repartition(len(units), "place").sortWithinPartitions("fit", "tree")
         outputs.append(dealt.select("fit", "tree", "block").mapInArrow(_units(features, trees, per_unit, max_depth, seed), LEAVES))
 
     large = sorted(fit for fit, n in sizes.items() if n > group_rows)

@@ -274,7 +274,7 @@ def test_forests_are_planned_without_growing_and_grown_once(spark, monkeypatch):
     assert forests.GROUP_ROWS > 5_200_000   # rows of the model at 360 x sf0.1
     grown = forests.grow(table(spark, 100), 3, 4)
     plan = grown.importance._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("block") and len([line for line in plan.splitlines() if "MapInArrow" in line]) == 2   # to blocks, to trees
+    assert "LocalRelation" in plan and len([line for line in plan.splitlines() if "MapInArrow" in line]) == 2   # to blocks, to trees
 
 
 def test_actual_values_alone_run_no_tree_task(spark):
